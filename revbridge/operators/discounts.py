@@ -152,7 +152,7 @@ def discount_grain_check(entity_base: DataFrame) -> DataFrame:
     json_total = entity_base.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_cycles"),
         F.sum(
-            F.aggregate(parsed, F.lit(0).cast("decimal(18,2)"), lambda acc, x: acc + F.coalesce(money(x["amount"]), F.lit(0).cast("decimal(18,2)")))
+            F.aggregate(parsed, F.lit(0).cast("decimal(18,2)"), lambda acc, x: (acc + F.coalesce(money(x["amount"]), F.lit(0).cast("decimal(18,2)"))).cast("decimal(18,2)"))
         ).cast("decimal(18,2)").alias("json_total"),
     )
     exploded = (
