@@ -146,27 +146,30 @@ def plan_transition_detail(typed: DataFrame, months: DataFrame, policy: Policy,
 
 def discount_grain_check(entity_base: DataFrame) -> DataFrame:
     """The exploded discount lines add up to the JSON total of each
-    cycle group (entity, schedule, dates, discount text)."""
+    cycle group (entity, schedule, dates, discount text).
+
+    One pass: each cycle contributes its JSON total on its first exploded
+    line (position 0, or the NULL line of an empty list) and every line
+    contributes its own amount, so no join back is needed."""
     parsed = F.from_json(F.col("discounts").cast("string"), DISCOUNT_SCHEMA)
+    zero = F.lit(0).cast("decimal(18,2)")
+    row_total = F.aggregate(
+        parsed, zero, lambda acc, x: (acc + F.coalesce(money(x["amount"]), zero)).cast("decimal(18,2)")
+    )
     key = [*ENTITY_KEYS, "revenue_recognition_schedule_id", "rr_start_date", "rr_end_date", "discounts"]
-    json_total = entity_base.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n_cycles"),
-        F.sum(
-            F.aggregate(parsed, F.lit(0).cast("decimal(18,2)"), lambda acc, x: (acc + F.coalesce(money(x["amount"]), F.lit(0).cast("decimal(18,2)"))).cast("decimal(18,2)"))
-        ).cast("decimal(18,2)").alias("json_total"),
-    )
-    exploded = (
-        entity_base.select(*key, F.explode_outer(parsed).alias("d"))
-        .groupBy(*key)
-        .agg(F.sum(F.coalesce(money(F.col("d.amount")), F.lit(0))).cast("decimal(18,2)").alias("exploded_total"))
-    )
-    j = json_total.join(exploded, key)
-    return j.select(
+    lines = entity_base.select(
+        *key, F.coalesce(row_total, zero).alias("row_total"), F.posexplode_outer(parsed).alias("pos", "d")
+    )
+    first = F.col("pos").isNull() | (F.col("pos") == 0)
+    g = lines.groupBy(*key).agg(
+        F.count(F.when(first, F.lit(1))).alias("n_cycles"),
+        F.sum(F.when(first, F.col("row_total")).otherwise(zero)).cast("decimal(18,2)").alias("json_total"),
+        F.sum(F.coalesce(money(F.col("d.amount")), zero)).cast("decimal(18,2)").alias("exploded_total"),
+    )
+    return g.select(
         *ENTITY_KEYS, "revenue_recognition_schedule_id",
-        F.to_date("rr_start_date").alias("start_date"), "n_cycles",
-        F.coalesce(F.col("json_total"), F.lit(0).cast("decimal(18,2)")).alias("json_total"),
-        "exploded_total",
-        (F.coalesce(F.col("json_total"), F.lit(0).cast("decimal(18,2)")) == F.col("exploded_total")).alias("matches"),
+        F.to_date("rr_start_date").alias("start_date"), "n_cycles", "json_total", "exploded_total",
+        (F.col("json_total") == F.col("exploded_total")).alias("matches"),
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revbridge.operators import assemble, base, churn, classify, discounts, movements, swaps, transitions, vas
+from revbridge.operators import assemble, base, churn, classify, cycles, discounts, movements, swaps, transitions, vas
 from revbridge.plans.bridge import BridgePlan
 from revbridge.plans.months import rolling_month_driver
 from revbridge.policy import Policy
@@ -271,6 +271,74 @@ def q_s01(s, d):
     return swaps.swap_register(plan_for(s, d).L)
 
 
+_LABELS: dict = {}
+
+
+def labelling(s, d, terminal: bool = False) -> dict[str, DataFrame]:
+    key = (id(s), d, terminal)
+    if key not in _LABELS:
+        p = plan_for(s, d)
+        from revbridge.plans.bridge import stage
+        _LABELS[key] = cycles.labelling_pipeline(
+            p.L, p.policy, p.months, p.churn["tagged"], terminal=terminal, stage=lambda df: stage(df, p.materialize)
+        )
+    return _LABELS[key]
+
+
+CYC = ["accountable_entity_id", "accountable_entity_type", "cycle_start_date", "cycle_end_date"]
+
+
+def q_l01(s, d):
+    return labelling(s, d)["L01"].select(*CYC, "return_item_id", "return_item_state", "return_created_at_ist", "has_return_in_window")
+
+
+def q_l02(s, d):
+    return labelling(s, d)["L02"].select(*CYC, "rent_to_purchase_item_id", "rtp_created_at_ist", "has_rtp_in_window")
+
+
+def q_l03(s, d):
+    return labelling(s, d)["L03"].select(
+        *CYC, "has_return_in_window", "has_rtp_in_window", "churn_classification", "churn_transaction_type", "churn_user_id"
+    )
+
+
+def q_l04(s, d):
+    return labelling(s, d)["L04"].select(
+        *CYC, "global_tto_date", "future_cycles_count", "synthetic_recognised_at_ist", "used_tto_date_for_pattern"
+    )
+
+
+def q_l05(s, d):
+    return labelling(s, d)["L05"].select(*CYC, "month_num", "mtp_classification", "matched_month_window").distinct()
+
+
+def q_l06(s, d):
+    return labelling(s, d)["L06"].select(*CYC, "month_num", "mtp_classification", "matched_month_window")
+
+
+def q_l07(s, d):
+    return labelling(s, d)["L07"].select(*CYC, "primary_cycle_type")
+
+
+def q_l07t(s, d):
+    return labelling(s, d, terminal=True)["L07"].select(*CYC, "primary_cycle_type")
+
+
+def q_l08(s, d):
+    return labelling(s, d)["L08"]
+
+
+def q_l09(s, d):
+    return labelling(s, d)["L09"].select(
+        *CYC, "last_cycle_end_date", "item_recognition_pattern", "churn_pattern_type", "cycle_position_from_end",
+        "is_item_last_cycle",
+    )
+
+
+def q_l10(s, d):
+    return cycles.cycle_history(labelling(s, d)["L09"])
+
+
 RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "B01_entity_directory": q_b01,
     "B02_ledger_base": q_b02,
@@ -339,6 +407,17 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "D05_plan_transition_detail": q_d05,
     "D06_discount_grain_check": q_d06,
     "S01_swap_register": q_s01,
+    "L01_return_in_cycle": q_l01,
+    "L02_buyout_in_cycle": q_l02,
+    "L03_churn_enrichment": q_l03,
+    "L04_lifecycle_context": q_l04,
+    "L05_cycle_month_class": q_l05,
+    "L06_earliest_match": q_l06,
+    "L07_cycle_label": q_l07,
+    "L07T_cycle_label_terminal": q_l07t,
+    "L08_entity_context": q_l08,
+    "L09_lifecycle_pattern": q_l09,
+    "L10_cycle_history": q_l10,
 }
 
 
