@@ -2,6 +2,9 @@
 points where a frame is reused by several components.
 
 Cut points (`materialize`):
+  * "table"      - (default) parquet written once under the cluster's
+                   `spark.checkpoint.dir` and read back: one job, survives
+                   executor loss, and later scans prune columns / push filters
   * "persist"    - MEMORY_AND_DISK cache; lost blocks are recomputed from lineage
   * "checkpoint" - reliable checkpoint into the cluster's `spark.checkpoint.dir`
                    (survives executor loss without recomputing the lineage)
@@ -14,6 +17,7 @@ component aggregate is months x components sized.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -28,6 +32,12 @@ from revbridge.sources.ledger import Ledger
 
 
 def stage(df: DataFrame, mode: str) -> DataFrame:
+    """Cut the lineage of a frame read by several consumers."""
+    if mode == "table":
+        # one write job into the shared checkpoint folder, read back as parquet
+        path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/revbridge-stage/{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
     if mode == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     if mode == "checkpoint":
@@ -37,7 +47,7 @@ def stage(df: DataFrame, mode: str) -> DataFrame:
 
 
 class BridgePlan:
-    def __init__(self, spark: SparkSession, ledger: Ledger, policy: Policy | None = None, materialize: str = "checkpoint"):
+    def __init__(self, spark: SparkSession, ledger: Ledger, policy: Policy | None = None, materialize: str = "table"):
         self.spark = spark
         self.L = ledger
         self.policy = policy or Policy()

@@ -10,7 +10,7 @@ and one join (lineitem -> orders), so the binding scales with the inputs.
 
 from __future__ import annotations
 
-from dataclasses import fields
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +49,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bind(spark: SparkSession, sf_dir: str, policy: Policy | None = None, cache: bool = True) -> Ledger:
-    """Derive the ledger tables.  With `cache` every table is checkpointed, so
+    """Derive the ledger tables.  With `cache` every table is written once, so
     downstream plans see them as leaves (as they would see catalog tables)
     instead of re-deriving the binding in every branch."""
     policy = policy or Policy()
@@ -257,11 +257,12 @@ def bind(spark: SparkSession, sf_dir: str, policy: Policy | None = None, cache:
         acquisitions=acquisitions,
     )
     if cache:
-        # reliable checkpoint into the session's checkpoint dir: the tables
-        # become plan leaves, exactly like catalog tables would be
-        checkpoint_dir(spark)
-        for f in fields(ledger):
-            setattr(ledger, f.name, getattr(ledger, f.name).checkpoint(eager=True))
+        # write each table once into the session's shared checkpoint folder and
+        # read it back: downstream plans see parquet leaves, exactly like the
+        # catalog tables of a production ledger
+        root = f"{checkpoint_dir(spark).rstrip('/')}/revbridge-ledger/{uuid.uuid4().hex}"
+        ledger.write_parquet(root)
+        ledger = Ledger.from_parquet(spark, root)
     return ledger
 
 
