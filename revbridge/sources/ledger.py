@@ -31,6 +31,34 @@ TABLES = (
 )
 
 
+TS = "timestamp_ntz"
+# Column layout of every ledger table (what production catalog tables carry)
+SCHEMAS = {
+    "recognitions": f"id long, accountable_entity_id long, accountable_entity_type string, recognition_type string, "
+    f"state string, vertical string, start_date {TS}, end_date {TS}, recognised_at {TS}, created_at {TS}, "
+    f"deleted_at {TS}, external_reference_type string, external_reference_id long, "
+    f"revenue_recognition_schedule_id long, taxable_amount decimal(18,2), discounts string",
+    "schedules": f"id long, start_date {TS}, end_date {TS}, taxable_amount decimal(18,2), post_tax_amount decimal(18,2)",
+    "items": f"id long, user_id long, order_id long, state string, vertical string, activation_date {TS}, "
+    f"pickup_date {TS}, composite_item_id long, name string, pricing_details string",
+    "attachments": f"id long, user_id long, order_id long, state string, vertical string, activation_date {TS}, "
+    f"pickup_date {TS}, composite_item_id long, name string, pricing_details string",
+    "return_items": f"id long, item_id long, return_id long, state string, created_at {TS}, updated_at {TS}",
+    "return_attachments": f"id long, attachment_id long, return_id long, state string, created_at {TS}, updated_at {TS}",
+    "rtp_items": "id long, item_id long, rent_to_purchase_order_id long, payment_details string, payableafterpaymentoffers string",
+    "rtp_attachments": "id long, attachment_id long, rent_to_purchase_order_id long, payment_details string, "
+    "payableafterpaymentoffers string",
+    "rtp_orders": f"id long, state string, created_at {TS}",
+    "swap_items": f"id long, item_id long, action string, state string, fulfillment_date {TS}",
+    "swap_attachments": f"id long, attachment_id long, action string, state string, fulfillment_date {TS}",
+    "penalty": "id long, product_entity_id long, user_id long",
+    "vas": "id long, entity_id long, entity_type string, type string, state string",
+    "discounts": "id long, type string",
+    "acquisitions": "accountable_entity_id long, accountable_entity_type string, fur_id string, "
+    "taxable_amount decimal(18,2), activation_date date, flag string",
+}
+
+
 @dataclass
 class Ledger:
     recognitions: DataFrame
@@ -59,6 +87,12 @@ class Ledger:
         """Read every table from `{root}/{name}` parquet folders."""
         return cls(**{f.name: spark.read.parquet(f"{root}/{f.name}") for f in fields(cls)})
 
+    @classmethod
+    def from_rows(cls, spark: SparkSession, **rows) -> "Ledger":
+        """Small in-memory ledger (tests, examples): lists of tuples per table,
+        missing tables are empty."""
+        return cls(**{name: spark.createDataFrame(rows.get(name, []), SCHEMAS[name]) for name in TABLES})
+
     def write_parquet(self, root: str, mode: str = "overwrite") -> None:
         for f in fields(self):
             getattr(self, f.name).write.mode(mode).parquet(f"{root}/{f.name}")
