@@ -10,9 +10,11 @@ Cut points (`materialize`):
                    (survives executor loss without recomputing the lineage)
   * "none"       - fully lazy; Catalyst inlines everything into one plan
 
-Only two frames are cut: the live entity cycles (read by classification,
-swaps, churn amounts, discounts) and the churn table.  Everything after the
-component aggregate is months x components sized.
+Cut frames: the live ledger base (read by classification, swaps, penalty,
+VAS, discounts and the schedule grain), the classified cycles (opening, MTP
+and the churn anti-join), the churn intermediates (transactions, item base,
+tagged items), the typed discount lines and the component aggregate (months
+x components rows read by every report line).
 """
 
 from __future__ import annotations
@@ -101,7 +103,8 @@ class BridgePlan:
 
     @cached_property
     def churn_table(self) -> DataFrame:
-        return stage(self.churn["table"], self.materialize)
+        # read once by the bridge (churn events); its inputs are already cut
+        return self.churn["table"]
 
     @cached_property
     def churn_events(self) -> DataFrame:
@@ -121,7 +124,7 @@ class BridgePlan:
 
     @cached_property
     def tenure_windowed(self) -> DataFrame:
-        return stage(transitions.tenure_windowed(self.grain), self.materialize)
+        return transitions.tenure_windowed(self.grain)
 
     @cached_property
     def vas_owners(self) -> DataFrame:

@@ -57,6 +57,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("REVBRIDGE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # many short jobs: keep the driver's execution history small
+        .config("spark.sql.ui.retainedExecutions", "20")
+        .config("spark.ui.retainedJobs", "100")
+        .config("spark.ui.retainedStages", "200")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
