@@ -442,3 +442,46 @@ SELECT CAST(accountable_entity_id AS {B}) AS entity_id, accountable_entity_type
   cycle_position_from_end = 1 AS is_item_last_cycle, CAST(cycle_position_from_end AS {B}) AS cycle_position_from_end
 FROM lab_l09"""),
 })
+
+
+# ---- Q01: entity rows behind every bridge component -------------------------
+def _q01() -> str:
+    ent = "accountable_entity_type AS entity_type, CAST(accountable_entity_id AS BIGINT) AS entity_id"
+    churn_rules = {
+        "R06": "transaction_type = 'return_item'",
+        "R07": "transaction_type = 'return_item' AND churn_flag = 'PARTIAL'",
+        "R08": "transaction_type = 'return_item' AND churn_flag = 'FULL'",
+        "R09": "transaction_type = 'rent_to_purchase_item'",
+        "R10": "transaction_type = 'rent_to_purchase_item' AND churn_flag = 'PARTIAL'",
+        "R11": "transaction_type = 'rent_to_purchase_item' AND churn_flag = 'FULL'",
+    }
+    parts = [
+        f"SELECT month_num, 'R01' AS component, {ent}, CAST(user_id AS VARCHAR) AS customer, taxable_amount AS amount FROM classified WHERE is_s1_1 OR is_s1_2",
+        f"SELECT month_num, 'R02', {ent}, CAST(user_id AS VARCHAR), taxable_amount FROM classified WHERE is_s1_2",
+        f"SELECT month_num, 'R14', {ent}, CAST(user_id AS VARCHAR), taxable_amount FROM classified WHERE is_cmtp",
+        f"SELECT month_num, CASE WHEN flag = 'new' THEN 'R04' ELSE 'R05' END, {ent}, fur_id, taxable_amount FROM acq_j",
+    ]
+    for comp, cond in churn_rules.items():
+        parts.append(
+            f"SELECT month_num, '{comp}', entity_type, CAST(entity_id AS BIGINT), CAST(user_ids AS VARCHAR), taxable_amount FROM churn_ev WHERE {cond}"
+        )
+    parts += [
+        "SELECT month_num, CASE WHEN action = 'SWAP_OUT' THEN 'R12' ELSE 'R13' END, entity_type, CAST(entity_id AS BIGINT), "
+        "CAST(user_id AS VARCHAR), COALESCE(taxable_amount, 0) FROM swap_j",
+        "SELECT month_num, 'R15', 'PENALTY', CAST(product_entity_id AS BIGINT), CAST(user_id AS VARCHAR), taxable_amount FROM pen_j",
+        f"SELECT month_num, 'R16', {ent}, CAST(user_id AS VARCHAR), revenue_difference FROM pt_j",
+        f"SELECT month_num, CASE WHEN revenue_recognition_type = 'ACCRUAL' THEN 'R18' ELSE 'R19' END, {ent}, "
+        "CAST(user_id AS VARCHAR), revenue_difference FROM accrual_j WHERE revenue_recognition_type IN ('ACCRUAL', 'DEFERRAL')",
+        f"SELECT month_num, 'R20', {ent}, CAST(user_id AS VARCHAR), total_discount_amount FROM disc_given_j",
+        f"SELECT month_num, 'R21', {ent}, CAST(user_id AS VARCHAR), revenue_difference FROM disc_ch_j",
+        "SELECT month_num, component, 'VALUE_ADDED_SERVICE', CAST(accountable_entity_id AS BIGINT), CAST(user_id AS VARCHAR), "
+        "taxable_amount FROM vas_j",
+    ]
+    union = "\nUNION ALL ".join(parts)
+    return _with(f"""
+SELECT CAST(month_num AS {B}) AS month_num, component, entity_type, CAST(entity_id AS {B}) AS entity_id, customer,
+  CAST(amount AS {D}) AS amount
+FROM ({union})""")
+
+
+ORACLE["Q01_component_drilldown"] = _q01()
