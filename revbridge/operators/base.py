@@ -22,12 +22,13 @@ def entity_directory(L: Ledger) -> DataFrame:
     return side(L.items, "ITEM").unionByName(side(L.attachments, "ATTACHMENT"))
 
 
-def ledger_base(L: Ledger, policy: Policy) -> DataFrame:
+def ledger_base(L: Ledger, policy: Policy, with_schedule: bool = True) -> DataFrame:
     """Live cycles of the vertical joined to their schedule.
 
     The vertical/state predicates reach the parquet scan; the schedule join is
     a plain equi-join that Spark plans as sort-merge (or broadcast when the
-    schedule side is small enough).
+    schedule side is small enough).  Consumers that read no schedule column
+    use `with_schedule=False` and skip the join entirely.
     """
     rr = L.recognitions.filter(
         (F.col("vertical") == policy.vertical) & ~F.col("state").isin(*EXCLUDED_RR_STATES)
@@ -37,14 +38,7 @@ def ledger_base(L: Ledger, policy: Policy) -> DataFrame:
     if policy.created_from is not None:
         lower = F.lit(policy.created_from).cast("date")
         rr = rr.filter((F.col("created_at") >= lower) & (F.col("start_date") >= lower))
-    s = L.schedules.select(
-        F.col("id").alias("revenue_recognition_schedule_id"),
-        F.col("start_date").alias("sched_start_date"),
-        F.col("end_date").alias("sched_end_date"),
-        F.col("taxable_amount").alias("sched_taxable_amount"),
-        F.col("post_tax_amount").alias("sched_post_tax_amount"),
-    )
-    return rr.join(s, "revenue_recognition_schedule_id", "left").select(
+    cols = [
         "recognition_type",
         *ENTITY_KEYS,
         F.col("start_date").alias("rr_start_date"),
@@ -58,6 +52,18 @@ def ledger_base(L: Ledger, policy: Policy) -> DataFrame:
         "revenue_recognition_schedule_id",
         money("taxable_amount").alias("taxable_amount"),
         "discounts",
+    ]
+    if not with_schedule:
+        return rr.select(*cols)
+    s = L.schedules.select(
+        F.col("id").alias("revenue_recognition_schedule_id"),
+        F.col("start_date").alias("sched_start_date"),
+        F.col("end_date").alias("sched_end_date"),
+        F.col("taxable_amount").alias("sched_taxable_amount"),
+        F.col("post_tax_amount").alias("sched_post_tax_amount"),
+    )
+    return rr.join(s, "revenue_recognition_schedule_id", "left").select(
+        *cols,
         "sched_taxable_amount",
         "sched_post_tax_amount",
         "sched_start_date",

@@ -10,9 +10,9 @@ Cut points (`materialize`):
                    (survives executor loss without recomputing the lineage)
   * "none"       - fully lazy; Catalyst inlines everything into one plan
 
-Cut frames: the live ledger base (read by classification, swaps, penalty,
-VAS, discounts and the schedule grain), the classified cycles (opening, MTP
-and the churn anti-join), the churn intermediates (transactions, item base,
+The ledger itself is not copied: consumers scan it with their own pruning
+(and only discounts / the schedule grain pay the schedule join).  Cut frames:
+the classified cycles (opening, MTP and the churn anti-join), the churn intermediates (transactions, item base,
 tagged items), the typed discount lines and the component aggregate (months
 x components rows read by every report line).
 """
@@ -66,15 +66,26 @@ class BridgePlan:
 
     @cached_property
     def base(self) -> DataFrame:
-        return stage(base.ledger_base(self.L, self.policy), self.materialize)
+        """B02 with schedule columns (discounts, schedule grain, B11)."""
+        return base.ledger_base(self.L, self.policy)
+
+    @cached_property
+    def live(self) -> DataFrame:
+        """Live cycles without the schedule join: pruned parquet scans for
+        classification, swaps, penalty and add-on revenue."""
+        return base.ledger_base(self.L, self.policy, with_schedule=False)
 
     @cached_property
     def split(self) -> dict[str, DataFrame]:
-        return base.ledger_split(self.base)
+        return base.ledger_split(self.live)
+
+    @cached_property
+    def scheduled(self) -> DataFrame:
+        return base.ledger_split(self.base)["entity"]
 
     @cached_property
     def cycles(self) -> DataFrame:
-        return base.revenue_cycles(self.L, self.policy, self.base)
+        return base.revenue_cycles(self.L, self.policy, self.live)
 
     @cached_property
     def buyouts(self) -> DataFrame:
@@ -86,7 +97,7 @@ class BridgePlan:
 
     @cached_property
     def grain(self) -> DataFrame:
-        return base.schedule_grain(self.split["entity"])
+        return base.schedule_grain(self.scheduled)
 
     # ---- components ----------------------------------------------------------
     @cached_property
@@ -116,7 +127,7 @@ class BridgePlan:
 
     @cached_property
     def typed_discounts(self) -> DataFrame:
-        return stage(discounts.discount_types(discounts.discount_lines(self.split["entity"]), self.L), self.materialize)
+        return stage(discounts.discount_types(discounts.discount_lines(self.scheduled), self.L), self.materialize)
 
     @cached_property
     def discount_per_cycle(self) -> DataFrame:

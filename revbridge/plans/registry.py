@@ -243,7 +243,7 @@ def q_q01(s, d):
 
 
 def q_d01(s, d):
-    return discounts.discount_lines(plan_for(s, d).split["entity"])
+    return discounts.discount_lines(plan_for(s, d).scheduled)
 
 
 def q_d02(s, d):
@@ -264,7 +264,7 @@ def q_d05(s, d):
 
 
 def q_d06(s, d):
-    return discounts.discount_grain_check(plan_for(s, d).split["entity"])
+    return discounts.discount_grain_check(plan_for(s, d).scheduled)
 
 
 def q_s01(s, d):
