@@ -358,6 +358,14 @@ def churn_table(L: Ledger, policy: Policy) -> DataFrame:
     return churn_pipeline(L, policy)["table"]
 
 
-def write_churn_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CTAS equivalent: persist the churn table as parquet for the bridges."""
-    df.write.mode(mode).parquet(path)
+def write_churn_table(df: DataFrame, path: str | None = None, table: str | None = None,
+                      mode: str = "overwrite") -> None:
+    """CTAS equivalent: persist the churn table for the bridges, either as a
+    catalog table (`table`, saveAsTable) or as parquet files (`path`)."""
+    writer = df.write.mode(mode)
+    if table is not None:
+        writer.saveAsTable(table)
+    elif path is not None:
+        writer.parquet(path)
+    else:
+        raise ValueError("give a table name or a path")

@@ -25,7 +25,7 @@ _PLANS: dict = {}
 
 def plan_for(spark: SparkSession, sf_dir: str, policy: Policy | None = None) -> BridgePlan:
     policy = policy or Policy()
-    key = (id(spark), sf_dir, policy)
+    key = (spark.sparkContext.applicationId, sf_dir, policy)
     if key not in _PLANS:
         _PLANS[key] = BridgePlan(spark, ledger_for(spark, sf_dir, policy), policy)
     return _PLANS[key]
@@ -275,7 +275,7 @@ _LABELS: dict = {}
 
 
 def labelling(s, d, terminal: bool = False) -> dict[str, DataFrame]:
-    key = (id(s), d, terminal)
+    key = (s.sparkContext.applicationId, d, terminal)
     if key not in _LABELS:
         p = plan_for(s, d)
         from revbridge.plans.bridge import stage

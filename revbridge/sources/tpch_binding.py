@@ -273,7 +273,7 @@ def ledger_for(spark: SparkSession, sf_dir: str, policy: Policy | None = None) -
     """One cached binding per (session, folder, vertical): every registered
     query of a run shares the same loaded ledger."""
     policy = policy or Policy()
-    key = (id(spark), sf_dir, policy.vertical)
+    key = (spark.sparkContext.applicationId, sf_dir, policy.vertical)
     if key not in _LEDGERS:
         _LEDGERS[key] = bind(spark, sf_dir, policy)
     return _LEDGERS[key]

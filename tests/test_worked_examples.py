@@ -162,3 +162,18 @@ def test_report_has_all_rows(spark):
     p = plan_of(spark, items=[item(1, 7)], recognitions=[cycle(1, "2025-12-15", 1000)])
     names = {r.component for r in p.report().collect()}
     assert {"Opening_revenue", "Adjusted opening", "Total closing Revenue", "Gap (Month1 Closing vs Month2 Opening)"} <= names
+
+
+def test_churn_table_sink_roundtrip(spark, tmp_path):
+    from revbridge.operators.churn import write_churn_table
+
+    p = plan_of(
+        spark,
+        items=[item(1, 7, pickup="2026-01-13 10:00:00")],
+        recognitions=[cycle(1, "2025-12-15", 1200)],
+        return_items=[(1, 1, 7, "COMPLETED", ts("2026-01-10 06:00:00"), ts("2026-01-11 06:00:00"))],
+    )
+    out = str(tmp_path / "churn")
+    write_churn_table(p.churn_table, path=out)
+    back = spark.read.parquet(out).collect()
+    assert [(r.entity_id, r.churn_flag, r.rnk) for r in back] == [(1, "FULL", 1)]
