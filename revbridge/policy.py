@@ -9,7 +9,7 @@ equal the report's labels and sort orders so downstream dashboards keep working.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from decimal import Decimal
 
 
@@ -32,9 +32,6 @@ class Policy:
     # optional ledger filters: drop soft-deleted cycles, look-back lower bound
     exclude_deleted: bool = False
     created_from: dt.date | None = None
-    # swap as-of ranking: "per_event" (entity, fulfilment date) or
-    # "per_action" (entity, action: one swap per entity ever)
-    swap_rank: str = "per_event"
     # discounts counted by R20-R23: "non_upfront" or "all"
     discount_population: str = "non_upfront"
     # settlement cycles feed the upfront-discount sum of plan transition
@@ -46,7 +43,6 @@ class Policy:
     vas_in_opening: bool = False
     # bucket churn events by "payment" (transaction) date or "pickup" date
     churn_bucket: str = "payment"
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
 
 
 # ---------------------------------------------------------------------------
