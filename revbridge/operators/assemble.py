@@ -18,6 +18,7 @@ from revbridge.policy import (
     CLOSING_ITEMS,
     CLOSING_REVENUE,
     COMPONENTS,
+    EXTRA_COMPONENTS,
     FAMILIES,
     GAP,
     TOTAL_CLOSING,
@@ -30,15 +31,9 @@ def _zero() -> F.Column:
 
 def component_table(spark: SparkSession) -> DataFrame:
     fam = {c: f for f, members in FAMILIES.items() for c in members}
-    rows = [(cid, label, order, sign, cx, fam.get(cid)) for cid, label, order, sign, cx in COMPONENTS]
-    extra = [
-        ("R16P", "Plan transition - Positive", 16, 1, True, None),
-        ("R17", "Plan transition - Negative", 17, 1, True, None),
-        ("R22", "Discount change - Positive", 22, 1, True, None),
-        ("R23", "Discount change - Negative", 23, 1, True, None),
-    ]
+    rows = [(cid, label, order, sign, cx, fam.get(cid)) for cid, label, order, sign, cx in COMPONENTS + EXTRA_COMPONENTS]
     return spark.createDataFrame(
-        rows + extra, "component string, label string, sort_order int, sign int, counts_customers boolean, family string"
+        rows, "component string, label string, sort_order int, sign int, counts_customers boolean, family string"
     )
 
 

@@ -1,8 +1,8 @@
 """Run parameters and fixed values.
 
 `Policy` holds every knob where the source reports disagree with each other
-(month-end handling, S1.1 recognised rule, swap ranking, discount population,
-...).  Defaults follow the current main bridge.  The fixed values below must
+(S1.1 recognised rule, buy-out adjusted dates, discount population, settlement
+handling, ...).  Defaults follow the current main bridge.  The fixed values below must
 equal the report's labels and sort orders so downstream dashboards keep working.
 """
 
@@ -74,6 +74,13 @@ COMPONENTS = [
     ("R26", "VAS Revenue - Installation Charges", 26, 1, True),
     ("R27", "VAS Revenue - Other", 27, 1, True),
 ]
+# split components reported outside the main bridge
+EXTRA_COMPONENTS = [
+    ("R16P", "Plan transition - Positive", 16, 1, True),
+    ("R17", "Plan transition - Negative", 17, 1, True),
+    ("R22", "Discount change - Positive", 22, 1, True),
+    ("R23", "Discount change - Negative", 23, 1, True),
+]
 # components computed from one shared frame: if the frame has any row in a
 # month, every member gets a (possibly zero) row for that month
 FAMILIES = {
