@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workload is batch reporting over ledger tables; nothing in it is a
+stream (no watermarks, windows over event time or stateful operators).  A
+periodic refresh is a batch run of `plans.bridge.BridgePlan` with a new
+`Policy.as_of`, writing the churn table with `operators.churn.write_churn_table`.
+"""
