@@ -130,10 +130,11 @@ def lines_above(lines: DataFrame, rows: DataFrame, limits: Limits) -> DataFrame:
     # a cheap count first: few lines are carried often enough to look closer
     often = lines.groupBy("host", "h").agg(F.count("*").alias("rows")).filter(F.col("rows") > limits.min_documents)
     looked = lines.join(often, ["host", "h"], "left_semi")
-    # one row per line and distinct document, with the neighbours of one of its places
-    carried = looked.groupBy("host", "h", "text_hash").agg(F.min("around").alias("around"))
-    counts = carried.groupBy("host", "h", "around").agg(F.count("*").alias("n"))
-    counts = counts.groupBy("host", "h").agg(F.sum("n").alias("documents"), F.count("*").alias("spread"))
+    documents = looked.groupBy("host", "h", "text_hash").agg(F.lit(1).alias("one"))
+    documents = documents.groupBy("host", "h").agg(F.count("*").alias("documents"))
+    spread = looked.groupBy("host", "h", "around").agg(F.lit(1).alias("one"))
+    spread = spread.groupBy("host", "h").agg(F.count("*").alias("spread"))
+    counts = documents.join(spread, ["host", "h"])
     return counts.join(hosts, "host").filter(
         (F.col("documents") > limits.min_documents)
         & (F.col("documents") > F.col("all") * F.lit(limits.max_share))
