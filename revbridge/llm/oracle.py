@@ -41,7 +41,7 @@ def slot_owners(shards: int, slots: int) -> list[int]:
     lists = []
     for i in range(shards):
         start, step = number(f"start:shard-{i:05d}") % slots, number(f"step:shard-{i:05d}") % (slots - 1) + 1
-        lists.append((start + k * step for k in range(slots)))
+        lists.append(iter(range(start, start + slots * step, step)))
     for turn in range(slots):
         owners[next(x % slots for x in lists[turn % shards] if x % slots not in owners)] = turn % shards
     return [owners[s] for s in range(slots)]
