@@ -2,9 +2,9 @@
 FULL or PARTIAL scope, and the churn table the bridge reads.
 
 Skew: every per-user question (how many items did the user still hold when
-this transaction happened / at this pickup) is answered with
-`sweep.stab_counts` instead of a per-user self-join, so the work is linear in
-the number of items and a user holding a third of all items is split by day.
+this transaction happened / at this pickup) is answered with sweeps over one
+interval per item instead of a per-user self-join, so the work is linear in the
+number of items and a user holding a third of all items is split by instant.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revbridge.functions import ist, is_paid, money
-from revbridge.operators.sweep import stab_counts
+from revbridge.operators.sweep import covering_any, interval_events, stab_counts
 from revbridge.policy import EXCLUDED_RR_STATES, TXN_BUYOUT, TXN_RETURN, Policy
 from revbridge.sources.ledger import Ledger
 
@@ -44,12 +44,13 @@ def item_transactions(L: Ledger, policy: Policy) -> DataFrame:
         F.col("item_id").alias("id"), "rent_to_purchase_order_id", "payableafterpaymentoffers"
     )
     rto = L.rtp_orders.select(F.col("id").alias("rent_to_purchase_order_id"), F.col("created_at").alias("rto_created_at"))
+    # buy-out lines meet their orders first: items without one never join on a NULL order
+    bought = rtp.join(rto, "rent_to_purchase_order_id", "left")
     j = (
         rental_items(L, policy)
         .select("id", "activation_date", "user_id")
         .join(ri, "id", "left")
-        .join(rtp, "id", "left")
-        .join(rto, "rent_to_purchase_order_id", "left")
+        .join(bought, "id", "left")
     )
     no_ret, no_tto = F.col("ri_created_at").isNull(), F.col("rto_created_at").isNull()
     as_of_next = F.lit(policy.as_of + dt.timedelta(days=1)).cast("timestamp_ntz")
@@ -77,22 +78,12 @@ def item_transactions(L: Ledger, policy: Policy) -> DataFrame:
     )
 
 
-def _held_counts(txn: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per transacted item: items of the user activated before its
-    transaction, and how many of those were still un-transacted then."""
-    items = txn.select("item_id", "user_id", "activation_date", "item_transaction_date").distinct()
-    valid = items.filter(F.col("activation_date") < F.col("item_transaction_date"))
-    held_events = valid.select(
-        "user_id", F.col("activation_date").alias("time"), F.lit(1).alias("delta"), F.lit(False).alias("inclusive")
-    ).unionByName(
-        valid.select(
-            "user_id", F.col("item_transaction_date").alias("time"), F.lit(-1).alias("delta"), F.lit(False).alias("inclusive")
-        )
-    )
-    act_events = items.select(
-        "user_id", F.col("activation_date").alias("time"), F.lit(1).alias("delta"), F.lit(False).alias("inclusive")
+def held_intervals(txn: DataFrame) -> DataFrame:
+    """One row per item: it is held from its activation up to its last
+    transaction date (an item may have several live transactions)."""
+    return txn.groupBy("item_id", "user_id", "activation_date").agg(F.max("item_transaction_date").alias("held_to")).filter(
+        F.col("held_to").isNotNull()
     )
-    return held_events, act_events
 
 
 def user_item_cross(txn: DataFrame) -> DataFrame:
@@ -101,7 +92,6 @@ def user_item_cross(txn: DataFrame) -> DataFrame:
     those were transacted on/after it (`still_held`).  The reference
     materialises every (item, earlier item) pair; only these counts are used.
     """
-    held_events, act_events = _held_counts(txn)
     base = txn.filter(F.col("transaction_id").isNotNull()).select(
         "user_id",
         F.col("item_transaction_date").alias("time"),
@@ -109,9 +99,11 @@ def user_item_cross(txn: DataFrame) -> DataFrame:
         "transaction_id",
         "transaction_type",
     ).distinct()
-    a = stab_counts(act_events, base, ["user_id"], out="earlier_items")
-    b = stab_counts(held_events, base.select("user_id", "time", "base_item_id"), ["user_id"], out="still_held")
-    out = a.join(b, ["user_id", "time", "base_item_id"], "left")
+    items = txn.select("item_id", "user_id", "activation_date").distinct().withColumn("never", F.lit(None).cast("timestamp_ntz"))
+    activated = interval_events(items, ["user_id"], "activation_date", "never", closed=True)
+    held = interval_events(held_intervals(txn), ["user_id"], "activation_date", "held_to", closed=True)
+    out = stab_counts(activated, base, ["user_id"], out="earlier_items")
+    out = stab_counts(held, out, ["user_id"], out="still_held")
     # rows whose user is NULL never match an earlier item
     missing = base.filter(F.col("user_id").isNull()).select(
         "user_id", "time", "base_item_id", "transaction_id", "transaction_type",
@@ -121,69 +113,27 @@ def user_item_cross(txn: DataFrame) -> DataFrame:
 
 
 def transaction_scope(txn: DataFrame) -> DataFrame:
-    """FULL when the items of a transaction are exactly the user's items
-    still held at its date(s), else PARTIAL.
-
-    Exact rewrite of COUNT(DISTINCT base) = COUNT(DISTINCT earlier items
-    transacted on/after it): every valid base item covers its own date, so the
-    counts agree iff no *other* held item covers any date of the transaction.
-    That is tested per (transaction, date) with two stab counts (user-wide and
-    transaction-only).  Transactions with a base item transacted at/before its
-    own activation (never in practice) take an exact join path instead.
+    """FULL when a transaction has as many items as its user held at its
+    date (at any of its dates, each item once), else PARTIAL.
+
+    An item is held at a date after its activation and up to its last own
+    transaction.  A transaction without a user matches no held item.
     """
-    base = txn.filter(F.col("transaction_id").isNotNull()).select(
-        *GROUP, "item_id", "activation_date", F.col("item_transaction_date").alias("t")
-    ).distinct()
-    held_events, _ = _held_counts(txn)
-
-    dates = base.select(*GROUP, F.col("t").alias("time")).distinct()
-    user_cnt = stab_counts(held_events, dates, ["user_id"], out="held")
-    valid_base = base.filter(F.col("activation_date") < F.col("t"))
-    grp_events = valid_base.select(
-        *GROUP, F.col("activation_date").alias("time"), F.lit(1).alias("delta"), F.lit(False).alias("inclusive")
-    ).unionByName(
-        valid_base.select(*GROUP, F.col("t").alias("time"), F.lit(-1).alias("delta"), F.lit(False).alias("inclusive"))
-    )
-    grp_cnt = stab_counts(grp_events, dates, GROUP, out="own")
-    excess = (
-        user_cnt.join(grp_cnt, [*GROUP, "time"], "left")
-        .groupBy(*GROUP)
-        .agg(F.sum(F.col("held") - F.coalesce(F.col("own"), F.lit(0))).alias("excess"))
-    )
-    sizes = base.groupBy(*GROUP).agg(
-        F.count_distinct("item_id").alias("n_items"),
-        F.count_distinct(F.when(F.col("activation_date") >= F.col("t"), F.col("item_id"))).alias("n_invalid"),
-    )
-    scoped = sizes.join(excess, GROUP, "left")
-
-    # exact path for transactions holding an item transacted before activation
-    odd = scoped.filter(F.col("n_invalid") > 0).select(*GROUP, "n_items")
-    odd_dates = dates.join(odd.select(*GROUP), GROUP, "left_semi")
-    held_items = txn.select("item_id", "user_id", "activation_date", "item_transaction_date").distinct()
-    covered = (
-        odd_dates.join(held_items.withColumnRenamed("item_id", "e"), "user_id")
-        .filter((F.col("activation_date") < F.col("time")) & (F.col("item_transaction_date") >= F.col("time")))
-        .groupBy(*GROUP)
-        .agg(F.count_distinct("e").alias("n_covered"))
-    )
-    odd_flag = odd.join(covered, GROUP, "left").select(
+    base = txn.filter(F.col("transaction_id").isNotNull())
+    sizes = base.groupBy(*GROUP).agg(F.count_distinct("item_id").alias("n_items"))
+    dates = base.select(*GROUP, F.col("item_transaction_date").alias("time")).distinct()
+    covered = covering_any(held_intervals(txn), dates, "user_id", GROUP, "activation_date", "held_to", closed=True, out="n_held")
+    return sizes.join(covered, GROUP, "left").select(
         *GROUP,
-        F.when(F.col("n_items") == F.coalesce(F.col("n_covered"), F.lit(0)), "FULL").otherwise("PARTIAL").alias(
+        F.when(F.col("n_items") == F.coalesce(F.col("n_held"), F.lit(0)), "FULL").otherwise("PARTIAL").alias(
             "full_or_partial_flag"
         ),
     )
-    regular = scoped.filter(F.col("n_invalid") == 0).select(
-        *GROUP,
-        F.when(F.col("user_id").isNotNull() & (F.coalesce(F.col("excess"), F.lit(0)) == 0), "FULL")
-        .otherwise("PARTIAL")
-        .alias("full_or_partial_flag"),
-    )
-    return regular.unionByName(odd_flag)
 
 
-def transaction_detail(L: Ledger, txn: DataFrame, scope: DataFrame) -> DataFrame:
-    """One row per transacted item with price, flags and pickup date
-    (buy-out date for buy-outs, the item's own pickup otherwise)."""
+def transaction_detail(L: Ledger, txn: DataFrame, scope: DataFrame, policy: Policy) -> DataFrame:
+    """One row per transacted item with price, contact, flags and pickup
+    date (buy-out date for buy-outs, the item's own pickup otherwise)."""
     sc = scope.select(
         "transaction_id", "transaction_type", F.col("full_or_partial_flag").alias("transaction_type_detail")
     )
@@ -199,7 +149,9 @@ def transaction_detail(L: Ledger, txn: DataFrame, scope: DataFrame) -> DataFrame
         "user_id",
         ist("activation_date").alias("activation_date"),
         F.col("pickup_date").alias("item_pickup_date"),
+        "bundle_id", "contact", "user_name", "email_id", F.col("display_id").alias("fur_id"), "is_migrated", "is_autopay_enabled",
     )
+    as_of = F.lit(policy.as_of).cast("date")
     return (
         i.join(t, "item_id")
         .join(sc, ["transaction_id", "transaction_type"], "left")
@@ -212,6 +164,9 @@ def transaction_detail(L: Ledger, txn: DataFrame, scope: DataFrame) -> DataFrame
             F.col("item_transaction_date").alias("payment_date"),
             F.col("tto_pay").try_cast("decimal(18,2)").alias("tto_amount"),
             "transaction_type", "transaction_id", "transaction_type_detail", "return_item_updated_at",
+            "bundle_id", "contact", "user_name", "email_id", "fur_id", "is_migrated", "is_autopay_enabled",
+            F.lit("NA").alias("ufdiscount_config"), as_of.alias("charge_till_date"),
+            F.col("item_transaction_date").alias("applicable_on"), as_of.alias("updated_at"),
         )
         .distinct()
     )
@@ -230,30 +185,29 @@ def rental_item_base(L: Ledger, policy: Policy, detail: DataFrame) -> DataFrame:
 
 
 def remaining_item_count(rib: DataFrame) -> DataFrame:
-    """Other items of the user active at this item's pickup
-    (activated before it, not picked up by then)."""
-    items = rib.select(
-        F.col("user_ids").alias("user_id"),
-        F.col("activation_dates").alias("act"),
-        F.col("pickup_date").alias("pickup"),
-    )
-    valid = items.filter(F.col("pickup").isNull() | (F.col("pickup") > F.col("act")))
-    events = valid.select(
-        "user_id", F.col("act").alias("time"), F.lit(1).alias("delta"), F.lit(False).alias("inclusive")
-    ).unionByName(
-        valid.filter(F.col("pickup").isNotNull()).select(
-            "user_id", F.col("pickup").alias("time"), F.lit(-1).alias("delta"), F.lit(True).alias("inclusive")
-        )
+    """Other items of the user active at this item's pickup (activated
+    before it, not picked up by then); at any of them if it has several.
+
+    An item is active after its activation and before its last pickup, without
+    end if any of its rows has none.  What the item adds to its own count is
+    taken off again.
+    """
+    items = rib.groupBy("item_ids", "user_ids", "activation_dates").agg(
+        F.max("pickup_date").alias("last_pickup"),
+        F.min("pickup_date").alias("first_pickup"),
+        F.max(F.col("pickup_date").isNull().cast("int")).alias("open"),
+        F.array_distinct(F.collect_list("pickup_date")).alias("pickups"),
     )
-    q = rib.filter(F.col("pickup_date").isNotNull()).select(
-        F.col("user_ids").alias("user_id"), F.col("pickup_date").alias("time"), "item_ids"
-    ).distinct()
-    counted = stab_counts(events, q, ["user_id"], out="later_items_count").select("item_ids", "later_items_count")
-    return (
-        rib.select("item_ids")
-        .distinct()
-        .join(counted, "item_ids", "left")
-        .select("item_ids", F.coalesce(F.col("later_items_count"), F.lit(0)).cast("long").alias("later_items_count"))
+    until = F.when(F.col("open") == 0, F.col("last_pickup"))
+    intervals = items.select("item_ids", "user_ids", "activation_dates", until.alias("active_to"))
+    asked = rib.filter(F.col("pickup_date").isNotNull()).select("user_ids", "item_ids", F.col("pickup_date").alias("time")).distinct()
+    counted = covering_any(
+        intervals, asked, "user_ids", ["user_ids", "item_ids"], "activation_dates", "active_to", closed=False, out="n_active"
+    ).select("item_ids", "n_active")
+    own = F.exists("pickups", lambda p: (F.col("activation_dates") < p) & ((F.col("open") == 1) | (p < F.col("last_pickup"))))
+    return items.join(counted, "item_ids", "left").select(
+        "item_ids",
+        F.coalesce(F.col("n_active") - own.cast("int"), F.lit(0)).cast("long").alias("later_items_count"),
     )
 
 
@@ -286,7 +240,7 @@ def _cycle_amount(policy: Policy) -> F.Column:
 
 
 KEEP = [
-    "user_ids", "activation_date", "return_item_state", "base_price", "pickup_date", "payment_date",
+    "user_ids", "activation_date", "return_item_state", "base_price", "fur_id", "pickup_date", "payment_date",
     "tto_amount", "transaction_type", "transaction_id", "transaction_type_detail", "churn_flag",
 ]
 
@@ -336,14 +290,16 @@ def churn_pipeline(L: Ledger, policy: Policy, stage=lambda df: df) -> dict[str,
     (persist / checkpoint) so each is computed once."""
     txn = stage(item_transactions(L, policy))
     scope = transaction_scope(txn)
-    detail = transaction_detail(L, txn, scope)
+    detail = transaction_detail(L, txn, scope, policy)
     rib = stage(rental_item_base(L, policy, detail))
     counts = remaining_item_count(rib)
     tagged = stage(churn_flag(rib, counts))
     items = item_churn_amount(L, policy, tagged)
     atts = attachment_churn_amount(L, policy, tagged)
+    # all rows of an item share its cycles, so ranks are the same without the ACTIVE rows
+    churned = item_churn_amount(L, policy, tagged.filter(F.col("churn_flag") != "ACTIVE"))
     table = (
-        items.filter(F.col("churn_flag") != "ACTIVE")
+        churned
         .unionByName(atts)
         .withColumn("refreshed_at", F.lit(dt.datetime.combine(policy.as_of, dt.time())).cast("timestamp_ntz"))
     )

@@ -8,11 +8,13 @@ size of the largest user.  Here it is a prefix sum of +1/-1 events:
     count(key, t) = sum(delta of events of `key` strictly before t)
                     (or at/before t for events marked inclusive)
 
-computed in two levels so no single task ever holds a whole key:
+computed in levels so no single task ever holds a whole key:
 
-1. per (key, day) totals via a grouped aggregate (map-side combined),
-2. a running sum over the *day totals* of each key (one row per active day),
-3. a running sum inside each (key, day) for the exact position of t.
+1. events of the same (key, instant) are summed first (map-side combined), and
+   each instant is asked for once, however many rows ask,
+2. per (key, day) totals by the same kind of aggregate,
+3. a running sum over the *day totals* of each key (one row per active day),
+4. a running sum inside each (key, day) over its distinct instants.
 """
 
 from __future__ import annotations
@@ -21,6 +23,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def interval_events(intervals: DataFrame, keys: list[str], start: str, end: str, closed: bool) -> DataFrame:
+    """Events of intervals that hold an instant t when start < t and t <= end
+    (`closed`) or t < end.  A NULL end never ends; empty intervals hold nothing."""
+    holds = F.col(end).isNull() | (F.col(end) > F.col(start))
+    valid = intervals.filter(holds)
+    opens = valid.select(*keys, F.col(start).alias("time"), F.lit(1).alias("delta"), F.lit(False).alias("inclusive"))
+    ends = valid.filter(F.col(end).isNotNull())
+    closes = ends.select(*keys, F.col(end).alias("time"), F.lit(-1).alias("delta"), F.lit(not closed).alias("inclusive"))
+    return opens.unionByName(closes)
+
+
 def stab_counts(
     events: DataFrame,
     queries: DataFrame,
@@ -35,39 +48,58 @@ def stab_counts(
     queries: keys..., `time` and any payload columns (kept as is).
     Rows whose key has a NULL never match (equi-join semantics).
     """
-    not_null = None
+    not_null = F.col("time").isNotNull()
     for k in keys:
-        cond = F.col(k).isNotNull()
-        not_null = cond if not_null is None else not_null & cond
-    ev = events.filter(not_null & F.col("time").isNotNull()).select(
-        *keys,
-        "time",
-        F.col("delta").cast("long").alias("_delta"),
-        F.when(F.col("inclusive"), F.lit(0)).otherwise(F.lit(2)).alias("_order"),
-    )
-    payload = [c for c in queries.columns if c not in keys and c != "time"]
-    q = queries.filter(not_null & F.col("time").isNotNull()).select(
-        *keys, "time", *payload, F.lit(0).cast("long").alias("_delta"), F.lit(1).alias("_order"),
-        F.lit(True).alias("_is_query"),
-    )
-    b = F.date_trunc(bucket, F.col("time"))
-    both = ev.withColumn("_is_query", F.lit(False)).unionByName(q, allowMissingColumns=True).withColumn("_bucket", b)
+        not_null = not_null & F.col(k).isNotNull()
+    # at one instant: inclusive events (0), the query (1), the other events (2)
+    order = F.when(F.col("inclusive"), F.lit(0)).otherwise(F.lit(2))
+    ev = events.filter(not_null).groupBy(*keys, "time", order.alias("_order")).agg(F.sum("delta").alias("_delta"))
+    asked = queries.filter(not_null)
+    q = asked.select(*keys, "time").distinct().select(*keys, "time", F.lit(1).alias("_order"), F.lit(0).cast("long").alias("_delta"))
+    both = ev.unionByName(q).withColumn("_bucket", F.date_trunc(bucket, F.col("time")))
 
-    # level 1+2: totals per (key, bucket), then the running total of earlier buckets
     totals = both.groupBy(*keys, "_bucket").agg(F.sum("_delta").alias("_bucket_delta"))
     w_keys = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(
         *keys, "_bucket", F.coalesce(F.sum("_bucket_delta").over(w_keys), F.lit(0)).alias("_before")
     )
-
-    # level 3: exact position inside the bucket (queries sort between
-    # inclusive and exclusive events of the same instant)
     w_in = (
         Window.partitionBy(*keys, "_bucket")
         .orderBy("time", "_order")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    inside = both.withColumn("_within", F.sum("_delta").over(w_in)).filter(F.col("_is_query"))
-    return inside.join(totals, [*keys, "_bucket"]).select(
-        *keys, "time", *payload, (F.col("_before") + F.col("_within")).alias(out)
+    inside = both.withColumn("_within", F.sum("_delta").over(w_in)).filter(F.col("_order") == 1)
+    answers = inside.join(totals, [*keys, "_bucket"]).select(
+        *keys, "time", (F.col("_before") + F.col("_within")).alias(out)
+    )
+    return asked.join(answers, [*keys, "time"])
+
+
+def covering_any(
+    intervals: DataFrame, groups: DataFrame, key: str, group: list[str], start: str, end: str, closed: bool, out: str = "count"
+) -> DataFrame:
+    """For each group of instants, the number of the key's intervals that hold one
+    of them or more (each interval once).
+
+    intervals: `key`, `start`, `end` (one row per item; a NULL end never ends)
+    groups:    `group` columns (they include `key`), `time`
+
+    An interval that holds any instant holds the earliest one, or starts on or
+    after it.  The first kind is a sweep over the earliest instants; the second
+    starts within the span of the group, so it is found by an equi-join on the
+    days of that span: a key's intervals are never paired with all its groups.
+    """
+    spans = groups.filter(F.col("time").isNotNull() & F.col(key).isNotNull()).groupBy(*group).agg(
+        F.min("time").alias("time"), F.max("time").alias("_last"), F.sort_array(F.collect_set("time")).alias("_times")
+    )
+    first = stab_counts(interval_events(intervals, [key], start, end, closed), spans, [key], out="_first")
+    days = F.sequence(F.date_trunc("day", F.col("time")), F.date_trunc("day", F.col("_last")), F.expr("interval 1 day"))
+    wide = spans.filter(F.col("_last") > F.col("time")).withColumn("_day", F.explode(days))
+    begun = intervals.select(key, start, end).withColumn("_day", F.date_trunc("day", F.col(start)))
+    met = wide.join(begun, [key, "_day"]).filter((F.col(start) >= F.col("time")) & (F.col(start) < F.col("_last")))
+    before_end = lambda t: (t <= F.col(end)) if closed else (t < F.col(end))
+    holds = F.exists("_times", lambda t: (t > F.col(start)) & (F.col(end).isNull() | before_end(t)))
+    later = met.filter(holds).groupBy(*group).agg(F.count(F.lit(1)).alias("_later"))
+    return first.join(later, group, "left").select(
+        *group, (F.col("_first") + F.coalesce(F.col("_later"), F.lit(0))).alias(out)
     )

@@ -3,7 +3,9 @@
 FULL/PARTIAL scope (C03) and remaining-item counts (C05) are computed by the
 prefix-sum sweep in Spark; here they are recomputed with the plain pairwise
 definition in Python.  The generator also produces the odd cases (transactions
-before activation, same-instant events, items with both a return and a buy-out).
+before activation, same-instant events, items with both a return and a buy-out,
+with several live returns or paid buy-outs, orders shared by items, dates apart
+within one return).
 """
 import datetime as dt
 import random
@@ -26,16 +28,19 @@ def rand_ledger(spark, seed, n_users=6, max_items=5):
             kind = rnd.random()
             pickup = None
             if kind < 0.45:  # return, sometimes on a shared date, sometimes before activation
-                created = act + dt.timedelta(days=rnd.choice([-3, 5, 10, 10, 20]))
-                state = rnd.choice(["COMPLETED", "COMPLETED", "CANCELLED"])
-                returns.append((iid, iid, u, state, created, created + dt.timedelta(days=1)))
-                if state == "COMPLETED":
-                    pickup = created + dt.timedelta(days=rnd.choice([0, 3]))
+                for n in range(rnd.choice([1, 1, 2])):
+                    created = act + dt.timedelta(days=rnd.choice([-3, 5, 10, 10, 20]) + 7 * n)
+                    state = rnd.choice(["COMPLETED", "COMPLETED", "CANCELLED"])
+                    returns.append((iid * 10 + n, iid, u * 10 + n, state, created, created + dt.timedelta(days=1)))
+                    if state == "COMPLETED":
+                        pickup = created + dt.timedelta(days=rnd.choice([0, 3]))
             if 0.35 < kind < 0.7:  # buy-out (some items get both)
-                created = act + dt.timedelta(days=rnd.choice([-2, 7, 10, 15]))
-                paid = rnd.random() < 0.8
-                rtp.append((iid, iid, 1000 + iid, '{"s":"PAID"}' if paid else '{"s":"DUE"}', '{"byCashPreTax":"10"}'))
-                rto.append((1000 + iid, "CONFIRMED", created))
+                for n in range(rnd.choice([1, 1, 2])):
+                    created = act + dt.timedelta(days=rnd.choice([-2, 7, 10, 15]) + 9 * n)
+                    paid = rnd.random() < 0.8
+                    order = 1000 + iid * 10 + n
+                    rtp.append((iid * 10 + n, iid, order, '{"s":"PAID"}' if paid else '{"s":"DUE"}', '{"byCashPreTax":"10"}'))
+                    rto.append((order, rnd.choice(["CONFIRMED", "CANCELLED"]), created))
             items.append((iid, u, iid, "ACTIVE", "RENTAL", act, pickup, iid, f"i{iid}", '{"basePrice":1}'))
             iid += 1
     return Ledger.from_rows(spark, items=items, return_items=returns, rtp_items=rtp, rtp_orders=rto)
@@ -71,16 +76,66 @@ def brute_remaining(rib_rows):
     return out
 
 
+def brute_cross(txn_rows):
+    out = {}
+    for b in txn_rows:
+        if b.transaction_id is not None:
+            same = [e for e in txn_rows if e.user_id == b.user_id and e.activation_date < b.item_transaction_date]
+            held = {e.item_id for e in same if e.item_transaction_date is not None and e.item_transaction_date >= b.item_transaction_date}
+            out[b.item_id, b.transaction_id, b.transaction_type, b.item_transaction_date] = (len({e.item_id for e in same}), len(held))
+    return out
+
+
+def one_item_ledger(spark, returns=(), buyouts=(), others=()):
+    """Item 1 of user 1 (and `others`: (id, activation, pickup)), by days after BASE."""
+    day = lambda d: BASE + dt.timedelta(days=d)
+    items = [(1, 1, 1, "ACTIVE", "RENTAL", day(0), day(40) if returns else None, 1, "i1", '{"basePrice":1}')]
+    items += [(i, 1, i, "ACTIVE", "RENTAL", day(a), None if p is None else day(p), i, f"i{i}", '{"basePrice":1}') for i, a, p in others]
+    ret = [(100 + n, 1, 100 + n, "COMPLETED", day(d), day(d)) for n, d in enumerate(returns)]
+    rtp = [(200 + n, 1, 300 + n, '{"s":"PAID"}', '{"byCashPreTax":"10"}') for n, _ in enumerate(buyouts)]
+    rto = [(300 + n, state, day(d)) for n, (d, state) in enumerate(buyouts)]
+    return Ledger.from_rows(spark, items=items, return_items=ret, rtp_items=rtp, rtp_orders=rto)
+
+
+def churn_frames(L):
+    return churn.churn_pipeline(L, Policy(months=(dt.date(2025, 1, 1),), as_of=dt.date(2025, 12, 31)))
+
+
+def test_two_live_returns_of_one_item(spark):
+    f = churn_frames(one_item_ledger(spark, returns=(9, 40)))
+    scope = {r.transaction_id: r.full_or_partial_flag for r in f["scope"].collect()}
+    assert scope == {100: "FULL", 101: "FULL"}
+    cross = churn.user_item_cross(f["transactions"]).collect()
+    assert [(r.earlier_items, r.still_held) for r in cross] == [(1, 1), (1, 1)]
+
+
+def test_another_item_with_two_returns_counts_once(spark):
+    f = churn_frames(one_item_ledger(spark, returns=(9, 45), others=[(2, 1, 20)]))
+    counts = {r.item_ids: r.later_items_count for r in f["counts"].collect()}
+    assert counts == {1: 0, 2: 1}
+
+
+def test_two_paid_buyouts_do_not_multiply(spark):
+    f = churn_frames(one_item_ledger(spark, buyouts=((10, "CONFIRMED"), (30, "CANCELLED"))))
+    assert sorted((r.transaction_id, r.churn_flag) for r in f["tagged"].collect()) == [(300, "FULL"), (301, "FULL")]
+    assert {r.item_ids: r.later_items_count for r in f["counts"].collect()} == {1: 0}
+
+
 def test_scope_and_remaining_match_bruteforce(spark):
-    policy = Policy(as_of=dt.date(2025, 12, 31))
-    for seed in range(3):
+    policy = Policy(months=(dt.date(2025, 1, 1),), as_of=dt.date(2025, 12, 31))
+    for seed in range(6):
         L = rand_ledger(spark, seed)
         txn = churn.item_transactions(L, policy)
         rows = txn.collect()
         got = {(r.transaction_id, r.user_id, r.transaction_type): r.full_or_partial_flag
                for r in churn.transaction_scope(txn).collect()}
         assert got == brute_scope(rows), seed
-        detail = churn.transaction_detail(L, txn, churn.transaction_scope(txn))
+        cross = churn.user_item_cross(txn).collect()
+        assert {
+            (r.base_item_id, r.transaction_id, r.transaction_type, r.transaction_date): (r.earlier_items, r.still_held) for r in cross
+        } == brute_cross(rows), seed
+        assert len(cross) == len(brute_cross(rows))
+        detail = churn.transaction_detail(L, txn, churn.transaction_scope(txn), policy)
         rib = churn.rental_item_base(L, policy, detail)
         counts = {r.item_ids: r.later_items_count for r in churn.remaining_item_count(rib).collect()}
         assert counts == brute_remaining(rib.collect()), seed
