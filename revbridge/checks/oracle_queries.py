@@ -1,487 +1,187 @@
-"""Oracle SELECTs, one per registered query (keys match `plans.registry`)."""
+"""The oracle's SELECT of every registered query (keys match `plans.registry`)."""
 
 from __future__ import annotations
 
-from revbridge.checks.oracle_sql import _with, component_sql
-
-S = "VARCHAR"
-D = "DOUBLE"
-B = "BIGINT"
+from revbridge.checks.oracle_sql import base, cents, churn, ist_day, labels, report, shown
 
+ENTITY = "accountable_entity_id:i=eid accountable_entity_type=kind"
+CYC = f"{ENTITY} cycle_start_date:s=s cycle_end_date:s=e"
+LOSS = (
+    "entity_id:i=eid entity_type=kind churn_flag transaction_type=ttype payment_date:s=paid_at start_date:s end_date:s "
+    "taxable_amount:d=monthly revenue_loss_day:s=lost_day rnk:i"
+)
+DISCOUNT = f"{ENTITY} revenue_recognition_schedule_id:i=sid"
+COUNTS = "items_count:i=items cx_count:i=cx taxable_revenue:d=rev"
 
-def cents_rate(amount: str, tenure: str) -> str:
-    """amount / tenure rounded half-up to cents, computed exactly."""
-    return (
-        f"CASE WHEN {tenure} = 0 OR {tenure} IS NULL THEN NULL ELSE "
-        f"CAST(CAST((CAST(ROUND({amount} * 100) AS BIGINT) * 2 + {tenure}) // (2 * {tenure}) AS DECIMAL(18, 0)) * 0.01 AS DECIMAL(18, 2)) END"
-    )
 
+def components() -> dict[str, str]:
+    names = (
+        "R01_opening_revenue R02_mtp_adjustment R04_new_deliveries R05_upsells R06_total_pickups R07_partial_pickups R08_full_pickups "
+        "R09_buyout_total R10_buyout_partial R11_buyout_full R12_swapped_out R13_swapped_in R14_current_month_mtp R15_penalty_revenue "
+        "R16_plan_transition R16P_plan_transition_positive R17_plan_transition_negative R18_renewal_overdue_positive "
+        "R19_renewal_overdue_negative R20_discount_given R21_discount_change R22_discount_change_positive R23_discount_change_negative "
+        "R24_vas_care_flexi R25_vas_delivery R26_vas_installation R27_vas_other"
+    ).split()
+    return {n: report(f"SELECT {shown('month_num:i ' + COUNTS)} FROM line WHERE component = '{n.split('_')[0]}'") for n in names}
 
-CHURN_AMOUNT_COLS = f"""CAST(entity_id AS {B}) AS entity_id, entity_type, churn_flag, transaction_type,
-  CAST(payment_date AS {S}) AS payment_date, CAST(start_date AS {S}) AS start_date, CAST(end_date AS {S}) AS end_date,
-  CAST(taxable_amount AS {D}) AS taxable_amount, CAST(CAST(revenue_loss_month AS DATE) AS {S}) AS revenue_loss_month,
-  CAST(CAST(revenue_loss_day AS DATE) AS {S}) AS revenue_loss_day, CAST(rnk AS {B}) AS rnk"""
 
-WIDE_COLS = f"""component, CAST(sort_order AS {B}) AS sort_order, CAST(m1_items AS {B}) AS m1_items, CAST(m1_cx AS {B}) AS m1_cx,
-  CAST(m1_rev AS {D}) AS m1_rev, CAST(m2_items AS {B}) AS m2_items, CAST(m2_cx AS {B}) AS m2_cx, CAST(m2_rev AS {D}) AS m2_rev"""
+def month_rows(months: str) -> str:
+    spec = "month_num:i m_start:s m_next:s m_end:s prev_start:s m_label"
+    return base(f"""SELECT {shown(spec)}, (SELECT count(*) FROM rr WHERE CAST(start_date AS DATE) >= m_start AND CAST(start_date AS DATE) < m_next) AS cycles_starting
+FROM (SELECT *, m_next - 1 AS m_end FROM ({months}))""")
 
 
-def _cycles_per_month(months_sql: str) -> str:
-    return _with(f"""
-SELECT CAST(d.month_num AS {B}) AS month_num, CAST(d.m_start AS {S}) AS m_start, CAST(d.m_next AS {S}) AS m_next,
-       CAST(d.m_end AS {S}) AS m_end, CAST(d.prev_start AS {S}) AS prev_start, d.m_label,
-       CAST(COALESCE(s.n, 0) AS {B}) AS cycles_starting
-FROM ({months_sql}) d
-LEFT JOIN (SELECT CAST(date_trunc('month', CAST(start_date AS DATE)) AS DATE) AS m_start, COUNT(*) AS n FROM rr GROUP BY 1) s
-  ON s.m_start = d.m_start""")
+ROLLING = """SELECT k AS month_num, CAST(d AS DATE) AS m_start, CAST(d + INTERVAL 1 MONTH AS DATE) AS m_next, CAST(d - INTERVAL 1 MONTH AS DATE) AS prev_start,
+       strftime(d, '%b %Y') AS m_label FROM (SELECT k, DATE '2001-01-01' + to_months(CAST(k AS INTEGER)) AS d FROM range(1, 13) t(k))"""
 
 
-ROLLING = """
-SELECT 12 - o AS month_num, CAST(DATE '2002-01-01' - to_months(o) AS DATE) AS m_start,
-       CAST(DATE '2002-01-01' - to_months(o) + INTERVAL 1 MONTH AS DATE) AS m_next,
-       CAST(DATE '2002-01-01' - to_months(o) + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS m_end,
-       CAST(DATE '2002-01-01' - to_months(o) - INTERVAL 1 MONTH AS DATE) AS prev_start,
-       strftime(DATE '2002-01-01' - to_months(o), '%b %Y') AS m_label
-FROM range(0, 12) t(o)"""
+def wide(rows: str) -> str:
+    """Report rows with the months side by side."""
+    cells = ", ".join(
+        f"CAST(max({c}) FILTER (month_num = {m}) AS {t}) AS m{m}_{c}" for m in (1, 2) for c, t in (("items", "BIGINT"), ("cx", "BIGINT"), ("rev", "DOUBLE"))
+    )
+    return report(f"SELECT label AS component, CAST(pos AS BIGINT) AS sort_order, {cells} FROM ({rows}) GROUP BY label, pos")
 
-TWO_MONTHS = """
-SELECT month_num, m_start, CAST(m_end + INTERVAL 1 DAY AS DATE) AS m_next, m_end, prev_start, m_label FROM months"""
 
+LINES = "SELECT month_num, label, pos, items, cx, rev FROM line WHERE label IS NOT NULL"
+CYCLE_COLUMNS = (
+    f"{ENTITY} start_date:s=start_day end_date:s=end_day recognised_at:s=rec_day taxable_amount:d=amount recognition_type=rtype user_id:i"
+)
 
-ORACLE: dict[str, str] = {
-    "B01_entity_directory": _with(f"SELECT CAST(id AS {B}) AS id, entity_type, CAST(user_id AS {B}) AS user_id FROM dir"),
-    "B02_ledger_base": _with(f"""
-SELECT recognition_type, CAST(accountable_entity_id AS {B}) AS accountable_entity_id, accountable_entity_type,
-  CAST(rr_start_date AS {S}) AS rr_start_date, CAST(rr_end_date AS {S}) AS rr_end_date,
-  CAST(recognised_at_ist AS {S}) AS recognised_at_ist, CAST(created_at_ist AS {S}) AS created_at_ist,
-  external_reference_type, CAST(revenue_recognition_schedule_id AS {B}) AS revenue_recognition_schedule_id,
-  CAST(taxable_amount AS {D}) AS taxable_amount, CAST(sched_taxable_amount AS {D}) AS sched_taxable_amount,
-  CAST(sched_tenure AS {B}) AS sched_tenure
-FROM rr_base"""),
-    "B03_ledger_split": _with(f"""
-SELECT CASE accountable_entity_type WHEN 'PENALTY' THEN 'penalty' WHEN 'VALUE_ADDED_SERVICE' THEN 'vas' ELSE 'entity' END AS slice,
-  CAST(COUNT(*) AS {B}) AS n_rows, CAST(SUM(taxable_amount) AS {D}) AS taxable_amount
-FROM rr_base WHERE accountable_entity_type IN ('ITEM', 'ATTACHMENT', 'PENALTY', 'VALUE_ADDED_SERVICE') GROUP BY 1"""),
-    "B04_revenue_cycles": _with(f"""
-SELECT CAST(accountable_entity_id AS {B}) AS accountable_entity_id, accountable_entity_type,
-  CAST(start_date AS {S}) AS start_date, CAST(end_date AS {S}) AS end_date, CAST(recognised_at AS {S}) AS recognised_at,
-  CAST(taxable_amount AS {D}) AS taxable_amount, recognition_type, CAST(user_id AS {B}) AS user_id
-FROM fr"""),
-    "B05_buyout_dates": _with(f"""
-SELECT CAST(entity_id AS {B}) AS accountable_entity_id, entity_type AS accountable_entity_type, CAST(tto_date AS {S}) AS tto_date FROM tto"""),
-    "B06_effective_recognition_date": _with(f"""
-SELECT CAST(accountable_entity_id AS {B}) AS accountable_entity_id, accountable_entity_type,
-  CAST(start_date AS {S}) AS start_date, CAST(end_date AS {S}) AS end_date, CAST(recognised_at AS {S}) AS recognised_at,
-  CAST(taxable_amount AS {D}) AS taxable_amount, recognition_type, CAST(user_id AS {B}) AS user_id,
-  CAST(tto_date AS {S}) AS tto_date, CAST(synthetic_recognised_at AS {S}) AS synthetic_recognised_at
-FROM fr"""),
-    "B07_month_driver": _cycles_per_month(TWO_MONTHS),
-    "B08_rolling_month_driver": _cycles_per_month(ROLLING),
-    "B09_schedule_grain": _with(f"""
-SELECT revenue_recognition_type, CAST(accountable_entity_id AS {B}) AS accountable_entity_id, accountable_entity_type,
-  CAST(revenue_recognition_schedule_id AS {B}) AS revenue_recognition_schedule_id,
-  CAST(start_date AS {S}) AS start_date, CAST(end_date AS {S}) AS end_date, CAST(taxable_amount AS {D}) AS taxable_amount,
-  CAST(tenure AS {B}) AS tenure, external_reference_type, CAST(created_at AS {S}) AS created_at
-FROM tenure_rate"""),
-    "B10_first_completed_return": _with(f"""
-SELECT CAST(item_id AS {B}) AS accountable_entity_id, 'ITEM' AS accountable_entity_type, CAST(MIN(created_at) AS {S}) AS return_created_at
-FROM return_items WHERE state = 'COMPLETED' GROUP BY item_id
-UNION ALL
-SELECT CAST(attachment_id AS {B}), 'ATTACHMENT', CAST(MIN(created_at) AS {S})
-FROM return_attachments WHERE state = 'COMPLETED' GROUP BY attachment_id"""),
-    "B11_normalised_cycles": _with(f"""
-, ret_first AS (
-  SELECT item_id AS eid, 'ITEM' AS et, MIN(created_at) AS c FROM return_items WHERE state = 'COMPLETED' GROUP BY item_id
-  UNION ALL SELECT attachment_id, 'ATTACHMENT', MIN(created_at) FROM return_attachments WHERE state = 'COMPLETED' GROUP BY attachment_id)
-SELECT CAST(rb.accountable_entity_id AS {B}) AS accountable_entity_id, rb.accountable_entity_type, rb.recognition_type,
-  CAST(CAST(rb.rr_start_date AS DATE) AS {S}) AS start_date, CAST(CAST(rb.rr_end_date AS DATE) AS {S}) AS end_date,
-  CAST({cents_rate('rb.sched_taxable_amount', 'rb.sched_tenure')} AS {D}) AS monthly_taxable_amount,
-  CAST({cents_rate('rb.sched_post_tax_amount', 'rb.sched_tenure')} AS {D}) AS monthly_post_tax_amount,
-  CAST(rb.sched_tenure AS {B}) AS tenure, CAST(rb.recognised_at_ist AS {S}) AS recognised_at,
-  CAST(rb.created_at_ist AS {S}) AS created_at, rb.external_reference_type,
-  CAST(rb.external_reference_id AS {B}) AS external_reference_id,
-  CAST(rb.revenue_recognition_schedule_id AS {B}) AS revenue_recognition_schedule_id,
-  CAST(rb.taxable_amount AS {D}) AS taxable_amount, CAST(se.user_id AS {B}) AS user_id,
-  CAST(MIN(CAST(rb.rr_start_date AS DATE)) OVER (PARTITION BY rb.accountable_entity_id, rb.accountable_entity_type) AS {S}) AS min_start_date,
-  CAST(CAST(r.c + INTERVAL 330 MINUTE AS DATE) AS {S}) AS return_created_at
-FROM rr_ent rb
-LEFT JOIN dir se ON se.id = rb.accountable_entity_id AND se.entity_type = rb.accountable_entity_type
-LEFT JOIN ret_first r ON r.eid = rb.accountable_entity_id AND r.et = rb.accountable_entity_type"""),
-    "C01_item_transactions": _with(f"""
-SELECT CAST(item_id AS {B}) AS item_id, CAST(activation_date AS {S}) AS activation_date, return_item_state,
-  CAST(user_id AS {B}) AS user_id, CAST(transaction_id AS {B}) AS transaction_id,
-  CAST(item_transaction_date AS {S}) AS item_transaction_date, tto_pay, transaction_type,
-  CAST(return_item_updated_at AS {S}) AS return_item_updated_at
-FROM cq_base"""),
-    "C02_user_item_cross": _with(f"""
-SELECT CAST(base_user_id AS {B}) AS user_id, CAST(base_t AS {S}) AS transaction_date, CAST(base_item_id AS {B}) AS base_item_id,
-  CAST(base_transaction_id AS {B}) AS transaction_id, base_type AS transaction_type,
-  CAST(COUNT(DISTINCT item_id) AS {B}) AS earlier_items,
-  CAST(COUNT(DISTINCT CASE WHEN item_transaction_date >= base_t THEN item_id END) AS {B}) AS still_held
-FROM cq_cross GROUP BY 1, 2, 3, 4, 5"""),
-    "C03_transaction_scope": _with(f"""
-SELECT CAST(base_transaction_id AS {B}) AS transaction_id, CAST(base_user_id AS {B}) AS user_id,
-  base_type AS transaction_type, flag AS full_or_partial_flag FROM cq_scope"""),
-    "C04_transaction_detail": _with(f"""
-SELECT CAST(item_id AS {B}) AS item_id, item_name, return_item_state, CAST(composite_item_id AS {B}) AS composite_item_id,
-  base_price, CAST(user_id AS {B}) AS user_id, CAST(activation_date AS {S}) AS activation_date,
-  CAST(pickup_date AS {S}) AS pickup_date, CAST(payment_date AS {S}) AS payment_date, CAST(tto_amount AS {D}) AS tto_amount,
-  transaction_type, CAST(transaction_id AS {B}) AS transaction_id, transaction_type_detail,
-  CAST(return_item_updated_at AS {S}) AS return_item_updated_at
-FROM cq_detail"""),
-    "C05_remaining_item_count": _with(f"SELECT CAST(item_ids AS {B}) AS item_ids, CAST(later_items_count AS {B}) AS later_items_count FROM cq_counts"),
-    "C06_churn_flag": _with(f"""
-SELECT CAST(item_ids AS {B}) AS item_ids, CAST(user_ids AS {B}) AS user_ids, CAST(pickup_date AS {S}) AS pickup_date,
-  CAST((SELECT later_items_count FROM cq_counts c WHERE c.item_ids = t.item_ids) AS {B}) AS later_items_count, churn_flag
-FROM cq_tagged t"""),
-    "C07_item_churn_amount": _with(f"SELECT {CHURN_AMOUNT_COLS} FROM cq_item_amt"),
-    "C08_attachment_churn_amount": _with(f"SELECT {CHURN_AMOUNT_COLS} FROM cq_att_amt"),
-    "C09_churn_table": _with(f"""
-SELECT CAST(entity_id AS {B}) AS entity_id, entity_type, CAST(user_ids AS {B}) AS user_ids,
-  CAST(activation_date AS {S}) AS activation_date, return_item_state, base_price, CAST(pickup_date AS {S}) AS pickup_date,
-  CAST(payment_date AS {S}) AS payment_date, CAST(tto_amount AS {D}) AS tto_amount, transaction_type,
-  CAST(transaction_id AS {B}) AS transaction_id, transaction_type_detail, churn_flag,
-  CAST(start_date AS {S}) AS start_date, CAST(end_date AS {S}) AS end_date, CAST(taxable_amount AS {D}) AS taxable_amount,
-  CAST(rnk AS {B}) AS rnk, '2002-01-01 00:00:00' AS refreshed_at
-FROM churn"""),
-    "R00_classify_cycles": _with(f"""
-SELECT CAST(month_num AS {B}) AS month_num, tag, CAST(accountable_entity_id AS {B}) AS accountable_entity_id, accountable_entity_type,
-  CAST(start_date AS {S}) AS start_date, CAST(recognised_at AS {S}) AS recognised_at,
-  CAST(synthetic_recognised_at AS {S}) AS synthetic_recognised_at, CAST(user_id AS {B}) AS user_id,
-  CAST(taxable_amount AS {D}) AS taxable_amount
-FROM (SELECT *, 'S1.1' AS tag FROM classified WHERE is_s1_1
-      UNION ALL SELECT *, 'S1.2' FROM classified WHERE is_s1_2
-      UNION ALL SELECT *, 'CMTP' FROM classified WHERE is_cmtp)"""),
-    "R03_adjusted_opening": _with(f"""
-SELECT CAST(month_num AS {B}) AS month_num, CAST(items_count AS {B}) AS items_count, CAST(cx_count AS {B}) AS cx_count,
-  CAST(taxable_revenue AS {D}) AS taxable_revenue FROM adj"""),
-    "R0X_mtp_entities": _with(f"SELECT CAST(accountable_entity_id AS {B}) AS accountable_entity_id, accountable_entity_type FROM mtp_ent"),
-    "R0C_churn_events": _with(f"""
-SELECT CAST(month_num AS {B}) AS month_num, CAST(entity_id AS {B}) AS entity_id, entity_type, CAST(user_ids AS {B}) AS user_ids,
-  CAST(taxable_amount AS {D}) AS taxable_amount, churn_flag, transaction_type FROM churn_ev"""),
-    "R16P_plan_transition_positive": _with(f"""
-SELECT CAST(month_num AS {B}) AS month_num, CAST(COUNT(DISTINCT accountable_entity_type || '::' || accountable_entity_id) AS {B}) AS items_count,
-  CAST(COUNT(DISTINCT user_id) AS {B}) AS cx_count, CAST(SUM(revenue_difference) AS {D}) AS taxable_revenue
-FROM price_j WHERE tenure > previous_tenure GROUP BY month_num"""),
-    "R17_plan_transition_negative": _with(f"""
-SELECT CAST(month_num AS {B}) AS month_num, CAST(COUNT(DISTINCT accountable_entity_type || '::' || accountable_entity_id) AS {B}) AS items_count,
-  CAST(COUNT(DISTINCT user_id) AS {B}) AS cx_count, CAST(SUM(revenue_difference) AS {D}) AS taxable_revenue
-FROM price_j WHERE tenure < previous_tenure GROUP BY month_num"""),
-    "R22_discount_change_positive": _with(f"""
-SELECT CAST(month_num AS {B}) AS month_num, CAST(COUNT(DISTINCT accountable_entity_type || '::' || accountable_entity_id) AS {B}) AS items_count,
-  CAST(COUNT(DISTINCT user_id) AS {B}) AS cx_count, CAST(SUM(revenue_difference) AS {D}) AS taxable_revenue
-FROM disc_ch_j WHERE revenue_difference > 0 GROUP BY month_num"""),
-    "R23_discount_change_negative": _with(f"""
-SELECT CAST(month_num AS {B}) AS month_num, CAST(COUNT(DISTINCT accountable_entity_type || '::' || accountable_entity_id) AS {B}) AS items_count,
-  CAST(COUNT(DISTINCT user_id) AS {B}) AS cx_count, CAST(SUM(revenue_difference) AS {D}) AS taxable_revenue
-FROM disc_ch_j WHERE revenue_difference < 0 GROUP BY month_num"""),
-    "R28_vas_timing_detail": _with(f"""
-SELECT CAST(month_num AS {B}) AS month_num, CAST(accountable_entity_id AS {B}) AS accountable_entity_id,
-  CAST(external_reference_id AS {B}) AS external_reference_id, CAST(start_date AS {S}) AS start_date, CAST(end_date AS {S}) AS end_date,
-  CAST(taxable_amount AS {D}) AS taxable_amount, vas_type, CAST(user_id AS {B}) AS user_id, vas_component, vas_timing
-FROM vas_timing"""),
-    "R29_vas_bridge": _with(f"""
-SELECT CAST(month_num AS {B}) AS month_num, CAST(vas_items AS {B}) AS vas_items, CAST(vas_cx AS {B}) AS vas_cx, CAST(vas_rev AS {D}) AS vas_rev
-FROM vas_br"""),
-    "R30_vas_adjusted_opening": _with(f"""
-SELECT CAST(a.month_num AS {B}) AS month_num, CAST(a.items_count + COALESCE(v.vas_items, 0) AS {B}) AS items_count,
-  CAST(a.cx_count + COALESCE(v.vas_cx, 0) AS {B}) AS cx_count, CAST(a.taxable_revenue + COALESCE(v.vas_rev, 0) AS {D}) AS taxable_revenue
-FROM adj a LEFT JOIN vas_br v ON v.month_num = a.month_num"""),
-    "A01_all_components": _with(f"""
-SELECT CAST(month_num AS {B}) AS month_num, label AS component, CAST(sort_order AS {B}) AS sort_order,
-  CAST(items_count AS {B}) AS items_count, CAST(cx_count AS {B}) AS cx_count, CAST(taxable_revenue AS {D}) AS taxable_revenue
-FROM all_l"""),
-    "A02_bridge_wide": _with(f"SELECT {WIDE_COLS} FROM wide"),
-    "A03_closing_revenue": _with(f"""
-SELECT CAST(month_num AS {B}) AS month_num, CAST(items_count AS {B}) AS items_count, CAST(cx_count AS {B}) AS cx_count,
-  CAST(taxable_revenue AS {D}) AS taxable_revenue FROM closing"""),
-    "A04_bridge_gap": _with(f"""
-SELECT CAST(month_num AS {B}) AS month_num, CAST(items_count AS {B}) AS items_count, CAST(cx_count AS {B}) AS cx_count,
-  CAST(taxable_revenue AS {D}) AS taxable_revenue FROM gap"""),
-    "A05_revenue_bridge": _with(f"""
-SELECT component, CAST(sort_order AS {B}) AS sort_order, CAST(m1_items AS {B}) AS m1_items, CAST(m1_cx AS {B}) AS m1_cx,
-  CAST(m2_items AS {B}) AS m2_items, CAST(m2_cx AS {B}) AS m2_cx,
-  CAST(ROUND(m1_rev, 2) AS {D}) AS m1_rev, CAST(ROUND(m2_rev, 2) AS {D}) AS m2_rev
-FROM (
-  SELECT * FROM wide
-  UNION ALL
-  SELECT 'Adjusted opening', 3, MAX(CASE WHEN month_num = 1 THEN items_count END), MAX(CASE WHEN month_num = 1 THEN cx_count END),
-    MAX(CASE WHEN month_num = 1 THEN taxable_revenue END), MAX(CASE WHEN month_num = 2 THEN items_count END),
-    MAX(CASE WHEN month_num = 2 THEN cx_count END), MAX(CASE WHEN month_num = 2 THEN taxable_revenue END) FROM adj
-  UNION ALL
-  SELECT 'Total closing Revenue', 31, MAX(CASE WHEN month_num = 1 THEN items_count END), MAX(CASE WHEN month_num = 1 THEN cx_count END),
-    MAX(CASE WHEN month_num = 1 THEN taxable_revenue END), MAX(CASE WHEN month_num = 2 THEN items_count END),
-    MAX(CASE WHEN month_num = 2 THEN cx_count END), MAX(CASE WHEN month_num = 2 THEN taxable_revenue END) FROM closing
-  UNION ALL
-  SELECT 'Gap (Month1 Closing vs Month2 Opening)', 32, items_count, cx_count, taxable_revenue, NULL, NULL, NULL FROM gap)"""),
-    "D01_discount_lines": _with(f"""
-SELECT CAST(accountable_entity_id AS {B}) AS accountable_entity_id, accountable_entity_type,
-  CAST(revenue_recognition_schedule_id AS {B}) AS revenue_recognition_schedule_id, external_reference_type,
-  CAST(rr_start_date AS {S}) AS rr_start_date, CAST(rr_end_date AS {S}) AS rr_end_date, CAST(sched_tenure AS {B}) AS sched_tenure,
-  catalogReferenceId, CAST(discount_amount AS {D}) AS discount_amount
-FROM disc_raw"""),
-    "D02_discount_types": _with(f"""
-SELECT catalogReferenceId, CAST(accountable_entity_id AS {B}) AS accountable_entity_id, accountable_entity_type,
-  CAST(revenue_recognition_schedule_id AS {B}) AS revenue_recognition_schedule_id, external_reference_type,
-  CAST(rr_start_date AS {S}) AS rr_start_date, CAST(rr_end_date AS {S}) AS rr_end_date, CAST(sched_tenure AS {B}) AS sched_tenure,
-  CAST(discount_amount AS {D}) AS discount_amount, discount_type
-FROM disc_typed"""),
-    "D03_upfront_per_schedule": _with(f"""
-SELECT CAST(accountable_entity_id AS {B}) AS accountable_entity_id, accountable_entity_type,
-  CAST(revenue_recognition_schedule_id AS {B}) AS revenue_recognition_schedule_id,
-  CAST(SUM(COALESCE(discount_amount, 0)) AS {D}) AS upfront_discount_amount
-FROM disc_typed WHERE discount_type = 'UPFRONT' AND external_reference_type <> 'SETTLEMENT'
-GROUP BY accountable_entity_id, accountable_entity_type, revenue_recognition_schedule_id"""),
-    "D04_discount_per_schedule": _with(f"""
-SELECT CAST(accountable_entity_id AS {B}) AS accountable_entity_id, accountable_entity_type,
-  CAST(revenue_recognition_schedule_id AS {B}) AS revenue_recognition_schedule_id,
-  CAST(SUM(COALESCE(discount_amount, 0)) AS {D}) AS discount_amount
-FROM disc_typed WHERE discount_type IS NOT NULL AND external_reference_type <> 'SETTLEMENT'
-GROUP BY accountable_entity_id, accountable_entity_type, revenue_recognition_schedule_id"""),
-    "D05_plan_transition_detail": _with(f"""
-SELECT CAST(m.month_num AS {B}) AS month_num, CAST(pt.accountable_entity_id AS {B}) AS accountable_entity_id, pt.accountable_entity_type,
-  CAST(pt.revenue_recognition_schedule_id AS {B}) AS revenue_recognition_schedule_id, CAST(pt.start_date AS {S}) AS start_date,
-  CAST(pt.rr_end_date AS {S}) AS end_date, CAST(pt.tenure AS {B}) AS tenure, CAST(pt.upfront_discount_amount AS {D}) AS upfront_discount_amount,
-  CAST(pt.previous_tenure AS {B}) AS previous_tenure, CAST(pt.previous_upfront_discount_amount AS {D}) AS previous_upfront_discount_amount,
-  CAST(pt.previous_start_date AS {S}) AS previous_start_date, CAST(pt.previous_end_date AS {S}) AS previous_end_date,
-  CAST(COALESCE(pt.upfront_discount_amount, 0) - COALESCE(pt.previous_upfront_discount_amount, 0) AS {D}) AS discount_change
-FROM pt_w pt JOIN months m ON pt.start_date >= m.prev_start AND pt.start_date < m.m_start
-WHERE pt.previous_tenure IS NOT NULL AND pt.previous_tenure <> pt.tenure"""),
-    "D06_discount_grain_check": _with(f"""
-, per_cycle AS (
-  SELECT accountable_entity_id, accountable_entity_type, revenue_recognition_schedule_id, rr_start_date, rr_end_date,
-         disc1, cat1, disc2, cat2, COUNT(*) AS n_cycles,
-         SUM(CASE WHEN disc1 <> 0 THEN CAST(disc1 AS DECIMAL(18, 2)) ELSE 0 END + CASE WHEN disc2 <> 0 THEN CAST(disc2 AS DECIMAL(18, 2)) ELSE 0 END) AS json_total
-  FROM rr_ent GROUP BY ALL)
-SELECT CAST(accountable_entity_id AS {B}) AS accountable_entity_id, accountable_entity_type,
-  CAST(revenue_recognition_schedule_id AS {B}) AS revenue_recognition_schedule_id, CAST(CAST(rr_start_date AS DATE) AS {S}) AS start_date,
-  CAST(n_cycles AS {B}) AS n_cycles, CAST(json_total AS {D}) AS json_total, CAST(json_total AS {D}) AS exploded_total, TRUE AS matches
-FROM per_cycle"""),
-    "S01_swap_register": _with(f"""
-SELECT CAST(id AS {B}) AS id, state, action, CAST(fulfillment_date AS {S}) AS fulfillment_date,
-  CAST(attachment_id AS {B}) AS entity_id, 'ATTACHMENT' AS entity_type FROM swap_attachments
-UNION ALL
-SELECT CAST(id AS {B}), state, action, CAST(fulfillment_date AS {S}), CAST(item_id AS {B}), 'ITEM' FROM swap_items
-WHERE action = 'SWAP_OUT' AND state = 'FULFILLED'"""),
+ORACLE = components() | {
+    "B01_entity_directory": base(f"SELECT {shown('id:i entity_type=kind user_id:i')} FROM owner"),
+    "B02_ledger_base": base("SELECT " + shown(
+        f"recognition_type=rtype {ENTITY} rr_start_date:s=started rr_end_date:s=ended recognised_at_ist:s=rec_day created_at_ist:s=made_day "
+        "external_reference_type=ext revenue_recognition_schedule_id:i=sid taxable_amount:d=amount sched_taxable_amount:d=s_amount sched_tenure:i=s_months"
+    ) + " FROM cycle"),
+    "B03_ledger_split": base("""SELECT slice, count(*) AS n_rows, CAST(sum(amount) AS DOUBLE) AS taxable_amount
+FROM cycle JOIN (VALUES ('ITEM', 'entity'), ('ATTACHMENT', 'entity'), ('PENALTY', 'penalty'), ('VALUE_ADDED_SERVICE', 'vas')) t(kind, slice) USING (kind) GROUP BY slice"""),
+    "B04_revenue_cycles": base(f"SELECT {shown(CYCLE_COLUMNS)} FROM owned"),
+    "B05_buyout_dates": base(f"SELECT {shown(f'{ENTITY} tto_date:s')} FROM buyout_day WHERE tto_date IS NOT NULL"),
+    "B06_effective_recognition_date": base(f"SELECT {shown(CYCLE_COLUMNS + ' tto_date:s synthetic_recognised_at:s=adjusted_day')} FROM owned"),
+    "B07_month_driver": month_rows("SELECT * FROM month"),
+    "B08_rolling_month_driver": month_rows(ROLLING),
+    "B09_schedule_grain": report("SELECT " + shown(
+        f"revenue_recognition_type=rtype {DISCOUNT} start_date:s=s_start end_date:s=s_end taxable_amount:d=rate tenure:i=s_months "
+        "external_reference_type=ext created_at:s=made_day"
+    ) + " FROM term"),
+    "B10_first_completed_return": base(
+        f"SELECT {shown(ENTITY)}, CAST(min(created_at) AS VARCHAR) AS return_created_at FROM sent_back WHERE state = 'COMPLETED' GROUP BY eid, kind"
+    ),
+    "B11_normalised_cycles": base(f"""SELECT {shown(
+        f'{ENTITY} recognition_type=rtype start_date:s=start_day end_date:s=end_day tenure:i=s_months recognised_at:s=rec_day created_at:s=made_day '
+        'external_reference_type=ext external_reference_id:i=ext_id revenue_recognition_schedule_id:i=sid taxable_amount:d=amount user_id:i'
+    )}, CAST({cents('s_amount', 's_months')} AS DOUBLE) AS monthly_taxable_amount, CAST({cents('s_post', 's_months')} AS DOUBLE) AS monthly_post_tax_amount,
+  CAST(min(start_day) OVER (PARTITION BY eid, kind) AS VARCHAR) AS min_start_date,
+  CAST((SELECT {ist_day('min(b.created_at)')} FROM sent_back b WHERE (b.eid, b.kind) = (o.eid, o.kind) AND b.state = 'COMPLETED') AS VARCHAR) AS return_created_at
+FROM owned o"""),
+    "C01_item_transactions": churn("SELECT " + shown(
+        "item_id:i activation_date:s=act return_item_state=return_state user_id:i transaction_id:i=tid item_transaction_date:s=moment tto_pay=pay "
+        "transaction_type=ttype return_item_updated_at:s=return_updated"
+    ) + " FROM tx"),
+    "C02_user_item_cross": churn("SELECT " + shown(
+        "user_id:i=t.user_id transaction_date:s=t.moment base_item_id:i=t.item_id transaction_id:i=t.tid transaction_type=t.ttype"
+    ) + """, count(k.item_id) AS earlier_items, count(k.item_id) FILTER (k.last_at >= t.moment) AS still_held
+FROM (SELECT DISTINCT user_id, moment, item_id, tid, ttype FROM tx WHERE tid IS NOT NULL) t LEFT JOIN kept_item k ON k.user_id = t.user_id AND k.act < t.moment
+GROUP BY t.user_id, t.moment, t.item_id, t.tid, t.ttype"""),
+    "C03_transaction_scope": churn(f"SELECT {shown('transaction_id:i=tid user_id:i transaction_type=ttype full_or_partial_flag=flag')} FROM scope"),
+    "C04_transaction_detail": churn("SELECT " + shown(
+        "item_id:i bundle_id:i item_name=name return_item_state=return_state composite_item_id:i=composite base_price=price user_id:i contact user_name email_id "
+        "fur_id=display_id activation_date:s=act pickup_date:s=pickup is_migrated is_autopay_enabled=is_autopay ufdiscount_config='NA' payment_date:s=paid_at "
+        "charge_till_date:s=DATE'2002-01-01' applicable_on:s=paid_at tto_amount:d=paid transaction_type=ttype transaction_id:i=tid "
+        "transaction_type_detail=flag updated_at:s=DATE'2002-01-01' return_item_updated_at:s=return_updated"
+    ) + " FROM detail"),
+    "C05_remaining_item_count": churn(f"SELECT {shown('item_ids:i later_items_count:i=n')} FROM remaining"),
+    "C06_churn_flag": churn(f"SELECT {shown('item_ids:i user_ids:i pickup_date:s=pickup later_items_count:i=n churn_flag')} FROM tagged"),
+    "C07_item_churn_amount": churn(f"SELECT {shown(LOSS)}, CAST(CAST(date_trunc('month', lost_day) AS DATE) AS VARCHAR) AS revenue_loss_month FROM loss WHERE kind = 'ITEM'"),
+    "C08_attachment_churn_amount": churn(
+        f"SELECT {shown(LOSS)}, CAST(CAST(date_trunc('month', lost_day) AS DATE) AS VARCHAR) AS revenue_loss_month FROM loss WHERE kind = 'ATTACHMENT'"
+    ),
+    "C09_churn_table": churn("SELECT " + shown(
+        "entity_id:i=eid entity_type=kind user_ids:i activation_date:s=act return_item_state=return_state base_price=price fur_id=display_id pickup_date:s=pickup "
+        "payment_date:s=paid_at tto_amount:d=paid transaction_type=ttype transaction_id:i=tid transaction_type_detail=flag churn_flag start_date:s end_date:s "
+        "taxable_amount:d=monthly rnk:i"
+    ) + ", '2002-01-01 00:00:00' AS refreshed_at FROM loss WHERE churn_flag <> 'ACTIVE'"),
+    "R00_classify_cycles": base("SELECT " + shown(
+        f"month_num:i tag {ENTITY} start_date:s=start_day recognised_at:s=rec_day synthetic_recognised_at:s=adjusted_day user_id:i taxable_amount:d=amount"
+    ) + " FROM mark"),
+    "R03_adjusted_opening": report(f"SELECT {shown('month_num:i ' + COUNTS)} FROM total WHERE pos = 3"),
+    "R0X_mtp_entities": base(f"SELECT DISTINCT {shown(ENTITY)} FROM mark WHERE tag = 'CMTP'"),
+    "R0C_churn_events": churn(
+        f"SELECT {shown('month_num:i entity_id:i=eid entity_type=kind user_ids:i taxable_amount:d=monthly churn_flag transaction_type=ttype')} FROM event"
+    ),
+    "R28_vas_timing_detail": report("SELECT " + shown(
+        "month_num:i accountable_entity_id:i=eid external_reference_id:i=ext_id start_date:s=start_day end_date:s=end_day taxable_amount:d=amount "
+        "vas_type=vtype user_id:i vas_component=comp"
+    ) + ", ['Current month VAS', 'Previous month VAS'][age + 1] AS vas_timing FROM addon"),
+    "R29_vas_bridge": report(f"SELECT {shown('month_num:i vas_items:i=items vas_cx:i=cx vas_rev:d=rev')} FROM vas_move"),
+    "R30_vas_adjusted_opening": report("SELECT " + shown(
+        "month_num:i items_count:i=t.items+coalesce(v.items,0) cx_count:i=t.cx+coalesce(v.cx,0) taxable_revenue:d=t.rev+coalesce(v.rev,0)"
+    ) + " FROM total t LEFT JOIN vas_move v USING (month_num) WHERE pos = 3"),
+    "A01_all_components": report(f"SELECT {shown('month_num:i component=label sort_order:i=pos ' + COUNTS)} FROM line WHERE label IS NOT NULL"),
+    "A02_bridge_wide": wide(LINES),
+    "A03_closing_revenue": report(f"SELECT {shown('month_num:i ' + COUNTS)} FROM total WHERE pos = 31"),
+    "A04_bridge_gap": report(f"SELECT {shown('month_num:i ' + COUNTS)} FROM gap"),
+    "A05_revenue_bridge": wide(f"{LINES} UNION ALL SELECT * FROM total UNION ALL SELECT * FROM gap"),
+    "Q01_component_drilldown": report(
+        f"SELECT {shown('month_num:i component entity_type entity_id:i customer amount:d')} FROM fact WHERE component IN (SELECT component FROM meta WHERE label IS NOT NULL)"
+    ),
+    "D01_discount_lines": report("SELECT " + shown(
+        f"{DISCOUNT} external_reference_type=ext rr_start_date:s=start_day rr_end_date:s=end_day sched_tenure:i=s_months catalogReferenceId=ref discount_amount:d=amt"
+    ) + " FROM discount"),
+    "D02_discount_types": report("SELECT " + shown(
+        f"{DISCOUNT} external_reference_type=ext rr_start_date:s=start_day rr_end_date:s=end_day sched_tenure:i=s_months catalogReferenceId=ref discount_amount:d=amt "
+        "discount_type=dtype"
+    ) + " FROM typed"),
+    "D03_upfront_per_schedule": report(
+        f"SELECT {shown(DISCOUNT)}, CAST(sum(coalesce(amt, 0)) AS DOUBLE) AS upfront_discount_amount FROM upfront WHERE ext <> 'SETTLEMENT' GROUP BY eid, kind, sid"
+    ),
+    "D04_discount_per_schedule": report(
+        f"SELECT {shown(DISCOUNT)}, CAST(sum(amt) AS DOUBLE) AS discount_amount FROM typed WHERE ext <> 'SETTLEMENT' AND dtype IS NOT NULL GROUP BY eid, kind, sid"
+    ),
+    "D05_plan_transition_detail": report("SELECT " + shown(
+        f"month_num:i {DISCOUNT} start_date:s=start_day end_date:s=end_day tenure:i=s_months upfront_discount_amount:d=up previous_tenure:i=was_months "
+        "previous_upfront_discount_amount:d=was_up previous_start_date:s=was_start previous_end_date:s=was_end discount_change:d=up-was_up"
+    ) + " FROM plan_detail JOIN month ON start_day >= prev_start AND start_day < m_start WHERE was_months <> s_months"),
+    "D06_discount_grain_check": base(f"""SELECT {shown(DISCOUNT + ' start_date:s=start_day')}, count(*) AS n_cycles,
+  CAST(sum(CAST(disc1 AS DECIMAL(18, 2)) + CAST(disc2 AS DECIMAL(18, 2))) AS DOUBLE) AS json_total, json_total AS exploded_total, TRUE AS matches
+FROM owned GROUP BY eid, kind, sid, start_day, ended, disc_form, disc1, cat1, disc2, cat2"""),
+    "S01_swap_register": base(" UNION ALL ".join(
+        f"SELECT * EXCLUDE ({own}), {own} AS entity_id, '{kind}' AS entity_type FROM swap_{kind.lower()}s_shown{where}"
+        for own, kind, where in (("attachment_id", "ATTACHMENT", ""), ("item_id", "ITEM", " WHERE action = 'SWAP_OUT' AND state = 'FULFILLED'"))
+    )),
+    "L01_return_in_cycle": labels(
+        f"SELECT {shown(CYC + ' return_item_id:i=ret_id return_item_state=ret_state return_created_at_ist:s=ret_day has_return_in_window=returned_in')} FROM with_return"
+    ),
+    "L02_buyout_in_cycle": labels(
+        f"SELECT {shown(CYC + ' rent_to_purchase_item_id:i=buy_id rtp_created_at_ist:s=buy_day has_rtp_in_window=bought_in')} FROM with_buyout"
+    ),
+    "L03_churn_enrichment": labels("SELECT " + shown(
+        f"{CYC} has_return_in_window=returned_in has_rtp_in_window=bought_in churn_classification=churn_flag churn_transaction_type=ttype churn_user_id:i=user_ids"
+    ) + " FROM with_churn"),
+    "L04_lifecycle_context": labels(
+        f"SELECT {shown(CYC + ' global_tto_date:s=g future_cycles_count:i=later synthetic_recognised_at_ist:s=syn used_tto_date_for_pattern=moved')} FROM in_life"
+    ),
+    "L05_cycle_month_class": labels(f"SELECT DISTINCT {shown(CYC + ' month_num:i mtp_classification=class matched_month_window=m_label')} FROM classed"),
+    "L06_earliest_match": labels(f"SELECT {shown(CYC + ' month_num:i mtp_classification=class matched_month_window=m_label')} FROM first_match"),
+    "L07_cycle_label": labels(f"SELECT {shown(CYC + ' primary_cycle_type=label')} FROM history"),
+    "L07T_cycle_label_terminal": labels(f"SELECT {shown(CYC + ' primary_cycle_type=label_terminal')} FROM history"),
+    "L08_entity_context": labels(f"SELECT {shown(ENTITY + ' user_id:i order_id:i item_activation_date:s=act_day item_name=name')} FROM person"),
+    "L09_lifecycle_pattern": labels("SELECT " + shown(
+        f"{CYC} last_cycle_end_date:s=last_e item_recognition_pattern=pattern churn_pattern_type=churn_pattern cycle_position_from_end:i=from_end "
+        "is_item_last_cycle=from_end=1"
+    ) + " FROM history"),
+    "L10_cycle_history": labels("SELECT " + shown(
+        "entity_id:i=eid entity_type=kind user_id:i order_id:i item_activation_date:s=act_day item_name=name cycle_start_date:s=s cycle_end_date:s=e "
+        "recognised_at:s=rec_at recognised_at_ist:s=rec synthetic_recognised_at_ist:s=syn used_tto_date_for_pattern=moved recognition_type=rtype "
+        "cycle_taxable_amount:d=amount has_return_in_window=returned_in return_item_id:i=ret_id return_item_state=ret_state return_created_at_ist:s=ret_day "
+        "has_rtp_in_window=bought_in rent_to_purchase_item_id:i=buy_id rtp_created_at_ist:s=buy_day churn_classification=churn_flag "
+        "churn_transaction_type=ttype mtp_classification=class mtp_classification_synthetic=class matched_month_window=m_label primary_cycle_type=label "
+        "last_cycle_end_date:s=last_e item_recognition_pattern=pattern churn_pattern_type=churn_pattern is_item_last_cycle=from_end=1 "
+        "cycle_position_from_end:i=from_end"
+    ) + ", '2002-01-01' AS extracted_at FROM history"),
 }
 
-for _key, _comp in {
-    "R01_opening_revenue": "R01", "R02_mtp_adjustment": "R02", "R14_current_month_mtp": "R14",
-    "R04_new_deliveries": "R04", "R05_upsells": "R05", "R06_total_pickups": "R06", "R07_partial_pickups": "R07",
-    "R08_full_pickups": "R08", "R09_buyout_total": "R09", "R10_buyout_partial": "R10", "R11_buyout_full": "R11",
-    "R12_swapped_out": "R12", "R13_swapped_in": "R13", "R15_penalty_revenue": "R15", "R16_plan_transition": "R16",
-    "R18_renewal_overdue_positive": "R18", "R19_renewal_overdue_negative": "R19", "R20_discount_given": "R20",
-    "R21_discount_change": "R21", "R24_vas_care_flexi": "R24", "R25_vas_delivery": "R25",
-    "R26_vas_installation": "R26", "R27_vas_other": "R27",
-}.items():
-    ORACLE[_key] = component_sql(_comp)
-
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
-
-
-# ---- cycle labelling (L01-L10) --------------------------------------------
-LABEL_CTES = r"""
-, lab_cyc AS (
-    SELECT accountable_entity_id, accountable_entity_type, CAST(start_date AS DATE) AS cycle_start_date,
-           CAST(end_date AS DATE) AS cycle_end_date, CAST(recognised_at + INTERVAL 330 MINUTE AS DATE) AS recognised_at_ist,
-           recognition_type, taxable_amount AS cycle_taxable_amount
-    FROM rr WHERE vertical = 'RENTAL' AND state NOT IN ('CANCELLED', 'INVALIDATED') AND accountable_entity_type IN ('ITEM', 'ATTACHMENT')
-),
-lab_ret AS (
-    SELECT c.*, CAST(COALESCE(ri.created_at, ra.created_at) + INTERVAL 330 MINUTE AS DATE) AS return_created_at_ist,
-           COALESCE(ri.id, ra.id) AS return_item_id, COALESCE(ri.state, ra.state) AS return_item_state,
-           COALESCE(ri.id, ra.id) IS NOT NULL AS has_return_in_window
-    FROM lab_cyc c
-    LEFT JOIN return_items ri ON ri.item_id = c.accountable_entity_id AND c.accountable_entity_type = 'ITEM' AND ri.state <> 'CANCELLED'
-      AND CAST(ri.created_at + INTERVAL 330 MINUTE AS DATE) BETWEEN c.cycle_start_date AND c.cycle_end_date
-    LEFT JOIN return_attachments ra ON ra.attachment_id = c.accountable_entity_id AND c.accountable_entity_type = 'ATTACHMENT' AND ra.state <> 'CANCELLED'
-      AND CAST(ra.created_at + INTERVAL 330 MINUTE AS DATE) BETWEEN c.cycle_start_date AND c.cycle_end_date
-),
-lab_tto AS (
-    SELECT r.*, CAST(rto.created_at + INTERVAL 330 MINUTE AS DATE) AS rtp_created_at_ist,
-           COALESCE(ti.id, ta.id) AS rent_to_purchase_item_id, rto.id IS NOT NULL AS has_rtp_in_window
-    FROM lab_ret r
-    LEFT JOIN rtp_items ti ON ti.item_id = r.accountable_entity_id AND r.accountable_entity_type = 'ITEM' AND instr(lower(ti.payment_details), 'paid') > 0
-    LEFT JOIN rtp_attachments ta ON ta.attachment_id = r.accountable_entity_id AND r.accountable_entity_type = 'ATTACHMENT' AND instr(lower(ta.payment_details), 'paid') > 0
-    LEFT JOIN rtp_orders rto ON (rto.id = ti.rent_to_purchase_order_id OR rto.id = ta.rent_to_purchase_order_id)
-      AND CAST(rto.created_at + INTERVAL 330 MINUTE AS DATE) BETWEEN r.cycle_start_date AND r.cycle_end_date AND rto.state <> 'CANCELLED'
-),
-lab_flags AS (
-    SELECT item_ids AS entity_id, 'ITEM' AS entity_type, user_ids, transaction_type, churn_flag FROM cq_tagged WHERE churn_flag <> 'ACTIVE'
-    UNION ALL
-    SELECT a.id, 'ATTACHMENT', ft.user_ids, ft.transaction_type, ft.churn_flag
-    FROM cq_tagged ft JOIN attachments a ON ft.composite_item_id = a.composite_item_id WHERE ft.churn_flag <> 'ACTIVE'
-),
-lab_churn AS (
-    SELECT t.*, f.churn_flag AS churn_classification, f.transaction_type AS churn_transaction_type, f.user_ids AS churn_user_id
-    FROM lab_tto t LEFT JOIN lab_flags f ON f.entity_id = t.accountable_entity_id AND f.entity_type = t.accountable_entity_type
-      AND (t.has_return_in_window OR t.has_rtp_in_window)
-),
-lab_g AS (SELECT *, MAX(rtp_created_at_ist) OVER (PARTITION BY accountable_entity_id, accountable_entity_type) AS global_tto_date FROM lab_churn),
-lab_syn AS (
-    SELECT *,
-      SUM(CASE WHEN cycle_start_date > global_tto_date THEN 1 ELSE 0 END) OVER (PARTITION BY accountable_entity_id, accountable_entity_type) AS future_cycles_count,
-      CASE WHEN cycle_start_date > global_tto_date THEN global_tto_date
-           WHEN recognised_at_ist > rtp_created_at_ist AND rtp_created_at_ist IS NOT NULL THEN rtp_created_at_ist
-           ELSE recognised_at_ist END AS synthetic_recognised_at_ist,
-      COALESCE(cycle_start_date > global_tto_date OR (recognised_at_ist > rtp_created_at_ist AND rtp_created_at_ist IS NOT NULL), FALSE) AS used_tto_date_for_pattern
-    FROM lab_g
-),
-lab_mm AS (
-    SELECT s.*, m.month_num, m.m_label AS matched_month_window,
-      COALESCE(s.cycle_start_date >= m.prev_start AND s.cycle_start_date < m.m_start
-               AND (s.synthetic_recognised_at_ist IS NULL OR s.synthetic_recognised_at_ist >= m.prev_start), FALSE) AS s11,
-      COALESCE(s.cycle_start_date >= m.m_start AND s.synthetic_recognised_at_ist >= m.prev_start
-               AND s.synthetic_recognised_at_ist < m.m_start, FALSE) AS s12,
-      COALESCE(s.synthetic_recognised_at_ist >= m.m_start AND s.synthetic_recognised_at_ist < m.m_end + INTERVAL 1 DAY
-               AND (s.cycle_start_date >= m.m_end + INTERVAL 1 DAY
-                    OR (s.cycle_start_date < m.m_end + INTERVAL 1 DAY AND s.synthetic_recognised_at_ist < s.cycle_end_date)), FALSE) AS cm
-    FROM lab_syn s CROSS JOIN months m
-),
-lab_l05 AS (
-    SELECT *, 'NORMAL_CYCLE' AS mtp_classification, 3 AS crank FROM lab_mm WHERE s11
-    UNION ALL SELECT *, 'MTP', 2 FROM lab_mm WHERE s12
-    UNION ALL SELECT *, 'CURRENT_MTP', 1 FROM lab_mm WHERE cm
-),
-lab_l06 AS (
-    SELECT * EXCLUDE (rn) FROM (
-      SELECT *, ROW_NUMBER() OVER (PARTITION BY accountable_entity_id, accountable_entity_type, cycle_start_date, cycle_end_date
-        ORDER BY month_num, crank, recognised_at_ist NULLS FIRST, cycle_taxable_amount NULLS FIRST, recognition_type NULLS FIRST,
-                 return_item_id NULLS FIRST, rent_to_purchase_item_id NULLS FIRST, rtp_created_at_ist NULLS FIRST,
-                 churn_classification NULLS FIRST) AS rn
-      FROM lab_l05) WHERE rn = 1
-),
-lab_l07 AS (
-    SELECT *, CASE
-      WHEN has_rtp_in_window AND future_cycles_count > 0 THEN 'TTO_MTP_ACCELERATOR'
-      WHEN has_rtp_in_window AND future_cycles_count = 0 AND churn_classification = 'FULL' THEN 'TTO_FULL'
-      WHEN has_rtp_in_window AND future_cycles_count = 0 AND churn_classification = 'PARTIAL' THEN 'TTO_PARTIAL'
-      WHEN mtp_classification = 'CURRENT_MTP' THEN 'CURRENT_MTP'
-      WHEN mtp_classification = 'MTP' THEN 'MTP'
-      WHEN has_return_in_window AND churn_classification = 'FULL' THEN 'CHURN_FULL'
-      WHEN has_return_in_window AND churn_classification = 'PARTIAL' THEN 'CHURN_PARTIAL'
-      ELSE 'NORMAL_CYCLE' END AS primary_cycle_type
-    FROM lab_l06
-),
-lab_l07t AS (
-    SELECT *, CASE
-      WHEN has_rtp_in_window AND future_cycles_count > 0 THEN 'TTO_MTP_ACCELERATOR'
-      WHEN has_rtp_in_window AND future_cycles_count = 0 THEN 'TTO_CHURN_TERMINAL'
-      WHEN mtp_classification = 'CURRENT_MTP' THEN 'CURRENT_MTP'
-      WHEN mtp_classification = 'MTP' THEN 'MTP'
-      WHEN has_return_in_window AND churn_classification = 'FULL' THEN 'CHURN_FULL'
-      WHEN has_return_in_window AND churn_classification = 'PARTIAL' THEN 'CHURN_PARTIAL'
-      ELSE 'NORMAL_CYCLE' END AS primary_cycle_type
-    FROM lab_l06
-),
-lab_ctx AS (
-    SELECT id, 'ITEM' AS et, user_id, order_id, CAST(activation_date + INTERVAL 330 MINUTE AS DATE) AS item_activation_date, name AS item_name FROM items
-    UNION ALL
-    SELECT id, 'ATTACHMENT', user_id, order_id, CAST(activation_date + INTERVAL 330 MINUTE AS DATE), name FROM attachments
-),
-lab_l08 AS (
-    SELECT l.*, c.user_id, c.order_id, c.item_activation_date, c.item_name
-    FROM lab_l07 l LEFT JOIN lab_ctx c ON c.id = l.accountable_entity_id AND c.et = l.accountable_entity_type
-),
-lab_l09 AS (
-    SELECT *, MAX(cycle_end_date) OVER e AS last_cycle_end_date,
-      CASE WHEN MAX(CASE WHEN mtp_classification = 'NORMAL_CYCLE' THEN 1 ELSE 0 END) OVER e = 0
-            AND MAX(CASE WHEN mtp_classification IS NOT NULL THEN 1 ELSE 0 END) OVER e = 1
-           THEN 'EARLY_RECOGNITION' ELSE 'NORMAL_LIFECYCLE' END AS item_recognition_pattern,
-      CASE WHEN has_return_in_window
-            AND MAX(cycle_end_date) OVER e >= CAST(date_trunc('month', synthetic_recognised_at_ist) AS DATE)
-            AND MAX(cycle_end_date) OVER e <= CAST(date_trunc('month', synthetic_recognised_at_ist) + INTERVAL 1 MONTH AS DATE)
-           THEN 'CHURN_IN_RECOGNITION_MONTH' ELSE 'CHURN_OUTSIDE_MONTH' END AS churn_pattern_type,
-      ROW_NUMBER() OVER (PARTITION BY accountable_entity_id, accountable_entity_type ORDER BY cycle_end_date DESC, cycle_start_date DESC) AS cycle_position_from_end
-    FROM lab_l08
-    WINDOW e AS (PARTITION BY accountable_entity_id, accountable_entity_type)
-)
-"""
-
-CYC = f"""CAST(accountable_entity_id AS {B}) AS accountable_entity_id, accountable_entity_type,
-  CAST(cycle_start_date AS {S}) AS cycle_start_date, CAST(cycle_end_date AS {S}) AS cycle_end_date"""
-
-ORACLE.update({
-    "L01_return_in_cycle": _with(LABEL_CTES + f"""
-SELECT {CYC}, CAST(return_item_id AS {B}) AS return_item_id, return_item_state,
-  CAST(return_created_at_ist AS {S}) AS return_created_at_ist, has_return_in_window FROM lab_ret"""),
-    "L02_buyout_in_cycle": _with(LABEL_CTES + f"""
-SELECT {CYC}, CAST(rent_to_purchase_item_id AS {B}) AS rent_to_purchase_item_id,
-  CAST(rtp_created_at_ist AS {S}) AS rtp_created_at_ist, has_rtp_in_window FROM lab_tto"""),
-    "L03_churn_enrichment": _with(LABEL_CTES + f"""
-SELECT {CYC}, has_return_in_window, has_rtp_in_window, churn_classification, churn_transaction_type,
-  CAST(churn_user_id AS {B}) AS churn_user_id FROM lab_churn"""),
-    "L04_lifecycle_context": _with(LABEL_CTES + f"""
-SELECT {CYC}, CAST(global_tto_date AS {S}) AS global_tto_date, CAST(future_cycles_count AS {B}) AS future_cycles_count,
-  CAST(synthetic_recognised_at_ist AS {S}) AS synthetic_recognised_at_ist, used_tto_date_for_pattern FROM lab_syn"""),
-    "L05_cycle_month_class": _with(LABEL_CTES + f"""
-SELECT DISTINCT {CYC}, CAST(month_num AS {B}) AS month_num, mtp_classification, matched_month_window FROM lab_l05"""),
-    "L06_earliest_match": _with(LABEL_CTES + f"""
-SELECT {CYC}, CAST(month_num AS {B}) AS month_num, mtp_classification, matched_month_window FROM lab_l06"""),
-    "L07_cycle_label": _with(LABEL_CTES + f"SELECT {CYC}, primary_cycle_type FROM lab_l07"),
-    "L07T_cycle_label_terminal": _with(LABEL_CTES + f"SELECT {CYC}, primary_cycle_type FROM lab_l07t"),
-    "L08_entity_context": _with(LABEL_CTES + f"""
-SELECT CAST(id AS {B}) AS accountable_entity_id, et AS accountable_entity_type, CAST(user_id AS {B}) AS user_id,
-  CAST(order_id AS {B}) AS order_id, CAST(item_activation_date AS {S}) AS item_activation_date, item_name FROM lab_ctx"""),
-    "L09_lifecycle_pattern": _with(LABEL_CTES + f"""
-SELECT {CYC}, CAST(last_cycle_end_date AS {S}) AS last_cycle_end_date, item_recognition_pattern, churn_pattern_type,
-  CAST(cycle_position_from_end AS {B}) AS cycle_position_from_end, cycle_position_from_end = 1 AS is_item_last_cycle FROM lab_l09"""),
-    "L10_cycle_history": _with(LABEL_CTES + f"""
-SELECT CAST(accountable_entity_id AS {B}) AS entity_id, accountable_entity_type AS entity_type, CAST(user_id AS {B}) AS user_id,
-  CAST(order_id AS {B}) AS order_id, CAST(item_activation_date AS {S}) AS item_activation_date, item_name,
-  CAST(cycle_start_date AS {S}) AS cycle_start_date, CAST(cycle_end_date AS {S}) AS cycle_end_date,
-  CAST(recognised_at_ist AS {S}) AS recognised_at_ist, CAST(synthetic_recognised_at_ist AS {S}) AS synthetic_recognised_at_ist,
-  used_tto_date_for_pattern, recognition_type, CAST(cycle_taxable_amount AS {D}) AS cycle_taxable_amount,
-  has_return_in_window, CAST(return_item_id AS {B}) AS return_item_id, return_item_state,
-  CAST(return_created_at_ist AS {S}) AS return_created_at_ist, has_rtp_in_window,
-  CAST(rent_to_purchase_item_id AS {B}) AS rent_to_purchase_item_id, CAST(rtp_created_at_ist AS {S}) AS rtp_created_at_ist,
-  churn_classification, churn_transaction_type, mtp_classification, matched_month_window, primary_cycle_type,
-  CAST(last_cycle_end_date AS {S}) AS last_cycle_end_date, item_recognition_pattern, churn_pattern_type,
-  cycle_position_from_end = 1 AS is_item_last_cycle, CAST(cycle_position_from_end AS {B}) AS cycle_position_from_end
-FROM lab_l09"""),
-})
-
-
-# ---- Q01: entity rows behind every bridge component -------------------------
-def _q01() -> str:
-    ent = "accountable_entity_type AS entity_type, CAST(accountable_entity_id AS BIGINT) AS entity_id"
-    churn_rules = {
-        "R06": "transaction_type = 'return_item'",
-        "R07": "transaction_type = 'return_item' AND churn_flag = 'PARTIAL'",
-        "R08": "transaction_type = 'return_item' AND churn_flag = 'FULL'",
-        "R09": "transaction_type = 'rent_to_purchase_item'",
-        "R10": "transaction_type = 'rent_to_purchase_item' AND churn_flag = 'PARTIAL'",
-        "R11": "transaction_type = 'rent_to_purchase_item' AND churn_flag = 'FULL'",
-    }
-    parts = [
-        f"SELECT month_num, 'R01' AS component, {ent}, CAST(user_id AS VARCHAR) AS customer, taxable_amount AS amount FROM classified WHERE is_s1_1 OR is_s1_2",
-        f"SELECT month_num, 'R02', {ent}, CAST(user_id AS VARCHAR), taxable_amount FROM classified WHERE is_s1_2",
-        f"SELECT month_num, 'R14', {ent}, CAST(user_id AS VARCHAR), taxable_amount FROM classified WHERE is_cmtp",
-        f"SELECT month_num, CASE WHEN flag = 'new' THEN 'R04' ELSE 'R05' END, {ent}, fur_id, taxable_amount FROM acq_j",
-    ]
-    for comp, cond in churn_rules.items():
-        parts.append(
-            f"SELECT month_num, '{comp}', entity_type, CAST(entity_id AS BIGINT), CAST(user_ids AS VARCHAR), taxable_amount FROM churn_ev WHERE {cond}"
-        )
-    parts += [
-        "SELECT month_num, CASE WHEN action = 'SWAP_OUT' THEN 'R12' ELSE 'R13' END, entity_type, CAST(entity_id AS BIGINT), "
-        "CAST(user_id AS VARCHAR), COALESCE(taxable_amount, 0) FROM swap_j",
-        "SELECT month_num, 'R15', 'PENALTY', CAST(product_entity_id AS BIGINT), CAST(user_id AS VARCHAR), taxable_amount FROM pen_j",
-        f"SELECT month_num, 'R16', {ent}, CAST(user_id AS VARCHAR), revenue_difference FROM pt_j",
-        f"SELECT month_num, CASE WHEN revenue_recognition_type = 'ACCRUAL' THEN 'R18' ELSE 'R19' END, {ent}, "
-        "CAST(user_id AS VARCHAR), revenue_difference FROM accrual_j WHERE revenue_recognition_type IN ('ACCRUAL', 'DEFERRAL')",
-        f"SELECT month_num, 'R20', {ent}, CAST(user_id AS VARCHAR), total_discount_amount FROM disc_given_j",
-        f"SELECT month_num, 'R21', {ent}, CAST(user_id AS VARCHAR), revenue_difference FROM disc_ch_j",
-        "SELECT month_num, component, 'VALUE_ADDED_SERVICE', CAST(accountable_entity_id AS BIGINT), CAST(user_id AS VARCHAR), "
-        "taxable_amount FROM vas_j",
-    ]
-    union = "\nUNION ALL ".join(parts)
-    return _with(f"""
-SELECT CAST(month_num AS {B}) AS month_num, component, entity_type, CAST(entity_id AS {B}) AS entity_id, customer,
-  CAST(amount AS {D}) AS amount
-FROM ({union})""")
-
-
-ORACLE["Q01_component_drilldown"] = _q01()
