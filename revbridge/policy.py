@@ -16,10 +16,10 @@ from decimal import Decimal
 @dataclass(frozen=True)
 class Policy:
     # analysis months (first day of each month); any number of months works
-    months: tuple[dt.date, ...] = (dt.date(1997, 1, 1), dt.date(1997, 2, 1))
+    months: tuple[dt.date, ...]
     # stands in for CURRENT_DATE in the churn product; never read the clock
-    as_of: dt.date = dt.date(2002, 1, 1)
-    # business vertical kept by every ledger scan
+    as_of: dt.date
+    # business vertical kept by every ledger scan: set it to the ledger's own name
     vertical: str = "RENTAL"
     # days per month used for schedule tenure and for churn amounts
     tenure_days_per_month: Decimal = Decimal("30.45")
@@ -43,6 +43,35 @@ class Policy:
     vas_in_opening: bool = False
     # bucket churn events by "payment" (transaction) date or "pickup" date
     churn_bucket: str = "payment"
+    # months after a cycle's start in which R21-R23 report its discount change:
+    # 1 (the main bridge) or 0 (the current month)
+    discount_change_months: int = 1
+    # add-on service type -> bridge component; a type matches a name that it
+    # equals or ends with after an underscore (ledgers prefix a brand), the
+    # first match wins and anything else is R27, "Other"
+    vas_types: tuple[tuple[str, str], ...] = (
+        ("CARE_PROGRAM", "R24"),
+        ("FLEXI_CANCELLATION", "R24"),
+        ("DELIVERY_CHARGE", "R25"),
+        ("AC_INSTALLATION_CHARGE", "R26"),
+    )
+    # (component, label): report labels to use in place of the fixed ones
+    labels: tuple[tuple[str, str], ...] = ()
+
+    @property
+    def first_prev_start(self) -> dt.date:
+        """Start of the month before the earliest analysis month."""
+        m = min(self.months).replace(day=1)
+        return (m - dt.timedelta(days=1)).replace(day=1)
+
+    @property
+    def first_start(self) -> dt.date:
+        return min(self.months).replace(day=1)
+
+    @property
+    def last_next(self) -> dt.date:
+        """Start of the month after the latest analysis month."""
+        return (max(self.months).replace(day=1) + dt.timedelta(days=32)).replace(day=1)
 
 
 # ---------------------------------------------------------------------------
@@ -89,13 +118,6 @@ FAMILIES = {
     "churn": ["R06", "R07", "R08", "R09", "R10", "R11"],
     "accrual": ["R18", "R19"],
 }
-# add-on service type -> bridge component (anything else is R27, "Other")
-VAS_TYPE_COMPONENT = {
-    "CARE_PROGRAM": "R24",
-    "FLEXI_CANCELLATION": "R24",
-    "DELIVERY_CHARGE": "R25",
-    "AC_INSTALLATION_CHARGE": "R26",
-}
 # closing members (items / customers / revenue lists differ on purpose)
 CLOSING_ITEMS = ["R04", "R05", "R07", "R08", "R10", "R11", "R12", "R13"]
 CLOSING_CUSTOMERS = ["R04", "R05", "R08", "R11"]

@@ -7,7 +7,7 @@ Only sets what is unset: on a cluster the operator's own settings
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -16,8 +16,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # months/component tables are tiny; everything else must be sized by AQE
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
 }
 
@@ -32,23 +30,35 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; a scratch one only
-    when the session has none (tests, local runs)."""
+    """The shared folder that the cluster names in spark.checkpoint.dir."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(configured)
-        return configured
-    path = tempfile.mkdtemp(prefix="revbridge-ckpt-")
-    sc.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
+class RunFolder:
+    """The intermediate tables of one run, under the shared folder; `close` deletes them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.path = f"{checkpoint_dir(spark).rstrip('/')}/revbridge-{uuid.uuid4().hex}"
+        self._count = 0
+
+    def next_path(self, name: str = "stage") -> str:
+        self._count += 1
+        return f"{self.path}/{self._count:03d}-{name}"
+
+    def close(self) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, shared_dir: str | None = None) -> SparkSession:
+    """A session of this machine; `shared_dir` becomes its spark.checkpoint.dir."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("revbridge")
@@ -62,6 +72,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.retainedJobs", "100")
         .config("spark.ui.retainedStages", "200")
     )
+    if shared_dir:
+        builder = builder.config("spark.checkpoint.dir", shared_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
