@@ -4,24 +4,26 @@ with local[$BENCH_CPUS]; prints ONE JSON line.
 The bound ledger is loaded once (timed as `ledger_load`, like reading the
 catalog tables); every headline query then runs on a fresh plan (no reuse of
 another query's staged frames): 1 warm-up, median of $BENCH_REPS timed runs,
-written to the `noop` sink so the whole result is computed.
+written to the `noop` sink so the whole result is computed.  $BENCH_MONTHS (2)
+is the number of analysis months.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from revbridge.operators import cycles, discounts  # noqa: E402
-from revbridge.plans.bridge import BridgePlan, stage  # noqa: E402
-from revbridge.policy import Policy  # noqa: E402
+from revbridge.plans.bridge import BridgePlan  # noqa: E402
 from revbridge.session import local_session  # noqa: E402
-from revbridge.sources.tpch_binding import bind  # noqa: E402
+from revbridge.sources.tpch_binding import bind, fixture_policy  # noqa: E402
 
 
 def run(df) -> None:
@@ -32,8 +34,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     reps = int(os.environ.get("BENCH_REPS", "3"))
-    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
-    policy = Policy()
+    shared = tempfile.mkdtemp(prefix="revbridge-bench-")
+    spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")), shared_dir=shared)
+    months = tuple(dt.date(1997 + m // 12, m % 12 + 1, 1) for m in range(int(os.environ.get("BENCH_MONTHS", "2"))))
+    policy = fixture_policy(months=months)
 
     t0 = time.time()
     ledger = bind(spark, sf_dir, policy)
@@ -43,22 +47,25 @@ def main() -> None:
         return BridgePlan(spark, ledger, policy, materialize=os.environ.get("BENCH_MATERIALIZE", "table"))
 
     def bridge():
-        run(plan().report())
+        with plan() as p:
+            run(p.report())
 
     def churn_table():
-        run(plan().churn_table)
+        with plan() as p:
+            run(p.churn_table)
 
     def classification():
-        run(plan().classified)
+        with plan() as p:
+            run(p.classified)
 
     def cycle_history():
-        p = plan()
-        pipe = cycles.labelling_pipeline(p.L, p.policy, p.months, p.churn["tagged"], stage=lambda df: stage(df, p.materialize))
-        run(cycles.cycle_history(pipe["L09"]))
+        with plan() as p:
+            pipe = cycles.labelling_pipeline(p.L, p.policy, p.months, p.churn["tagged"], stage=p.stage)
+            run(cycles.cycle_history(pipe["L09"], p.policy))
 
     def plan_transition_detail():
-        p = plan()
-        run(discounts.plan_transition_detail(p.typed_discounts, p.months, p.policy))
+        with plan() as p:
+            run(discounts.plan_transition_detail(p.cycle_discounts, p.months, p.policy))
 
     headline = {
         "revenue_bridge": bridge,
@@ -86,6 +93,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
     }))
+    ledger.close()
     spark.stop()
 
 

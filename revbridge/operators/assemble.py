@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revbridge.operators.vas import vas_adjusted_opening
 from revbridge.policy import (
     ADJUSTED_OPENING,
     CLOSING_CUSTOMERS,
@@ -29,19 +30,23 @@ def _zero() -> F.Column:
     return F.lit(0).cast("decimal(18,2)")
 
 
-def component_table(spark: SparkSession) -> DataFrame:
-    fam = {c: f for f, members in FAMILIES.items() for c in members}
-    rows = [(cid, label, order, sign, cx, fam.get(cid)) for cid, label, order, sign, cx in COMPONENTS + EXTRA_COMPONENTS]
+def component_table(spark: SparkSession, labels: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """One row per component; `labels` replaces some of the fixed labels."""
+    fam, own = {c: f for f, members in FAMILIES.items() for c in members}, dict(labels)
+    rows = [
+        (cid, own.get(cid, label), order, sign, cx, fam.get(cid))
+        for cid, label, order, sign, cx in COMPONENTS + EXTRA_COMPONENTS
+    ]
     return spark.createDataFrame(
         rows, "component string, label string, sort_order int, sign int, counts_customers boolean, family string"
     )
 
 
-def aggregate_components(rows: DataFrame) -> DataFrame:
+def aggregate_components(rows: DataFrame, labels: tuple[tuple[str, str], ...] = ()) -> DataFrame:
     """Items (distinct entity), customers (distinct customer) and revenue per
     (month, component), with the component's sign and customer rule applied."""
     spark = rows.sparkSession
-    meta = F.broadcast(component_table(spark))
+    meta = F.broadcast(component_table(spark, labels))
     g = rows.groupBy("month_num", "component").agg(
         F.count_distinct("entity_type", "entity_id").alias("items"),
         F.count_distinct("customer").alias("cx"),
@@ -55,12 +60,12 @@ def aggregate_components(rows: DataFrame) -> DataFrame:
     )
 
 
-def all_components(agg: DataFrame) -> DataFrame:
+def all_components(agg: DataFrame, labels: tuple[tuple[str, str], ...] = ()) -> DataFrame:
     """Long report rows.  A component of a shared frame (opening,
     acquisition, churn, accrual) gets a zero row for any month in which its
     frame has rows, as the single-pass aggregates of the report do."""
     spark = agg.sparkSession
-    meta = component_table(spark)
+    meta = component_table(spark, labels)
     present = agg.filter(F.col("family").isNotNull()).select("month_num", "family").distinct()
     grid = present.join(F.broadcast(meta.filter(F.col("family").isNotNull())), "family").select(
         "month_num", "component", "label", "sort_order"
@@ -133,21 +138,18 @@ def bridge_wide(long_rows: DataFrame, n_months: int = 2) -> DataFrame:
     return long_rows.groupBy("component", "sort_order").agg(*aggs)
 
 
-def revenue_bridge(agg: DataFrame, n_months: int = 2, vas: DataFrame | None = None) -> DataFrame:
+def revenue_bridge(
+    agg: DataFrame, n_months: int = 2, vas: DataFrame | None = None, labels: tuple[tuple[str, str], ...] = ()
+) -> DataFrame:
     """The full report (components, adjusted opening, closing, gap),
     ordered by sort order with revenue rounded to 2 places.  With `vas`
     (the R29 frame) the VAS bridge is added into adjusted opening."""
-    comps = all_components(agg).select(
+    comps = all_components(agg, labels).select(
         "month_num", F.col("label").alias("component"), "sort_order", "items_count", "cx_count", "taxable_revenue"
     )
     adj = adjusted_opening(agg)
     if vas is not None:
-        adj = adj.join(vas, "month_num", "left").select(
-            "month_num",
-            (F.col("items_count") + F.coalesce("vas_items", F.lit(0))).alias("items_count"),
-            (F.col("cx_count") + F.coalesce("vas_cx", F.lit(0))).alias("cx_count"),
-            (F.col("taxable_revenue") + F.coalesce("vas_rev", _zero())).cast("decimal(28,2)").alias("taxable_revenue"),
-        )
+        adj = vas_adjusted_opening(adj, vas)
     close = closing(agg, adj)
     gap = bridge_gap(agg, close).filter(F.col("month_num") < n_months)
 

@@ -36,6 +36,7 @@ def labelling_cycles(L: Ledger, policy: Policy, entity_id=None) -> DataFrame:
         *ENTITY_KEYS,
         F.to_date("start_date").alias("cycle_start_date"),
         F.to_date("end_date").alias("cycle_end_date"),
+        "recognised_at",
         ist_date("recognised_at").alias("recognised_at_ist"),
         "recognition_type",
         money("taxable_amount").alias("cycle_taxable_amount"),
@@ -72,14 +73,20 @@ def buyout_in_cycle(df: DataFrame, L: Ledger) -> DataFrame:
         )
 
     rtp = side(L.rtp_items, "item_id", "ITEM").unionByName(side(L.rtp_attachments, "attachment_id", "ATTACHMENT"))
-    j = df.join(
-        rtp, (df.accountable_entity_id == rtp.b_entity_id) & (df.accountable_entity_type == rtp.b_entity_type), "left"
-    ).drop("b_entity_id", "b_entity_type")
     rto = L.rtp_orders.filter(F.col("state") != "CANCELLED").select(
-        F.col("id").alias("rto_id"), ist_date("created_at").alias("rtp_created_at_ist")
+        F.col("id").alias("b_order_id"), ist_date("created_at").alias("b_created_at_ist")
+    )
+    # lines meet their orders first: cycles without a buy-out never join on a NULL order
+    bought = rtp.join(rto, "b_order_id", "left").drop("b_order_id")
+    j = df.join(
+        bought, (df.accountable_entity_id == bought.b_entity_id) & (df.accountable_entity_type == bought.b_entity_type), "left"
+    )
+    inside = F.coalesce(F.col("b_created_at_ist").between(F.col("cycle_start_date"), F.col("cycle_end_date")), F.lit(False))
+    return j.select(
+        *df.columns, "rent_to_purchase_item_id",
+        F.when(inside, F.col("b_created_at_ist")).alias("rtp_created_at_ist"),
+        inside.alias("has_rtp_in_window"),
     )
-    cond = (j.b_order_id == rto.rto_id) & rto.rtp_created_at_ist.between(j.cycle_start_date, j.cycle_end_date)
-    return j.join(rto, cond, "left").withColumn("has_rtp_in_window", F.col("rto_id").isNotNull()).drop("b_order_id", "rto_id")
 
 
 def entity_churn_flags(tagged: DataFrame, L: Ledger) -> DataFrame:
@@ -116,13 +123,16 @@ def churn_enrichment(df: DataFrame, flags: DataFrame) -> DataFrame:
 def lifecycle_context(df: DataFrame) -> DataFrame:
     """Entity-wide latest buy-out date, cycles starting after it, the
     buy-out adjusted recognition date and whether it was used."""
-    w = Window.partitionBy(*ENTITY_KEYS)
     g = F.col("global_tto_date")
     start, rec, rtp = F.col("cycle_start_date"), F.col("recognised_at_ist"), F.col("rtp_created_at_ist")
-    out = df.withColumn("global_tto_date", F.max("rtp_created_at_ist").over(w))
-    return out.select(
-        "*",
-        F.sum(F.when(start > g, 1).otherwise(0)).over(w).alias("future_cycles_count"),
+    # only entities with a buy-out have a date and cycles after it: small aggregates, no window over all cycles
+    last = df.filter(rtp.isNotNull()).groupBy(*ENTITY_KEYS).agg(F.max("rtp_created_at_ist").alias("global_tto_date"))
+    after = df.select(*ENTITY_KEYS, "cycle_start_date").join(last, ENTITY_KEYS).groupBy(*ENTITY_KEYS, "global_tto_date").agg(
+        F.count(F.when(start > g, 1)).alias("future_cycles_count")
+    )
+    return df.join(after, ENTITY_KEYS, "left").select(
+        *df.columns, "global_tto_date",
+        F.coalesce(F.col("future_cycles_count"), F.lit(0)).alias("future_cycles_count"),
         F.when(start > g, g).when((rec > rtp) & rtp.isNotNull(), rtp).otherwise(rec).alias("synthetic_recognised_at_ist"),
         F.coalesce((start > g) | ((rec > rtp) & rtp.isNotNull()), F.lit(False)).alias("used_tto_date_for_pattern"),
     )
@@ -254,23 +264,34 @@ def lifecycle_pattern(df: DataFrame) -> DataFrame:
 
 def labelling_pipeline(L: Ledger, policy: Policy, months: DataFrame, tagged: DataFrame, entity_id=None,
                        terminal: bool = False, stage=lambda df: df) -> dict[str, DataFrame]:
+    """L01-L04 over every cycle (lazy), and L05-L10 over the analysis months.
+
+    The months are cut out early: buy-out context and month class need only the
+    cycles and their buy-outs, so returns and churn flags join the few cycles
+    that match a month.  (Joins commute here: each adds its own columns by
+    entity, and the class does not depend on returns or churn.)  Whether later
+    cycles exist is all that the labels ask of `future_cycles_count`.
+    """
     cyc = labelling_cycles(L, policy, entity_id)
+    flags = entity_churn_flags(tagged, L)
     l01 = return_in_cycle(cyc, L)
     l02 = buyout_in_cycle(l01, L)
-    l03 = stage(churn_enrichment(l02, entity_churn_flags(tagged, L)))
+    l03 = churn_enrichment(l02, flags)
     l04 = lifecycle_context(l03)
-    l05 = cycle_month_class(l04, months)
+    context = lifecycle_context(buyout_in_cycle(cyc, L))
+    candidates = stage(cycle_month_class(context, months))
+    l05 = churn_enrichment(return_in_cycle(candidates, L), flags)
     l06 = stage(earliest_match(l05))
     l07 = cycle_label_terminal(l06) if terminal else cycle_label(l06)
     ctx = entity_context(L)
     l08 = l07.join(ctx, ENTITY_KEYS, "left")
     l09 = lifecycle_pattern(l08)
-    return {"L01": l01, "L02": l02, "L03": l03, "L04": l04, "L05": l05, "L06": l06, "L07": l07, "L08": ctx,
-            "L09": l09, "L10": l09}
+    return {"L01": l01, "L02": l02, "L03": l03, "L04": l04, "L05": l05, "L06": l06, "L07": l07,
+            "L07T": cycle_label_terminal(l06), "L08": ctx, "L09": l09, "L10": l09}
 
 
 HISTORY_COLUMNS = [
-    "user_id", "order_id", "item_activation_date", "item_name", "cycle_start_date", "cycle_end_date",
+    "user_id", "order_id", "item_activation_date", "item_name", "cycle_start_date", "cycle_end_date", "recognised_at",
     "recognised_at_ist", "synthetic_recognised_at_ist", "used_tto_date_for_pattern", "recognition_type",
     "cycle_taxable_amount", "has_return_in_window", "return_item_id", "return_item_state", "return_created_at_ist",
     "has_rtp_in_window", "rent_to_purchase_item_id", "rtp_created_at_ist", "churn_classification",
@@ -280,9 +301,12 @@ HISTORY_COLUMNS = [
 ]
 
 
-def cycle_history(l09: DataFrame) -> DataFrame:
-    """The labelled cycle history, one row per cycle of the months."""
+def cycle_history(l09: DataFrame, policy: Policy) -> DataFrame:
+    """The labelled cycle history, one row per cycle of the months; the
+    as-of date stands for the time of extraction."""
     return l09.select(
         F.col("accountable_entity_id").alias("entity_id"), F.col("accountable_entity_type").alias("entity_type"),
         *HISTORY_COLUMNS,
+        F.col("mtp_classification").alias("mtp_classification_synthetic"),
+        F.lit(policy.as_of).cast("date").alias("extracted_at"),
     )

@@ -43,9 +43,35 @@ def catalog(L: Ledger) -> DataFrame:
 def discount_types(lines: DataFrame, L: Ledger) -> DataFrame:
     """Discount lines with their catalog type (NULL when not catalogued).
 
-    The catalog join is left to AQE: broadcast only when its measured size is
-    under the threshold, shuffle join otherwise."""
-    return lines.join(catalog(L), "catalogReferenceId", "left")
+    Lines without a catalog id (cycles without discounts) stay out of the
+    join: they would all meet on the NULL key.  The join itself is left to AQE:
+    broadcast only when its measured size is under the threshold."""
+    none = F.col("catalogReferenceId").isNull()
+    typed = lines.filter(~none).join(catalog(L), "catalogReferenceId", "left")
+    return typed.unionByName(lines.filter(none).withColumn("discount_type", F.lit(None).cast("string")))
+
+
+CYCLE = [*ENTITY_KEYS, "revenue_recognition_schedule_id", "rr_start_date", "rr_end_date", "external_reference_type", "sched_tenure"]
+
+
+def cycle_discounts(typed: DataFrame) -> DataFrame:
+    """One row per cycle: lines and amounts of upfront and of other discounts
+    (a cycle without discounts has one other line without an amount)."""
+    up = F.coalesce(F.col("discount_type") == "UPFRONT", F.lit(False))
+    amount = F.coalesce(F.col("discount_amount"), F.lit(0).cast("decimal(18,2)"))
+    zero = F.lit(0).cast("decimal(18,2)")
+    return typed.groupBy(*CYCLE).agg(
+        F.count(F.when(up, 1)).alias("upfront_lines"),
+        F.sum(F.when(up, amount).otherwise(zero)).alias("upfront_amount"),
+        F.count(F.when(~up, 1)).alias("other_lines"),
+        F.sum(F.when(up, zero).otherwise(amount)).alias("other_amount"),
+    )
+
+
+def entities_in(df: DataFrame, date_col: F.Column, months: DataFrame) -> DataFrame:
+    """All rows of the entities that have a row dated in an analysis month (what
+    a LAG over their history needs, and no more)."""
+    return df.join(bucket(df.select(*ENTITY_KEYS, date_col.alias("_d")), "_d", months).select(*ENTITY_KEYS).distinct(), ENTITY_KEYS, "left_semi")
 
 
 def upfront_per_schedule(typed: DataFrame, entity_id=None) -> DataFrame:
@@ -69,49 +95,37 @@ def discount_per_schedule(typed: DataFrame, entity_id=None) -> DataFrame:
     )
 
 
-def upfront_per_cycle(typed: DataFrame, policy: Policy) -> DataFrame:
-    """Upfront (or settlement) discount per cycle grain used by R16 / D05.
+def upfront_per_cycle(cycles: DataFrame, policy: Policy, keep_end: bool) -> DataFrame:
+    """Upfront (or settlement) discount per cycle grain, from `cycle_discounts`.
 
+    R16 does not tell cycles apart by their end; D05 does (`keep_end`).
     Default: only cycles carrying an upfront line (or settlement cycles) keep
     a row, so LAG compares with the previous *upfront* cycle.  With
     `plan_transition_dense` every cycle keeps a row (0 when none)."""
-    is_up = F.col("discount_type") == "UPFRONT"
-    if policy.include_settlement:
-        is_up = is_up | (F.col("external_reference_type") == "SETTLEMENT")
-    is_up = F.coalesce(is_up, F.lit(False))
-    df = typed if policy.plan_transition_dense else typed.filter(is_up)
-    amount = F.when(is_up, F.coalesce(F.col("discount_amount"), F.lit(0))).otherwise(F.lit(0))
+    settled = F.coalesce(F.col("external_reference_type") == "SETTLEMENT", F.lit(False)) & F.lit(policy.include_settlement)
+    df = cycles if policy.plan_transition_dense else cycles.filter((F.col("upfront_lines") > 0) | settled)
+    amount = F.when(settled, F.col("upfront_amount") + F.col("other_amount")).otherwise(F.col("upfront_amount"))
     return df.groupBy(
         *ENTITY_KEYS, "revenue_recognition_schedule_id", F.col("rr_start_date").alias("start_date"),
-        "rr_end_date", "external_reference_type", F.col("sched_tenure").alias("tenure"),
+        *(["rr_end_date"] if keep_end else []), "external_reference_type", F.col("sched_tenure").alias("tenure"),
     ).agg(F.sum(amount).cast("decimal(18,2)").alias("upfront_discount_amount"))
 
 
-def _lagged(df: DataFrame, order: list) -> DataFrame:
-    w = Window.partitionBy(*ENTITY_KEYS).orderBy(*order)
-    return df.select(
-        "*",
-        F.lag("tenure").over(w).alias("previous_tenure"),
-        F.lag("upfront_discount_amount").over(w).alias("previous_upfront_discount_amount"),
-        F.lag("start_date").over(w).alias("previous_start_date"),
-        F.lag("rr_end_date").over(w).alias("previous_end_date"),
+def _lagged(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Previous values in the order of start; the other columns break ties."""
+    w = Window.partitionBy(*ENTITY_KEYS).orderBy(
+        "start_date", "revenue_recognition_schedule_id", "external_reference_type", "tenure", "upfront_discount_amount"
     )
+    lagged = df.select("*", *[F.lag(c).over(w).alias(f"previous_{c.removeprefix('rr_')}") for c in columns])
+    return lagged.filter(F.col("previous_tenure").isNotNull() & (F.col("previous_tenure") != F.col("tenure")))
 
 
-PT_ORDER = ["start_date", "revenue_recognition_schedule_id", "external_reference_type", "tenure", "upfront_discount_amount"]
-
-
-def plan_transition_rows(typed: DataFrame, directory: DataFrame, months: DataFrame, policy: Policy) -> DataFrame:
+def plan_transition_rows(cycles: DataFrame, directory: DataFrame, months: DataFrame, policy: Policy) -> DataFrame:
     """Previous minus current upfront discount where the tenure changed,
     counted in the month after the cycle starts (the reference's bucket)."""
-    lagged = _lagged(upfront_per_cycle(typed, policy), PT_ORDER).filter(
-        F.col("previous_tenure").isNotNull() & (F.col("previous_tenure") != F.col("tenure"))
-    )
-    users = directory.select(
-        F.col("id").alias("accountable_entity_id"), F.col("entity_type").alias("accountable_entity_type"), "user_id"
-    )
-    j = lagged.join(users, ENTITY_KEYS, "left")
-    return bucket(j, F.add_months(F.col("start_date"), 1), months).select(
+    grain = entities_in(upfront_per_cycle(cycles, policy, keep_end=False), F.add_months(F.col("start_date"), 1), months)
+    lagged = bucket(_lagged(grain, ["tenure", "upfront_discount_amount"]), F.add_months(F.col("start_date"), 1), months)
+    return _with_users(lagged, directory).select(
         "month_num",
         F.lit("R16").alias("component"),
         F.col("accountable_entity_type").alias("entity_type"),
@@ -123,17 +137,16 @@ def plan_transition_rows(typed: DataFrame, directory: DataFrame, months: DataFra
     )
 
 
-def plan_transition_detail(typed: DataFrame, months: DataFrame, policy: Policy, entity_id=None, entity_type=None) -> DataFrame:
+def plan_transition_detail(cycles: DataFrame, months: DataFrame, policy: Policy, entity_id=None, entity_type=None) -> DataFrame:
     """Every plan transition with delta = current - previous upfront
     discount (opposite sign to R16), for the whole ledger or one entity."""
-    df = upfront_per_cycle(typed, policy)
+    df = upfront_per_cycle(cycles, policy, keep_end=True)
     if entity_id is not None:
         df = df.filter(F.col("accountable_entity_id") == entity_id)
     if entity_type is not None:
         df = df.filter(F.col("accountable_entity_type") == entity_type)
-    lagged = _lagged(df, PT_ORDER).filter(
-        F.col("previous_tenure").isNotNull() & (F.col("previous_tenure") != F.col("tenure"))
-    )
+    df = entities_in(df, F.add_months(F.col("start_date"), 1), months)
+    lagged = _lagged(df, ["tenure", "upfront_discount_amount", "start_date", "rr_end_date"])
     return bucket(lagged, F.add_months(F.col("start_date"), 1), months).select(
         "month_num", *ENTITY_KEYS, "revenue_recognition_schedule_id", "start_date",
         F.col("rr_end_date").alias("end_date"), "tenure", "upfront_discount_amount", "previous_tenure",
@@ -173,12 +186,14 @@ def discount_grain_check(entity_base: DataFrame) -> DataFrame:
     )
 
 
-def discount_per_cycle(typed: DataFrame, policy: Policy) -> DataFrame:
-    df = typed
+def discount_per_cycle(cycles: DataFrame, policy: Policy) -> DataFrame:
+    """The discounts that R20-R23 compare, per cycle dates."""
     if policy.discount_population == "non_upfront":
-        df = df.filter(F.col("discount_type").isNull() | (F.col("discount_type") != "UPFRONT"))
+        df, amount = cycles.filter(F.col("other_lines") > 0), F.col("other_amount")
+    else:
+        df, amount = cycles, F.col("other_amount") + F.col("upfront_amount")
     return df.groupBy(*ENTITY_KEYS, F.col("rr_start_date").alias("start_date"), F.col("rr_end_date").alias("end_date")).agg(
-        F.coalesce(F.sum("discount_amount"), F.lit(0)).cast("decimal(18,2)").alias("total_discount_amount")
+        F.sum(amount).cast("decimal(18,2)").alias("total_discount_amount")
     )
 
 
@@ -191,25 +206,27 @@ def _with_users(df: DataFrame, directory: DataFrame) -> DataFrame:
 
 def discount_given_rows(per_cycle: DataFrame, directory: DataFrame, months: DataFrame) -> DataFrame:
     """Discount of cycles starting in the month."""
-    j = _with_users(per_cycle, directory)
-    return bucket(j, "start_date", months).select(
+    return _with_users(bucket(per_cycle, "start_date", months), directory).select(
         "month_num", F.lit("R20").alias("component"),
         F.col("accountable_entity_type").alias("entity_type"), F.col("accountable_entity_id").alias("entity_id"),
         F.col("user_id").cast("string").alias("customer"), F.col("total_discount_amount").alias("amount"),
     )
 
 
-def discount_change_rows(per_cycle: DataFrame, directory: DataFrame, months: DataFrame) -> DataFrame:
-    """Previous minus current discount where it changed, counted in
-    the month after the cycle starts; R22 / R23 keep positive / negative."""
+def discount_change_rows(per_cycle: DataFrame, directory: DataFrame, months: DataFrame, policy: Policy) -> DataFrame:
+    """Previous minus current discount where it changed, counted
+    `discount_change_months` after the cycle starts; R22 / R23 keep positive /
+    negative."""
+    when = F.add_months(F.col("start_date"), policy.discount_change_months)
     w = Window.partitionBy(*ENTITY_KEYS).orderBy("start_date", "end_date")
-    lagged = per_cycle.select("*", F.lag("total_discount_amount").over(w).alias("previous_discount_amount")).filter(
+    lagged = entities_in(per_cycle, when, months).select(
+        "*", F.lag("total_discount_amount").over(w).alias("previous_discount_amount")
+    ).filter(
         F.col("previous_discount_amount").isNotNull()
         & (F.col("previous_discount_amount") != F.col("total_discount_amount"))
     )
-    j = _with_users(lagged, directory)
     diff = (F.col("previous_discount_amount") - F.col("total_discount_amount")).cast("decimal(18,2)")
-    rows = bucket(j, F.add_months(F.col("start_date"), 1), months).select(
+    rows = _with_users(bucket(lagged, when, months), directory).select(
         "month_num",
         F.col("accountable_entity_type").alias("entity_type"), F.col("accountable_entity_id").alias("entity_id"),
         F.col("user_id").cast("string").alias("customer"), diff.alias("amount"),

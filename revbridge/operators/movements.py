@@ -10,6 +10,8 @@ on a derived month key (an equality), broadcast by construction.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,10 +29,15 @@ def bucket(df: DataFrame, date_col, months: DataFrame) -> DataFrame:
     return df.withColumn("_m", F.trunc(F.to_date(d), "month")).join(m, "_m").drop("_m")
 
 
-def acquisition_rows(L: Ledger, months: DataFrame) -> DataFrame:
+def within(col: str, start: dt.date, stop: dt.date) -> F.Column:
+    """start <= col < stop on a raw column, so that it reaches the scan."""
+    return (F.col(col) >= F.lit(start)) & (F.col(col) < F.lit(stop))
+
+
+def acquisition_rows(L: Ledger, months: DataFrame, policy: Policy) -> DataFrame:
     """New customers and upsells by activation month."""
     flag = F.lower(F.col("flag"))
-    acq = L.acquisitions.filter(flag.isin("new", "upsell"))
+    acq = L.acquisitions.filter(within("activation_date", policy.first_start, policy.last_next) & flag.isin("new", "upsell"))
     return bucket(acq, "activation_date", months).select(
         "month_num",
         F.when(flag == "new", "R04").otherwise("R05").alias("component"),

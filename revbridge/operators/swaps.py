@@ -10,12 +10,15 @@ that pairs every swap with every cycle of the entity.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revbridge.functions import ist_date
-from revbridge.operators.movements import bucket
-from revbridge.sources.ledger import Ledger
+from revbridge.operators.movements import bucket, within
+from revbridge.policy import Policy
+from revbridge.sources.ledger import SWAP_COLUMNS, Ledger
 
 KEYS = ["entity_id", "entity_type"]
 
@@ -23,7 +26,7 @@ KEYS = ["entity_id", "entity_type"]
 def swap_register(L: Ledger) -> DataFrame:
     """Every swap of an attachment plus fulfilled swap-outs of items
     (the register's filter applies to its item branch only)."""
-    cols = ["id", "state", "action", "fulfillment_date"]
+    cols = ["id", *SWAP_COLUMNS]
     a = L.swap_attachments.select(*cols, F.col("attachment_id").alias("entity_id"), F.lit("ATTACHMENT").alias("entity_type"))
     i = L.swap_items.filter((F.col("action") == "SWAP_OUT") & (F.col("state") == "FULFILLED")).select(
         *cols, F.col("item_id").alias("entity_id"), F.lit("ITEM").alias("entity_type")
@@ -31,11 +34,16 @@ def swap_register(L: Ledger) -> DataFrame:
     return a.unionByName(i)
 
 
-def swap_events(L: Ledger) -> DataFrame:
-    """Fulfilled swaps (one per entity, action and IST fulfilment date)."""
+def swap_events(L: Ledger, policy: Policy | None = None) -> DataFrame:
+    """Fulfilled swaps (one per entity, action and IST fulfilment date); with a
+    policy only those that can fall in its months (a day wider, for IST)."""
+    day = dt.timedelta(days=1)
+    in_months = F.lit(True) if policy is None else within("fulfillment_date", policy.first_start - day, policy.last_next + day)
+
     def side(df: DataFrame, id_col: str, kind: str) -> DataFrame:
         return df.filter(
             (F.col("state") == "FULFILLED")
+            & in_months
             & F.col("fulfillment_date").isNotNull()
             & F.col("action").isin("SWAP_OUT", "SWAP_IN")
         ).select(
@@ -51,14 +59,15 @@ def swap_events(L: Ledger) -> DataFrame:
 def swap_matches(events: DataFrame, entity_cycles: DataFrame) -> DataFrame:
     """As-of match of each swap event to a cycle amount.
 
-    Ties on cycle start resolve to the larger amount in both directions.
+    Only cycles of swapped entities are sorted.  Ties on cycle start resolve to
+    the larger amount in both directions.
     """
     cyc = entity_cycles.select(
         F.col("accountable_entity_id").alias("entity_id"),
         F.col("accountable_entity_type").alias("entity_type"),
         F.to_date("rr_start_date").alias("d"),
         F.col("taxable_amount").alias("amt"),
-    )
+    ).join(events.select(*KEYS).distinct(), KEYS, "left_semi")
     ev = events.select(*KEYS, "action", F.col("fulfillment_date").alias("d"))
     # swap out: cycles sort before a swap on the same day, ascending amount,
     # so the last cycle seen is the latest start with the largest amount
@@ -81,8 +90,7 @@ def swap_matches(events: DataFrame, entity_cycles: DataFrame) -> DataFrame:
 def swap_rows(matches: DataFrame, directory: DataFrame, months: DataFrame) -> DataFrame:
     """R12 / R13 entity rows (customers are not counted for swaps)."""
     users = directory.select(F.col("id").alias("entity_id"), "entity_type", "user_id")
-    j = matches.join(users, KEYS, "left")
-    return bucket(j, "fulfillment_date", months).select(
+    return bucket(matches, "fulfillment_date", months).join(users, KEYS, "left").select(
         "month_num",
         F.when(F.col("action") == "SWAP_OUT", "R12").otherwise("R13").alias("component"),
         "entity_type", "entity_id",

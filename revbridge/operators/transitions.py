@@ -47,7 +47,7 @@ def renewal_overdue_rows(windowed: DataFrame, directory: DataFrame, months: Data
     (positive) or from ACCRUAL to DEFERRAL (negative); delta of monthly rate."""
     prev, cur = F.col("previous_recognition_type"), F.col("revenue_recognition_type")
     df = windowed.filter(prev.isNotNull() & (prev != cur) & ((cur == "ACCRUAL") | (prev == "ACCRUAL")))
-    j = bucket(df.join(_users(directory), ENTITY_KEYS, "left"), "start_date", months)
+    j = bucket(df, "start_date", months).join(_users(directory), ENTITY_KEYS, "left")
     comp = F.when(cur == "ACCRUAL", "R18").when(cur == "DEFERRAL", "R19")
     return _long(j, comp).filter(F.col("component").isNotNull())
 
@@ -60,6 +60,6 @@ def plan_transition_price_rows(windowed: DataFrame, directory: DataFrame, months
         & (F.col("previous_tenure") != F.col("tenure"))
         & F.col("previous_end_date").isNotNull()
     )
-    j = bucket(df.join(_users(directory), ENTITY_KEYS, "left"), "start_date", months)
+    j = bucket(df, "start_date", months).join(_users(directory), ENTITY_KEYS, "left")
     comp = F.when(F.col("tenure") > F.col("previous_tenure"), "R16P").otherwise("R17")
     return _long(j, comp)

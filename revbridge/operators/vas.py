@@ -7,16 +7,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revbridge.functions import money
-from revbridge.policy import VAS_TYPE_COMPONENT
+from revbridge.policy import Policy
 from revbridge.sources.ledger import Ledger
 
 
-def _category(type_col) -> F.Column:
-    expr = None
-    for vas_type, comp in VAS_TYPE_COMPONENT.items():
-        cond = type_col == vas_type
-        expr = F.when(cond, comp) if expr is None else expr.when(cond, comp)
-    return expr.otherwise("R27")
+def _category(type_col: F.Column, policy: Policy) -> F.Column:
+    expr = F.lit("R27")
+    for name, comp in reversed(policy.vas_types):
+        expr = F.when((type_col == name) | type_col.endswith("_" + name), comp).otherwise(expr)
+    return expr
 
 
 def vas_owners(L: Ledger, directory: DataFrame) -> DataFrame:
@@ -29,7 +28,7 @@ def vas_owners(L: Ledger, directory: DataFrame) -> DataFrame:
     )
 
 
-def vas_revenue_rows(vas_cycles: DataFrame, owners: DataFrame, months: DataFrame) -> DataFrame:
+def vas_revenue_rows(vas_cycles: DataFrame, owners: DataFrame, months: DataFrame, policy: Policy) -> DataFrame:
     """Add-on cycles starting in the month, by category."""
     m = F.broadcast(months.select("month_num", F.col("m_start").alias("_m")))
     j = (
@@ -39,7 +38,7 @@ def vas_revenue_rows(vas_cycles: DataFrame, owners: DataFrame, months: DataFrame
     )
     return j.select(
         "month_num",
-        _category(F.col("vas_type")).alias("component"),
+        _category(F.col("vas_type"), policy).alias("component"),
         F.lit("VALUE_ADDED_SERVICE").alias("entity_type"),
         F.col("accountable_entity_id").alias("entity_id"),
         F.col("user_id").cast("string").alias("customer"),
@@ -47,7 +46,7 @@ def vas_revenue_rows(vas_cycles: DataFrame, owners: DataFrame, months: DataFrame
     )
 
 
-def vas_timing_detail(vas_cycles: DataFrame, owners: DataFrame, months: DataFrame) -> DataFrame:
+def vas_timing_detail(vas_cycles: DataFrame, owners: DataFrame, months: DataFrame, policy: Policy) -> DataFrame:
     """Add-on cycles tagged 'Current month VAS' / 'Previous month VAS'
     for each analysis month (a cycle can be both, for consecutive months)."""
     start = F.to_date("rr_start_date")
@@ -68,27 +67,33 @@ def vas_timing_detail(vas_cycles: DataFrame, owners: DataFrame, months: DataFram
         start.alias("start_date"), F.to_date("rr_end_date").alias("end_date"),
         money("taxable_amount").alias("taxable_amount"),
         "vas_type", "user_id",
-        _category(F.col("vas_type")).alias("vas_component"),
+        _category(F.col("vas_type"), policy).alias("vas_component"),
         "vas_timing",
     )
 
 
 def vas_bridge(timing: DataFrame) -> DataFrame:
     """Per month, current-month minus previous-month add-on items,
-    customers and revenue."""
-    cur = F.col("vas_timing") == "Current month VAS"
-    prev = ~cur
-    g = timing.groupBy("month_num").agg(
-        F.count_distinct(F.when(cur, F.col("accountable_entity_id"))).alias("curr_items"),
-        F.count_distinct(F.when(cur, F.col("user_id"))).alias("curr_cx"),
-        F.sum(F.when(cur, F.col("taxable_amount")).otherwise(F.lit(0))).alias("curr_rev"),
-        F.count_distinct(F.when(prev, F.col("accountable_entity_id"))).alias("prev_items"),
-        F.count_distinct(F.when(prev, F.col("user_id"))).alias("prev_cx"),
-        F.sum(F.when(prev, F.col("taxable_amount")).otherwise(F.lit(0))).alias("prev_rev"),
+    customers and revenue.  Counted per (month, timing) first, so no row is
+    expanded for four conditional distinct counts."""
+    g = timing.groupBy("month_num", "vas_timing").agg(
+        F.count_distinct("accountable_entity_id").alias("items"),
+        F.count_distinct("user_id").alias("cx"),
+        F.sum("taxable_amount").alias("rev"),
     )
-    return g.select(
+    sign = F.when(F.col("vas_timing") == "Current month VAS", 1).otherwise(-1)
+    return g.groupBy("month_num").agg(
+        F.sum(F.col("items") * sign).alias("vas_items"),
+        F.sum(F.col("cx") * sign).alias("vas_cx"),
+        F.sum(F.coalesce(F.col("rev"), F.lit(0)) * sign).cast("decimal(28,2)").alias("vas_rev"),
+    )
+
+
+def vas_adjusted_opening(adjusted: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Adjusted opening plus the VAS bridge of the month."""
+    return adjusted.join(bridge, "month_num", "left").select(
         "month_num",
-        (F.col("curr_items") - F.col("prev_items")).alias("vas_items"),
-        (F.col("curr_cx") - F.col("prev_cx")).alias("vas_cx"),
-        (F.col("curr_rev") - F.col("prev_rev")).alias("vas_rev"),
+        (F.col("items_count") + F.coalesce("vas_items", F.lit(0))).alias("items_count"),
+        (F.col("cx_count") + F.coalesce("vas_cx", F.lit(0))).alias("cx_count"),
+        (F.col("taxable_revenue") + F.coalesce("vas_rev", F.lit(0))).cast("decimal(28,2)").alias("taxable_revenue"),
     )

@@ -19,7 +19,7 @@ x components rows read by every report line).
 
 from __future__ import annotations
 
-import uuid
+import datetime as dt
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -27,34 +27,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revbridge.operators import assemble, base, churn, classify, discounts, movements, swaps, transitions, vas
+from revbridge.operators.movements import within
 from revbridge.plans.months import month_driver
 from revbridge.policy import Policy
-from revbridge.session import checkpoint_dir
+from revbridge.session import RunFolder, checkpoint_dir
 from revbridge.sources.ledger import Ledger
 
 
-def stage(df: DataFrame, mode: str) -> DataFrame:
-    """Cut the lineage of a frame read by several consumers."""
-    if mode == "table":
-        # one write job into the shared checkpoint folder, read back as parquet
-        path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/revbridge-stage/{uuid.uuid4().hex}"
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
-    if mode == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    if mode == "checkpoint":
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df
-
-
 class BridgePlan:
-    def __init__(self, spark: SparkSession, ledger: Ledger, policy: Policy | None = None, materialize: str = "table"):
+    """One run over a ledger.  `close` (or leaving its `with` block) deletes the
+    run's intermediate tables."""
+
+    def __init__(self, spark: SparkSession, ledger: Ledger, policy: Policy, materialize: str = "table"):
         self.spark = spark
         self.L = ledger
-        self.policy = policy or Policy()
+        self.policy = policy
         self.materialize = materialize
 
+    @cached_property
+    def folder(self) -> RunFolder:
+        return RunFolder(self.spark)
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        """Cut the lineage of a frame read by several consumers."""
+        if self.materialize == "table":
+            path = self.folder.next_path()
+            df.write.parquet(path)
+            return self.spark.read.parquet(path)
+        if self.materialize == "persist":
+            return df.persist(StorageLevel.MEMORY_AND_DISK)
+        if self.materialize == "checkpoint":
+            checkpoint_dir(self.spark)
+            return df.checkpoint(eager=True)
+        return df
+
+    def close(self) -> None:
+        if "folder" in self.__dict__:
+            self.folder.close()
+
+    def __enter__(self) -> "BridgePlan":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
     # ---- base layer ----------------------------------------------------------
     @cached_property
     def months(self) -> DataFrame:
@@ -79,6 +95,28 @@ class BridgePlan:
     def split(self) -> dict[str, DataFrame]:
         return base.ledger_split(self.live)
 
+    def _starting(self, df: DataFrame, start: dt.date, stop: dt.date | None = None) -> DataFrame:
+        """Cycles starting from `start` on, before `stop`: literals on the raw
+        column, so that the scan prunes by month."""
+        return df.filter(F.col("rr_start_date") >= F.lit(start) if stop is None else within("rr_start_date", start, stop))
+
+    @cached_property
+    def opening_cycles(self) -> DataFrame:
+        """B06 of the cycles that any month's opening or MTP rule can tag: all of
+        them start in the month before the first one or later."""
+        p = self.policy
+        cycles = base.revenue_cycles(self.L, p, self._starting(self.live, p.first_prev_start))
+        return base.effective_recognition_date(cycles, self.buyouts)
+
+    @cached_property
+    def penalty_cycles(self) -> DataFrame:
+        day = dt.timedelta(days=1)  # recognition is bucketed by IST date
+        return self.split["penalty"].filter(within("recognised_at", self.policy.first_start - day, self.policy.last_next + day))
+
+    @cached_property
+    def vas_cycles(self) -> DataFrame:
+        return self._starting(self.split["vas"], self.policy.first_prev_start, self.policy.last_next)
+
     @cached_property
     def scheduled(self) -> DataFrame:
         return base.ledger_split(self.base)["entity"]
@@ -102,7 +140,7 @@ class BridgePlan:
     # ---- components ----------------------------------------------------------
     @cached_property
     def classified(self) -> DataFrame:
-        return stage(classify.classify_cycles(self.effective, self.months, self.policy), self.materialize)
+        return self.stage(classify.classify_cycles(self.opening_cycles, self.months, self.policy))
 
     @cached_property
     def mtp(self) -> DataFrame:
@@ -110,7 +148,7 @@ class BridgePlan:
 
     @cached_property
     def churn(self) -> dict[str, DataFrame]:
-        return churn.churn_pipeline(self.L, self.policy, lambda df: stage(df, self.materialize))
+        return churn.churn_pipeline(self.L, self.policy, self.stage)
 
     @cached_property
     def churn_table(self) -> DataFrame:
@@ -123,15 +161,20 @@ class BridgePlan:
 
     @cached_property
     def swap_matches(self) -> DataFrame:
-        return swaps.swap_matches(swaps.swap_events(self.L), self.split["entity"])
+        return swaps.swap_matches(swaps.swap_events(self.L, self.policy), self.split["entity"])
 
     @cached_property
     def typed_discounts(self) -> DataFrame:
-        return stage(discounts.discount_types(discounts.discount_lines(self.scheduled), self.L), self.materialize)
+        return discounts.discount_types(discounts.discount_lines(self.scheduled), self.L)
+
+    @cached_property
+    def cycle_discounts(self) -> DataFrame:
+        """One narrow row per cycle: what R16, R20-R23 and D05 share."""
+        return self.stage(discounts.cycle_discounts(self.typed_discounts))
 
     @cached_property
     def discount_per_cycle(self) -> DataFrame:
-        return discounts.discount_per_cycle(self.typed_discounts, self.policy)
+        return discounts.discount_per_cycle(self.cycle_discounts, self.policy)
 
     @cached_property
     def tenure_windowed(self) -> DataFrame:
@@ -143,78 +186,55 @@ class BridgePlan:
 
     @cached_property
     def vas_timing(self) -> DataFrame:
-        return vas.vas_timing_detail(self.split["vas"], self.vas_owners, self.months)
+        return vas.vas_timing_detail(self.vas_cycles, self.vas_owners, self.months, self.policy)
+
+    def _families(self) -> list[tuple[tuple[str, ...], object]]:
+        """Components computed by one frame, and that frame (built only if asked for)."""
+        p, d, m = self.policy, self.directory, self.months
+        return [
+            (("R01",), lambda: classify.opening_rows(self.classified)),
+            (("R02",), lambda: classify.mtp_adjustment_rows(self.classified)),
+            (("R14",), lambda: classify.current_mtp_rows(self.classified)),
+            (("R04", "R05"), lambda: movements.acquisition_rows(self.L, m, p)),
+            (tuple(movements.CHURN_RULES), lambda: movements.churn_component_rows(self.churn_events)),
+            (("R12", "R13"), lambda: swaps.swap_rows(self.swap_matches, d, m)),
+            (("R15",), lambda: movements.penalty_rows(self.penalty_cycles, self.L, m)),
+            (("R16",), lambda: discounts.plan_transition_rows(self.cycle_discounts, d, m, p)),
+            (("R18", "R19"), lambda: transitions.renewal_overdue_rows(self.tenure_windowed, d, m)),
+            (("R20",), lambda: discounts.discount_given_rows(self.discount_per_cycle, d, m)),
+            (("R21", "R22", "R23"), lambda: discounts.discount_change_rows(self.discount_per_cycle, d, m, p)),
+            (("R24", "R25", "R26", "R27"), lambda: vas.vas_revenue_rows(self.vas_cycles, self.vas_owners, m, p)),
+            (("R16P", "R17"), lambda: transitions.plan_transition_price_rows(self.tenure_windowed, d, m)),
+        ]
 
-    def rows(self, component: str) -> DataFrame:
-        """Entity-level rows of one component (long schema)."""
-        c = self.classified
-        if component == "R01":
-            return classify.opening_rows(c)
-        if component == "R02":
-            return classify.mtp_adjustment_rows(c)
-        if component == "R14":
-            return classify.current_mtp_rows(c)
-        if component in ("R04", "R05"):
-            return movements.acquisition_rows(self.L, self.months).filter(F.col("component") == component)
-        if component in movements.CHURN_RULES:
-            return movements.churn_component_rows(self.churn_events, (component,))
-        if component in ("R12", "R13"):
-            return swaps.swap_rows(self.swap_matches, self.directory, self.months).filter(F.col("component") == component)
-        if component == "R15":
-            return movements.penalty_rows(self.split["penalty"], self.L, self.months)
-        if component == "R16":
-            return discounts.plan_transition_rows(self.typed_discounts, self.directory, self.months, self.policy)
-        if component in ("R16P", "R17"):
-            return transitions.plan_transition_price_rows(self.tenure_windowed, self.directory, self.months).filter(
-                F.col("component") == component
-            )
-        if component in ("R18", "R19"):
-            return transitions.renewal_overdue_rows(self.tenure_windowed, self.directory, self.months).filter(
-                F.col("component") == component
-            )
-        if component == "R20":
-            return discounts.discount_given_rows(self.discount_per_cycle, self.directory, self.months)
-        if component in ("R21", "R22", "R23"):
-            return discounts.discount_change_rows(self.discount_per_cycle, self.directory, self.months).filter(
-                F.col("component") == component
-            )
-        if component in ("R24", "R25", "R26", "R27"):
-            return vas.vas_revenue_rows(self.split["vas"], self.vas_owners, self.months).filter(
-                F.col("component") == component
-            )
+    def family(self, component: str) -> DataFrame:
+        """Entity-level rows of the frame that computes a component."""
+        for members, build in self._families():
+            if component in members:
+                return build()
         raise KeyError(component)
 
+    def rows(self, component: str) -> DataFrame:
+        """Entity-level rows of one component (long schema); nothing else is computed."""
+        return self.family(component).filter(F.col("component") == component)
+
     @cached_property
     def bridge_rows(self) -> DataFrame:
         """Every component of the report, entity level (Q01 drill-down)."""
-        c = self.classified
-        parts = [
-            classify.opening_rows(c),
-            classify.mtp_adjustment_rows(c),
-            classify.current_mtp_rows(c),
-            movements.acquisition_rows(self.L, self.months),
-            movements.churn_component_rows(self.churn_events),
-            swaps.swap_rows(self.swap_matches, self.directory, self.months),
-            movements.penalty_rows(self.split["penalty"], self.L, self.months),
-            discounts.plan_transition_rows(self.typed_discounts, self.directory, self.months, self.policy),
-            transitions.renewal_overdue_rows(self.tenure_windowed, self.directory, self.months),
-            discounts.discount_given_rows(self.discount_per_cycle, self.directory, self.months),
-            discounts.discount_change_rows(self.discount_per_cycle, self.directory, self.months).filter(
-                F.col("component") == "R21"
-            ),
-            vas.vas_revenue_rows(self.split["vas"], self.vas_owners, self.months),
-        ]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
+        out = None
+        for members, build in self._families():
+            if members == ("R16P", "R17"):
+                continue
+            rows = build().filter(~F.col("component").isin("R22", "R23"))
+            out = rows if out is None else out.unionByName(rows)
         return out
 
     @cached_property
     def aggregated(self) -> DataFrame:
         # months x components rows, read ~8 times by the report: cut here
-        return stage(assemble.aggregate_components(self.bridge_rows), self.materialize)
+        return self.stage(assemble.aggregate_components(self.bridge_rows, self.policy.labels))
 
     def report(self) -> DataFrame:
         """The ordered revenue bridge."""
         v = vas.vas_bridge(self.vas_timing) if self.policy.vas_in_opening else None
-        return assemble.revenue_bridge(self.aggregated, len(self.policy.months), v)
+        return assemble.revenue_bridge(self.aggregated, len(self.policy.months), v, self.policy.labels)

@@ -9,6 +9,7 @@ be compared value by value with the DuckDB oracle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,20 +18,30 @@ from pyspark.sql import types as T
 from revbridge.operators import assemble, base, churn, classify, cycles, discounts, movements, swaps, transitions, vas
 from revbridge.plans.bridge import BridgePlan
 from revbridge.plans.months import rolling_month_driver
-from revbridge.policy import Policy
-from revbridge.sources.tpch_binding import ledger_for
+from revbridge.policy import FAMILIES, Policy
+from revbridge.sources.tpch_binding import close_ledgers, fixture_policy, ledger_for, table_times
 
 _PLANS: dict = {}
 
 
 def plan_for(spark: SparkSession, sf_dir: str, policy: Policy | None = None) -> BridgePlan:
-    policy = policy or Policy()
-    key = (spark.sparkContext.applicationId, sf_dir, policy)
+    """One plan per session, folder (and state of its tables) and policy: the
+    registered queries of a run share its ledger and its staged frames."""
+    policy = policy or fixture_policy()
+    key = (spark.sparkContext.applicationId, sf_dir, table_times(spark, sf_dir), policy)
     if key not in _PLANS:
         _PLANS[key] = BridgePlan(spark, ledger_for(spark, sf_dir, policy), policy)
     return _PLANS[key]
 
 
+def close_plans() -> None:
+    """Delete what the registered queries have staged."""
+    while _PLANS:
+        _PLANS.popitem()[1].close()
+    _LABELS.clear()
+    close_ledgers()
+
+
 def present(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
@@ -48,13 +59,16 @@ def present(df: DataFrame) -> DataFrame:
 
 def _component(comp: str) -> Callable[[SparkSession, str], DataFrame]:
     """Per-month items / customers / revenue of one bridge component, as the
-    report computes it (zero rows for members of a shared frame)."""
+    report computes it (zero rows for members of a shared frame): only the
+    frames of its own family are computed."""
     def run(spark, sf_dir):
         p = plan_for(spark, sf_dir)
-        if comp in ("R16P", "R17", "R22", "R23"):
-            agg = assemble.aggregate_components(p.rows(comp))
+        members = next((m for m in FAMILIES.values() if comp in m), [])
+        if members:
+            parts = [p.rows(c) for c in members]
+            agg = assemble.all_components(assemble.aggregate_components(reduce(DataFrame.unionByName, parts)))
         else:
-            agg = assemble.all_components(p.aggregated)
+            agg = assemble.aggregate_components(p.rows(comp))
         return agg.filter(F.col("component") == comp).select(
             "month_num", "items_count", "cx_count", "taxable_revenue"
         )
@@ -166,8 +180,8 @@ def q_c08(s, d):
 
 def q_c09(s, d):
     return plan_for(s, d).churn_table.select(
-        "entity_id", "entity_type", "user_ids", "activation_date", "return_item_state", "base_price", "pickup_date",
-        "payment_date", "tto_amount", "transaction_type", "transaction_id", "transaction_type_detail", "churn_flag",
+        "entity_id", "entity_type", "user_ids", "activation_date", "return_item_state", "base_price", "fur_id",
+        "pickup_date", "payment_date", "tto_amount", "transaction_type", "transaction_id", "transaction_type_detail", "churn_flag",
         "start_date", "end_date", "taxable_amount", "rnk", "refreshed_at",
     )
 
@@ -204,14 +218,7 @@ def q_r29(s, d):
 
 def q_r30(s, d):
     p = plan_for(s, d)
-    adj = assemble.adjusted_opening(p.aggregated)
-    v = vas.vas_bridge(p.vas_timing)
-    return adj.join(v, "month_num", "left").select(
-        "month_num",
-        (F.col("items_count") + F.coalesce("vas_items", F.lit(0))).alias("items_count"),
-        (F.col("cx_count") + F.coalesce("vas_cx", F.lit(0))).alias("cx_count"),
-        (F.col("taxable_revenue") + F.coalesce("vas_rev", F.lit(0))).alias("taxable_revenue"),
-    )
+    return vas.vas_adjusted_opening(assemble.adjusted_opening(p.aggregated), vas.vas_bridge(p.vas_timing))
 
 
 def q_a01(s, d):
@@ -260,7 +267,7 @@ def q_d04(s, d):
 
 def q_d05(s, d):
     p = plan_for(s, d)
-    return discounts.plan_transition_detail(p.typed_discounts, p.months, p.policy)
+    return discounts.plan_transition_detail(p.cycle_discounts, p.months, p.policy)
 
 
 def q_d06(s, d):
@@ -274,14 +281,11 @@ def q_s01(s, d):
 _LABELS: dict = {}
 
 
-def labelling(s, d, terminal: bool = False) -> dict[str, DataFrame]:
-    key = (s.sparkContext.applicationId, d, terminal)
+def labelling(s, d) -> dict[str, DataFrame]:
+    p = plan_for(s, d)
+    key = id(p)
     if key not in _LABELS:
-        p = plan_for(s, d)
-        from revbridge.plans.bridge import stage
-        _LABELS[key] = cycles.labelling_pipeline(
-            p.L, p.policy, p.months, p.churn["tagged"], terminal=terminal, stage=lambda df: stage(df, p.materialize)
-        )
+        _LABELS[key] = cycles.labelling_pipeline(p.L, p.policy, p.months, p.churn["tagged"], stage=p.stage)
     return _LABELS[key]
 
 
@@ -321,7 +325,7 @@ def q_l07(s, d):
 
 
 def q_l07t(s, d):
-    return labelling(s, d, terminal=True)["L07"].select(*CYC, "primary_cycle_type")
+    return labelling(s, d)["L07T"].select(*CYC, "primary_cycle_type")
 
 
 def q_l08(s, d):
@@ -336,7 +340,7 @@ def q_l09(s, d):
 
 
 def q_l10(s, d):
-    return cycles.cycle_history(labelling(s, d)["L09"])
+    return cycles.cycle_history(labelling(s, d)["L09"], plan_for(s, d).policy)
 
 
 RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {

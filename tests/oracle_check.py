@@ -4,6 +4,7 @@ usage: python tests/oracle_check.py SF_DIR [key-substring ...]
 """
 import math
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -34,7 +35,7 @@ def rows(pdf):
 def main():
     sf = sys.argv[1]
     pats = sys.argv[2:]
-    spark = local_session()
+    spark = local_session(shared_dir=tempfile.mkdtemp(prefix="revbridge-check-"))
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")

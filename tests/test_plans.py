@@ -1,23 +1,90 @@
-"""Plan shape of every registered query: no nested-loop / cartesian joins and
-no Python in the hot path; ledger predicates reach the parquet scan."""
-import __spark_entry__ as E
-from revbridge.plans.registry import plan_for
+"""Plan shape of the registered queries before anything is staged: no nested-loop or cartesian joins,
+no Python in the hot path, and ledger predicates and month bounds in the parquet scans."""
+import re
+
+import pytest
+
+from revbridge.plans.bridge import BridgePlan
+from revbridge.plans.registry import queries
+from revbridge.session import RunFolder, checkpoint_dir
+from revbridge.sources.tpch_binding import fixture_policy, ledger_for
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("NestedLoop", "Cartesian", "BatchEvalPython", "ArrowEvalPython")
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture()
+def lazy(spark):
+    """A plan that stages nothing: its frames show every scan and join."""
+    return BridgePlan(spark, ledger_for(spark, SF), fixture_policy(), materialize="none")
+
+
+def pushed(df, column):
+    """PushedFilters of the scans that read a column."""
+    scans = re.findall(r"PushedFilters: \[([^\]]*)\]", plan_of(df))
+    return [s for s in scans if column in s]
+
+
 def test_no_pairwise_joins_or_python(spark):
     flagged = []
-    for key, fn in E.queries().items():
-        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
-        flagged += [(key, pat) for pat in FORBIDDEN if pat in plan]
+    for key, fn in queries().items():
+        flagged += [(key, pat) for pat in FORBIDDEN if pat in plan_of(fn(spark, SF))]
     assert flagged == []
 
 
-def test_ledger_filters_pushed_to_scan(spark):
-    p = plan_for(spark, SF)
-    plan = p.cycles._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(vertical), IsNotNull(state), EqualTo(vertical,RENTAL)" in plan or (
-        "EqualTo(vertical,RENTAL)" in plan and "PushedFilters" in plan
-    )
+def test_unstaged_frames_have_no_pairwise_joins(lazy):
+    for df in (lazy.churn["scope"], lazy.bridge_rows, lazy.cycle_discounts):
+        assert not [pat for pat in FORBIDDEN if pat in plan_of(df)]
+
+
+def test_ledger_filters_pushed_to_scan(lazy):
+    assert all("EqualTo(vertical,RENTAL)" in s for s in pushed(lazy.cycles, "vertical")) and pushed(lazy.cycles, "vertical")
+
+
+@pytest.mark.parametrize("component,column,low", [
+    ("R01", "start_date", "1996-12-01"), ("R02", "start_date", "1996-12-01"), ("R14", "start_date", "1996-12-01"),
+    ("R04", "activation_date", "1997-01-01"), ("R05", "activation_date", "1997-01-01"), ("R12", "fulfillment_date", "1996-12-31"),
+    ("R13", "fulfillment_date", "1996-12-31"), ("R15", "recognised_at", "1996-12-31"), ("R24", "start_date", "1996-12-01"), ("R27", "start_date", "1996-12-01"),
+])
+def test_month_bounds_reach_the_scan(lazy, component, column, low):
+    scans = pushed(lazy.rows(component), f"GreaterThanOrEqual({column},")
+    assert scans and all(f"GreaterThanOrEqual({column},{low}" in s for s in scans)
+    if component in ("R15", "R24", "R27", "R04", "R05", "R12", "R13"):
+        assert all(f"LessThan({column},1997-03-0" in s for s in scans)
+
+
+def test_vas_timing_bounds(lazy):
+    assert pushed(lazy.vas_timing, "GreaterThanOrEqual(start_date,1996-12-01")
+
+
+def test_a_component_computes_only_its_own_frames(spark):
+    plan = BridgePlan(spark, ledger_for(spark, SF), fixture_policy())
+    plan.rows("R15")
+    plan.rows("R04")
+    assert "classified" not in plan.__dict__ and "folder" not in plan.__dict__
+
+
+def test_a_run_leaves_nothing_behind(spark):
+    with BridgePlan(spark, ledger_for(spark, SF), fixture_policy()) as plan:
+        plan.report().collect()
+        folder = plan.folder.path
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        assert fs.exists(path)
+    assert not fs.exists(path)
+
+
+def test_an_unset_shared_folder_is_an_error(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", "")
+    try:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(spark)
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            RunFolder(spark)
+    finally:
+        spark.conf.set("spark.checkpoint.dir", folder)
