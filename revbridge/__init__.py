@@ -7,7 +7,6 @@ functions/  column expressions shared by operators (IST dates, tenure, JSON)
 operators/  one module per product: base, churn, classify, movements,
             transitions, vas, swaps, discounts, cycles, assemble
 plans/      month drivers, the bridge plan, persistence cut points
-streaming/  intentionally empty (the workload is batch only)
 checks/     independent DuckDB SQL used as the correctness oracle
 """
 

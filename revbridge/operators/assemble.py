@@ -42,21 +42,31 @@ def component_table(spark: SparkSession, labels: tuple[tuple[str, str], ...] = (
     )
 
 
+def component_rule(labels: tuple[tuple[str, str], ...] = ()) -> F.Column:
+    """What the report knows of the row's component, from a literal map (no join)."""
+    fam, own = {c: f for f, members in FAMILIES.items() for c in members}, dict(labels)
+    entries = []
+    for cid, label, order, sign, cx in COMPONENTS + EXTRA_COMPONENTS:
+        entries += [F.lit(cid), F.struct(
+            F.lit(own.get(cid, label)).alias("label"), F.lit(order).alias("sort_order"), F.lit(sign).alias("sign"),
+            F.lit(cx).alias("counts_customers"), F.lit(fam.get(cid)).cast("string").alias("family"),
+        )]
+    return F.create_map(*entries)[F.col("component")]
+
+
 def aggregate_components(rows: DataFrame, labels: tuple[tuple[str, str], ...] = ()) -> DataFrame:
     """Items (distinct entity), customers (distinct customer) and revenue per
     (month, component), with the component's sign and customer rule applied."""
-    spark = rows.sparkSession
-    meta = F.broadcast(component_table(spark, labels))
     g = rows.groupBy("month_num", "component").agg(
         F.count_distinct("entity_type", "entity_id").alias("items"),
         F.count_distinct("customer").alias("cx"),
         F.sum("amount").alias("rev"),
     )
-    return g.join(meta, "component").select(
-        "month_num", "component", "label", "sort_order", "family",
-        (F.col("items") * F.col("sign")).cast("long").alias("items_count"),
-        F.when(F.col("counts_customers"), F.col("cx") * F.col("sign")).otherwise(F.lit(0)).cast("long").alias("cx_count"),
-        (F.col("rev") * F.col("sign")).cast("decimal(28,2)").alias("taxable_revenue"),
+    return g.withColumn("m", component_rule(labels)).select(
+        "month_num", "component", "m.label", "m.sort_order", "m.family",
+        (F.col("items") * F.col("m.sign")).cast("long").alias("items_count"),
+        F.when(F.col("m.counts_customers"), F.col("cx") * F.col("m.sign")).otherwise(F.lit(0)).cast("long").alias("cx_count"),
+        (F.col("rev") * F.col("m.sign")).cast("decimal(28,2)").alias("taxable_revenue"),
     )
 
 

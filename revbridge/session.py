@@ -30,13 +30,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names in spark.checkpoint.dir."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder that the cluster names in spark.checkpoint.dir (or that
+    the application has set as its checkpoint folder)."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
         raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
     return path
 
 

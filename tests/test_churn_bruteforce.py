@@ -87,11 +87,12 @@ def brute_cross(txn_rows):
 
 
 def one_item_ledger(spark, returns=(), buyouts=(), others=()):
-    """Item 1 of user 1 (and `others`: (id, activation, pickup)), by days after BASE."""
+    """Item 1 of user 1, and `others` (id, activation, return and pickup), by days after BASE."""
     day = lambda d: BASE + dt.timedelta(days=d)
     items = [(1, 1, 1, "ACTIVE", "RENTAL", day(0), day(40) if returns else None, 1, "i1", '{"basePrice":1}')]
-    items += [(i, 1, i, "ACTIVE", "RENTAL", day(a), None if p is None else day(p), i, f"i{i}", '{"basePrice":1}') for i, a, p in others]
+    items += [(i, 1, i, "ACTIVE", "RENTAL", day(a), day(p), i, f"i{i}", '{"basePrice":1}') for i, a, p in others]
     ret = [(100 + n, 1, 100 + n, "COMPLETED", day(d), day(d)) for n, d in enumerate(returns)]
+    ret += [(150 + i, i, 150 + i, "COMPLETED", day(p), day(p)) for i, _, p in others]
     rtp = [(200 + n, 1, 300 + n, '{"s":"PAID"}', '{"byCashPreTax":"10"}') for n, _ in enumerate(buyouts)]
     rto = [(300 + n, state, day(d)) for n, (d, state) in enumerate(buyouts)]
     return Ledger.from_rows(spark, items=items, return_items=ret, rtp_items=rtp, rtp_orders=rto)

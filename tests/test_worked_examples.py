@@ -3,14 +3,17 @@
 Months: January / February 2026.  Each test builds only the rows it needs.
 """
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revbridge.operators import assemble
 from revbridge.plans.bridge import BridgePlan
-from revbridge.policy import Policy
+from revbridge.policy import FAMILIES, Policy
 from revbridge.sources.ledger import Ledger
 
 POLICY = Policy(months=(dt.date(2026, 1, 1), dt.date(2026, 2, 1)), as_of=dt.date(2026, 6, 1))
@@ -32,13 +35,23 @@ def cycle(eid, start, amount, rec=None, etype="ITEM", sched=None, rtype="ACCRUAL
 
 
 def component(plan, comp):
-    agg = assemble.all_components(plan.aggregated)
+    members = next((m for m in FAMILIES.values() if comp in m), [comp])
+    rows = reduce(DataFrame.unionByName, [plan.rows(c) for c in members])
+    agg = assemble.all_components(assemble.aggregate_components(rows, plan.policy.labels), plan.policy.labels)
     rows = agg.filter(F.col("component") == comp).select("month_num", "items_count", "cx_count", "taxable_revenue").collect()
     return {r.month_num: (r.items_count, r.cx_count, float(r.taxable_revenue)) for r in rows}
 
 
-def plan_of(spark, **rows):
-    return BridgePlan(spark, Ledger.from_rows(spark, **rows), POLICY, materialize="table")
+def swap(i, action, day):
+    return (i, i, None, "FULFILLED", action, *[None] * 8, ts(day))
+
+
+def returned(i, user, day, kind="COMPLETED"):
+    return (i, i, user, kind, ts(day + " 06:00:00"), ts(day + " 08:00:00"))
+
+
+def plan_of(spark, policy=POLICY, **rows):
+    return BridgePlan(spark, Ledger.from_rows(spark, **rows), policy, materialize="table")
 
 
 def test_opening_normal_and_early_cycle(spark):
@@ -114,8 +127,7 @@ def test_swaps_out_and_in(spark):
         spark,
         items=[item(1, 7), item(2, 7)],
         recognitions=[cycle(1, "2026-01-01", 1200), cycle(2, "2026-01-20", 1500)],
-        swap_items=[(1, 1, "SWAP_OUT", "FULFILLED", ts("2026-01-12 05:00:00")),
-                    (2, 2, "SWAP_IN", "FULFILLED", ts("2026-01-12 05:00:00"))],
+        swap_items=[swap(1, "SWAP_OUT", "2026-01-12 05:00:00"), swap(2, "SWAP_IN", "2026-01-12 05:00:00")],
     )
     assert component(p, "R12")[1] == (-1, 0, -1200.0)
     assert component(p, "R13")[1] == (1, 0, 1500.0)
@@ -177,3 +189,167 @@ def test_churn_table_sink_roundtrip(spark, tmp_path):
     write_churn_table(p.churn_table, path=out)
     back = spark.read.parquet(out).collect()
     assert [(r.entity_id, r.churn_flag, r.rnk) for r in back] == [(1, "FULL", 1)]
+
+
+# ---- churn: attachments, several entities, months -------------------------------
+
+
+def test_item_and_attachment_returned(spark):
+    p = plan_of(
+        spark,
+        items=[item(1, 7, pickup="2026-01-13 10:00:00", composite=50)], attachments=[item(2, 7, composite=50)],
+        recognitions=[cycle(1, "2025-12-15", 1200), cycle(2, "2025-12-15", 200, etype="ATTACHMENT")],
+        return_items=[returned(1, 7, "2026-01-10")],
+    )
+    assert component(p, "R06")[1] == (-2, -1, -1400.0)
+
+
+def test_partial_pickup_with_attachment(spark):
+    p = plan_of(
+        spark,
+        items=[item(1, 7, pickup="2026-01-13 10:00:00", composite=50), item(3, 7)], attachments=[item(2, 7, composite=50)],
+        recognitions=[cycle(1, "2025-12-15", 900), cycle(2, "2025-12-15", 150, etype="ATTACHMENT"), cycle(3, "2025-12-15", 700)],
+        return_items=[returned(1, 7, "2026-01-10")],
+    )
+    assert component(p, "R07")[1] == (-2, 0, -1050.0)
+
+
+def test_full_pickup_of_three_entities(spark):
+    p = plan_of(
+        spark,
+        items=[item(1, 7, pickup="2026-01-13 10:00:00", composite=50), item(3, 7, pickup="2026-01-13 10:00:00")],
+        attachments=[item(2, 7, composite=50)],
+        recognitions=[cycle(1, "2025-12-15", 1200), cycle(2, "2025-12-15", 300, etype="ATTACHMENT"), cycle(3, "2025-12-15", 800)],
+        return_items=[returned(1, 7, "2026-01-10"), returned(3, 7, "2026-01-10")],
+    )
+    assert component(p, "R08")[1] == (-3, -1, -2300.0)
+
+
+def test_return_of_a_prior_month_counts_there(spark):
+    # requested in December, picked up in January: bucketed by request, before the first month
+    p = plan_of(
+        spark,
+        items=[item(1, 7, pickup="2026-01-03 10:00:00")],
+        recognitions=[cycle(1, "2025-12-15", 1200)],
+        return_items=[returned(1, 7, "2025-12-28")],
+    )
+    assert component(p, "R06") == {}
+
+
+def test_buyout_partial(spark):
+    p = plan_of(
+        spark,
+        items=[item(1, 7), item(2, 7)],
+        recognitions=[cycle(1, "2025-12-15", 900), cycle(2, "2025-12-15", 500)],
+        rtp_items=[(1, 1, 91, '{"status":"PAID"}', '{"byCashPreTax":"5000"}')],
+        rtp_orders=[(91, "CONFIRMED", ts("2026-01-05 04:00:00"))],
+    )
+    assert component(p, "R10")[1] == (-1, 0, -900.0)
+
+
+def test_two_paid_buyouts_of_one_item_count_once_each(spark):
+    # the second line's order is cancelled: both transactions stay, the revenue is not multiplied
+    rows = dict(
+        items=[item(1, 7)],
+        recognitions=[cycle(1, "2025-12-15", 900)],
+        rtp_items=[(n, 1, 90 + n, '{"status":"PAID"}', '{"byCashPreTax":"5000"}') for n in (1, 2)],
+        rtp_orders=[(91, "CONFIRMED", ts("2026-01-05 04:00:00")), (92, "CANCELLED", ts("2026-01-20 04:00:00"))],
+    )
+    assert component(plan_of(spark, **rows), "R09")[1] == (-1, -1, -1800.0)
+    assert component(plan_of(spark, **rows), "R10")[1] == (0, 0, 0.0)
+    assert component(plan_of(spark, **rows), "R11")[1] == (-1, -1, -1800.0)
+
+
+# ---- plan transition and discounts ------------------------------------------------
+
+
+def term(i, start, months, amount=6000):
+    s = ts(start + " 00:00:00")
+    return (i, s, s + dt.timedelta(days=round(30.45 * months)), Decimal(amount), Decimal(amount))
+
+
+def upfront(amount):
+    return f'[{{"amount":{amount},"catalogReferenceId":"1"}}]'
+
+
+@pytest.mark.parametrize("first,second,delta", [((12, 800.0), (6, 500.0), 300.0), ((6, 180.50), (12, 169.67), 10.83)])
+def test_plan_transition(spark, first, second, delta):
+    p = plan_of(
+        spark,
+        items=[item(1, 7)], schedules=[term(11, "2025-07-01", first[0]), term(12, "2026-01-01", second[0])],
+        recognitions=[cycle(1, "2025-12-01", 1000, sched=11, disc=upfront(first[1])), cycle(1, "2026-01-01", 1000, sched=12, disc=upfront(second[1]))],
+        discounts=[(1, "UPFRONT")],
+    )
+    assert component(p, "R16")[2] == (1, 1, delta)
+
+
+def test_plan_transition_grain_leaves_out_the_end(spark):
+    # two cycles of a schedule with equal start and different ends are one row: 140 - 30
+    early, late = cycle(1, "2025-12-01", 1000, sched=11, disc=upfront(100.0)), list(cycle(1, "2025-12-01", 1000, sched=11, disc=upfront(40.0)))
+    late[7] += dt.timedelta(days=10)
+    p = plan_of(
+        spark,
+        items=[item(1, 7)], schedules=[term(11, "2025-07-01", 6), term(12, "2026-01-01", 12)],
+        recognitions=[early, tuple(late), cycle(1, "2026-01-01", 1000, sched=12, disc=upfront(30.0))],
+        discounts=[(1, "UPFRONT")],
+    )
+    assert component(p, "R16")[2] == (1, 1, 110.0)
+
+
+def test_plan_of_1_3_12_months(spark):
+    # upfront 0 / 20 / 25: the first cycle has no upfront line, so only the second change fires (20 - 25)
+    both = '[{"amount":%s,"catalogReferenceId":"1"},{"amount":%s,"catalogReferenceId":"2"}]'
+    p = plan_of(
+        spark,
+        items=[item(1, 7)], schedules=[term(11, "2025-11-01", 1), term(12, "2025-12-01", 3), term(13, "2026-01-01", 12)],
+        recognitions=[cycle(1, "2025-11-01", 100, sched=11, disc='[{"amount":10,"catalogReferenceId":"2"}]'),
+                      cycle(1, "2025-12-01", 80, sched=12, disc=both % (20, 10)), cycle(1, "2026-01-01", 70, sched=13, disc=both % (25, 15))],
+        discounts=[(1, "UPFRONT"), (2, "LOYALTY")],
+    )
+    assert component(p, "R16") == {2: (1, 1, -5.0)}
+
+
+def test_discount_change_in_the_current_month(spark):
+    p = plan_of(
+        spark, replace(POLICY, discount_change_months=0),
+        items=[item(1, 7)],
+        recognitions=[cycle(1, "2025-12-01", 1000, disc='[{"amount":200.0,"catalogReferenceId":"2"}]'),
+                      cycle(1, "2026-01-01", 1000, disc='[{"amount":350.0,"catalogReferenceId":"2"}]')],
+        discounts=[(2, "LOYALTY")],
+    )
+    assert component(p, "R23") == {1: (1, 1, -150.0)}
+
+
+# ---- minimum-tenure scenarios and add-on services -----------------------------------
+
+
+@pytest.mark.parametrize("asked,month,charged", [("2026-01-20", 1, -200.0), ("2026-02-20", 2, -100.0)])
+def test_return_inside_the_tenure(spark, asked, month, charged):
+    # cycles of 100 from mid January, February and March; a return recognises the later ones early
+    rec = asked + " 06:00:00"
+    starts = ("2026-01-15", "2026-02-15", "2026-03-15")
+    p = plan_of(spark, items=[item(1, 7)], recognitions=[cycle(1, s, 100, rec=rec if s > asked else None) for s in starts])
+    assert component(p, "R14")[month] == (-1, -1, charged)
+    if month == 1:
+        p = plan_of(spark, items=[item(1, 7)], recognitions=[cycle(1, s, 100, rec=rec if s > asked else None) for s in starts])
+        assert component(p, "R02")[2] == (-1, -1, charged)
+
+
+def test_cycle_inside_its_month_is_skipped(spark):
+    # recognised early in December: the cycle of December itself is no future cycle (a known gap)
+    policy = replace(POLICY, months=(dt.date(2025, 12, 1), dt.date(2026, 1, 1)))
+    rec = "2025-12-12 12:03:00"
+    p = plan_of(spark, policy, items=[item(1, 7)], recognitions=[
+        cycle(1, "2025-11-08", 100, rec="2025-12-07 13:30:00"), cycle(1, "2025-12-08", 100, rec=rec), cycle(1, "2026-01-08", 100, rec=rec)])
+    assert component(p, "R14")[1] == (-1, -1, -100.0)
+
+
+def test_prefixed_service_types_and_labels(spark):
+    policy = replace(POLICY, labels=(("R24", "Care of the brand"),))
+    vas = [(70 + n, 1, "ITEM", t, "ACTIVE") for n, t in enumerate(("BRAND_CARE_PROGRAM", "FLEXI_CANCELLATION", "X_DELIVERY_CHARGE", "CARE_PROGRAMME"))]
+    rows = dict(items=[item(1, 7)], vas=vas, recognitions=[cycle(70 + n, "2026-01-05", 10 ** n, etype="VALUE_ADDED_SERVICE") for n in range(4)])
+    assert component(plan_of(spark, policy, **rows), "R24") == {1: (2, 1, 11.0)}
+    assert component(plan_of(spark, policy, **rows), "R25") == {1: (1, 1, 100.0)}
+    assert component(plan_of(spark, policy, **rows), "R27") == {1: (1, 1, 1000.0)}
+    agg = assemble.aggregate_components(plan_of(spark, policy, **rows).rows("R24"), policy.labels)
+    assert [r.label for r in agg.collect()] == ["Care of the brand"]
