@@ -16,7 +16,9 @@ of at most 2 * width bytes.
    an anchor go to one shard of about SHARD_BYTES, and the shard's suffixes are
    sorted by external induced sorting with common prefixes (`suffix_array`): a
    window repeats if a neighbour in that order shares `width` bytes.  Anchors with
-   very many distinct snippets are split by the core that a window holds.
+   very many distinct snippets are split: their windows are cut into blocks of
+   SPLIT neighbouring starts, and dealt by the bytes that all windows of a block
+   hold, after equal blocks have been settled by a count as in 2.
 4. The intervals found go to their documents, which are cut and digested.
 
 The text is shuffled compressed (twice), and never gathered: a task holds one
@@ -41,8 +43,10 @@ GRAM = 32
 #: Bytes scanned at a time, and bits for a place in them.
 SCAN_BYTES = 1 << 19
 _PLACE_BITS = np.uint64(20)
-#: Text of one shard; anchors whose distinct snippets pass a quarter of it are split by core.
+#: Text of one shard; anchors whose distinct snippets pass a quarter of it are split into
+#: blocks of so many window starts.
 SHARD_BYTES = 2 << 20
+SPLIT = 24
 #: The Bloom filter: 512-bit blocks, at most 2^18 of them (16 MB) are sent out.
 MAX_BLOCKS = 1 << 18
 BITS_PER_KEY = 16
@@ -257,6 +261,23 @@ def _unpack(size: int, data: bytes) -> bytes:
     return pa.decompress(data, size, "zstd", asbytes=True) if size else b""
 
 
+def _blocks(text: bytes, x: dict, width: int) -> Iterator[tuple[int, int, bytes]]:
+    """An instance's windows [lo, hi) and the bytes that decide their shard: all of
+    it, or if its anchor is split, blocks of SPLIT starts (counted from the anchor,
+    so that equal windows fall into equal blocks) with the bytes common to a block."""
+    first, stop = x["first"], x["first"] + x["n"]
+    if not x["split"]:
+        yield first, stop, b""
+        return
+    place = first + x["offset"]
+    for k in range((first - place) // SPLIT, (stop - 1 - place) // SPLIT + 1):
+        start = place + SPLIT * k
+        yield max(first, start), min(stop, start + SPLIT), b"%d:" % k + text[start + SPLIT - 1 : start + width]
+
+
+_SNIPPET = "k1 long, k2 long, shard long, first long, split boolean, snippet binary"
+
+
 def _snippets(packed: DataFrame, asked: DataFrame, width: int) -> DataFrame:
     """The bytes of the asked instances, dealt to shards."""
 
@@ -267,21 +288,31 @@ def _snippets(packed: DataFrame, asked: DataFrame, width: int) -> DataFrame:
                 text = _unpack(row["size"], row["data"])
                 out = []
                 for x in row["asked"]:
-                    a, n, off = x["first"], x["n"], x["offset"]
-                    ranges = [(a, a + n, b"")]
-                    if x["split"]:  # windows up to the place of the left core, and the others
-                        core, turn = core_bytes(width), a + off - (core_bytes(width) - GRAM) + 1
-                        ranges = [(a, min(a + n, turn), b"L" + text[turn - 1 : turn - 1 + core]), (max(a, turn), a + n, b"R" + text[a + off : a + off + core])]
-                    for lo, hi, by in ranges:
-                        if lo < hi:
-                            shard = xxhash.xxh64_intdigest(by, x["anchor"] & (2**64 - 1))
-                            out.append((row["k1"], row["k2"], shard >> 1, lo, text[lo : hi + width - 1]))
-                if out:
-                    cols = list(zip(*out))
-                    yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.binary())], ["k1", "k2", "shard", "first", "snippet"])
+                    for lo, hi, by in _blocks(text, x, width):
+                        shard = xxhash.xxh64_intdigest(by, x["anchor"] & (2**64 - 1)) >> 1
+                        out.append((row["k1"], row["k2"], shard, lo, x["split"], text[lo : hi + width - 1]))
+                cols = list(zip(*out))
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.bool_()), pa.array(cols[5], pa.binary())],
+                    ["k1", "k2", "shard", "first", "split", "snippet"],
+                )
 
     joined = packed.join(asked, ["k1", "k2"]).select("k1", "k2", "size", "data", "asked")
-    return joined.mapInArrow(cut, "k1 long, k2 long, shard long, first long, snippet binary")
+    return joined.mapInArrow(cut, _SNIPPET)
+
+
+def _settled_blocks(blocks: DataFrame, width: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Blocks of split anchors: the intervals of equal ones (all their windows repeat), and
+    one of each kind where a shard has several and some kind is met only once."""
+    digest = F.xxhash64("snippet")
+    kinds = scratch.stage(
+        blocks.groupBy("shard", digest.alias("digest"))
+        .agg(F.count("*").alias("uses"), F.min(F.struct("k1", "k2", "first", "snippet")).alias("x"))
+    )
+    equal = blocks.withColumn("digest", digest).join(kinds.filter("uses > 1").select("shard", "digest"), ["shard", "digest"], "left_semi")
+    mixed = kinds.groupBy("shard").agg(F.count("*").alias("kinds"), F.min("uses").alias("least")).filter("kinds > 1 and least = 1")
+    open_kinds = kinds.join(mixed.select("shard"), "shard", "left_semi").select("x.k1", "x.k2", "shard", "x.first", "x.snippet")
+    return equal.select("k1", "k2", F.col("first").alias("lo"), (F.col("first") + F.octet_length("snippet")).alias("hi")), open_kinds
 
 
 def _sorted_shards(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -347,11 +378,13 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
     asked = open_kinds.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "split", "first", "n", "offset")).alias("asked"))
     packed = _packed(rows)
     snippets = scratch.stage(_snippets(packed, asked, width))
-    size = snippets.agg(F.sum(F.octet_length("snippet"))).first()[0] or 0
+    equal, open_blocks = _settled_blocks(snippets.filter("split"), width, scratch)
+    open_text = snippets.filter("not split").drop("split").unionByName(open_blocks)
+    size = open_text.agg(F.sum(F.octet_length("snippet"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    dealt = snippets.withColumn("shard", F.pmod("shard", F.lit(shards))).repartition("shard").sortWithinPartitions("shard")
+    dealt = open_text.withColumn("shard", F.pmod("shard", F.lit(shards))).repartition("shard").sortWithinPartitions("shard")
     part = dealt.select("k1", "k2", "shard", "first", "snippet").mapInArrow(lambda it: _sorted_shards(it, width), "k1 long, k2 long, lo long, hi long")
-    gone = whole.unionByName(part).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("gone"))
+    gone = whole.unionByName(equal).unionByName(part).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("gone"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     extra = ", kept binary, spans array<struct<start:long,end:long>>" if keep_text else ""
 
