@@ -36,6 +36,13 @@ def uniform60(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(joined), 1, 15), 16, 10).cast("long")
 
 
+def as_row(df: DataFrame, *drop: str, **more: Column) -> DataFrame:
+    """The columns of `df` but `drop` as one struct `row`, beside the columns `more`: whatever
+    a caller's columns are called, they meet no name used inside an operator."""
+    keep = [F.col(f"`{c}`") for c in df.columns if c not in drop]
+    return df.select(F.struct(*keep).alias("row"), *[c.alias(n) for n, c in more.items()])
+
+
 def row_key(*cols: Column) -> list[Column]:
     """Two 64-bit digests of a row's content, as columns `k1` and `k2`.
 
@@ -56,13 +63,13 @@ def group_key(col: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a scratch one only in local mode where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder in spark.checkpoint.dir; a scratch one only in local mode where none is set."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 

@@ -17,13 +17,15 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revbridge.llm.common import Scratch, normal_line, row_key
+from revbridge.llm.common import Scratch, as_row, normal_line, row_key
 
 #: 2^LG_K registers; an estimate's standard error is 1.04 / 2^(LG_K / 2).
 LG_K = 12
 #: Standard errors within which an estimate is not trusted, and lines at least.
 MARGIN_ERRORS = 8
 MARGIN_SITES = 2
+#: Parts in which the rows of a (line, site) are thinned out for the exact count.
+SALTS = 64
 
 
 def near_threshold(min_sites: int) -> tuple[int, int]:
@@ -43,17 +45,16 @@ def line_rows(docs: DataFrame, *keep: str) -> DataFrame:
 def boilerplate(lines: DataFrame, min_sites: int, site: str = "site") -> DataFrame:
     """(`h1`, `h2`) of the lines that `min_sites` distinct sites or more carry (null is no site)."""
     low, high = near_threshold(min_sites)
-    # a line seen with one site only is decided without a sketch
-    spread = lines.groupBy("h1", "h2").agg(F.min(site).alias("a"), F.max(site).alias("b")).filter("a is not null")
+    sketch = F.hll_sketch_agg(site, F.lit(LG_K)).alias("sketch")
+    seen = lines.groupBy("h1", "h2").agg(F.min(site).alias("a"), F.max(site).alias("b"), sketch).filter("a is not null")
     if min_sites <= 1:
-        return spread.select("h1", "h2")
-    several = spread.filter("a < b").select("h1", "h2")
-    held = lines.select("h1", "h2", site).join(several, ["h1", "h2"], "left_semi")
-    sketches = held.groupBy("h1", "h2").agg(F.hll_sketch_agg(site, F.lit(LG_K)).alias("sketch"))
-    counted = sketches.select("h1", "h2", F.hll_sketch_estimate("sketch").alias("sites")).filter(F.col("sites") >= low)
+        return seen.select("h1", "h2")
+    counted = seen.filter("a < b").select("h1", "h2", F.hll_sketch_estimate("sketch").alias("sites")).filter(F.col("sites") >= low)
     sure = counted.filter(F.col("sites") > high).select("h1", "h2")
     near = counted.filter(F.col("sites") <= high).select("h1", "h2")
-    pairs = held.join(near, ["h1", "h2"], "left_semi").filter(F.col(site).isNotNull()).distinct()
+    held = lines.filter(F.col(site).isNotNull()).select("h1", "h2", site, "k1").join(near, ["h1", "h2"], "left_semi")
+    # dealt by row as well, so that a line that many documents of a site carry is thinned out before it meets
+    pairs = held.repartition("h1", "h2", site, F.pmod("k1", F.lit(SALTS))).groupBy("h1", "h2", site).agg(F.lit(1).alias("one"))
     exact = pairs.groupBy("h1", "h2").agg(F.count("*").alias("n")).filter(F.col("n") >= min_sites).select("h1", "h2")
     return sure.unionByName(exact)
 
@@ -70,23 +71,35 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 10, site: str = "source
     boilerplate alone keeps its row, with what is left.  Repeated rows are all
     returned, no rows give none.
     """
+    rows = _cleaned(docs, min_sites, site)
+    own = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return rows.select(*own, "n_lines", "n_removed")
+
+
+def clean_documents(docs: DataFrame, min_sites: int = 10, site: str = "source") -> DataFrame:
+    """`remove_boilerplate` without the counts: the columns of `docs`."""
+    return _cleaned(docs, min_sites, site).select("row.*")
+
+
+def _cleaned(docs: DataFrame, min_sites: int, site: str) -> DataFrame:
+    """All columns of docs as `row`, its text rewritten; `n_lines` and `n_removed`."""
     scratch = Scratch(docs.sparkSession)
     key = row_key(F.col("text"))
-    docs = docs.drop("n_lines", "n_removed", "_drop", "_site")
-    keyed = docs.select(*key, F.col("doc_id").alias("_id"), F.col(site).cast("string").alias("site"), "text")
-    lines = scratch.stage(line_rows(keyed, "k1", "k2", "_id", "site"))
+    keyed = docs.select(*key, F.col("doc_id").alias("id"), F.col(site).cast("string").alias("site"), "text")
+    lines = scratch.stage(line_rows(keyed, "k1", "k2", "id", "site"))
     common = scratch.stage(boilerplate(lines, min_sites))
     # places to remove, once per document (rows of equal id and text share them)
-    hits = lines.select("k1", "k2", "_id", "at", "h1", "h2").join(common, ["h1", "h2"])
-    gone = hits.groupBy("k1", "k2", "_id").agg(F.sort_array(F.collect_set("at")).alias("_drop"))
-    rows = docs.withColumns({"k1": key[0], "k2": key[1], "_id": F.col("doc_id")})
-    same = (rows["k1"] == gone["k1"]) & (rows["k2"] == gone["k2"]) & rows["_id"].eqNullSafe(gone["_id"])
-    rows = rows.join(gone, same, "left").select(*[rows[c] for c in docs.columns], gone["_drop"])
-    split = F.split("text", "\n")
-    left = F.filter(F.arrays_zip(F.sequence(F.lit(0), F.size(split) - 1).alias("at"), split.alias("line")), lambda x: ~F.array_contains("_drop", x["at"]))
+    hits = lines.select("k1", "k2", "id", "at", "h1", "h2").join(common, ["h1", "h2"])
+    gone = hits.groupBy("k1", "k2", "id").agg(F.collect_set("at").alias("places"))
+    rows = as_row(docs, k1=key[0], k2=key[1], id=F.col("doc_id"))
+    same = (rows["k1"] == gone["k1"]) & (rows["k2"] == gone["k2"]) & rows["id"].eqNullSafe(gone["id"])
+    rows = rows.join(gone, same, "left").select("row", "places")
+    split = F.split("row.text", "\n")
+    left = F.filter(F.transform(split, lambda x, i: F.struct(i.alias("at"), x.alias("line"))), lambda x: ~F.array_contains("places", x["at"]))
     rest = F.array_join(F.transform(left, lambda x: x["line"]), "\n")
-    return rows.withColumns({
-        "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).cast("long"),
-        "n_removed": F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long"),
-        "text": F.when(F.col("_drop").isNull(), F.col("text")).otherwise(rest),
-    }).drop("_drop")
+    text = F.when(F.col("places").isNull(), F.col("row.text")).otherwise(rest)
+    return rows.select(
+        F.col("row").withField("text", text).alias("row"),
+        F.when(F.col("row.text").isNull(), 0).otherwise(F.size(split)).cast("long").alias("n_lines"),
+        F.when(F.col("places").isNull(), 0).otherwise(F.size("places")).cast("long").alias("n_removed"),
+    )
