@@ -11,7 +11,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from revbridge.llm import line_dedup, mixing, packing, quality_rules, simhash
 from revbridge.llm.common import Scratch
@@ -23,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.remove_boilerplate(docs, MIN_SITES).select(*docs.columns)
+    return line_dedup.clean_documents(docs, MIN_SITES)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +30,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(docs, MIX_CYCLE, MIX_EPOCHS, tie=F.xxhash64("text"))
-    return mixing.repeat_documents(mixed).select(*docs.columns)
+    return mixing.mixed_corpus(docs, MIX_CYCLE, MIX_EPOCHS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = packing.pack(docs.select("doc_id", "text"), PACK_LEN, PACK_BUCKETS, PACK_BUDGET, ties=[F.xxhash64("text")])
+    rows = packing.pack(docs.select("doc_id", "text"), PACK_LEN, PACK_BUCKETS, PACK_BUDGET, by_text=True)
     rows = packing.piece_text(rows, PACK_LEN)
     return rows.select("doc_id", "piece", "n_tokens", "bucket_len", "batch", "padding", "text")
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revbridge.llm.common import Scratch, global_index, group_key, n_words, prefix_sums, uniform60
+from revbridge.llm.common import Scratch, as_row, global_index, group_key, n_words, prefix_sums, uniform60
 
 
 def water_fill(sources: DataFrame, budget: int, max_epochs: int) -> DataFrame:
@@ -67,6 +67,9 @@ def cyclic_weights(sources: DataFrame, cycle: tuple[int, ...], scratch: Scratch,
     return ranked.withColumn("weight", weight.cast("long")).drop("place")
 
 
+ADDED = ("size", "source_size", "target", "reps", "taken")
+
+
 def mix(docs: DataFrame, weighted: DataFrame, max_epochs: int = 3, budget: int | None = None, seed: str = "mix",
         source: str = "source", size: Column | None = None, tie: Column | None = None, bits: int = 12) -> DataFrame:
     """Add `size`, `source_size`, `target`, `reps` and `taken` to every document.
@@ -84,35 +87,41 @@ def mix(docs: DataFrame, weighted: DataFrame, max_epochs: int = 3, budget: int |
     repeated rows count one by one; equal rows may swap places in the order, which
     leaves the result the same.  No row is dropped; an empty frame gives no rows.
     """
-    added = ("size", "source_size", "target", "reps", "taken")
-    docs = docs.drop(*[c for c in docs.columns if c in added or c.startswith("_mix")])
+    rows = _mixed(docs, weighted, max_epochs, budget, seed, source, size, tie, bits)
+    return rows.select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in ADDED], *ADDED)
+
+
+def _mixed(docs: DataFrame, weighted: DataFrame, max_epochs: int, budget: int | None, seed: str, source: str, size: Column | None,
+           tie: Column | None, bits: int) -> DataFrame:
+    """All columns of docs as `row`, and the added ones."""
     words = n_words(F.col("text")) if size is None else size
     if budget is None:
         budget = weighted.agg(F.sum("source_size")).first()[0] or 0
-    targets = water_fill(weighted, budget, max_epochs)
-    # one row per source: columns that docs may also have stay out of the join
-    targets = targets.select(
-        F.col("source_key").alias("_mix_key"), "source_size", "target",
-        F.floor(F.try_divide(F.col("target"), F.col("source_size"))).alias("_mix_whole"),
-    ).withColumn("_mix_need", F.col("target") - F.col("_mix_whole") * F.col("source_size"))
-    rows = docs.withColumns({"_mix_key": group_key(F.col(source)), "size": words})
-    rows = rows.withColumn("_mix_u", uniform60(F.lit(seed), F.col("doc_id"), F.col("size")))
-    ties = [F.col("doc_id"), F.col("size")] + ([] if tie is None else [tie])
-    rows = prefix_sums(rows, "_mix_key", "_mix_u", "size", "_mix_before", ties, bits)
-    extra = (F.col("_mix_need") > 0) & (2 * F.col("_mix_before") + F.col("size") <= 2 * F.col("_mix_need"))
-    reps = F.coalesce(F.col("_mix_whole"), F.lit(0)) + F.when(extra, 1).otherwise(0)
-    rows = rows.join(targets, "_mix_key").withColumn("reps", reps.cast("long"))
-    rows = rows.withColumn("taken", F.col("reps") * F.col("size"))
-    return rows.drop("_mix_key", "_mix_u", "_mix_before", "_mix_whole", "_mix_need")
+    targets = water_fill(weighted, budget, max_epochs).select(
+        F.col("source_key").alias("key"), "source_size", "target",
+        F.floor(F.try_divide(F.col("target"), F.col("source_size"))).alias("whole"),
+    ).withColumn("need", F.col("target") - F.col("whole") * F.col("source_size"))
+    rows = as_row(docs, key=group_key(F.col(source)), size=words, tie=F.lit(0) if tie is None else tie)
+    rows = rows.withColumn("u", uniform60(F.lit(seed), F.col("row.doc_id"), F.col("size")))
+    rows = prefix_sums(rows, "key", "u", "size", "before", [F.col("row.doc_id"), F.col("size"), F.col("tie")], bits)
+    extra = (F.col("need") > 0) & (2 * F.col("before") + F.col("size") <= 2 * F.col("need"))
+    reps = F.coalesce(F.col("whole"), F.lit(0)) + F.when(extra, 1).otherwise(0)
+    rows = rows.join(targets, "key").withColumn("reps", reps.cast("long"))
+    return rows.withColumn("taken", F.col("reps") * F.col("size")).select("row", *ADDED)
+
+
+def _cyclic(docs: DataFrame, cycle: tuple[int, ...]) -> DataFrame:
+    scratch = Scratch(docs.sparkSession)
+    return scratch.stage(cyclic_weights(source_sizes(docs), cycle, scratch))
 
 
 def mix_sources(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, tie: Column | None = None) -> DataFrame:
     """`mix` with weights repeating over the sources in order and a budget of all words."""
-    scratch = Scratch(docs.sparkSession)
-    weighted = scratch.stage(cyclic_weights(source_sizes(docs), cycle, scratch))
-    return mix(docs, weighted, max_epochs, tie=tie)
+    return mix(docs, _cyclic(docs, cycle), max_epochs, tie=tie)
 
 
-def repeat_documents(mixed: DataFrame) -> DataFrame:
-    """The mixed corpus: each document as often as `reps` says (those with 0 leave)."""
-    return mixed.filter("reps > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("reps").cast("int")))).drop("_copy")
+def mixed_corpus(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
+    """The documents as `mix_sources` takes them, with their own columns: each as often
+    as `reps` says (those with 0 leave)."""
+    rows = _mixed(docs, _cyclic(docs, cycle), max_epochs, None, "mix", "source", None, F.xxhash64("text"), 12).filter("reps > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("reps").cast("int")))).select("row.*")

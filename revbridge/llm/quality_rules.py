@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revbridge.llm.common import Scratch, group_key, n_words, normal_line, row_key
+from revbridge.llm.common import Scratch, as_row, group_key, n_words, normal_line, row_key
 
 #: Words of a window whose repeats count, and the base limits.
 WINDOW = 5
@@ -178,10 +178,10 @@ def _judged(rows: DataFrame, limits: Limits) -> DataFrame:
 def filter_documents(docs: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
     """The kept documents, without the lines above the limits; all columns of `docs`.
     Cases as in `judge`: null texts go, every kept row is returned."""
-    verdict = _judged(keyed(docs, host), limits).filter("kept").select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "removed")
-    verdict = verdict.dropDuplicates(["_k1", "_k2"])
+    verdict = _judged(keyed(docs, host), limits).filter("kept").select("k1", "k2", "removed").dropDuplicates(["k1", "k2"])
     key = row_key(F.col("doc_id"), F.col("text"), F.col(host))
-    rows = docs.withColumns({"_q1": key[0], "_q2": key[1]}).join(verdict, (F.col("_q1") == F.col("_k1")) & (F.col("_q2") == F.col("_k2")))
-    split = F.split("text", "\n")
-    rest = F.transform(F.filter(F.transform(split, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda p: ~F.array_contains("removed", p["i"])), lambda p: p["x"])
-    return rows.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))).select(*docs.columns)
+    rows = as_row(docs, k1=key[0], k2=key[1]).join(verdict, ["k1", "k2"])
+    lines = F.transform(F.split("row.text", "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    rest = F.transform(F.filter(lines, lambda p: ~F.array_contains("removed", p["i"])), lambda p: p["x"])
+    text = F.when(F.col("removed").isNull(), F.col("row.text")).otherwise(F.array_join(rest, "\n"))
+    return rows.select(F.col("row").withField("text", text).alias("row")).select("row.*")

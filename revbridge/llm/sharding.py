@@ -18,7 +18,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revbridge.llm.common import uniform60
+from revbridge.llm.common import as_row, uniform60
 
 #: The table is broadcast; no larger one is built.
 MAX_SLOTS = 1 << 20
@@ -79,20 +79,17 @@ def assign(df: DataFrame, key: list[Column], names: list[str], slots: int | None
     bounded) are split: their rows are placed by key and `spread_by` together.
     """
     slots = slots or prime_from(100 * len(names))
-    df = df.drop("slot", "shard")
-    place = uniform60(*key)
+    rows = as_row(df, "slot", "shard", place=uniform60(*key), spread=uniform60(*key, *spread_by))
+    place = F.col("place")
     if spread_by:
-        rows = df.withColumn("_shard_key", place)
-        counts = rows.groupBy("_shard_key").agg(F.count("*").alias("_n"))
-        share = hot_share or 1 / len(names)
-        total = rows.count()
-        hot = counts.filter(F.col("_n") > F.lit(share * total)).select("_shard_key", F.lit(True).alias("_hot"))
-        rows = rows.join(F.broadcast(hot), "_shard_key", "left")
-        place = F.when(F.col("_hot"), uniform60(*key, *spread_by)).otherwise(F.col("_shard_key"))
-        rows = rows.withColumn("slot", place % slots).drop("_shard_key", "_hot")
-    else:
-        rows = df.withColumn("slot", place % slots)
-    return rows.join(F.broadcast(table_frame(df.sparkSession, names, slots)), "slot")
+        counts = rows.groupBy("place").agg(F.count("*").alias("n"))
+        most = (hot_share or 1 / len(names)) * rows.count()
+        hot = counts.filter(F.col("n") > F.lit(most)).select("place", F.lit(True).alias("hot"))
+        rows = rows.join(F.broadcast(hot), "place", "left")
+        place = F.when(F.col("hot"), F.col("spread")).otherwise(place)
+    placed = rows.select("row", (place % slots).alias("slot"))
+    table = table_frame(df.sparkSession, names, slots)
+    return placed.join(F.broadcast(table), "slot").select("row.*", "slot", "shard")
 
 
 def write_shards(df: DataFrame, path: str) -> None:

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revbridge.llm.common import Scratch, row_key
+from revbridge.llm.common import Scratch, as_row, row_key
 from revbridge.llm.components import connected_components
 
 SEED = 42
@@ -290,8 +290,6 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) ->
     members = connected_components(fingerprint_links(classes.select("fp"), radius), scratch)
     named = classes.join(members.withColumnRenamed("vertex", "fp"), "fp", "left")
     kept = named.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("best").alias("best"))
-    kept = kept.select(F.col("best.k1").alias("_keep1"), F.col("best.k2").alias("_keep2"))
-    left = docs.withColumns({"_k1": key[0], "_k2": key[1]}).join(
-        kept, (F.col("_k1") == F.col("_keep1")) & (F.col("_k2") == F.col("_keep2")), "left_semi"
-    )
-    return left.dropDuplicates(["_k1", "_k2"]).drop("_k1", "_k2")
+    kept = kept.select("best.k1", "best.k2")
+    rows = as_row(docs, k1=key[0], k2=key[1])
+    return rows.join(kept, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select("row.*")

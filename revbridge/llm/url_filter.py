@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revbridge.llm.common import ascii_lower
+from revbridge.llm.common import as_row, ascii_lower
 
 #: 8 words of 64 bits a block; at most 2^18 blocks (16 MB) are broadcast.
 WORDS = 8
@@ -120,18 +120,18 @@ def judge(pages: DataFrame, listed: DataFrame, rules: list[Rule], url: str = "ur
     """
     urls = listed.filter("canonical_url is not null").select("canonical_url").distinct()
     bloom, blocks = build_filter(urls, "canonical_url", urls.count())
-    pages = pages.drop("host", "path", "canonical_url", "rule", "verdict")
-    rows = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
+    added = ("host", "path", "canonical_url", "rule", "verdict")
+    rows = as_row(pages, *added, host=host_of(F.col(url)), path=path_of(F.col(url)))
     rows = rows.withColumn("canonical_url", canonical(F.col("host"), F.col("path")))
-    rows = rows.withColumn("_rule", rule_for(F.col("host"), F.col("path"), rules))
-    rows = possible_hits(rows, "canonical_url", bloom, blocks, "_possible")
+    rows = rows.withColumn("found", rule_for(F.col("host"), F.col("path"), rules))
+    rows = possible_hits(rows, "canonical_url", bloom, blocks, "possible")
     # only what the rules leave open and the filter lets pass is looked up
-    ask = F.col("_possible") & F.col("_rule").isNull()
-    exact = urls.withColumnsRenamed({"canonical_url": "_listed_url"})
-    open_rows = rows.filter(ask).join(exact, F.col("canonical_url") == F.col("_listed_url"), "left")
-    open_rows = open_rows.withColumn("_listed", F.col("_listed_url").isNotNull()).drop("_listed_url")
-    done = rows.filter(~ask).withColumn("_listed", F.lit(False)).unionByName(open_rows)
+    ask = F.col("possible") & F.col("found").isNull()
+    exact = urls.withColumnRenamed("canonical_url", "listed_url")
+    open_rows = rows.filter(ask).join(exact, F.col("canonical_url") == F.col("listed_url"), "left")
+    open_rows = open_rows.withColumn("listed", F.col("listed_url").isNotNull()).drop("listed_url")
+    done = rows.filter(~ask).withColumn("listed", F.lit(False)).unionByName(open_rows)
     return done.withColumns({
-        "rule": F.col("_rule.rule"),
-        "verdict": F.coalesce(F.col("_rule.verdict"), F.when(F.col("_listed"), "block").otherwise("allow")),
-    }).drop("_rule", "_possible", "_listed")
+        "rule": F.col("found.rule"),
+        "verdict": F.coalesce(F.col("found.verdict"), F.when(F.col("listed"), "block").otherwise("allow")),
+    }).select("row.*", *added)

@@ -31,7 +31,7 @@ def docs(spark):
 @pytest.fixture(scope="module")
 def clashing(docs):
     """Extra columns named like the ones that operators add or use inside."""
-    names = "k1 k2 fp a b n u size target taken reps batch piece n_tokens host rule verdict slot shard h at line removed vertex component _k1 _id site gone data".split()
+    names = "k1 k2 fp a b n u size target taken reps batch piece n_tokens host rule verdict slot shard h at line removed vertex component _k1 _id site gone data row key u whole need before place places found possible listed n_lines n_removed _part _offset _block".split()
     return docs.withColumns({n: F.lit("x") for n in names})
 
 
@@ -50,6 +50,7 @@ def either(request):
 
 def test_sharding(either):
     out = sharding.assign(either, [F.col("doc_id")], sharding.shard_names(4))
+    assert all(r[c] == "x" for r in out.collect() for c in either.columns[5:] if c not in ("slot", "shard"))
     got = bag(out, "doc_id", "shard")
     assert sum(got.values()) == len(ROWS)
     assert len({s for (d, s) in got if d == 2}) == 1 and len({s for (d, s) in got if d is None}) == 1
@@ -143,6 +144,7 @@ def test_url_filter(spark):
     listed = spark.createDataFrame([("bad.net/p/1",), ("bad.net/p/1",), (None,), ("example.org/en/2",)], "canonical_url string")
     got = {(r.page_id, r.url): (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, listed, RULES).collect()}
     assert len(got) == len(URLS)
+    assert {r._block for r in url_filter.judge(pages, listed, RULES).collect()} == {"z"}
     for (page, url), (host, path, rule, verdict) in got.items():
         rest = (url or "").split("://", 1)
         rest = rest[1] if len(rest) == 2 else ""
@@ -206,6 +208,7 @@ def test_mixing_meets_targets(spark):
 
 def test_packing(either):
     out = packing.pack(either, max_len=1000, n_buckets=3, budget=4000).collect()
+    assert all(r[c] == "x" for r in out for c in either.columns[5:] if c not in packing.ADDED)
     lengths = Counter()
     for r in ROWS:
         n = len(brute.words(r[1]))
@@ -253,7 +256,9 @@ def test_stages(spark, either, name, stage):
     out = stage(spark, either, "/none")
     if name != "packing":
         assert out.columns == either.columns
-    out.collect()
+    got = out.collect()
+    if name != "packing":
+        assert all(r[c] == "x" for r in got for c in either.columns[5:])
     empty = stage(spark, either.limit(0), "/none")
     assert empty.columns == out.columns and empty.count() == 0
 
