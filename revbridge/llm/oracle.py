@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 
-from revbridge.llm import quality_rules, sharding, url_filter
+from revbridge.llm import quality_rules, sharding
 from revbridge.llm.queries import (
     MIN_SITES, MIX_CYCLE, MIX_EPOCHS, N_SHARDS, NEIGHBOURS, PACK_BUCKETS, PACK_BUDGET, PACK_LEN, QUERY_EVERY, URL_RULES,
 )
