@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revbridge.operators import assemble, base, churn, classify, cycles, discounts, movements, swaps, transitions, vas
+from revbridge.operators import assemble, base, churn, cycles, discounts, swaps, vas
 from revbridge.plans.bridge import BridgePlan
 from revbridge.plans.months import rolling_month_driver
 from revbridge.policy import FAMILIES, Policy
