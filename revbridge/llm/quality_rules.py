@@ -6,8 +6,11 @@ wherever it stands; a document that loses too much is depleted and rejected.
 
 Copies of one document must not make its lines look like boilerplate, or a clean
 text would go together with all its copies.  So documents count once per text,
-and a line must also stand among different neighbours (`min_spread`): a
-navigation line does, a sentence of a much-copied text does not.
+and a line must also stand in different surroundings (`min_spread`): a navigation
+line does, a sentence of a much-copied text does not.  Surroundings are the two
+neighbour lines, or, as blank lines and the lines of one menu always have the same
+neighbours, what is left of the document without any frequent line.  Near copies
+differ in little, so only a rest that would not be depleted counts.
 
 The measures of a text need only that text; they are taken in Arrow batches.
 Line counts are map-side combined aggregates over hashes, so neither a host with
@@ -38,8 +41,9 @@ _CONTINUATION = bytes(range(0x80, 0xC0))
 class Limits:
     """A line is above the limits of its host if more than `min_documents` distinct
     documents and more than `max_share` of the host's documents carry it, and the
-    distinct pairs of neighbour lines it stands between are at least `min_spread` of
-    those documents.  A document is depleted if more than `max_removed` of its words
+    distinct pairs of neighbour lines it stands between, or the distinct rests of those
+    documents (their lines not above the first two limits, where the rest is not
+    depleted), are at least `min_spread` of those documents.  A document is depleted if more than `max_removed` of its words
     go, or fewer than `min_left` words are left."""
 
     min_documents: int = 8
@@ -107,9 +111,19 @@ def keyed(docs: DataFrame, host: str) -> DataFrame:
     return rows.select(*row_key(F.col("doc_id"), F.col("text"), F.col("host")), "doc_id", "text", group_key(F.col("host")).alias("host"))
 
 
+def _halves(h) -> tuple:
+    """A hash as two numbers whose sums over a document's lines do not overflow."""
+    return F.shiftright(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def _depleted(words, removed, limits: Limits):
+    return (removed > words * F.lit(limits.max_removed)) | (words - removed < limits.min_left)
+
+
 def host_lines(rows: DataFrame) -> DataFrame:
     """One row per line with a word of `keyed` rows: `k1`, `k2`, `host` and `text_hash` (hashes), its place
-    `at`, the line's hash `h`, `around` (hash of its neighbours) and its words `n`."""
+    `at`, the line's hash `h`, `around` (hash of its neighbours) and its words `n`; and of all such lines of
+    the document the `words` and the sums `high` and `low` of their hashes' halves."""
     rows = rows.select(
         "k1", "k2", F.xxhash64("host").alias("host"), F.xxhash64("text").alias("text_hash"),
         F.transform(F.split("text", "\n"), normal_line).alias("lines"),
@@ -119,12 +133,32 @@ def host_lines(rows: DataFrame) -> DataFrame:
         i.alias("at"), F.xxhash64(x).alias("h"), n_words(x).alias("n"),
         F.xxhash64(F.when(i > 0, beside(F.greatest(i, F.lit(1)))).otherwise(0), beside(i + 2)).alias("around"),
     ))
-    rows = rows.select("k1", "k2", "host", "text_hash", F.explode(line).alias("line"))
-    return rows.select("k1", "k2", "host", "text_hash", "line.*").filter("n > 0")
-
-
-def lines_above(lines: DataFrame, rows: DataFrame, limits: Limits) -> DataFrame:
-    """(`host`, `h`) of the lines above the limits of their host."""
+    rows = rows.select("k1", "k2", "host", "text_hash", F.filter(line, lambda x: x["n"] > 0).alias("line"))
+    total = lambda value: F.aggregate("line", F.lit(0).cast("long"), lambda acc, x: acc + value(x))
+    rows = rows.withColumns({
+        "words": total(lambda x: x["n"]), "high": total(lambda x: _halves(x["h"])[0]), "low": total(lambda x: _halves(x["h"])[1]),
+    })
+    # the outer form: for the plain one a filter of `line` is inferred and pushed down, which makes the hashes anew for each line
+    rows = rows.select("k1", "k2", "host", "text_hash", "words", "high", "low", F.explode_outer("line").alias("line"))
+    return rows.select("k1", "k2", "host", "text_hash", "words", "high", "low", "line.*").filter("n > 0")
+
+
+def distinct_rests(frequent: DataFrame, limits: Limits) -> DataFrame:
+    """(`host`, `h`, `rests`) of `frequent`, all lines of their documents above the counts: the distinct
+    rests that documents with the line have without such lines, where they are not depleted."""
+    text = ["host", "text_hash", "words", "high", "low"]
+    once = frequent.groupBy(*text, "at", "h", "n").agg(F.lit(1).alias("one"))  # copies count once
+    high, low = _halves(F.col("h"))
+    rest = once.groupBy(*text).agg(
+        F.sum("n").alias("removed"), F.sum(high).alias("high_removed"), F.sum(low).alias("low_removed"), F.collect_set("h").alias("lines"),
+    ).filter(~_depleted(F.col("words"), F.col("removed"), limits))
+    rest = rest.select("host", F.xxhash64(F.col("high") - F.col("high_removed"), F.col("low") - F.col("low_removed")).alias("rest"), F.explode("lines").alias("h"))
+    rest = rest.groupBy("host", "h", "rest").agg(F.lit(1).alias("one"))
+    return rest.groupBy("host", "h").agg(F.count("*").alias("rests"))
+
+
+def lines_above(lines: DataFrame, rows: DataFrame, limits: Limits, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(`host`, `h`) of the lines above the limits of their host, and the rows of `lines` they are among."""
     hosts = rows.select(F.xxhash64("host").alias("host"), F.xxhash64("text").alias("t")).distinct()
     hosts = hosts.groupBy("host").agg(F.count("*").alias("all"))
     # a cheap count first: few lines are carried often enough to look closer
@@ -132,20 +166,22 @@ def lines_above(lines: DataFrame, rows: DataFrame, limits: Limits) -> DataFrame:
     looked = lines.join(often, ["host", "h"], "left_semi")
     documents = looked.groupBy("host", "h", "text_hash").agg(F.lit(1).alias("one"))
     documents = documents.groupBy("host", "h").agg(F.count("*").alias("documents"))
-    spread = looked.groupBy("host", "h", "around").agg(F.lit(1).alias("one"))
+    counts = scratch.stage(documents.join(hosts, "host").filter(
+        (F.col("documents") > limits.min_documents) & (F.col("documents") > F.col("all") * F.lit(limits.max_share))
+    ).select("host", "h", "documents"))
+    frequent = scratch.stage(lines.join(counts, ["host", "h"], "left_semi"))
+    spread = frequent.groupBy("host", "h", "around").agg(F.lit(1).alias("one"))
     spread = spread.groupBy("host", "h").agg(F.count("*").alias("spread"))
-    counts = documents.join(spread, ["host", "h"])
-    return counts.join(hosts, "host").filter(
-        (F.col("documents") > limits.min_documents)
-        & (F.col("documents") > F.col("all") * F.lit(limits.max_share))
-        & (F.col("spread") >= F.col("documents") * F.lit(limits.min_spread))
-    ).select("host", "h")
+    counts = counts.join(spread, ["host", "h"]).join(distinct_rests(frequent, limits), ["host", "h"], "left")
+    surroundings = F.greatest("spread", F.coalesce("rests", F.lit(0)))
+    return counts.filter(surroundings >= F.col("documents") * F.lit(limits.min_spread)).select("host", "h"), frequent
 
 
 def removed_lines(rows: DataFrame, limits: Limits, scratch: Scratch) -> DataFrame:
     """(`k1`, `k2`, `at`s removed, their words `n_removed_words`) of the rows that lose lines."""
     lines = scratch.stage(host_lines(rows))
-    hit = lines.join(lines_above(lines, rows, limits), ["host", "h"], "left_semi")
+    above, frequent = lines_above(lines, rows, limits, scratch)
+    hit = frequent.join(above, ["host", "h"], "left_semi")
     once = hit.groupBy("k1", "k2", "at").agg(F.max("n").alias("n"))  # equal rows share a key
     lost = once.groupBy("k1", "k2").agg(F.collect_list("at").alias("removed"), F.sum("n").alias("n_removed_words"))
     return lost.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "removed", "n_removed_words")
@@ -169,9 +205,7 @@ def _judged(rows: DataFrame, limits: Limits) -> DataFrame:
     out = base.join(lost, (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left").drop("_k1", "_k2")
     out = out.withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    left = F.col("n_words") - F.col("n_removed_words")
-    depleted = (F.col("n_removed_words") > F.col("n_words") * F.lit(limits.max_removed)) | (left < limits.min_left)
-    out = out.withColumns({"base_failed": failed, "depleted": depleted})
+    out = out.withColumns({"base_failed": failed, "depleted": _depleted(F.col("n_words"), F.col("n_removed_words"), limits)})
     return out.withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
 
 
