@@ -377,14 +377,15 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
     open_kinds = kinds.join(mixed, "anchor").select("anchor", "split", "x.*")
     asked = open_kinds.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "split", "first", "n", "offset")).alias("asked"))
     packed = _packed(rows)
-    snippets = scratch.stage(_snippets(packed, asked, width))
+    snippets = scratch.stage(_snippets(packed.dropDuplicates(["k1", "k2"]), asked, width))  # equal rows share a key
     equal, open_blocks = _settled_blocks(snippets.filter("split"), width, scratch)
     open_text = snippets.filter("not split").drop("split").unionByName(open_blocks)
     size = open_text.agg(F.sum(F.octet_length("snippet"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
     dealt = open_text.withColumn("shard", F.pmod("shard", F.lit(shards))).repartition("shard").sortWithinPartitions("shard")
     part = dealt.select("k1", "k2", "shard", "first", "snippet").mapInArrow(lambda it: _sorted_shards(it, width), "k1 long, k2 long, lo long, hi long")
-    gone = whole.unionByName(equal).unionByName(part).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("gone"))
+    gone = whole.unionByName(equal).unionByName(part).distinct()  # equal rows have equal intervals
+    gone = gone.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("gone"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     extra = ", kept binary, spans array<struct<start:long,end:long>>" if keep_text else ""
 
