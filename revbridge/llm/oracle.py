@@ -219,6 +219,8 @@ SELECT * FROM ranked WHERE rank <= {NEIGHBOURS}
 
 
 def oracle_sql() -> dict[str, str]:
+    from revbridge.llm import oracle_models
+
     return {
         "op1_sharding": sharding_sql(),
         "op3_line_dedup": LINE_DEDUP,
@@ -227,4 +229,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_mixing": mixing_sql(),
         "op9_packing": packing_sql(),
         "op10_nearest": NEAREST,
+        "op12_manifest": oracle_models.manifest_sql(),
     }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revbridge.llm import ann, license_scan, line_dedup, mixing, packing, quality_rules, sharding, simhash, suffix_dedup, url_filter
+from revbridge.llm import ann, license_scan, line_dedup, merkle, mixing, packing, quality_rules, sharding, simhash, suffix_dedup, url_filter
+from revbridge.llm.common import ascii_lower
 
 N_SHARDS = 64
 MIN_SITES = 10
@@ -104,6 +105,16 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, F.col("vec_id") % QUERY_EVERY == 0, NEIGHBOURS)
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and the root that its tampered leaf gives."""
+    docs, doc_id = table(spark, sf_dir, "documents"), F.col("doc_id").cast("string")
+    tampered = {"text": F.when(F.crc32(doc_id) % 3 == 0, ascii_lower(F.col("text"))).otherwise(F.col("text"))}
+    out = merkle.manifest(docs, tampered=tampered)
+    folded = merkle.fold(F.col("other_leaf"), F.col("path"))
+    out = out.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over `documents`."""
     import corpus_pipeline
@@ -114,6 +125,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_sharding, op2_simhash, op3_line_dedup, op4_license_scan, op5_quality_rules,
-        op6_url_filter, op7_suffix_dedup, op8_mixing, op9_packing, op10_nearest, pipeline,
+        op6_url_filter, op7_suffix_dedup, op8_mixing, op9_packing, op10_nearest, op12_manifest, pipeline,
     )
     return {f.__name__: f for f in own}
