@@ -230,4 +230,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_packing": packing_sql(),
         "op10_nearest": NEAREST,
         "op12_manifest": oracle_models.manifest_sql(),
+        "op13_lm_score": oracle_models.language_model_sql(),
     }

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from revbridge.llm.oracle import _lower
+from revbridge.llm.ngram_lm import PRIOR, STEPS
+from revbridge.llm.oracle import WORD, _lower
 
 
 def crc32(text: str) -> str:
@@ -48,3 +49,28 @@ def manifest_sql(fanout: int = 8) -> str:
     SELECT l.doc_id, l.leaf, c.subroot, t.nodes[1] AS root, sha256(w.proof) AS proof_sha256, w.acc AS folded_root, w.acc = t.nodes[1] AS verified
     FROM rise w JOIN up t ON t.level = w.level AND len(t.nodes) = 1 JOIN leaves l ON l.row = w.row JOIN climbed c ON c.row = w.row
     """
+
+
+def language_model_sql() -> str:
+    """Pairs by a window over each document's tokens; the start of a document is the null word."""
+    return f"""
+    WITH docs AS (
+      SELECT row_number() OVER () AS row, doc_id, coalesce({crc32('doc_id::VARCHAR')} % 7 = 2, false) AS held_out,
+             list_append(regexp_extract_all({_lower("coalesce(text, '')")}, {WORD}), '') AS words FROM documents
+    ), tokens AS (SELECT row, held_out, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM docs
+    ), pairs AS (SELECT *, lag(w) OVER (PARTITION BY row ORDER BY i) AS v FROM tokens
+    ), counts AS MATERIALIZED (SELECT w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY w
+    ), totals AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS d FROM counts
+    ), contexts AS (SELECT w AS v, c AS total FROM counts WHERE w <> '' UNION ALL SELECT NULL, c FROM counts WHERE w = ''
+    ), shares AS (
+      SELECT p.v, p.w, pow(10, -floor(-log10(count(*) / (any_value(x.total) + {PRIOR})) * {STEPS} + 0.5) / {STEPS}) AS share
+      FROM pairs p JOIN contexts x ON x.v IS NOT DISTINCT FROM p.v WHERE NOT p.held_out GROUP BY p.v, p.w
+    ), each AS (
+      SELECT p.row, c.c, (coalesce(c.c, 0) + 1) / (t.n + t.d + 1) AS alone,
+             coalesce(s.share, 0) + CASE WHEN x.total > 0 THEN {PRIOR} / (x.total + {PRIOR}) ELSE 1 END * (coalesce(c.c, 0) + 1) / (t.n + t.d + 1) AS p
+      FROM pairs p CROSS JOIN totals t LEFT JOIN counts c ON c.w = p.w LEFT JOIN contexts x ON x.v IS NOT DISTINCT FROM p.v
+      LEFT JOIN shares s ON s.v IS NOT DISTINCT FROM p.v AND s.w = p.w
+    ), summed AS (SELECT row, count(*) AS n_tokens, count(c) AS n_known, fsum(log10(alone)) AS base_score, fsum(log10(p)) AS score FROM each GROUP BY row)
+    SELECT d.doc_id, d.held_out, s.n_tokens, s.n_known, t.n AS train_tokens, s.base_score, s.score
+    FROM summed s JOIN docs d ON d.row = s.row CROSS JOIN totals t
+    """

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revbridge.llm import ann, license_scan, line_dedup, merkle, mixing, packing, quality_rules, sharding, simhash, suffix_dedup, url_filter
+from revbridge.llm import ann, license_scan, line_dedup, merkle, mixing, ngram_lm, packing, quality_rules, sharding, simhash, suffix_dedup, url_filter
 from revbridge.llm.common import ascii_lower
 
 N_SHARDS = 64
@@ -115,6 +115,13 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document by words and by the model, learned from six sevenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = ngram_lm.score_documents(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+    return out.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over `documents`."""
     import corpus_pipeline
@@ -125,6 +132,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_sharding, op2_simhash, op3_line_dedup, op4_license_scan, op5_quality_rules,
-        op6_url_filter, op7_suffix_dedup, op8_mixing, op9_packing, op10_nearest, op12_manifest, pipeline,
+        op6_url_filter, op7_suffix_dedup, op8_mixing, op9_packing, op10_nearest, op12_manifest, op13_lm_score, pipeline,
     )
     return {f.__name__: f for f in own}
