@@ -229,6 +229,7 @@ def oracle_sql() -> dict[str, str]:
         "op8_mixing": mixing_sql(),
         "op9_packing": packing_sql(),
         "op10_nearest": NEAREST,
+        "op11_hard_negatives": oracle_models.HARD_NEGATIVES,
         "op12_manifest": oracle_models.manifest_sql(),
         "op13_lm_score": oracle_models.language_model_sql(),
     }

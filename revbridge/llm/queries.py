@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revbridge.llm import ann, license_scan, line_dedup, merkle, mixing, ngram_lm, packing, quality_rules, sharding, simhash, suffix_dedup, url_filter
+from revbridge.llm import ann, hard_negatives, license_scan, line_dedup, merkle, mixing, ngram_lm, packing, quality_rules, sharding, simhash, suffix_dedup, url_filter
 from revbridge.llm.common import ascii_lower
 
 N_SHARDS = 64
@@ -17,6 +17,7 @@ MIX_CYCLE, MIX_EPOCHS = (1, 2, 3), 3
 PACK_LEN, PACK_BUCKETS, PACK_BUDGET = 4096, 12, 65536
 QUERY_EVERY, NEIGHBOURS = 50, 5
 REPEAT_BYTES = 200
+ANCHOR_EVERY, RELABEL_EVERY = 100, 7
 
 #: The URL rules of the contract (fixed values).
 URL_RULES = [
@@ -105,6 +106,13 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, F.col("vec_id") % QUERY_EVERY == 0, NEIGHBOURS)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 hardest negatives of each of the 5 positives of every 100th vector; every 7th label is moved on."""
+    vec_id, label = F.col("vec_id"), F.col("label")
+    label = F.when(vec_id % RELABEL_EVERY == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % ANCHOR_EVERY == 0, label)
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, and the root that its tampered leaf gives."""
     docs, doc_id = table(spark, sf_dir, "documents"), F.col("doc_id").cast("string")
@@ -132,6 +140,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_sharding, op2_simhash, op3_line_dedup, op4_license_scan, op5_quality_rules,
-        op6_url_filter, op7_suffix_dedup, op8_mixing, op9_packing, op10_nearest, op12_manifest, op13_lm_score, pipeline,
+        op6_url_filter, op7_suffix_dedup, op8_mixing, op9_packing, op10_nearest, op11_hard_negatives, op12_manifest, op13_lm_score, pipeline,
     )
     return {f.__name__: f for f in own}
