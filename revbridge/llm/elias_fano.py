@@ -136,18 +136,20 @@ class Trie:
         return Trie(*own, read[-1])
 
     def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The place of each (context, word) among the successors, or -1."""
+        """The place of each (context, word) among the successors, or -1.  A run of one context
+        is looked up once."""
         out = np.full(len(context), -1, np.int64)
-        if not self.contexts.n:
+        if not self.contexts.n or not len(context):
             return out
-        c = self.contexts.find(context)
-        known = np.flatnonzero(c < self.contexts.n)
-        known = known[self.contexts.get(c[known]) == context[known]]
-        c, word = c[known], word[known]
-        value = self.bases.get(c) + word
+        first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+        run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(context))))
+        c = np.minimum(self.contexts.find(context[first]), self.contexts.n - 1)
+        met = self.contexts.get(c) == context[first]
+        base, begin, end = self.bases.get(c), self.pointers.get(c), self.pointers.get(c + 1)
+        known = np.flatnonzero(met[run])
+        run, value = run[known], base[run[known]] + word[known]
         place = self.successors.find(value)
-        inside = (place >= self.pointers.get(c)) & (place < self.pointers.get(c + 1))
-        same = np.flatnonzero(inside)
+        same = np.flatnonzero((place >= begin[run]) & (place < end[run]))
         same = same[self.successors.get(place[same]) == value[same]]
         out[known[same]] = place[same]
         return out

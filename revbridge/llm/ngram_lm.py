@@ -37,9 +37,9 @@ from revbridge.llm.elias_fano import Trie
 PRIOR = 64.0
 STEPS = 4096
 #: Tokens coded together (a longer document is a chunk of its own).
-CHUNK_TOKENS = 4_000_000
+CHUNK_TOKENS = 1_000_000
 #: Entries of a shard, over all chunks, on average.
-SHARD_ENTRIES = 2_000_000
+SHARD_ENTRIES = 1_000_000
 #: A context of more tokens has its successors spread over all shards.
 HOT = 500_000
 
@@ -332,10 +332,10 @@ def _scored(shards: int, n_tokens: int, n_distinct: int, id_type: T.DataType) ->
                     found[part], = unpack(answers[shard])
                 share = np.zeros(len(pairs.tokens))
                 share[pairs.asked] = share_of(found)[pairs.inverse]
-                alone = (pairs.count[pairs.tokens] + 1) / (n_tokens + n_distinct + 1)
-                p = share + np.where(pairs.total > 0, PRIOR / (pairs.total + PRIOR), 1.0) * alone
-                sums = [np.add.reduceat(np.log10(x).astype(np.longdouble), pairs.starts).astype(np.float64) for x in (alone, p)]
-                known = np.add.reduceat((pairs.count[pairs.tokens] > 0).astype(np.int64), pairs.starts)
+                alone = (pairs.count + 1) / (n_tokens + n_distinct + 1)  # of each word of the chunk
+                p = share + np.where(pairs.total > 0, PRIOR / (pairs.total + PRIOR), 1.0) * alone[pairs.tokens]
+                sums = [np.add.reduceat(x.astype(np.longdouble), pairs.starts).astype(np.float64) for x in (np.log10(alone)[pairs.tokens], np.log10(p))]
+                known = np.add.reduceat((pairs.count > 0).astype(np.int64)[pairs.tokens], pairs.starts)
                 ids = one.column("ids").flatten()
                 yield pa.RecordBatch.from_arrays([ids, pa.array(row["held"], pa.bool_()), *map(pa.array, (pairs.lengths, known, *sums))], ["id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
