@@ -143,6 +143,25 @@ def effective_recognition_date(cycles: DataFrame, buyouts: DataFrame) -> DataFra
     )
 
 
+_FIRST = ["created_at", "recognition_type", "external_reference_type"]
+
+
+def _grain_columns() -> list[F.Column]:
+    return [
+        F.col("first.recognition_type").alias("revenue_recognition_type"),
+        *[F.col(k) for k in ENTITY_KEYS],
+        F.col("revenue_recognition_schedule_id"),
+        F.to_date("sched_start_date").alias("start_date"),
+        F.to_date("sched_end_date").alias("end_date"),
+        F.round(F.try_divide(F.col("sched_taxable_amount"), F.nullif(F.col("sched_tenure"), F.lit(0))), 2)
+        .cast("decimal(18,2)")
+        .alias("taxable_amount"),
+        F.col("sched_tenure").alias("tenure"),
+        F.col("first.external_reference_type").alias("external_reference_type"),
+        ist_date(F.col("first.created_at")).alias("created_at"),
+    ]
+
+
 def schedule_grain(entity_base: DataFrame) -> DataFrame:
     """The earliest-created cycle of each (entity, schedule).
 
@@ -150,13 +169,6 @@ def schedule_grain(entity_base: DataFrame) -> DataFrame:
     aggregate combines map-side, so a hot entity never lands in one sort.
     Ties on created_at are broken on the remaining value columns.
     """
-    first = F.min(
-        F.struct(
-            F.col("created_at"),
-            F.col("recognition_type"),
-            F.col("external_reference_type"),
-        )
-    ).alias("first")
     g = entity_base.groupBy(
         *ENTITY_KEYS,
         "revenue_recognition_schedule_id",
@@ -164,20 +176,38 @@ def schedule_grain(entity_base: DataFrame) -> DataFrame:
         "sched_end_date",
         "sched_taxable_amount",
         "sched_tenure",
-    ).agg(first)
-    return g.select(
-        F.col("first.recognition_type").alias("revenue_recognition_type"),
-        *ENTITY_KEYS,
-        "revenue_recognition_schedule_id",
-        F.to_date("sched_start_date").alias("start_date"),
-        F.to_date("sched_end_date").alias("end_date"),
-        F.round(F.try_divide(F.col("sched_taxable_amount"), F.nullif(F.col("sched_tenure"), F.lit(0))), 2)
-        .cast("decimal(18,2)")
-        .alias("taxable_amount"),
-        F.col("sched_tenure").alias("tenure"),
-        F.col("first.external_reference_type").alias("external_reference_type"),
-        ist_date(F.col("first.created_at")).alias("created_at"),
+    ).agg(F.min(F.struct(*_FIRST)).alias("first"))
+    return g.select(*_grain_columns())
+
+
+def recent_grain(L: Ledger, policy: Policy, entity_cycles: DataFrame) -> DataFrame:
+    """B09 of the schedules that start in the months, and of their entities the one
+    before (by start, creation and id; none has no start): what R16P-R19 compare.
+
+    Cycles are reduced to one row per (entity, schedule) map-side before the schedules
+    are joined; the schedule before is a grouped `max_by`, so neither a sort nor a
+    window sees the history.  The cycles' scan has no bound: the type of a schedule is
+    that of its earliest-created cycle, whenever that starts."""
+    firsts = entity_cycles.groupBy(*ENTITY_KEYS, "revenue_recognition_schedule_id").agg(F.min(F.struct(*_FIRST)).alias("first"))
+    s = L.schedules.select(
+        F.col("id").alias("revenue_recognition_schedule_id"),
+        F.col("start_date").alias("sched_start_date"),
+        F.col("end_date").alias("sched_end_date"),
+        F.col("taxable_amount").alias("sched_taxable_amount"),
+        tenure_months("start_date", "end_date", policy.tenure_days_per_month).alias("sched_tenure"),
+    )
+    grain = firsts.join(s, "revenue_recognition_schedule_id", "left").select(*_grain_columns())
+    start = F.col("start_date")
+    rest = [c for c in grain.columns if c not in ENTITY_KEYS]
+    row = F.struct(*rest)
+    inside = (start >= F.lit(policy.first_start)) & (start < F.lit(policy.last_next))
+    before = start.isNull() | (start < F.lit(policy.first_start))
+    place = F.struct("start_date", "created_at", "revenue_recognition_schedule_id")
+    per_entity = grain.filter(before | inside).groupBy(*ENTITY_KEYS).agg(
+        F.collect_list(F.when(inside, row)).alias("_in"), F.max_by(F.when(before, row), F.when(before, place)).alias("_last")
     )
+    rows = F.concat(F.filter(F.array("_last"), lambda r: r.isNotNull()), F.col("_in"))
+    return per_entity.filter(F.size("_in") > 0).select(*ENTITY_KEYS, F.explode(rows).alias("r")).select(*ENTITY_KEYS, "r.*").select(grain.columns)
 
 
 def first_completed_return(L: Ledger) -> DataFrame:

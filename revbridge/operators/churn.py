@@ -112,7 +112,7 @@ def user_item_cross(txn: DataFrame) -> DataFrame:
     return out.unionByName(missing).withColumnRenamed("time", "transaction_date")
 
 
-def transaction_scope(txn: DataFrame) -> DataFrame:
+def transaction_scope(txn: DataFrame, cut=None) -> DataFrame:
     """FULL when a transaction has as many items as its user held at its
     date (at any of its dates, each item once), else PARTIAL.
 
@@ -122,7 +122,7 @@ def transaction_scope(txn: DataFrame) -> DataFrame:
     base = txn.filter(F.col("transaction_id").isNotNull())
     sizes = base.groupBy(*GROUP).agg(F.count_distinct("item_id").alias("n_items"))
     dates = base.select(*GROUP, F.col("item_transaction_date").alias("time")).distinct()
-    covered = covering_any(held_intervals(txn), dates, "user_id", GROUP, "activation_date", "held_to", closed=True, out="n_held")
+    covered = covering_any(held_intervals(txn), dates, "user_id", GROUP, "activation_date", "held_to", closed=True, out="n_held", cut=cut)
     return sizes.join(covered, GROUP, "left").select(
         *GROUP,
         F.when(F.col("n_items") == F.coalesce(F.col("n_held"), F.lit(0)), "FULL").otherwise("PARTIAL").alias(
@@ -184,7 +184,7 @@ def rental_item_base(L: Ledger, policy: Policy, detail: DataFrame) -> DataFrame:
     return ri.join(d, "item_ids", "left")
 
 
-def remaining_item_count(rib: DataFrame) -> DataFrame:
+def remaining_item_count(rib: DataFrame, cut=None) -> DataFrame:
     """Other items of the user active at this item's pickup (activated
     before it, not picked up by then); at any of them if it has several.
 
@@ -202,7 +202,7 @@ def remaining_item_count(rib: DataFrame) -> DataFrame:
     intervals = items.select("item_ids", "user_ids", "activation_dates", until.alias("active_to"))
     asked = rib.filter(F.col("pickup_date").isNotNull()).select("user_ids", "item_ids", F.col("pickup_date").alias("time")).distinct()
     counted = covering_any(
-        intervals, asked, "user_ids", ["user_ids", "item_ids"], "activation_dates", "active_to", closed=False, out="n_active"
+        intervals, asked, "user_ids", ["user_ids", "item_ids"], "activation_dates", "active_to", closed=False, out="n_active", cut=cut
     ).select("item_ids", "n_active")
     own = F.exists("pickups", lambda p: (F.col("activation_dates") < p) & ((F.col("open") == 1) | (p < F.col("last_pickup"))))
     return items.join(counted, "item_ids", "left").select(
@@ -285,14 +285,37 @@ def attachment_churn_amount(L: Ledger, policy: Policy, tagged: DataFrame) -> Dat
     )
 
 
-def churn_pipeline(L: Ledger, policy: Policy, stage=lambda df: df) -> dict[str, DataFrame]:
+def latest_cycles(L: Ledger, policy: Policy, rows: DataFrame) -> DataFrame:
+    """Rank-1 rows of the churn table for `rows`, churned rows of C06: their item's
+    and its attachments' latest cycles (all of one start).
+
+    A rank depends on the entity's cycles only, so only the entities of `rows` are
+    ranked: their cycles are found by a semi-join, and the latest start of each is a
+    grouped maximum."""
+    att = L.attachments.select(F.col("id").alias("entity_id"), "composite_item_id").filter(F.col("composite_item_id").isNotNull())
+    items = rows.withColumns({"entity_id": F.col("item_ids"), "entity_type": F.lit("ITEM")})
+    atts = rows.join(att, "composite_item_id").withColumn("entity_type", F.lit("ATTACHMENT"))
+
+    def ranked(side: DataFrame, kind: str, how: str) -> DataFrame:
+        rr = _rr(L, kind).withColumnRenamed("rr_entity_id", "entity_id").join(side.select("entity_id").distinct(), "entity_id", "left_semi")
+        last = rr.groupBy("entity_id").agg(F.max("start_date").alias("_last"))
+        top = rr.join(last, (rr.entity_id == last.entity_id) & rr.start_date.eqNullSafe(F.col("_last"))).drop(last.entity_id)
+        return side.select("entity_id", "entity_type", *KEEP).join(
+            top.select("entity_id", "start_date", "end_date", _cycle_amount(policy).alias("taxable_amount")), "entity_id", how
+        )
+
+    return ranked(items, "ITEM", "left").unionByName(ranked(atts, "ATTACHMENT", "inner"))
+
+
+def churn_pipeline(L: Ledger, policy: Policy, stage=lambda df: df, cut=None) -> dict[str, DataFrame]:
     """All churn frames; `stage` marks the frames read by several consumers
-    (persist / checkpoint) so each is computed once."""
+    (persist / checkpoint) so each is computed once, `cut` those that the sweeps
+    read several times (default: a checkpoint)."""
     txn = stage(item_transactions(L, policy))
-    scope = transaction_scope(txn)
+    scope = transaction_scope(txn, cut)
     detail = transaction_detail(L, txn, scope, policy)
     rib = stage(rental_item_base(L, policy, detail))
-    counts = remaining_item_count(rib)
+    counts = remaining_item_count(rib, cut)
     tagged = stage(churn_flag(rib, counts))
     items = item_churn_amount(L, policy, tagged)
     atts = attachment_churn_amount(L, policy, tagged)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revbridge.functions import DISCOUNT_SCHEMA, money
+from revbridge.functions import DISCOUNT_SCHEMA, money, tenure_months
 from revbridge.operators.base import ENTITY_KEYS
 from revbridge.operators.movements import LONG, bucket
 from revbridge.policy import Policy
@@ -26,7 +26,7 @@ def discount_lines(entity_base: DataFrame) -> DataFrame:
         "external_reference_type",
         F.to_date("rr_start_date").alias("rr_start_date"),
         F.to_date("rr_end_date").alias("rr_end_date"),
-        "sched_tenure",
+        *[c for c in ("sched_tenure",) if c in entity_base.columns],
         F.explode_outer(parsed).alias("d"),
     ).select(
         "*",
@@ -60,7 +60,7 @@ def cycle_discounts(typed: DataFrame) -> DataFrame:
     up = F.coalesce(F.col("discount_type") == "UPFRONT", F.lit(False))
     amount = F.coalesce(F.col("discount_amount"), F.lit(0).cast("decimal(18,2)"))
     zero = F.lit(0).cast("decimal(18,2)")
-    return typed.groupBy(*CYCLE).agg(
+    return typed.groupBy(*[c for c in CYCLE if c in typed.columns]).agg(
         F.count(F.when(up, 1)).alias("upfront_lines"),
         F.sum(F.when(up, amount).otherwise(zero)).alias("upfront_amount"),
         F.count(F.when(~up, 1)).alias("other_lines"),
@@ -68,6 +68,45 @@ def cycle_discounts(typed: DataFrame) -> DataFrame:
     )
 
 
+def _upfront_cycle(policy: Policy) -> F.Column:
+    """Whether R16 and D05 have a row for the cycle."""
+    settled = F.coalesce(F.col("external_reference_type") == "SETTLEMENT", F.lit(False)) & F.lit(policy.include_settlement)
+    return F.lit(policy.plan_transition_dense) | (F.col("upfront_lines") > 0) | settled
+
+
+def _other_cycle(policy: Policy) -> F.Column:
+    """Whether R20-R23 have a row for the cycle."""
+    return F.lit(policy.discount_population != "non_upfront") | (F.col("other_lines") > 0)
+
+
+def recent_cycle_discounts(L: Ledger, policy: Policy, entity_cycles: DataFrame) -> DataFrame:
+    """`cycle_discounts` of the cycles that the months' discount components count or
+    compare with: all that start in `policy.discount_window`, and of their entities
+    the cycles of the latest earlier start (for upfront and for other discounts).
+    LAG over these rows finds the same previous row as over all history.
+
+    Both scans are bounded by the cycle's start.  Discounts are summed per cycle
+    before anything is joined: only narrow rows are dealt by entity, and schedules
+    are joined last, by the rows that are left."""
+    low, high = policy.discount_window
+    start = F.col("rr_start_date")
+    rows = lambda cycles: cycle_discounts(discount_types(discount_lines(cycles), L))
+    recent = rows(entity_cycles.filter((start >= F.lit(low)) & (start < F.lit(high))))
+    earlier = rows(entity_cycles.filter(start.isNull() | (start < F.lit(low))))
+    entity = Window.partitionBy(*ENTITY_KEYS)
+    kinds = {"_upfront": _upfront_cycle(policy), "_other": _other_cycle(policy)}
+    earlier = earlier.join(recent.select(*ENTITY_KEYS).distinct(), ENTITY_KEYS, "left_semi").withColumns(kinds)
+    last = {k: F.max(F.when(F.col(k), start)).over(entity) for k in kinds}
+    latest = earlier.withColumns({f"{k}_last": c for k, c in last.items()})
+    latest = latest.filter(
+        (F.col("_upfront") & start.eqNullSafe(F.col("_upfront_last"))) | (F.col("_other") & start.eqNullSafe(F.col("_other_last")))
+    ).select(recent.columns)
+    tenures = L.schedules.select(
+        F.col("id").alias("revenue_recognition_schedule_id"), tenure_months("start_date", "end_date", policy.tenure_days_per_month).alias("sched_tenure")
+    )
+    return recent.unionByName(latest).join(tenures, "revenue_recognition_schedule_id", "left")
+
+
 def entities_in(df: DataFrame, date_col: F.Column, months: DataFrame) -> DataFrame:
     """All rows of the entities that have a row dated in an analysis month (what
     a LAG over their history needs, and no more)."""
@@ -103,7 +142,7 @@ def upfront_per_cycle(cycles: DataFrame, policy: Policy, keep_end: bool) -> Data
     a row, so LAG compares with the previous *upfront* cycle.  With
     `plan_transition_dense` every cycle keeps a row (0 when none)."""
     settled = F.coalesce(F.col("external_reference_type") == "SETTLEMENT", F.lit(False)) & F.lit(policy.include_settlement)
-    df = cycles if policy.plan_transition_dense else cycles.filter((F.col("upfront_lines") > 0) | settled)
+    df = cycles.filter(_upfront_cycle(policy))
     amount = F.when(settled, F.col("upfront_amount") + F.col("other_amount")).otherwise(F.col("upfront_amount"))
     return df.groupBy(
         *ENTITY_KEYS, "revenue_recognition_schedule_id", F.col("rr_start_date").alias("start_date"),
@@ -188,10 +227,9 @@ def discount_grain_check(entity_base: DataFrame) -> DataFrame:
 
 def discount_per_cycle(cycles: DataFrame, policy: Policy) -> DataFrame:
     """The discounts that R20-R23 compare, per cycle dates."""
-    if policy.discount_population == "non_upfront":
-        df, amount = cycles.filter(F.col("other_lines") > 0), F.col("other_amount")
-    else:
-        df, amount = cycles, F.col("other_amount") + F.col("upfront_amount")
+    df, amount = cycles.filter(_other_cycle(policy)), F.col("other_amount")
+    if policy.discount_population != "non_upfront":
+        amount = amount + F.col("upfront_amount")
     return df.groupBy(*ENTITY_KEYS, F.col("rr_start_date").alias("start_date"), F.col("rr_end_date").alias("end_date")).agg(
         F.sum(amount).cast("decimal(18,2)").alias("total_discount_amount")
     )

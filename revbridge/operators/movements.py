@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revbridge.functions import money
+from revbridge.operators.churn import latest_cycles
+from revbridge.operators.exclusion import not_in
 from revbridge.policy import TXN_BUYOUT, TXN_RETURN, Policy
 from revbridge.sources.ledger import Ledger
 
@@ -48,15 +50,17 @@ def acquisition_rows(L: Ledger, months: DataFrame, policy: Policy) -> DataFrame:
     )
 
 
-def churn_events(churn: DataFrame, mtp: DataFrame, months: DataFrame, policy: Policy) -> DataFrame:
-    """R0C: latest-cycle churn rows of entities without a current-month MTP,
-    bucketed by transaction (payment) date."""
-    anti = mtp.select(
-        F.col("accountable_entity_id").alias("entity_id"), F.col("accountable_entity_type").alias("entity_type")
-    )
-    rows = churn.filter(F.col("rnk") == 1).join(anti, ["entity_id", "entity_type"], "left_anti")
-    date_col = "payment_date" if policy.churn_bucket == "payment" else "pickup_date"
-    return bucket(rows, F.to_date(date_col), months).select(
+def churn_date(policy: Policy) -> F.Column:
+    return F.to_date("payment_date" if policy.churn_bucket == "payment" else "pickup_date")
+
+
+def _event_rows(bucketed: DataFrame, mtp: DataFrame, policy: Policy) -> DataFrame:
+    """Events without those of entities that have a current-month MTP (an entity is
+    excluded as the policy says: NOT EXISTS, or NOT IN with its rules for NULLs)."""
+    keys = mtp.select(F.col("accountable_entity_id").alias("entity_id"), F.col("accountable_entity_type").alias("entity_type"))
+    names = ["entity_id", "entity_type"]
+    kept = not_in(bucketed, keys, names) if policy.mtp_exclusion == "not_in" else bucketed.join(keys, names, "left_anti")
+    return kept.select(
         "month_num", "entity_type", "entity_id",
         F.col("user_ids").cast("string").alias("customer"),
         money("taxable_amount").alias("amount"),
@@ -64,6 +68,27 @@ def churn_events(churn: DataFrame, mtp: DataFrame, months: DataFrame, policy: Po
     )
 
 
+def churn_events(churn: DataFrame, mtp: DataFrame, months: DataFrame, policy: Policy) -> DataFrame:
+    """R0C from a churn table (a published one): latest-cycle rows of entities
+    without a current-month MTP, bucketed by transaction (payment) date."""
+    return _event_rows(bucket(churn.filter(F.col("rnk") == 1), churn_date(policy), months), mtp, policy)
+
+
+def churned_in(tagged: DataFrame, months: DataFrame, policy: Policy) -> DataFrame:
+    """The churned rows of C06 whose transaction falls in an analysis month."""
+    day, flag = churn_date(policy), F.col("churn_flag") != "ACTIVE"
+    inside = (day >= F.lit(policy.first_start)) & (day < F.lit(policy.last_next))
+    return bucket(tagged.filter(flag & inside), day, months)
+
+
+def month_churn_events(L: Ledger, tagged: DataFrame, mtp: DataFrame, months: DataFrame, policy: Policy) -> DataFrame:
+    """R0C without a churn table: rows are cut to the months first, and only their
+    entities' cycles are ranked."""
+    rows = churned_in(tagged, months, policy)
+    month = bucket(latest_cycles(L, policy, rows.drop("month_num")), churn_date(policy), months)
+    return _event_rows(month, mtp, policy)
+
+
 CHURN_RULES = {
     "R06": (TXN_RETURN, None),
     "R07": (TXN_RETURN, "PARTIAL"),

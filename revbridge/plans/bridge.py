@@ -20,7 +20,7 @@ x components rows read by every report line).
 from __future__ import annotations
 
 import datetime as dt
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -31,15 +31,18 @@ from revbridge.operators.movements import within
 from revbridge.plans.months import month_driver
 from revbridge.policy import Policy
 from revbridge.session import RunFolder, checkpoint_dir
+from revbridge.sources.churn_store import ChurnStore
 from revbridge.sources.ledger import Ledger
 
 
 class BridgePlan:
     """One run over a ledger.  `close` (or leaving its `with` block) deletes the
-    run's intermediate tables."""
+    run's intermediate tables.  With `churn_source`, a published churn table, the
+    bridge reads that table instead of rebuilding churn."""
 
-    def __init__(self, spark: SparkSession, ledger: Ledger, policy: Policy, materialize: str = "table"):
+    def __init__(self, spark: SparkSession, ledger: Ledger, policy: Policy, materialize: str = "table", churn_source: ChurnStore | None = None):
         self.spark = spark
+        self.churn_source = churn_source
         self.L = ledger
         self.policy = policy
         self.materialize = materialize
@@ -148,16 +151,21 @@ class BridgePlan:
 
     @cached_property
     def churn(self) -> dict[str, DataFrame]:
-        return churn.churn_pipeline(self.L, self.policy, self.stage)
+        return churn.churn_pipeline(self.L, self.policy, self.stage, None if self.materialize == "none" else self.stage)
 
     @cached_property
     def churn_table(self) -> DataFrame:
-        # read once by the bridge (churn events); its inputs are already cut
+        if self.churn_source is not None:
+            return self.churn_source.read(self.spark, refreshed_at=self.policy.as_of)
         return self.churn["table"]
 
     @cached_property
     def churn_events(self) -> DataFrame:
-        return movements.churn_events(self.churn_table, self.mtp, self.months, self.policy)
+        """R0C: from the published churn table if the plan has one, else from the
+        churned rows of the months."""
+        if self.churn_source is not None:
+            return movements.churn_events(self.churn_table, self.mtp, self.months, self.policy)
+        return movements.month_churn_events(self.L, self.churn["tagged"], self.mtp, self.months, self.policy)
 
     @cached_property
     def swap_matches(self) -> DataFrame:
@@ -169,8 +177,8 @@ class BridgePlan:
 
     @cached_property
     def cycle_discounts(self) -> DataFrame:
-        """One narrow row per cycle: what R16, R20-R23 and D05 share."""
-        return self.stage(discounts.cycle_discounts(self.typed_discounts))
+        """One narrow row per cycle that R16, R20-R23 and D05 count or compare with."""
+        return self.stage(discounts.recent_cycle_discounts(self.L, self.policy, self.split["entity"]))
 
     @cached_property
     def discount_per_cycle(self) -> DataFrame:
@@ -178,7 +186,7 @@ class BridgePlan:
 
     @cached_property
     def tenure_windowed(self) -> DataFrame:
-        return transitions.tenure_windowed(self.grain)
+        return transitions.tenure_windowed(base.recent_grain(self.L, self.policy, self.split["entity"]))
 
     @cached_property
     def vas_owners(self) -> DataFrame:
@@ -214,6 +222,12 @@ class BridgePlan:
                 return build()
         raise KeyError(component)
 
+    def families(self, components) -> DataFrame:
+        """Entity-level rows of every frame that computes one of the components, each once."""
+        wanted = set(components)
+        frames = [build() for members, build in self._families() if wanted & set(members)]
+        return reduce(DataFrame.unionByName, frames)
+
     def rows(self, component: str) -> DataFrame:
         """Entity-level rows of one component (long schema); nothing else is computed."""
         return self.family(component).filter(F.col("component") == component)

@@ -9,7 +9,6 @@ be compared value by value with the DuckDB oracle.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,8 +64,7 @@ def _component(comp: str) -> Callable[[SparkSession, str], DataFrame]:
         p = plan_for(spark, sf_dir)
         members = next((m for m in FAMILIES.values() if comp in m), [])
         if members:
-            parts = [p.rows(c) for c in members]
-            agg = assemble.all_components(assemble.aggregate_components(reduce(DataFrame.unionByName, parts)))
+            agg = assemble.all_components(assemble.aggregate_components(p.families(members)))
         else:
             agg = assemble.aggregate_components(p.rows(comp))
         return agg.filter(F.col("component") == comp).select(
@@ -283,7 +281,7 @@ _LABELS: dict = {}
 
 def labelling(s, d) -> dict[str, DataFrame]:
     p = plan_for(s, d)
-    key = id(p)
+    key = (s.sparkContext.applicationId, d, table_times(s, d), p.policy)
     if key not in _LABELS:
         _LABELS[key] = cycles.labelling_pipeline(p.L, p.policy, p.months, p.churn["tagged"], stage=p.stage)
     return _LABELS[key]

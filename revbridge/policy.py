@@ -43,6 +43,9 @@ class Policy:
     vas_in_opening: bool = False
     # bucket churn events by "payment" (transaction) date or "pickup" date
     churn_bucket: str = "payment"
+    # churn events of entities with a current-month MTP are left out by
+    # "not_exists" or by "not_in", whose NULL keys exclude whatever they might equal
+    mtp_exclusion: str = "not_exists"
     # months after a cycle's start in which R21-R23 report its discount change:
     # 1 (the main bridge) or 0 (the current month)
     discount_change_months: int = 1
@@ -64,6 +67,13 @@ class Policy:
         m = min(self.months).replace(day=1)
         return (m - dt.timedelta(days=1)).replace(day=1)
 
+    @property
+    def discount_window(self) -> tuple[dt.date, dt.date]:
+        """Starts of the cycles whose discounts the months count: from one month before
+        the first (or as many as R21-R23 report later) to the end of the last."""
+        m = self.first_start.year * 12 + self.first_start.month - 1 - max(1, self.discount_change_months)
+        return dt.date(m // 12, m % 12 + 1, 1), self.last_next
+
     @property
     def first_start(self) -> dt.date:
         return min(self.months).replace(day=1)

@@ -10,8 +10,10 @@ within one return).
 import datetime as dt
 import random
 
+import pytest
+
 from revbridge.operators import churn
-from revbridge.operators.sweep import stab_counts
+from revbridge.operators.sweep import covering_any, stab_counts
 from revbridge.policy import Policy
 from revbridge.sources.ledger import Ledger
 
@@ -99,7 +101,7 @@ def one_item_ledger(spark, returns=(), buyouts=(), others=()):
 
 
 def churn_frames(L):
-    return churn.churn_pipeline(L, Policy(months=(dt.date(2025, 1, 1),), as_of=dt.date(2025, 12, 31)))
+    return churn.churn_pipeline(L, Policy(months=(dt.date(2025, 1, 1),), as_of=dt.date(2025, 12, 31)), stage=lambda df: df.checkpoint())
 
 
 def test_two_live_returns_of_one_item(spark):
@@ -126,7 +128,7 @@ def test_scope_and_remaining_match_bruteforce(spark):
     policy = Policy(months=(dt.date(2025, 1, 1),), as_of=dt.date(2025, 12, 31))
     for seed in range(6):
         L = rand_ledger(spark, seed)
-        txn = churn.item_transactions(L, policy)
+        txn = churn.item_transactions(L, policy).checkpoint()
         rows = txn.collect()
         got = {(r.transaction_id, r.user_id, r.transaction_type): r.full_or_partial_flag
                for r in churn.transaction_scope(txn).collect()}
@@ -137,7 +139,7 @@ def test_scope_and_remaining_match_bruteforce(spark):
         } == brute_cross(rows), seed
         assert len(cross) == len(brute_cross(rows))
         detail = churn.transaction_detail(L, txn, churn.transaction_scope(txn), policy)
-        rib = churn.rental_item_base(L, policy, detail)
+        rib = churn.rental_item_base(L, policy, detail).checkpoint()
         counts = {r.item_ids: r.later_items_count for r in churn.remaining_item_count(rib).collect()}
         assert counts == brute_remaining(rib.collect()), seed
 
@@ -157,3 +159,25 @@ def test_stab_counts_bruteforce(spark):
     for k, t, qid in q:
         want = sum(d for kk, tt, d, inc in ev if kk == k and (tt < t or (inc and tt == t)))
         assert got[qid] == want
+
+
+@pytest.mark.parametrize("closed", [True, False])
+def test_intervals_that_hold_any_instant_of_a_group(spark, closed):
+    """One user holds nearly all intervals and asks with many groups of several instants."""
+    rnd = random.Random(11)
+    hour = lambda a, b: BASE + dt.timedelta(hours=rnd.randint(a, b))
+    users = [1] * 120 + [2] * 9 + [3, None]
+    held = [(u, hour(0, 300), rnd.choice([None, hour(0, 400), hour(200, 500)])) for u in users] + [(1, None, hour(0, 9))]
+    asked = [(g, rnd.choice([1, 1, 1, 2, 3, 4]), rnd.choice([1, 2, 2, 3, 6])) for g in range(90)]
+    groups = [(g, u, hour(0, 450)) for g, u, n in asked for _ in range(n)] + [(200, None, hour(0, 400)), (201, 1, None)]
+    intervals = spark.createDataFrame(held, "u long, a timestamp_ntz, b timestamp_ntz").checkpoint()
+    instants = spark.createDataFrame(groups, "g long, u long, time timestamp_ntz").checkpoint()
+    got = {(r.g, r.u): r.n for r in covering_any(intervals, instants, "u", ["g", "u"], "a", "b", closed, out="n").collect()}
+    want = {}
+    for g, u, t in groups:
+        if u is not None and t is not None:
+            want.setdefault((g, u), set())
+            for i, (v, a, b) in enumerate(held):
+                if v == u and a is not None and a < t and (b is None or t < b or (closed and t == b)):
+                    want[g, u].add(i)
+    assert got == {k: len(v) for k, v in want.items()}
