@@ -11,6 +11,7 @@ LOSS = (
     "taxable_amount:d=monthly revenue_loss_day:s=lost_day rnk:i"
 )
 DISCOUNT = f"{ENTITY} revenue_recognition_schedule_id:i=sid"
+EVENT = "month_num:i entity_id:i=eid entity_type=kind user_ids:i taxable_amount:d=monthly churn_flag transaction_type=ttype"
 COUNTS = "items_count:i=items cx_count:i=cx taxable_revenue:d=rev"
 
 
@@ -48,6 +49,41 @@ CYCLE_COLUMNS = (
     f"{ENTITY} start_date:s=start_day end_date:s=end_day recognised_at:s=rec_day taxable_amount:d=amount recognition_type=rtype user_id:i"
 )
 
+# Both sides of the gap, one row per entity (or customer) and component, then its residual spent cause by cause.
+GAP_ROWS = """WITH stand AS (
+  SELECT f.*, f.month_num AS g, 'C' AS side, sign, in_items, in_cx, in_rev FROM fact f JOIN member USING (component) JOIN meta USING (component)
+  UNION ALL SELECT f.*, f.month_num - 1, 'O', 1, 1, 1, 1 FROM fact f WHERE component = 'R01'
+  UNION ALL SELECT f.*, f.month_num - 1, 'E', 1, 0, 0, 0 FROM fact f WHERE component = 'R02'
+  UNION ALL SELECT f.*, f.month_num, 'X', 1, 0, 0, 0 FROM fact f WHERE component IN ('R18', 'R19', 'R20')
+), per_part AS (
+  SELECT g, entity_type, entity_id, side, component, any_value(sign * in_items) AS n, sum(amount * sign) AS amt FROM stand WHERE g = 1 GROUP BY ALL
+), both_sides AS (
+  SELECT g, entity_type, entity_id, coalesce(max(1) FILTER (side = 'O'), 0) AS opened, coalesce(sum(n) FILTER (side = 'C'), 0) AS closed,
+         coalesce(bool_or(n <> 0) FILTER (side = 'C'), FALSE) AS moved,
+         coalesce(sum(amt) FILTER (side = 'O'), 0) - coalesce(sum(amt) FILTER (side = 'C'), 0) AS r0, coalesce(sum(amt) FILTER (side = 'E'), 0) AS a1,
+         coalesce(sum(amt) FILTER (side = 'X' AND component <> 'R20'), 0) AS a2, -coalesce(sum(amt) FILTER (side = 'X' AND component = 'R20'), 0) AS a3
+  FROM per_part GROUP BY ALL
+), spent AS (
+  SELECT *, CASE WHEN sign(r0) = sign(a1) THEN sign(r0) * least(abs(r0), abs(a1)) ELSE 0 END AS e1, r0 - e1 AS r1,
+         CASE WHEN sign(r1) = sign(a2) THEN sign(r1) * least(abs(r1), abs(a2)) ELSE 0 END AS e2, r1 - e2 AS r2,
+         CASE WHEN sign(r2) = sign(a3) THEN sign(r2) * least(abs(r2), abs(a3)) ELSE 0 END AS e3, r2 - e3 AS r3,
+         CASE WHEN opened = 1 AND closed = 1 THEN 'amount differs' WHEN opened = 1 AND closed > 1 THEN 'counted in more than once'
+              WHEN opened = 1 AND moved THEN 'opened although moved out' WHEN opened = 1 THEN 'opened without movement'
+              WHEN closed > 0 THEN 'not opened without movement' WHEN closed < 0 THEN 'moved out without opening' ELSE 'amount without item' END AS state
+  FROM both_sides
+), buyer AS (
+  SELECT g, customer, coalesce(max(1) FILTER (side = 'O'), 0) - coalesce(sum(n) FILTER (side = 'C'), 0) AS cx
+  FROM (SELECT g, customer, side, component, any_value(sign * in_cx) AS n FROM stand WHERE g = 1 AND side IN ('C', 'O') AND customer IS NOT NULL GROUP BY ALL) GROUP BY ALL
+), gap_row AS (
+  SELECT g AS month_num, 'ENTITY' AS grain, entity_type, entity_id, NULL AS customer, t.cause, t.component, t.items, 0 AS cx, t.rev
+  FROM spent, LATERAL (SELECT 'early cycles of the next opening' AS cause, 'R02' AS component, 0 AS items, e1 AS rev UNION ALL SELECT 'renewal overdue', 'R18/R19', 0, e2
+    UNION ALL SELECT 'discount given', 'R20', 0, e3 UNION ALL SELECT state, NULL, opened - closed, r3) t WHERE t.items <> 0 OR t.rev <> 0
+  UNION ALL
+  SELECT g, 'CUSTOMER', NULL, NULL, customer, CASE WHEN cx > 0 THEN 'customer opened, not in closing' ELSE 'customer in closing, not opened' END, NULL, 0, cx, 0
+  FROM buyer WHERE cx <> 0
+)"""
+GAP_COLUMNS = "month_num:i grain entity_type entity_id:i customer cause component items_count:i=items cx_count:i=cx taxable_revenue:d=rev"
+
 ORACLE = components() | {
     "B01_entity_directory": base(f"SELECT {shown('id:i entity_type=kind user_id:i')} FROM owner"),
     "B02_ledger_base": base("SELECT " + shown(
@@ -102,14 +138,16 @@ GROUP BY t.user_id, t.moment, t.item_id, t.tid, t.ttype"""),
         "payment_date:s=paid_at tto_amount:d=paid transaction_type=ttype transaction_id:i=tid transaction_type_detail=flag churn_flag start_date:s end_date:s "
         "taxable_amount:d=monthly rnk:i"
     ) + ", '2002-01-01 00:00:00' AS refreshed_at FROM loss WHERE churn_flag <> 'ACTIVE'"),
+    "C10_published_churn_events": churn(f"SELECT {shown(EVENT)} FROM event"),
     "R00_classify_cycles": base("SELECT " + shown(
         f"month_num:i tag {ENTITY} start_date:s=start_day recognised_at:s=rec_day synthetic_recognised_at:s=adjusted_day user_id:i taxable_amount:d=amount"
     ) + " FROM mark"),
     "R03_adjusted_opening": report(f"SELECT {shown('month_num:i ' + COUNTS)} FROM total WHERE pos = 3"),
     "R0X_mtp_entities": base(f"SELECT DISTINCT {shown(ENTITY)} FROM mark WHERE tag = 'CMTP'"),
-    "R0C_churn_events": churn(
-        f"SELECT {shown('month_num:i entity_id:i=eid entity_type=kind user_ids:i taxable_amount:d=monthly churn_flag transaction_type=ttype')} FROM event"
-    ),
+    "R0C_churn_events": churn(f"SELECT {shown(EVENT)} FROM event"),
+    "R0N_churn_events_null_aware": churn(f"""SELECT {shown(EVENT)} FROM loss l JOIN month ON CAST(paid_at AS DATE) >= m_start AND CAST(paid_at AS DATE) < m_next
+WHERE rnk = 1 AND churn_flag <> 'ACTIVE' AND NOT EXISTS (
+  FROM mark x WHERE x.tag = 'CMTP' AND coalesce(x.eid = l.eid, TRUE) AND coalesce(x.kind = l.kind, TRUE))"""),
     "R28_vas_timing_detail": report("SELECT " + shown(
         "month_num:i accountable_entity_id:i=eid external_reference_id:i=ext_id start_date:s=start_day end_date:s=end_day taxable_amount:d=amount "
         "vas_type=vtype user_id:i vas_component=comp"
@@ -126,6 +164,9 @@ GROUP BY t.user_id, t.moment, t.item_id, t.tid, t.ttype"""),
     "Q01_component_drilldown": report(
         f"SELECT {shown('month_num:i component entity_type entity_id:i customer amount:d')} FROM fact WHERE component IN (SELECT component FROM meta WHERE label IS NOT NULL)"
     ),
+    "Q02_gap_drilldown": report(f"FROM ({GAP_ROWS} SELECT {shown(GAP_COLUMNS)} FROM gap_row)"),
+    "Q03_gap_causes": report(f"""FROM ({GAP_ROWS} SELECT CAST(month_num AS BIGINT) AS month_num, grain, cause, component, count(*) AS n_rows,
+  CAST(sum(items) AS BIGINT) AS items_count, CAST(sum(cx) AS BIGINT) AS cx_count, CAST(sum(rev) AS DOUBLE) AS taxable_revenue FROM gap_row GROUP BY ALL)"""),
     "D01_discount_lines": report("SELECT " + shown(
         f"{DISCOUNT} external_reference_type=ext rr_start_date:s=start_day rr_end_date:s=end_day sched_tenure:i=s_months catalogReferenceId=ref discount_amount:d=amt"
     ) + " FROM discount"),
@@ -171,6 +212,21 @@ FROM owned GROUP BY eid, kind, sid, start_day, ended, disc_form, disc1, cat1, di
         f"{CYC} last_cycle_end_date:s=last_e item_recognition_pattern=pattern churn_pattern_type=churn_pattern cycle_position_from_end:i=from_end "
         "is_item_last_cycle=from_end=1"
     ) + " FROM history"),
+    "L11_return_through_parent": labels(f"""FROM (WITH route AS (
+  SELECT id, eid, kind, state, created_at, 'DIRECT' AS via FROM sent_back WHERE state <> 'CANCELLED'
+  UNION ALL
+  SELECT b.id, a.id, 'ATTACHMENT', b.state, b.created_at, 'PARENT' FROM sent_back b, items i, attachments a
+  WHERE b.kind = 'ITEM' AND b.state <> 'CANCELLED' AND i.id = b.eid AND i.state <> 'CANCELLED' AND a.composite_item_id = i.composite_item_id
+), best AS (
+  SELECT c.eid, c.kind, c.s, c.e, arg_min(r, (CASE via WHEN 'PARENT' THEN 0 ELSE 1 END, r.created_at, r.id)) AS r
+  FROM (SELECT DISTINCT eid, kind, s, e FROM plain_cycle) c JOIN route r ON (r.eid, r.kind) = (c.eid, c.kind) AND {ist_day('r.created_at')} BETWEEN c.s AND c.e
+  GROUP BY ALL
+) SELECT {shown('accountable_entity_id:i=c.eid accountable_entity_type=c.kind cycle_start_date:s=c.s cycle_end_date:s=c.e')},
+  b.r.id AS return_item_id, b.r.state AS return_item_state, CAST({ist_day('b.r.created_at')} AS VARCHAR) AS return_created_at_ist, b.r.via AS return_route,
+  EXISTS (FROM route r WHERE (r.eid, r.kind, r.via) = (c.eid, c.kind, 'DIRECT') AND {ist_day('r.created_at')} BETWEEN c.s AND c.e) AS returned_directly,
+  EXISTS (FROM route r WHERE (r.eid, r.kind, r.via) = (c.eid, c.kind, 'PARENT') AND {ist_day('r.created_at')} BETWEEN c.s AND c.e) AS returned_with_parent,
+  EXISTS (FROM route r WHERE (r.eid, r.kind) = (c.eid, c.kind) AND {ist_day('r.created_at')} BETWEEN c.s AND c.e) AS has_return_in_window
+FROM plain_cycle c LEFT JOIN best b ON (b.eid, b.kind, b.s, b.e) = (c.eid, c.kind, c.s, c.e))"""),
     "L10_cycle_history": labels("SELECT " + shown(
         "entity_id:i=eid entity_type=kind user_id:i order_id:i item_activation_date:s=act_day item_name=name cycle_start_date:s=s cycle_end_date:s=e "
         "recognised_at:s=rec_at recognised_at_ist:s=rec synthetic_recognised_at_ist:s=syn used_tto_date_for_pattern=moved recognition_type=rtype "

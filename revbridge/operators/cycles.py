@@ -63,6 +63,58 @@ def return_in_cycle(cycles: DataFrame, L: Ledger) -> DataFrame:
     )
 
 
+def return_routes(L: Ledger) -> DataFrame:
+    """Live returns by the entity they end: its own, and for an attachment also those of
+    the items (not cancelled) that share its composite id.  Two disjoint equi-joins; no
+    return meets an attachment on a missing composite id."""
+    def side(df: DataFrame, id_col: str) -> DataFrame:
+        return df.filter(F.col("state") != "CANCELLED").select(
+            F.col(id_col).alias("r_entity_id"), F.col("id").alias("return_item_id"), F.col("state").alias("return_item_state"), "created_at"
+        )
+
+    of_items = side(L.return_items, "item_id")
+    parents = L.items.filter((F.col("state") != "CANCELLED") & F.col("composite_item_id").isNotNull()).select(
+        F.col("id").alias("r_entity_id"), "composite_item_id"
+    )
+    attachments = L.attachments.select(F.col("id").alias("attachment_id"), "composite_item_id")
+    through = (
+        of_items.join(parents, "r_entity_id").drop("r_entity_id").join(attachments, "composite_item_id").drop("composite_item_id")
+        .withColumnRenamed("attachment_id", "r_entity_id")
+    )
+    named = lambda df, kind, route: df.withColumns({"r_entity_type": F.lit(kind), "return_route": F.lit(route)})
+    return (
+        named(of_items, "ITEM", "DIRECT")
+        .unionByName(named(side(L.return_attachments, "attachment_id"), "ATTACHMENT", "DIRECT"))
+        .unionByName(named(through, "ATTACHMENT", "PARENT"))
+        .withColumn("return_created_at_ist", ist_date("created_at"))
+    )
+
+
+def return_through_parent(cycles: DataFrame, L: Ledger) -> DataFrame:
+    """Every cycle once, with the return that falls into it by either route.
+
+    A parent's return goes before the attachment's own, then the earliest, then the
+    smallest id; which routes there are is kept beside it.  Candidates are merged per
+    cycle by an aggregate, so that several parents, returns or shared composite ids
+    never multiply a cycle."""
+    r = return_routes(L)
+    spans = cycles.select(*CYCLE).distinct()
+    cond = (
+        (spans.accountable_entity_id == r.r_entity_id) & (spans.accountable_entity_type == r.r_entity_type)
+        & r.return_created_at_ist.between(spans.cycle_start_date, spans.cycle_end_date)
+    )
+    first = F.struct((F.col("return_route") == "DIRECT").alias("later"), "created_at", "return_item_id", "return_item_state", "return_created_at_ist", "return_route")
+    found = spans.join(r, cond).groupBy(*CYCLE).agg(
+        F.min(first).alias("r"), F.max(F.col("return_route") == "DIRECT").alias("returned_directly"), F.max(F.col("return_route") == "PARENT").alias("returned_with_parent")
+    )
+    no = F.lit(False)
+    return cycles.join(found, CYCLE, "left").select(
+        *cycles.columns, "r.return_item_id", "r.return_item_state", "r.return_created_at_ist", "r.return_route",
+        F.coalesce("returned_directly", no).alias("returned_directly"), F.coalesce("returned_with_parent", no).alias("returned_with_parent"),
+        F.col("r").isNotNull().alias("has_return_in_window"),
+    )
+
+
 def buyout_in_cycle(df: DataFrame, L: Ledger) -> DataFrame:
     """Paid buy-out of the entity whose (non-cancelled) order date is in
     the cycle; the buy-out line is reported even when its order is not."""

@@ -9,15 +9,17 @@ be compared value by value with the DuckDB oracle.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revbridge.operators import assemble, base, churn, cycles, discounts, swaps, vas
+from revbridge.operators import assemble, base, churn, cycles, discounts, movements, reconcile, swaps, vas
 from revbridge.plans.bridge import BridgePlan
 from revbridge.plans.months import rolling_month_driver
 from revbridge.policy import FAMILIES, Policy
+from revbridge.sources.churn_store import ChurnStore
 from revbridge.sources.tpch_binding import close_ledgers, fixture_policy, ledger_for, table_times
 
 _PLANS: dict = {}
@@ -200,12 +202,31 @@ def q_r0x(s, d):
 
 
 def q_r0c(s, d):
-    return plan_for(s, d).churn_events.select(
+    return _events(plan_for(s, d).churn_events)
+
+
+def _events(df):
+    return df.select(
         "month_num", "entity_id", "entity_type", F.col("customer").cast("long").alias("user_ids"),
         F.col("amount").alias("taxable_amount"), "churn_flag", "transaction_type",
     )
 
 
+def q_r0n(s, d):
+    p = plan_for(s, d)
+    aware = replace(p.policy, mtp_exclusion="not_in")
+    return _events(movements.month_churn_events(p.L, p.churn["tagged"], p.mtp, p.months, aware))
+
+
+def q_c10(s, d):
+    p = plan_for(s, d)
+    store = ChurnStore(f"{p.folder.path}/churn-table")
+    if not store.versions(s):
+        store.publish(p.churn_table)
+    published = store.read(s, refreshed_at=p.policy.as_of)
+    return _events(movements.churn_events(published, p.mtp, p.months, p.policy))
+
+
 def q_r28(s, d):
     return plan_for(s, d).vas_timing
 
@@ -247,6 +268,15 @@ def q_q01(s, d):
     return assemble.component_drilldown(plan_for(s, d).bridge_rows)
 
 
+def q_q02(s, d):
+    p = plan_for(s, d)
+    return reconcile.gap_drilldown(p.bridge_rows, len(p.policy.months))
+
+
+def q_q03(s, d):
+    return reconcile.gap_causes(q_q02(s, d))
+
+
 def q_d01(s, d):
     return discounts.discount_lines(plan_for(s, d).scheduled)
 
@@ -341,6 +371,13 @@ def q_l10(s, d):
     return cycles.cycle_history(labelling(s, d)["L09"], plan_for(s, d).policy)
 
 
+def q_l11(s, d):
+    p = plan_for(s, d)
+    return cycles.return_through_parent(cycles.labelling_cycles(p.L, p.policy), p.L).select(
+        *CYC, "return_item_id", "return_item_state", "return_created_at_ist", "return_route", "returned_directly", "returned_with_parent", "has_return_in_window"
+    )
+
+
 RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "B01_entity_directory": q_b01,
     "B02_ledger_base": q_b02,
@@ -362,6 +399,7 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "C07_item_churn_amount": q_c07,
     "C08_attachment_churn_amount": q_c08,
     "C09_churn_table": q_c09,
+    "C10_published_churn_events": q_c10,
     "R00_classify_cycles": q_r00,
     "R01_opening_revenue": _component("R01"),
     "R02_mtp_adjustment": _component("R02"),
@@ -371,6 +409,7 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "R04_new_deliveries": _component("R04"),
     "R05_upsells": _component("R05"),
     "R0C_churn_events": q_r0c,
+    "R0N_churn_events_null_aware": q_r0n,
     "R06_total_pickups": _component("R06"),
     "R07_partial_pickups": _component("R07"),
     "R08_full_pickups": _component("R08"),
@@ -402,6 +441,8 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "A04_bridge_gap": q_a04,
     "A05_revenue_bridge": q_a05,
     "Q01_component_drilldown": q_q01,
+    "Q02_gap_drilldown": q_q02,
+    "Q03_gap_causes": q_q03,
     "D01_discount_lines": q_d01,
     "D02_discount_types": q_d02,
     "D03_upfront_per_schedule": q_d03,
@@ -420,6 +461,7 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "L08_entity_context": q_l08,
     "L09_lifecycle_pattern": q_l09,
     "L10_cycle_history": q_l10,
+    "L11_return_through_parent": q_l11,
 }
 
 

@@ -20,11 +20,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Columns that the bridges read, and what a published row must satisfy.
+TIME = ("timestamp_ntz", "timestamp", "date")
+#: Columns that the bridges read with their types, and what a published row must satisfy.
 COLUMNS = {
-    "entity_id": "bigint", "entity_type": "string", "user_ids": "bigint", "pickup_date": "timestamp_ntz", "payment_date": "timestamp_ntz",
-    "transaction_type": "string", "churn_flag": "string", "start_date": "timestamp_ntz", "end_date": "timestamp_ntz",
-    "taxable_amount": "decimal(18,2)", "rnk": "int", "refreshed_at": "timestamp_ntz",
+    "entity_id": ("bigint",), "entity_type": ("string",), "user_ids": ("bigint",), "pickup_date": TIME, "payment_date": TIME,
+    "transaction_type": ("string",), "churn_flag": ("string",), "start_date": TIME, "end_date": TIME,
+    "taxable_amount": ("decimal(18,2)",), "rnk": ("int",), "refreshed_at": TIME,
 }
 RULES = {
     "entity without id": "entity_id IS NULL",
@@ -43,6 +44,11 @@ class StaleSource(RuntimeError):
     """The published table is missing, of another schema or not of the wanted time."""
 
 
+def _misfits(df: DataFrame) -> list[str]:
+    kinds = dict(df.dtypes)
+    return [c for c, known in COLUMNS.items() if kinds.get(c) not in known]
+
+
 class ChurnStore:
     def __init__(self, root: str):
         self.root = root.rstrip("/")
@@ -84,8 +90,7 @@ class ChurnStore:
     def publish(self, df: DataFrame, least_rows: int = 0) -> int:
         """Write, validate and switch; the version that is now current."""
         spark = df.sparkSession
-        missing = [c for c, kind in COLUMNS.items() if dict(df.dtypes).get(c) != kind]
-        if missing:
+        if missing := _misfits(df):
             raise PublishError(f"columns missing or of another type: {missing}")
         version = max(self.versions(spark), default=0) + 1
         name = f"data/{version:012d}-{uuid.uuid4().hex}"
@@ -127,8 +132,7 @@ class ChurnStore:
         if refreshed_at is not None and own is not None and dt.datetime.fromisoformat(own).date() != refreshed_at:
             raise StaleSource(f"published as of {own}, wanted {refreshed_at}")
         df = spark.read.parquet(f"{self.root}/{marker['data']}")
-        wrong = [c for c, kind in COLUMNS.items() if dict(df.dtypes).get(c) != kind]
-        if wrong:
+        if wrong := _misfits(df):
             raise StaleSource(f"columns missing or of another type: {wrong}")
         return df
 

@@ -59,6 +59,25 @@ def test_month_bounds_reach_the_scan(lazy, component, column, low):
         assert all(f"LessThan({column},1997-03-0" in s for s in scans)
 
 
+@pytest.mark.parametrize("component", ["R16", "R20", "R21", "R22", "R23"])
+def test_every_discount_scan_has_a_start_bound(lazy, component):
+    scans = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema: struct<([^>]*)", plan_of(lazy.rows(component)))
+    cycles = [f for f, columns in scans if "discounts:" in columns]
+    assert cycles and all("(start_date,1996-12-01" in f for f in cycles)
+
+
+@pytest.mark.parametrize("components,windows", [(["R18", "R19"], 1), (["R16P", "R17"], 1)])
+def test_a_family_is_computed_once(lazy, components, windows):
+    plan = plan_of(lazy.families(components))
+    assert plan.count("Window [") == windows
+    assert len([s for s in pushed(lazy.families(components), "vertical")]) == 1
+
+
+def test_only_the_months_churn_is_ranked(lazy):
+    plan = plan_of(lazy.families(["R06", "R07"]))
+    assert "dense_rank" not in plan and not [pat for pat in FORBIDDEN if pat in plan]
+
+
 def test_vas_timing_bounds(lazy):
     assert pushed(lazy.vas_timing, "GreaterThanOrEqual(start_date,1996-12-01")
 
