@@ -94,13 +94,20 @@ def quality_sql() -> str:
       SELECT *, hash(coalesce(lag(norm) OVER (PARTITION BY row ORDER BY pos), chr(1)), coalesce(lead(norm) OVER (PARTITION BY row ORDER BY pos), chr(1))) AS around
       FROM normal
     ), often AS (SELECT host, norm FROM placed WHERE n > 0 GROUP BY ALL HAVING count(*) > {lim.min_documents}
-    ), carried AS (SELECT host, norm, text, count(*) AS places FROM placed SEMI JOIN often USING (host, norm) GROUP BY ALL
-    ), spread AS (SELECT host, norm, count(DISTINCT around) AS spread FROM placed SEMI JOIN often USING (host, norm) GROUP BY ALL
-    ), counted AS (SELECT host, norm, count(*) AS documents FROM carried GROUP BY ALL
-    ), hosts AS (SELECT host, count(DISTINCT text) AS every FROM docs GROUP BY host
+    ), carried AS (
+      SELECT host, norm, count(DISTINCT p.text) AS texts, count(DISTINCT (d.doc_id, p.text)) AS documents, count(DISTINCT around) AS spread
+      FROM placed p JOIN (SELECT row, doc_id FROM docs) d USING (row) SEMI JOIN often USING (host, norm) GROUP BY ALL
+    ), hosts AS (SELECT host, count(DISTINCT text) AS every, count(DISTINCT (doc_id, text)) AS all_documents FROM docs GROUP BY host
+    ), counted AS (SELECT * FROM carried JOIN hosts USING (host) WHERE texts > {lim.min_documents} AND texts > every * {lim.max_share}
+    ), rest AS (  -- what is left of each text without such lines, if enough is
+      SELECT p.host, row, list_sort(coalesce(list(p.norm) FILTER (c.norm IS NULL), [])) AS rest, list_distinct(list(c.norm) FILTER (c.norm IS NOT NULL)) AS gone
+      FROM placed p SEMI JOIN (SELECT min(row) AS row FROM docs GROUP BY host, text) o USING (row) LEFT JOIN counted c ON c.host = p.host AND c.norm = p.norm
+      WHERE n > 0 GROUP BY ALL
+      HAVING sum(n) FILTER (c.norm IS NOT NULL) <= sum(n) * {lim.max_removed} AND coalesce(sum(n) FILTER (c.norm IS NULL), 0) >= {lim.min_left}
+    ), rests AS (SELECT host, norm, count(DISTINCT rest) AS rests FROM (SELECT host, rest, unnest(gone) AS norm FROM rest) GROUP BY ALL
     ), above AS (
-      SELECT host, norm FROM counted JOIN spread USING (host, norm) JOIN hosts USING (host)
-      WHERE documents > {lim.min_documents} AND documents > every * {lim.max_share} AND spread >= documents * {lim.min_spread}
+      SELECT host, norm FROM counted LEFT JOIN rests USING (host, norm) WHERE greatest(spread, coalesce(rests, 0)) >= texts * {lim.min_spread}
+      UNION SELECT host, norm FROM carried JOIN hosts USING (host) WHERE documents > {lim.min_documents} AND documents > all_documents * {lim.site_share}
     ), lost AS (SELECT row, sum(n)::BIGINT AS n_removed_words FROM placed SEMI JOIN above USING (host, norm) GROUP BY row
     ), measured AS (
       SELECT d.doc_id, len(words) AS n_words, coalesce(list_sum([length(x) FOR x IN words]), 0)::BIGINT AS word_chars,

@@ -4,9 +4,11 @@ Normalised lines are hashed, and the distinct documents that carry a line are
 counted per host.  A line above the limits is removed from the host's documents
 wherever it stands; a document that loses too much is depleted and rejected.
 
-Copies of one document must not make its lines look like boilerplate, or a clean
-text would go together with all its copies.  So documents count once per text,
-and a line must also stand in different surroundings (`min_spread`): a navigation
+A line that over `site_share` of all documents of its host carry, copies counted
+each, is boilerplate of the site whatever stands around it.  Below that share copies
+of one document must not make its lines look like boilerplate, or a clean text would
+go together with all its copies: there documents count once per text, and a line
+must also stand in different surroundings (`min_spread`): a navigation
 line does, a sentence of a much-copied text does not.  Surroundings are the two
 neighbour lines, or, as blank lines and the lines of one menu always have the same
 neighbours, what is left of the document without any frequent line.  Near copies
@@ -33,6 +35,8 @@ from revbridge.llm.common import Scratch, as_row, group_key, n_words, normal_lin
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
+#: Tasks over which the rows of one line of a host are dealt.
+SALT = 16
 _SYMBOLS = b"#*$%&|<>"
 _CONTINUATION = bytes(range(0x80, 0xC0))
 
@@ -40,14 +44,16 @@ _CONTINUATION = bytes(range(0x80, 0xC0))
 @dataclass(frozen=True)
 class Limits:
     """A line is above the limits of its host if more than `min_documents` distinct
-    documents and more than `max_share` of the host's documents carry it, and the
+    documents (rows of one doc_id and text are one) and more than `site_share` of the host's
+    carry it; or if more than `min_documents` distinct texts and more than `max_share` of the host's texts carry it, and the
     distinct pairs of neighbour lines it stands between, or the distinct rests of those
-    documents (their lines not above the first two limits, where the rest is not
-    depleted), are at least `min_spread` of those documents.  A document is depleted if more than `max_removed` of its words
+    texts (their lines not above the first two limits, where the rest is not
+    depleted), are at least `min_spread` of those texts.  A document is depleted if more than `max_removed` of its words
     go, or fewer than `min_left` words are left."""
 
     min_documents: int = 8
     max_share: float = 0.002
+    site_share: float = 0.6
     min_spread: float = 0.5
     max_removed: float = 0.7
     min_left: int = 3
@@ -157,31 +163,39 @@ def distinct_rests(frequent: DataFrame, limits: Limits) -> DataFrame:
     return rest.groupBy("host", "h").agg(F.count("*").alias("rests"))
 
 
+def among(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of `lines` whose (`host`, `h`) is one of `keys`; a hot line's rows are dealt over SALT tasks."""
+    salted = keys.select("host", "h", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("_s"))
+    return lines.withColumn("_s", F.pmod("k1", F.lit(SALT))).join(salted, ["host", "h", "_s"], "left_semi").drop("_s")
+
+
 def lines_above(lines: DataFrame, rows: DataFrame, limits: Limits, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(`host`, `h`) of the lines above the limits of their host, and the rows of `lines` they are among."""
-    hosts = rows.select(F.xxhash64("host").alias("host"), F.xxhash64("text").alias("t")).distinct()
-    hosts = hosts.groupBy("host").agg(F.count("*").alias("all"))
+    hosts = rows.select(F.xxhash64("host").alias("host"), F.xxhash64("text").alias("t"), "k1", "k2").distinct()
+    hosts = hosts.groupBy("host", "t").agg(F.count("*").alias("n")).groupBy("host").agg(F.count("*").alias("all"), F.sum("n").alias("all_documents"))
     # a cheap count first: few lines are carried often enough to look closer
     often = lines.groupBy("host", "h").agg(F.count("*").alias("rows")).filter(F.col("rows") > limits.min_documents)
-    looked = lines.join(often, ["host", "h"], "left_semi")
-    documents = looked.groupBy("host", "h", "text_hash").agg(F.lit(1).alias("one"))
-    documents = documents.groupBy("host", "h").agg(F.count("*").alias("documents"))
-    counts = scratch.stage(documents.join(hosts, "host").filter(
-        (F.col("documents") > limits.min_documents) & (F.col("documents") > F.col("all") * F.lit(limits.max_share))
-    ).select("host", "h", "documents"))
-    frequent = scratch.stage(lines.join(counts, ["host", "h"], "left_semi"))
-    spread = frequent.groupBy("host", "h", "around").agg(F.lit(1).alias("one"))
+    copies = among(lines, often).groupBy("host", "h", "text_hash", "k1", "k2").agg(F.lit(1).alias("one"))
+    texts = copies.groupBy("host", "h", "text_hash").agg(F.count("*").alias("copies"))
+    carried = texts.groupBy("host", "h").agg(F.count("*").alias("documents"), F.sum("copies").alias("all_copies")).join(hosts, "host")
+    by_text = (F.col("documents") > limits.min_documents) & (F.col("documents") > F.col("all") * F.lit(limits.max_share))
+    by_copy = (F.col("all_copies") > limits.min_documents) & (F.col("all_copies") > F.col("all_documents") * F.lit(limits.site_share))
+    counts = scratch.stage(carried.filter(by_text | by_copy).select("host", "h", "documents", by_text.alias("by_text"), by_copy.alias("by_copy")))
+    frequent = scratch.stage(among(lines, counts))
+    looked = among(frequent, counts.filter("by_text"))
+    spread = looked.groupBy("host", "h", "around").agg(F.lit(1).alias("one"))
     spread = spread.groupBy("host", "h").agg(F.count("*").alias("spread"))
-    counts = counts.join(spread, ["host", "h"]).join(distinct_rests(frequent, limits), ["host", "h"], "left")
-    surroundings = F.greatest("spread", F.coalesce("rests", F.lit(0)))
-    return counts.filter(surroundings >= F.col("documents") * F.lit(limits.min_spread)).select("host", "h"), frequent
+    counts = counts.join(spread, ["host", "h"], "left").join(distinct_rests(looked, limits), ["host", "h"], "left")
+    surroundings = F.greatest(F.coalesce("spread", F.lit(0)), F.coalesce("rests", F.lit(0)))
+    varied = F.col("by_text") & (surroundings >= F.col("documents") * F.lit(limits.min_spread))
+    return counts.filter(F.col("by_copy") | varied).select("host", "h"), frequent
 
 
 def removed_lines(rows: DataFrame, limits: Limits, scratch: Scratch) -> DataFrame:
     """(`k1`, `k2`, `at`s removed, their words `n_removed_words`) of the rows that lose lines."""
     lines = scratch.stage(host_lines(rows))
     above, frequent = lines_above(lines, rows, limits, scratch)
-    hit = frequent.join(above, ["host", "h"], "left_semi")
+    hit = among(frequent, above)
     once = hit.groupBy("k1", "k2", "at").agg(F.max("n").alias("n"))  # equal rows share a key
     lost = once.groupBy("k1", "k2").agg(F.collect_list("at").alias("removed"), F.sum("n").alias("n_removed_words"))
     return lost.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "removed", "n_removed_words")

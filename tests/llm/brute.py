@@ -104,21 +104,33 @@ def measures(text):
 
 def quality(rows, limits):
     """rows: (doc_id, text, host) -> per row (measures, removed places, base_failed, kept)."""
-    docs, spread, hosts = defaultdict(set), defaultdict(set), defaultdict(set)
+    docs, texts, spread = defaultdict(set), defaultdict(set), defaultdict(set)
+    of_host, texts_of_host = defaultdict(set), defaultdict(set)
     rows_with = Counter()
-    for _, text, host in rows:
-        hosts[host].add(text)
-        n = [normal(x) for x in text.split("\n")] if text is not None else []
+    split = lambda t: [normal(x) for x in t.split("\n")] if t is not None else []
+    for d, text, host in rows:
+        of_host[host].add((d, text))
+        texts_of_host[host].add(text)
+        n = split(text)
         for i, x in enumerate(n):
             if x:
                 rows_with[host, x] += 1
-                docs[host, x].add(text)
+                docs[host, x].add((d, text))
+                texts[host, x].add(text)
                 spread[host, x].add((n[i - 1] if i else None, n[i + 1] if i + 1 < len(n) else None))
-    above = {
-        k for k in docs
-        if rows_with[k] > limits.min_documents and len(docs[k]) > limits.min_documents
-        and len(docs[k]) > len({t for t in hosts[k[0]]}) * limits.max_share and len(spread[k]) >= len(docs[k]) * limits.min_spread
-    }
+    least = limits.min_documents
+    counted = {k for k in texts if rows_with[k] > least and len(texts[k]) > least and len(texts[k]) > len(texts_of_host[k[0]]) * limits.max_share}
+    rests = defaultdict(set)
+    for host, every in texts_of_host.items():
+        for text in every:
+            n = [x for x in split(text) if x]
+            gone = [x for x in n if (host, x) in counted]
+            left, total = sum(len(words(x)) for x in gone), sum(len(words(x)) for x in n)
+            if left <= total * limits.max_removed and total - left >= limits.min_left:
+                for x in set(gone):
+                    rests[host, x].add(tuple(sorted(y for y in n if (host, y) not in counted)))
+    above = {k for k in counted if max(len(spread[k]), len(rests[k])) >= len(texts[k]) * limits.min_spread}
+    above |= {k for k in docs if rows_with[k] > least and len(docs[k]) > least and len(docs[k]) > len(of_host[k[0]]) * limits.site_share}
     out = []
     for _, text, host in rows:
         m = measures(text)
