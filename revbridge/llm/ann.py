@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -95,7 +96,9 @@ class QueryBlock:
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine of a[i] and b[i] in double precision, summed component by component."""
+    """Cosine of a[i] and b[i] in double precision, summed component by component.  Each vector
+    is first scaled by a power of two, which changes no digit but lets no square overflow or vanish."""
+    a, b = (np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]) for v in (a, b))
     ab = np.zeros(len(a))
     aa, bb = ab.copy(), ab.copy()
     for d in range(a.shape[1]):
@@ -137,79 +140,78 @@ class Nearest:
         self.scores, self.ids = scores[best], every[best]
 
 
-def _floats(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(len(column), -1)
+def _floats(blobs: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
+
+
+def _by_length(lengths: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(length, places of the rows that have it)."""
+    for n in np.unique(lengths):
+        yield int(n), np.flatnonzero(lengths == n)
 
 
 def build_index(vectors: DataFrame, vec_id: str, embedding: str, scratch: Scratch) -> DataFrame:
     """Stage `vec_id`, `vector` (packed doubles), `code` (packed bits) and `correction`
-    of every vector that takes part: not null, not empty or zero, all components
-    non-null and finite, and of the commonest length (ties: the shorter)."""
-    x = F.col(embedding).cast("array<double>")
-    good = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), x.alias("x"))
+    of every vector that takes part: id not null, vector not null, not empty or zero, all
+    components non-null and finite.  Each length has its own rotation."""
+    x = F.col(f"`{embedding}`").cast("array<double>")
+    good = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), x.alias("x"))
     good = good.filter(F.col("vec_id").isNotNull() & F.col("x").isNotNull())
     good = good.filter(F.expr("size(x) > 0") & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))))
     good = good.filter(F.exists("x", lambda v: v != 0))
-    size = good.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    dim = size[0] if size else 0
-    if dim:
-        good = good.filter(F.size("x") == dim)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = rotation(dim)
+        turns: dict[int, np.ndarray] = {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            v = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
-            words, correction = encode(unit(v), turn)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), pa.array([r.tobytes() for r in v], pa.binary()), pa.array([r.tobytes() for r in words], pa.binary()), pa.array(correction)],
-                ["vec_id", "vector", "code", "correction"],
-            )
+            column = batch.column("x")
+            ends = column.offsets.to_numpy()
+            flat = column.values.to_numpy(zero_copy_only=False).astype(np.float64)
+            for n, at in _by_length(np.diff(ends)):
+                turn = turns[n] if n in turns else turns.setdefault(n, rotation(n))
+                v = flat[ends[at][:, None] + np.arange(n)]
+                words, correction = encode(unit(v), turn)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("vec_id").take(pa.array(at)), pa.array([r.tobytes() for r in v], pa.binary()), pa.array([r.tobytes() for r in words], pa.binary()), pa.array(correction)],
+                    ["vec_id", "vector", "code", "correction"],
+                )
 
     return scratch.stage(good.mapInArrow(code, "vec_id long, vector binary, code binary, correction double"))
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 5, block: int = QUERY_BLOCK) -> list[DataFrame]:
-    """The `k` nearest of each query (`vec_id`, `vector`, in blocks), as one frame per block of
-    queries: `query_id`, `vec_id`, `score`, at most k rows a query and task."""
-    out = []
-    fields = "query_id long, vec_id long, score double"
-    ids = queries.select("vec_id", "vector", "_block")
-    for (n,) in ids.select("_block").distinct().orderBy("_block").collect():
-        mine = ids.filter(F.col("_block") == n).toArrow()
-        if not mine.num_rows:
-            continue
-        q_ids, q_vectors = mine.column("vec_id").to_numpy(), _floats(mine.column("vector").combine_chunks())
-        sent = index.sparkSession.sparkContext.broadcast((q_ids, q_vectors))
-
-        def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            near = None
-            for batch in batches:
-                if near is None:
-                    ids, vectors = sent.value
-                    near = Nearest(QueryBlock(ids, vectors, rotation(vectors.shape[1])), k)
-                if not batch.num_rows:
-                    continue
-                vec = _floats(batch.column("vector"))
-                words = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-                corr, row_ids = batch.column("correction").to_numpy(), batch.column("vec_id").to_numpy()
-                for i in range(0, batch.num_rows, CODE_BATCH):
-                    s = slice(i, i + CODE_BATCH)
-                    near.add(row_ids[s], words[s], corr[s], vec[s])
-            if near is not None:
-                q, r = np.nonzero(np.isfinite(near.scores))
-                yield pa.RecordBatch.from_arrays([pa.array(near.block.ids[q]), pa.array(near.ids[q, r]), pa.array(near.scores[q, r])], ["query_id", "vec_id", "score"])
-
-        out.append(index.select("vec_id", "vector", "code", "correction").mapInArrow(scan, fields))
-    return out
+def search(index: DataFrame, ids: np.ndarray, vectors: list[bytes], k: int = 5) -> tuple[DataFrame, Broadcast]:
+    """The `k` nearest of each query (`ids`, packed `vectors`) among the vectors of its length:
+    `query_id`, `vec_id`, `score`, at most k rows a query and task; and the broadcast to release."""
+    sent = index.sparkSession.sparkContext.broadcast((ids, vectors))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        near: dict[int, Nearest] | None = None
+        for batch in batches:
+            if near is None:
+                q_ids, q_vectors = sent.value
+                near = {
+                    n: Nearest(QueryBlock(q_ids[at], _floats([q_vectors[i] for i in at]), rotation(n // 8)), k)
+                    for n, at in _by_length(np.array([len(v) for v in q_vectors]))
+                }
+            row_ids, corr = batch.column("vec_id").to_numpy(), batch.column("correction").to_numpy()
+            blobs, codes = batch.column("vector").to_pylist(), batch.column("code").to_pylist()
+            for n, at in _by_length(np.array([len(v) for v in blobs], np.int64)):
+                for i in range(0, len(at) if n in near else 0, CODE_BATCH):
+                    part = at[i : i + CODE_BATCH]
+                    words = np.frombuffer(b"".join([codes[p] for p in part]), np.uint64).reshape(len(part), -1)
+                    near[n].add(row_ids[part], words, corr[part], _floats([blobs[p] for p in part]))
+        for found in (near or {}).values():
+            q, r = np.nonzero(np.isfinite(found.scores))
+            yield pa.RecordBatch.from_arrays([pa.array(found.block.ids[q]), pa.array(found.ids[q, r]), pa.array(found.scores[q, r])], ["query_id", "vec_id", "score"])
+
+    return index.select("vec_id", "vector", "code", "correction").mapInArrow(scan, "query_id long, vec_id long, score double"), sent
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding", block: int = QUERY_BLOCK) -> DataFrame:
     """(`query_id`, `rank` from 1, `vec_id`, `score`): the k nearest by cosine of every row
     that `is_query` (over `vec_id`) picks, among all rows but those of its own id.
 
-    Rows that take no part (see `build_index`) are neither queries nor found.
+    Rows that take no part (see `build_index`; those without an id among them) are neither
+    queries nor found.  Vectors are compared with those of their own length.
     Ties go to the smaller vec_id.  Fewer than k candidates: all of them.  A
     repeated vec_id is one query (its vectors' smallest) and is found once per row.
     """
@@ -219,9 +221,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec
     picked = index.filter(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     placed = global_index(picked, "vec_id", "_place", scratch)
     picked = scratch.stage(placed.withColumn("_block", F.floor(F.col("_place") / block)))
-    schema = "query_id long, vec_id long, score double"
-    found = spark.createDataFrame([], schema)
-    for part in search(index, picked, k, block):
-        found = found.unionByName(part)
+    blocks = picked.agg(F.coalesce(F.max("_block") + 1, F.lit(0))).first()[0]
+    out = []
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    for b in range(blocks):  # a block is bounded, and its broadcast is released before the next
+        mine = picked.filter(F.col("_block") == b).orderBy("_place").toArrow()
+        found, sent = search(index, mine.column("vec_id").to_numpy(), mine.column("vector").to_pylist(), k)
+        found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        out.append(scratch.write(found.select("query_id", "rank", "vec_id", "score")))
+        sent.unpersist()
+    schema = "query_id long, rank int, vec_id long, score double"
+    return spark.read.schema(schema).parquet(*out) if out else spark.createDataFrame([], schema)

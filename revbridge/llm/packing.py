@@ -98,8 +98,11 @@ def pack(docs: DataFrame, max_len: int = 4096, n_buckets: int = 12, budget: int
 
 
 def piece_text(rows: DataFrame, max_len: int) -> DataFrame:
-    """Replace `text` by the piece's own words: the text itself where it is one piece,
-    else `max_len` words from the piece's first on, joined by a space."""
-    words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"), F.lit(1))
-    cut = F.array_join(F.slice(words, F.col("piece") * max_len + 1, max_len), " ")
-    return rows.withColumn("text", F.when(F.col("n_pieces") == 1, F.col("text")).otherwise(cut))
+    """Replace `text` by the piece's own part: its words with the white space after each
+    (the first piece also has what stands before the first word), so that a document's
+    pieces in turn are its text, byte for byte."""
+    space = r"[\x20\x09-\x0D]*"
+    runs = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD}{space})"), F.lit(1))
+    cut = F.array_join(F.slice(runs, F.col("piece") * max_len + 1, max_len), "")
+    lead = F.when(F.col("piece") == 0, F.regexp_extract("text", f"^({space})", 1)).otherwise("")
+    return rows.withColumn("text", F.when(F.col("n_pieces") == 1, F.col("text")).otherwise(F.concat(lead, cut)))

@@ -1,6 +1,7 @@
 """Queries that SQL cannot express, and the pipeline, against plain versions of their definitions."""
 
 import math
+import re
 from collections import Counter
 
 import duckdb
@@ -220,7 +221,9 @@ def plain_pipeline(docs):
     for d, t, _ in docs:
         w = brute.words(t)
         n = max(1, math.ceil(len(w) / PACK_LEN))
-        pieces += [(d, p, min(PACK_LEN, len(w) - p * PACK_LEN), t if n == 1 else " ".join(w[p * PACK_LEN : (p + 1) * PACK_LEN])) for p in range(n)]
+        cuts = [m.start() for m in re.finditer(brute.SPACE, t or "")][PACK_LEN::PACK_LEN]  # where a piece's first word stands
+        parts = [t] if n == 1 else [t[a:b] for a, b in zip([0, *cuts], [*cuts, None])]
+        pieces += [(d, p, min(PACK_LEN, len(w) - p * PACK_LEN), parts[p]) for p in range(n)]
     bounds = packing.optimal_boundaries(Counter(p[2] for p in pieces), PACK_BUCKETS)
     bucket = [next(b for b in bounds if b >= p[2]) for p in pieces]
     out = Counter()

@@ -206,6 +206,15 @@ def test_mixing_meets_targets(spark):
     assert Counter((r.doc_id, r.taken) for r in got) == Counter((r.doc_id, r.taken) for r in again)
 
 
+def test_pieces_are_the_text_again(spark):
+    texts = ["  lead\n\n\tcode {\n    x = 1;\r\n}\n" * 40 + "end  ", "short  text", " \n ", "", "a b c d e f g h", "É\u00a0ü  " * 30]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = packing.piece_text(packing.pieces(docs, 7).select("row.*", "piece", "n_pieces", "n_tokens"), 7).collect()
+    for i, t in enumerate(texts):
+        mine = sorted((r.piece, r.text, r.n_tokens) for r in rows if r.doc_id == i)
+        assert "".join(x for _, x, _ in mine) == t and all(len(brute.words(x)) == n for _, x, n in mine)
+
+
 def test_packing(either):
     out = packing.pack(either, max_len=1000, n_buckets=3, budget=4000).collect()
     assert all(r[c] == "x" for r in out for c in either.columns[5:] if c not in packing.ADDED)
@@ -228,6 +237,24 @@ VECTORS = [(i, [float((i * 7 + k * 13) % 11 - 5) for k in range(6)]) for i in ra
 VECTORS += [(50, None), (100, [0.0] * 6), (150, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (200, [float("nan")] * 6), (250, [float("inf")] + [1.0] * 5), (300, []), (350, [1.0] * 6), (400, [2.0] * 6), (401, [2.0] * 6), (None, [1.0] * 6)]
 
 
+def test_nearest_of_every_length_and_magnitude(spark):
+    import random
+
+    rng = random.Random(5)
+    lengths = {i: rng.choice([3, 3, 5]) for i in range(120)}
+    size = {i: 10.0 ** rng.choice([0, 200, -200, 306, -306]) for i in lengths}
+    rows = [(i, [rng.gauss(0, 1) * size[i] for _ in range(n)]) for i, n in lengths.items()]
+    rows += [(150, [1e200] * 3), (151, [1e-200, 2e-200, 0.0]), (200, [2.0] * 9), (None, [1.0, 2.0, 3.0])]
+    got = sorted(tuple(r) for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, 5, block=2).collect())
+    want = []
+    for n in (3, 5, 9):
+        same = [(d, [float(x) for x in v]) for d, v in rows if d is not None and len(v) == n]
+        top = {d: max(map(abs, v)) for d, v in same}
+        want += brute.nearest([(d, [x / top[d] for x in v]) for d, v in same], 5, lambda i: i % 50 == 0)
+    assert [r[:3] for r in got] == [r[:3] for r in sorted(want)] and len(got) >= 15
+    assert all(abs(g[3] - w[3]) < 1e-12 for g, w in zip(got, sorted(want)))
+
+
 def test_nearest(spark):
     frame = spark.createDataFrame([(*v, 1, "x", 2.0) for v in VECTORS], "vec_id long, embedding array<double>, rank int, vector string, score double").repartition(4)
     got = sorted(tuple(r) for r in ann.nearest(frame, F.col("vec_id") % 50 == 0, 5, block=1).collect())
