@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Tuples kept in memory by one queue before its longest buckets go to disk.
-QUEUE_TUPLES = 1 << 22
+QUEUE_TUPLES = 1 << 18
 _FAR = np.iinfo(np.int32).max
 #: A string of names is sorted by induction if a name occurs this often on average.
 NAME_USES = 256

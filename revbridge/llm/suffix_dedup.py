@@ -18,7 +18,9 @@ of at most 2 * width bytes.
    window repeats if a neighbour in that order shares `width` bytes.  Anchors with
    very many distinct snippets are split: their windows are cut into blocks of
    SPLIT neighbouring starts, and dealt by the bytes that all windows of a block
-   hold, after equal blocks have been settled by a count as in 2.
+   hold, after equal blocks have been settled by a count as in 2.  Where even the
+   blocks of one shard are too many (they lie across the edge of a passage that many
+   documents hold), their windows are counted one by one instead of sorted.
 4. The intervals found go to their documents, which are cut and digested.
 
 The text is shuffled compressed (twice), and never gathered: a task holds one
@@ -47,6 +49,8 @@ _PLACE_BITS = np.uint64(20)
 #: blocks of so many window starts.
 SHARD_BYTES = 2 << 20
 SPLIT = 24
+#: Rows from which a kind may count as hot, and how many hot kinds there can be.
+HOT_USES, MAX_HOT = 1000, 10_000
 #: The Bloom filter: 512-bit blocks, at most 2^18 of them (16 MB) are sent out.
 MAX_BLOCKS = 1 << 18
 BITS_PER_KEY = 16
@@ -301,18 +305,57 @@ def _snippets(packed: DataFrame, asked: DataFrame, width: int) -> DataFrame:
     return joined.mapInArrow(cut, _SNIPPET)
 
 
-def _settled_blocks(blocks: DataFrame, width: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Blocks of split anchors: the intervals of equal ones (all their windows repeat), and
-    one of each kind where a shard has several and some kind is met only once."""
+def _of_kinds(rows: DataFrame, kinds: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of `kinds` (`keys`, `uses`: their number in `rows`).  A kind with very many rows
+    would meet them in one task: those (at most MAX_HOT, by the threshold) are sent out instead."""
+    total = kinds.agg(F.sum("uses")).first()[0] or 0
+    hot = F.col("uses") > max(HOT_USES, total // MAX_HOT)
+    few = F.broadcast(kinds.filter(hot).select(*keys, F.lit(True).alias("_hot")))
+    marked = rows.join(few, keys, "left")
+    rest = marked.filter("_hot IS NULL").join(kinds.filter(~hot).select(*keys), keys, "left_semi")
+    return marked.filter("_hot").unionByName(rest).drop("_hot")
+
+
+def _settled_blocks(blocks: DataFrame, width: int, scratch: Scratch, most: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks of split anchors: the intervals that a count settles, and one of each kind where a
+    shard has several and some kind is met only once.
+
+    Equal blocks repeat as a whole.  A shard of more than `most` bytes, as the blocks across the
+    edge of a passage that many documents hold (equal where they decide the shard, each with its
+    own neighbours), is settled window by window: a digest of each is counted, map-side first."""
     digest = F.xxhash64("snippet")
     kinds = scratch.stage(
         blocks.groupBy("shard", digest.alias("digest"))
         .agg(F.count("*").alias("uses"), F.min(F.struct("k1", "k2", "first", "snippet")).alias("x"))
     )
-    equal = blocks.withColumn("digest", digest).join(kinds.filter("uses > 1").select("shard", "digest"), ["shard", "digest"], "left_semi")
-    mixed = kinds.groupBy("shard").agg(F.count("*").alias("kinds"), F.min("uses").alias("least")).filter("kinds > 1 and least = 1")
-    open_kinds = kinds.join(mixed.select("shard"), "shard", "left_semi").select("x.k1", "x.k2", "shard", "x.first", "x.snippet")
-    return equal.select("k1", "k2", F.col("first").alias("lo"), (F.col("first") + F.octet_length("snippet")).alias("hi")), open_kinds
+    equal = _of_kinds(blocks.withColumn("digest", digest), kinds.filter("uses > 1").select("shard", "digest", "uses"), ["shard", "digest"])
+    equal = equal.select("k1", "k2", F.col("first").alias("lo"), (F.col("first") + F.octet_length("snippet")).alias("hi"))
+    shards = kinds.groupBy("shard").agg(F.count("*").alias("kinds"), F.min("uses").alias("least"), F.sum(F.octet_length("x.snippet")).alias("bytes"))
+    mixed = kinds.join(shards.filter("kinds > 1 and least = 1").select("shard", (F.col("bytes") > most).alias("large")), "shard")
+    mixed = scratch.stage(mixed.select("x.k1", "x.k2", "shard", "x.first", "x.snippet", "uses", "large"))
+    counted = _counted_windows(mixed.filter("large"), width, scratch)
+    return equal.unionByName(counted), mixed.filter("not large").select("k1", "k2", "shard", "first", "snippet")
+
+
+def _counted_windows(kinds: DataFrame, width: int, scratch: Scratch) -> DataFrame:
+    """The intervals of windows met more than once among block kinds and their uses."""
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for k1, k2, first, snippet, uses in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "first", "snippet", "uses"))):
+                for i in range(len(snippet) - width + 1):
+                    d = xxhash.xxh3_128_digest(snippet[i : i + width])
+                    out.append((k1, k2, first + i, uses, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
+            cols = list(zip(*out)) if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["k1", "k2", "at", "n", "d1", "d2"])
+
+    fields = "k1 long, k2 long, at long, n long, d1 long, d2 long"
+    found = scratch.stage(kinds.select("k1", "k2", "first", "snippet", "uses").mapInArrow(windows, fields))
+    again = found.groupBy("d1", "d2").agg(F.sum("n").alias("n"), F.count("*").alias("uses")).filter("n > 1")
+    again = scratch.stage(again.select("d1", "d2", "uses"))
+    hit = _of_kinds(found.filter("n = 1"), again, ["d1", "d2"])  # kinds met several times are settled as a whole
+    return hit.select("k1", "k2", F.col("at").alias("lo"), (F.col("at") + width).alias("hi"))
 
 
 def _sorted_shards(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -369,7 +412,7 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
     found = scratch.stage(_instances(rows, width, sent))
     # equal snippets of an anchor repeat as a whole
     kinds = scratch.stage(found.groupBy("anchor", "snippet").agg(F.count("*").alias("uses"), F.min(F.struct("k1", "k2", "first", "n", "offset")).alias("x")))
-    whole = found.join(kinds.filter("uses > 1").select("anchor", "snippet"), ["anchor", "snippet"], "left_semi")
+    whole = _of_kinds(found, kinds.filter("uses > 1").select("anchor", "snippet", "uses"), ["anchor", "snippet"])
     whole = whole.select("k1", "k2", F.col("first").alias("lo"), (F.col("first") + F.col("n") - 1 + width).alias("hi"))
     # anchors with snippets of their own beside others
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("uses").alias("least"), F.sum(F.col("x.n") + width).alias("bytes"))
@@ -378,7 +421,7 @@ def remove_repeats(docs: DataFrame, width: int = 200, doc_id: str = "doc_id", te
     asked = open_kinds.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "split", "first", "n", "offset")).alias("asked"))
     packed = _packed(rows)
     snippets = scratch.stage(_snippets(packed.dropDuplicates(["k1", "k2"]), asked, width))  # equal rows share a key
-    equal, open_blocks = _settled_blocks(snippets.filter("split"), width, scratch)
+    equal, open_blocks = _settled_blocks(snippets.filter("split"), width, scratch, SHARD_BYTES // 4)
     open_text = snippets.filter("not split").drop("split").unionByName(open_blocks)
     size = open_text.agg(F.sum(F.octet_length("snippet"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
