@@ -11,11 +11,14 @@ size is bounded by the entity's number of cycles.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revbridge.functions import ist_date, is_paid, money
 from revbridge.operators.base import ENTITY_KEYS
+from revbridge.operators.movements import within
 from revbridge.policy import EXCLUDED_RR_STATES, Policy
 from revbridge.sources.ledger import Ledger
 
@@ -23,7 +26,10 @@ CYCLE = [*ENTITY_KEYS, "cycle_start_date", "cycle_end_date"]
 CLASS_RANK = {"CURRENT_MTP": 1, "MTP": 2, "NORMAL_CYCLE": 3}
 
 
-def labelling_cycles(L: Ledger, policy: Policy, entity_id=None) -> DataFrame:
+def labelling_cycles(L: Ledger, policy: Policy, entity_id=None, in_months: bool = False) -> DataFrame:
+    """Live cycles; `in_months` keeps those that start or were recognised from the month
+    before the first one to the last (bounds on the raw columns, for the scan): without a
+    buy-out no other cycle belongs to a month."""
     rr = L.recognitions.filter(
         (F.col("vertical") == policy.vertical)
         & ~F.col("state").isin(*EXCLUDED_RR_STATES)
@@ -32,6 +38,10 @@ def labelling_cycles(L: Ledger, policy: Policy, entity_id=None) -> DataFrame:
     )
     if entity_id is not None:
         rr = rr.filter(F.col("accountable_entity_id") == entity_id)
+    if in_months:
+        day = dt.timedelta(days=1)  # recognition is bucketed by IST date
+        low, high = policy.first_prev_start, policy.last_next
+        rr = rr.filter(within("start_date", low, high) | within("recognised_at", low - day, high + day))
     return rr.select(
         *ENTITY_KEYS,
         F.to_date("start_date").alias("cycle_start_date"),
@@ -115,16 +125,21 @@ def return_through_parent(cycles: DataFrame, L: Ledger) -> DataFrame:
     )
 
 
-def buyout_in_cycle(df: DataFrame, L: Ledger) -> DataFrame:
-    """Paid buy-out of the entity whose (non-cancelled) order date is in
-    the cycle; the buy-out line is reported even when its order is not."""
+def paid_buyouts(L: Ledger) -> DataFrame:
+    """Paid buy-out lines of items and attachments."""
     def side(t, id_col, kind):
         return t.filter(is_paid("payment_details")).select(
             F.col(id_col).alias("b_entity_id"), F.lit(kind).alias("b_entity_type"),
             F.col("id").alias("rent_to_purchase_item_id"), F.col("rent_to_purchase_order_id").alias("b_order_id"),
         )
 
-    rtp = side(L.rtp_items, "item_id", "ITEM").unionByName(side(L.rtp_attachments, "attachment_id", "ATTACHMENT"))
+    return side(L.rtp_items, "item_id", "ITEM").unionByName(side(L.rtp_attachments, "attachment_id", "ATTACHMENT"))
+
+
+def buyout_in_cycle(df: DataFrame, L: Ledger) -> DataFrame:
+    """Paid buy-out of the entity whose (non-cancelled) order date is in
+    the cycle; the buy-out line is reported even when its order is not."""
+    rtp = paid_buyouts(L)
     rto = L.rtp_orders.filter(F.col("state") != "CANCELLED").select(
         F.col("id").alias("b_order_id"), ist_date("created_at").alias("b_created_at_ist")
     )
@@ -190,6 +205,22 @@ def lifecycle_context(df: DataFrame) -> DataFrame:
     )
 
 
+def month_context(L: Ledger, policy: Policy, entity_id=None) -> DataFrame:
+    """L04 (without returns and churn) of the cycles that can belong to a month.
+
+    Only a buy-out moves a cycle's dates or looks at the entity's other cycles.  The few
+    entities with a paid line take that way with all their cycles; for all others the
+    dates are their own, and the scan is bounded by the months."""
+    bought = paid_buyouts(L).select(F.col("b_entity_id").alias(ENTITY_KEYS[0]), F.col("b_entity_type").alias(ENTITY_KEYS[1])).distinct()
+    moved = lifecycle_context(buyout_in_cycle(labelling_cycles(L, policy, entity_id).join(bought, ENTITY_KEYS, "left_semi"), L))
+    own = labelling_cycles(L, policy, entity_id, in_months=True).join(bought, ENTITY_KEYS, "left_anti").withColumns({
+        "rent_to_purchase_item_id": F.lit(None).cast("long"), "rtp_created_at_ist": F.lit(None).cast("date"), "has_rtp_in_window": F.lit(False),
+        "global_tto_date": F.lit(None).cast("date"), "future_cycles_count": F.lit(0).cast("long"),
+        "synthetic_recognised_at_ist": F.col("recognised_at_ist"), "used_tto_date_for_pattern": F.lit(False),
+    })
+    return moved.unionByName(own)
+
+
 def cycle_month_class(df: DataFrame, months: DataFrame) -> DataFrame:
     """Every (cycle, analysis month, class) the cycle matches, classes
     CURRENT_MTP / MTP / NORMAL_CYCLE on the buy-out adjusted date (month
@@ -318,8 +349,8 @@ def labelling_pipeline(L: Ledger, policy: Policy, months: DataFrame, tagged: Dat
                        terminal: bool = False, stage=lambda df: df) -> dict[str, DataFrame]:
     """L01-L04 over every cycle (lazy), and L05-L10 over the analysis months.
 
-    The months are cut out early: buy-out context and month class need only the
-    cycles and their buy-outs, so returns and churn flags join the few cycles
+    The months are cut out early, for most entities in the scan (`month_context`):
+    buy-out context and month class need only the cycles and their buy-outs, so returns and churn flags join the few cycles
     that match a month.  (Joins commute here: each adds its own columns by
     entity, and the class does not depend on returns or churn.)  Whether later
     cycles exist is all that the labels ask of `future_cycles_count`.
@@ -330,7 +361,7 @@ def labelling_pipeline(L: Ledger, policy: Policy, months: DataFrame, tagged: Dat
     l02 = buyout_in_cycle(l01, L)
     l03 = churn_enrichment(l02, flags)
     l04 = lifecycle_context(l03)
-    context = lifecycle_context(buyout_in_cycle(cyc, L))
+    context = month_context(L, policy, entity_id)
     candidates = stage(cycle_month_class(context, months))
     l05 = churn_enrichment(return_in_cycle(candidates, L), flags)
     l06 = stage(earliest_match(l05))

@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from revbridge.operators import cycles
 from revbridge.plans.bridge import BridgePlan
 from revbridge.plans.registry import queries
 from revbridge.session import RunFolder, checkpoint_dir
@@ -78,6 +79,12 @@ def test_only_the_months_churn_is_ranked(lazy):
     assert "dense_rank" not in plan and not [pat for pat in FORBIDDEN if pat in plan]
 
 
+def test_cycle_labels_scan_the_months(lazy):
+    context = cycles.month_context(lazy.L, lazy.policy)
+    bounds = [f for f in pushed(context, "vertical") if "GreaterThanOrEqual(start_date,1996-12-01" in f and "GreaterThanOrEqual(recognised_at,1996-11-30" in f]
+    assert len(bounds) == 1 and "Or(" in bounds[0]
+
+
 def test_vas_timing_bounds(lazy):
     assert pushed(lazy.vas_timing, "GreaterThanOrEqual(start_date,1996-12-01")
 
