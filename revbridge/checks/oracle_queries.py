@@ -161,6 +161,14 @@ WHERE rnk = 1 AND churn_flag <> 'ACTIVE' AND NOT EXISTS (
     "A03_closing_revenue": report(f"SELECT {shown('month_num:i ' + COUNTS)} FROM total WHERE pos = 31"),
     "A04_bridge_gap": report(f"SELECT {shown('month_num:i ' + COUNTS)} FROM gap"),
     "A05_revenue_bridge": wide(f"{LINES} UNION ALL SELECT * FROM total UNION ALL SELECT * FROM gap"),
+    "A06_distinct_closing": report("""FROM (WITH key AS (
+  SELECT month_num, component, 'ITEM' AS kind, entity_type || ':' || entity_id AS k FROM fact UNION SELECT month_num, component, 'CUSTOMER', customer FROM fact
+), held AS (SELECT DISTINCT month_num, kind, k FROM key WHERE k IS NOT NULL AND (component IN ('R01', 'R04', 'R05') OR kind = 'ITEM' AND component = 'R13')
+), gone AS (SELECT DISTINCT month_num, kind, k FROM key WHERE k IS NOT NULL AND (component IN ('R08', 'R11') OR kind = 'ITEM' AND component IN ('R07', 'R10', 'R12'))
+), both_sets AS (SELECT *, TRUE AS h FROM held UNION ALL SELECT *, FALSE FROM gone)
+SELECT CAST(b.month_num AS BIGINT) AS month_num, kind, count(DISTINCT k) FILTER (h) AS held, count(DISTINCT k) FILTER (NOT h) AS left_month,
+  count(DISTINCT k) - count(DISTINCT k) FILTER (NOT h) AS closing_distinct, CAST(any_value(CASE kind WHEN 'ITEM' THEN t.items ELSE t.cx END) AS BIGINT) AS closing_added
+FROM both_sets b LEFT JOIN total t ON t.month_num = b.month_num AND t.pos = 31 GROUP BY b.month_num, kind)"""),
     "Q01_component_drilldown": report(
         f"SELECT {shown('month_num:i component entity_type entity_id:i customer amount:d')} FROM fact WHERE component IN (SELECT component FROM meta WHERE label IS NOT NULL)"
     ),
@@ -191,6 +199,12 @@ FROM owned GROUP BY eid, kind, sid, start_day, ended, disc_form, disc1, cat1, di
         f"SELECT * EXCLUDE ({own}), {own} AS entity_id, '{kind}' AS entity_type FROM swap_{kind.lower()}s_shown{where}"
         for own, kind, where in (("attachment_id", "ATTACHMENT", ""), ("item_id", "ITEM", " WHERE action = 'SWAP_OUT' AND state = 'FULFILLED'"))
     )),
+    "S02_swap_peers": report("""FROM (WITH target AS (
+  SELECT s.*, CASE WHEN s.action = 'SWAP_OUT' THEN (SELECT max(c.start_day) FROM cycle c WHERE (c.eid, c.kind) = (s.eid, s.kind) AND c.start_day <= s.day)
+              ELSE (SELECT min(c.start_day) FROM cycle c WHERE (c.eid, c.kind) = (s.eid, s.kind) AND c.start_day >= s.day) END AS st FROM swap s)
+SELECT CAST(t.eid AS BIGINT) AS entity_id, t.kind AS entity_type, t.action, CAST(t.day AS VARCHAR) AS fulfillment_date, CAST(t.st AS VARCHAR) AS cycle_start,
+  CAST(c.amount AS DOUBLE) AS taxable_amount, count(c.eid) OVER w AS peers, row_number() OVER (PARTITION BY t.eid, t.kind, t.action, t.day ORDER BY c.amount DESC) AS place
+FROM target t LEFT JOIN cycle c ON (c.eid, c.kind, c.start_day) = (t.eid, t.kind, t.st) WINDOW w AS (PARTITION BY t.eid, t.kind, t.action, t.day))"""),
     "L01_return_in_cycle": labels(
         f"SELECT {shown(CYC + ' return_item_id:i=ret_id return_item_state=ret_state return_created_at_ist:s=ret_day has_return_in_window=returned_in')} FROM with_return"
     ),

@@ -87,6 +87,34 @@ def swap_matches(events: DataFrame, entity_cycles: DataFrame) -> DataFrame:
     return outs.unionByName(ins).select(*KEYS, "action", F.col("d").alias("fulfillment_date"), "taxable_amount")
 
 
+def swap_peers(events: DataFrame, entity_cycles: DataFrame) -> DataFrame:
+    """Every cycle that a swap could mean: all that start at the matched start.
+
+    The matched start (the last on or before a swap out, the first on or after a swap in)
+    is an as-of match over the distinct starts of swapped entities; its peers then meet the
+    swap by equality.  One row per swap and peer (`peers` of them, `place` by amount), one
+    without a cycle where there is none."""
+    cyc = entity_cycles.select(
+        F.col("accountable_entity_id").alias("entity_id"), F.col("accountable_entity_type").alias("entity_type"),
+        F.to_date("rr_start_date").alias("cycle_start"), "taxable_amount",
+    ).join(events.select(*KEYS).distinct(), KEYS, "left_semi")
+    out = F.col("action") == "SWAP_OUT"
+    swaps = events.select(*KEYS, "action", F.col("fulfillment_date").alias("d"))
+    starts = cyc.select(*KEYS, F.col("cycle_start").alias("d")).dropna().distinct().withColumn("start", F.col("d"))
+    rows = swaps.withColumn("k", F.lit(1)).unionByName(starts.withColumn("k", F.lit(0)), allowMissingColumns=True)
+    before = Window.partitionBy(*KEYS).orderBy("d", "k").rowsBetween(Window.unboundedPreceding, 0)
+    after = Window.partitionBy(*KEYS).orderBy("d", F.col("k").desc()).rowsBetween(0, Window.unboundedFollowing)
+    matched = rows.select(
+        *KEYS, "action", "d", "k", F.last("start", ignorenulls=True).over(before).alias("past"), F.first("start", ignorenulls=True).over(after).alias("next")
+    ).filter("k = 1").select(*KEYS, "action", F.col("d").alias("fulfillment_date"), F.when(out, F.col("past")).otherwise(F.col("next")).alias("cycle_start"))
+    swap = Window.partitionBy(*KEYS, "action", "fulfillment_date")
+    return matched.join(cyc, [*KEYS, "cycle_start"], "left").select(
+        *KEYS, "action", "fulfillment_date", "cycle_start", "taxable_amount",
+        F.when(F.col("cycle_start").isNotNull(), F.count("*").over(swap)).otherwise(0).alias("peers"),
+        F.row_number().over(swap.orderBy(F.col("taxable_amount").desc())).alias("place"),
+    )
+
+
 def swap_rows(matches: DataFrame, directory: DataFrame, months: DataFrame) -> DataFrame:
     """R12 / R13 entity rows (customers are not counted for swaps)."""
     users = directory.select(F.col("id").alias("entity_id"), "entity_type", "user_id")

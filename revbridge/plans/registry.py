@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revbridge.operators import assemble, base, churn, cycles, discounts, movements, reconcile, swaps, vas
+from revbridge.operators import assemble, base, churn, cycles, discounts, distinct, movements, reconcile, swaps, vas
 from revbridge.plans.bridge import BridgePlan
 from revbridge.plans.months import rolling_month_driver
 from revbridge.policy import FAMILIES, Policy
@@ -260,6 +260,13 @@ def q_a04(s, d):
     return assemble.bridge_gap(agg, assemble.closing(agg, assemble.adjusted_opening(agg))).filter(F.col("month_num") == 1)
 
 
+def q_a06(s, d):
+    p = plan_for(s, d)
+    rows = p.bridge_rows.filter(F.col("component").isin(*sorted({c for lists in (distinct.HELD, distinct.LEFT) for c in sum(lists.values(), [])})))
+    closing = assemble.closing(p.aggregated, assemble.adjusted_opening(p.aggregated))
+    return distinct.distinct_closing(distinct.distinct_sets(p.stage(rows), p.stage), closing)
+
+
 def q_a05(s, d):
     return plan_for(s, d).report()
 
@@ -306,6 +313,11 @@ def q_s01(s, d):
     return swaps.swap_register(plan_for(s, d).L)
 
 
+def q_s02(s, d):
+    p = plan_for(s, d)
+    return swaps.swap_peers(swaps.swap_events(p.L), p.split["entity"])
+
+
 _LABELS: dict = {}
 
 
@@ -440,6 +452,7 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "A03_closing_revenue": q_a03,
     "A04_bridge_gap": q_a04,
     "A05_revenue_bridge": q_a05,
+    "A06_distinct_closing": q_a06,
     "Q01_component_drilldown": q_q01,
     "Q02_gap_drilldown": q_q02,
     "Q03_gap_causes": q_q03,
@@ -450,6 +463,7 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "D05_plan_transition_detail": q_d05,
     "D06_discount_grain_check": q_d06,
     "S01_swap_register": q_s01,
+    "S02_swap_peers": q_s02,
     "L01_return_in_cycle": q_l01,
     "L02_buyout_in_cycle": q_l02,
     "L03_churn_enrichment": q_l03,
