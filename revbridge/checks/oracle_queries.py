@@ -195,6 +195,8 @@ FROM both_sets b LEFT JOIN total t ON t.month_num = b.month_num AND t.pos = 31 G
     "D06_discount_grain_check": base(f"""SELECT {shown(DISCOUNT + ' start_date:s=start_day')}, count(*) AS n_cycles,
   CAST(sum(CAST(disc1 AS DECIMAL(18, 2)) + CAST(disc2 AS DECIMAL(18, 2))) AS DOUBLE) AS json_total, json_total AS exploded_total, TRUE AS matches
 FROM owned GROUP BY eid, kind, sid, start_day, ended, disc_form, disc1, cat1, disc2, cat2"""),
+    "D07_discount_faults": base(f"""SELECT {shown(DISCOUNT + ' start_date:s=start_day')}, CAST(NULL AS BIGINT) AS line,
+  CASE disc_form WHEN 'none' THEN 'not JSON' ELSE 'object instead of a list' END AS reason FROM owned WHERE disc_form <> 'list'"""),
     "S01_swap_register": base(" UNION ALL ".join(
         f"SELECT * EXCLUDE ({own}), {own} AS entity_id, '{kind}' AS entity_type FROM swap_{kind.lower()}s_shown{where}"
         for own, kind, where in (("attachment_id", "ATTACHMENT", ""), ("item_id", "ITEM", " WHERE action = 'SWAP_OUT' AND state = 'FULFILLED'"))
@@ -253,5 +255,10 @@ FROM plain_cycle c LEFT JOIN best b ON (b.eid, b.kind, b.s, b.e) = (c.eid, c.kin
 }
 
 
+ORACLE["V01_sql_report"] = ORACLE["A05_revenue_bridge"]
+ORACLE["V02_sql_component"] = report(f"SELECT {shown('month_num:i component entity_type entity_id:i customer amount:d')} FROM fact WHERE component = 'R14'")
+ORACLE["V03_sql_transitions"] = f"SELECT * FROM ({ORACLE['D05_plan_transition_detail']}) WHERE accountable_entity_type = 'ITEM'"
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revbridge.operators import assemble, base, churn, cycles, discounts, distinct, movements, reconcile, swaps, vas
+from revbridge.operators import assemble, base, churn, cycles, discount_shapes, discounts, distinct, movements, reconcile, swaps, vas
+from revbridge.operators.base import ENTITY_KEYS
+from revbridge.plans import views
 from revbridge.plans.bridge import BridgePlan
 from revbridge.plans.months import rolling_month_driver
 from revbridge.policy import FAMILIES, Policy
@@ -309,6 +311,20 @@ def q_d06(s, d):
     return discounts.discount_grain_check(plan_for(s, d).scheduled)
 
 
+def q_d07(s, d):
+    faults = discount_shapes.discount_faults(plan_for(s, d).split["entity"])
+    return faults.select(*ENTITY_KEYS, "revenue_recognition_schedule_id", F.to_date("rr_start_date").alias("start_date"), "line", "reason")
+
+
+def _asked(view: str, statement: str, **values):
+    """A product through its SQL view and named parameters."""
+    def run(s, d):
+        p = plan_for(s, d)
+        views.publish(p, [view], prefix="registered_")
+        return views.ask(p, statement, prefix="registered_", **values)
+    return run
+
+
 def q_s01(s, d):
     return swaps.swap_register(plan_for(s, d).L)
 
@@ -462,6 +478,7 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "D04_discount_per_schedule": q_d04,
     "D05_plan_transition_detail": q_d05,
     "D06_discount_grain_check": q_d06,
+    "D07_discount_faults": q_d07,
     "S01_swap_register": q_s01,
     "S02_swap_peers": q_s02,
     "L01_return_in_cycle": q_l01,
@@ -476,6 +493,9 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "L09_lifecycle_pattern": q_l09,
     "L10_cycle_history": q_l10,
     "L11_return_through_parent": q_l11,
+    "V01_sql_report": _asked("revenue_bridge", "report"),
+    "V02_sql_component": _asked("bridge_rows", "component", component="R14"),
+    "V03_sql_transitions": _asked("plan_transitions", "transitions", entity_type="ITEM"),
 }
 
 
