@@ -255,6 +255,15 @@ FROM plain_cycle c LEFT JOIN best b ON (b.eid, b.kind, b.s, b.e) = (c.eid, c.kin
 }
 
 
+ORACLE["P01_fiscal_periods"] = base("""FROM (WITH week AS (  -- 4, 4 and 5 weeks, four times
+  SELECT n, DATE '1996-12-30' + CAST(7 * (13 * ((n + 2) // 3 - 1) + 4 * ((n + 2) % 3)) AS INTEGER) AS lo FROM range(0, 14) t(n)
+), fiscal AS (SELECT n AS num, lo, lead(lo) OVER (ORDER BY n) AS hi, lag(lo) OVER (ORDER BY n) AS prev FROM week QUALIFY n BETWEEN 1 AND 12
+), placed AS (
+  SELECT num, 'S1.1' AS tag, o.* FROM owned o JOIN fiscal ON start_day >= prev AND start_day < lo WHERE rec_day IS NULL OR rec_day >= start_day
+  UNION ALL SELECT num, 'S1.2', o.* FROM owned o JOIN fiscal ON rec_day >= prev AND rec_day < lo WHERE start_day >= lo
+  UNION ALL SELECT num, 'CMTP', o.* FROM owned o JOIN fiscal ON adjusted_day >= lo AND adjusted_day < hi WHERE start_day >= hi
+) SELECT CAST(num AS BIGINT) AS period, tag, count(DISTINCT (eid, kind)) AS items_count, count(DISTINCT user_id) AS cx_count, CAST(sum(amount) AS DOUBLE) AS taxable_revenue
+FROM placed GROUP BY ALL)""")
 ORACLE["V01_sql_report"] = ORACLE["A05_revenue_bridge"]
 ORACLE["V02_sql_component"] = report(f"SELECT {shown('month_num:i component entity_type entity_id:i customer amount:d')} FROM fact WHERE component = 'R14'")
 ORACLE["V03_sql_transitions"] = f"SELECT * FROM ({ORACLE['D05_plan_transition_detail']}) WHERE accountable_entity_type = 'ITEM'"

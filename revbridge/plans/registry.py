@@ -8,6 +8,7 @@ be compared value by value with the DuckDB oracle.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revbridge.operators import assemble, base, churn, cycles, discount_shapes, discounts, distinct, movements, reconcile, swaps, vas
+from revbridge.operators import assemble, base, churn, cycles, discount_shapes, discounts, distinct, movements, periods, reconcile, swaps, vas
 from revbridge.operators.base import ENTITY_KEYS
 from revbridge.plans import views
 from revbridge.plans.bridge import BridgePlan
@@ -311,6 +312,17 @@ def q_d06(s, d):
     return discounts.discount_grain_check(plan_for(s, d).scheduled)
 
 
+#: Fiscal year of the registered query: twelve periods of 4, 4 and 5 weeks.
+FISCAL_START = dt.date(1996, 12, 30)
+
+
+def q_p01(s, d):
+    p, fiscal = plan_for(s, d), periods.week_pattern(FISCAL_START)
+    recent = p.live.filter(F.col("rr_start_date") >= F.lit(fiscal[0].previous))  # no rule looks further back
+    cycles_ = base.effective_recognition_date(base.revenue_cycles(p.L, p.policy, recent), p.buyouts)
+    return periods.period_revenue(periods.classify_periods(cycles_, fiscal, p.policy))
+
+
 def q_d07(s, d):
     faults = discount_shapes.discount_faults(plan_for(s, d).split["entity"])
     return faults.select(*ENTITY_KEYS, "revenue_recognition_schedule_id", F.to_date("rr_start_date").alias("start_date"), "line", "reason")
@@ -493,6 +505,7 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "L09_lifecycle_pattern": q_l09,
     "L10_cycle_history": q_l10,
     "L11_return_through_parent": q_l11,
+    "P01_fiscal_periods": q_p01,
     "V01_sql_report": _asked("revenue_bridge", "report"),
     "V02_sql_component": _asked("bridge_rows", "component", component="R14"),
     "V03_sql_transitions": _asked("plan_transitions", "transitions", entity_type="ITEM"),
