@@ -2,8 +2,8 @@
 
 A text becomes its words (runs of letters, digits and non-ASCII, A-Z lowered),
 joined by single spaces; signatures are regexes over that.  Hundreds of them are
-made from hand-written license names and wordings (`families`, `WORDINGS`,
-`NOTICES`).  Every rule names a keyword that any text it matches must hold: an
+made from hand-written clauses and headers (`CLAUSES`, `NOTICES`) and from license
+names and the wordings that cite them (`FAMILIES`, `WORDINGS`).  Every rule names a keyword that any text it matches must hold: an
 Aho-Corasick pass over the words finds the keywords, and only their rules run.
 Detections overlap, so they are resolved in the order of the rules: a higher
 priority comes first, then the longer, then the earlier one, and a detection
@@ -110,6 +110,70 @@ NOTICES = (
     ("proprietary", 45, 0.7, "prohibited", r"(?:copying|reproduction|distribution) (?:or [a-z]+ )?(?:of [a-z ]{1,40} )?is (?:strictly )?prohibited"),
 )
 
+#: Clauses and headers as they stand in license texts (words of the text itself): label,
+#: confidence, keyword, words.  A clause speaks for a license that several may share.
+CLAUSES = (
+    ("mit", 0.95, "sublicense", "to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", 0.9, "substantial", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", 0.85, "noninfringement", "including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("mit", 0.85, "tort", "whether in an action of contract tort or otherwise arising from out of or in connection with the software"),
+    ("bsd", 0.95, "redistributions", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", 0.95, "redistributions", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", 0.95, "endorse", "may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-4-clause", 0.95, "advertising", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("bsd", 0.85, "procurement", "procurement of substitute goods or services loss of use data or profits or business interruption"),
+    ("bsd", 0.85, "disclaimed", "merchantability and fitness for a particular purpose are disclaimed"),
+    ("apache", 0.95, "compliance", "you may not use this file except in compliance with the license"),
+    ("apache", 0.95, "permissions", "see the license for the specific language governing permissions and limitations under the license"),
+    ("apache", 0.9, "writing", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
+    ("apache", 0.95, "contributor", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("apache", 0.95, "prominent", "you must cause any modified files to carry prominent notices stating that you changed the files"),
+    ("apache", 0.9, "trademarks", "this license does not grant permission to use the trade names trademarks service marks or product names of the licensor"),
+    ("gpl", 0.95, "redistribute", "this program is free software you can redistribute it and or modify it"),
+    ("gpl", 0.95, "merchantability", "without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details"),
+    ("gpl", 0.9, "received", "you should have received a copy of the gnu general public license along with this program"),
+    ("gpl", 0.9, "verbatim", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("gpl", 0.9, "freedom", "the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl", 0.9, "corresponding", "accompany it with the complete corresponding machine readable source code"),
+    ("lgpl", 0.95, "received", "you should have received a copy of the gnu lesser general public license along with this library"),
+    ("lgpl", 0.9, "library", "this library is free software you can redistribute it and or modify it"),
+    ("agpl", 0.95, "remotely", "your modified version must prominently offer all users interacting with it remotely through a computer network"),
+    ("agpl", 0.95, "received", "you should have received a copy of the gnu affero general public license along with this program"),
+    ("gfdl", 0.95, "invariant", "with no invariant sections no front cover texts and no back cover texts"),
+    ("mpl", 0.95, "mozilla", "this source code form is subject to the terms of the mozilla public license"),
+    ("mpl", 0.9, "obtain", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("epl", 0.95, "accompanying", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("epl", 0.9, "recipient", "any use reproduction or distribution of the program constitutes recipient s acceptance of this agreement"),
+    ("cddl", 0.95, "distribution", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("eupl", 0.95, "eupl", "licensed under the eupl"),
+    ("isc", 0.9, "disclaims", "the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("isc", 0.85, "whatsoever", "be liable for any special direct indirect or consequential damages or any damages whatsoever"),
+    ("zlib", 0.95, "misrepresented", "the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("zlib", 0.95, "altered", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("boost", 0.95, "reproduce", "to use reproduce display distribute execute and transmit the software"),
+    ("artistic", 0.95, "package", "you may make and give away verbatim copies of the source form of the standard version of this package without restriction"),
+    ("artistic", 0.9, "executables", "rename any non standard executables so the names do not conflict with standard executables"),
+    ("ofl", 0.95, "font", "this font software is licensed under the sil open font license"),
+    ("ofl", 0.95, "reserved", "no modified version of the font software may use the reserved font name"),
+    ("wtfpl", 0.95, "verbatim", "everyone is permitted to copy and distribute verbatim or modified copies of this license document"),
+    ("beerware", 0.95, "beer", "if we meet some day and you think this stuff is worth it you can buy me a beer in return"),
+    ("unlicense", 0.95, "jurisdictions", "in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all copyright interest in the software to the public domain"),
+    ("cc0", 0.95, "waived", "has waived all copyright and related or neighboring rights to this work"),
+    ("cc-by", 0.9, "credit", "you must give appropriate credit provide a link to the license and indicate if changes were made"),
+    ("cc-by-sa", 0.9, "remix", "if you remix transform or build upon the material you must distribute your contributions under the same license as the original"),
+    ("cc-by-nc", 0.9, "commercial", "you may not use the material for commercial purposes"),
+    ("cc-by-nd", 0.9, "remix", "if you remix transform or build upon the material you may not distribute the modified material"),
+    ("psf", 0.9, "psf", "psf hereby grants licensee a nonexclusive royalty free world wide license"),
+    ("openssl", 0.95, "openssl", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("php", 0.95, "php", "this product includes php software freely available from"),
+    ("bsl", 0.9, "production", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use of the licensed work"),
+    ("elastic", 0.95, "managed", "you may not provide the software to third parties as a hosted or managed service"),
+    ("proprietary", 0.8, "unauthorized", "unauthorized copying of this file via any medium is strictly prohibited"),
+    ("proprietary", 0.7, "secrets", "contains trade secrets and confidential information"),
+    ("proprietary", 0.7, "reproduced", "no part of this publication may be reproduced stored in a retrieval system or transmitted"),
+    ("proprietary", 0.7, "decompile", "you may not reverse engineer decompile or disassemble the software"),
+)
+
 
 @dataclass(frozen=True)
 class Signature:
@@ -147,6 +211,7 @@ def signatures() -> tuple[Signature, ...]:
         out += [Signature(label, p, c, keys, w.format(n=name)) for p, c, w in WORDINGS]
         out += [Signature(label, 100 + len(i), 1.0, ("spdx",), f"spdx license identifier {i}") for i in ids.split("|")]
     out += [Signature(label, p, c, (k,), r) for label, p, c, k, r in NOTICES]
+    out += [Signature(label, 88, c, (k,), words) for label, c, k, words in CLAUSES]
     return tuple(sorted(out, key=lambda s: (-s.priority, s.label, s.pattern)))
 
 
@@ -245,13 +310,13 @@ def base_places(words: list[bytes]) -> list[tuple[int, str]]:
 
 
 #: Every signature and base phrase holds one of these; a text without any is clean.
-_TRIGGERS = (b"licen", b"spdx", b"reserved", b"copyright", b"domain", b"permission", b"redistribut", b"warranty", b"machine", b"unencumbered", b"proprietary", b"prohibited", b"commons", b"cc by", b"cc0")
+_TRIGGERS = (b"licen", b"spdx", b"reserved", b"copyright", b"domain", b"permission", b"redistribut", b"warranty", b"machine", b"unencumbered", b"proprietary", b"prohibited", b"commons", b"cc by", b"cc0") + tuple(sorted({f" {k} ".encode() for _, _, k, _ in CLAUSES}))
 
 
 def scan(text: str | None) -> tuple[int, list[tuple[int, str]], list[Detection]]:
     """(number of words, base places, detections) of one whole text."""
     words = words_of(text)
-    joined = b" ".join(words)
+    joined = b" " + b" ".join(words) + b" "
     if not any(t in joined for t in _TRIGGERS):
         return len(words), [], []
     return len(words), base_places(words), detections(words)

@@ -73,6 +73,31 @@ def test_license_suppression_is_that_of_the_rules():
     assert len(signatures) > 300
 
 
+def test_license_labels_and_scores_over_the_table(spark, documents):
+    """All rules on every whole text without any gate, resolved pair by pair."""
+    signatures = license_scan.signatures()
+    rules = [re.compile(rf"(?<= ){s.pattern}(?= )") for s in signatures]
+    extra = [(10**6 + i, f"Notes. {words.title()}, and more.") for i, (_, _, _, words) in enumerate(license_scan.CLAUSES)]
+    extra += [(2 * 10**6, " ".join(words for _, _, _, words in license_scan.CLAUSES)), (2 * 10**6 + 1, "Licensed under the MIT License, All Rights Reserved")]
+    texts = [r[:2] for r in documents] + extra
+    want = {}
+    for d, t in texts:
+        joined = " " + b" ".join(license_scan.words_of(t)).decode() + " "
+        found = sorted(((-s.priority, m.start() - m.end(), m.start(), i, m.end()) for i, (s, r) in enumerate(zip(signatures, rules)) for m in r.finditer(joined)))
+        kept = []
+        for _, _, a, i, b in found:
+            if not any(x <= a and b <= y for x, y, _ in kept):
+                kept.append((a, b, i))
+        base = [x for x in brute.license_base(t)[4].split(",") if x]
+        labels = sorted({signatures[i].label for _, _, i in kept} | set(base))
+        want[d] = (",".join(labels), max([signatures[i].confidence for _, _, i in kept] + [0.7] * bool(base), default=0.0))
+    got = license_scan.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string").repartition(3))
+    assert {r.doc_id: (r.labels, r.score) for r in got.collect()} == want
+    assert all(label in want[10**6 + i][0].split(",") for i, (label, _, _, _) in enumerate(license_scan.CLAUSES))
+    table = {r.doc_id: (r.labels, r.score) for r in queries()["op4_license_scan"](spark, SF).collect()}
+    assert table == {d: want[d] for d, *_ in documents}
+
+
 def test_every_license_rule_names_a_keyword_its_matches_hold():
     """A rule's keyword gate never hides a match of its own."""
     automaton, patterns = license_scan._compiled()
