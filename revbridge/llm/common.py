@@ -78,7 +78,7 @@ class Scratch:
 
     `stage` writes a frame as Parquet and reads it back: lineage is cut by files
     that survive lost executors.  `drop` removes one that is no longer read;
-    `close` removes the rest, once the result has been written.
+    `close` removes the rest, once the result has been written; else they go with the driver.
     """
 
     def __init__(self, spark: SparkSession):
@@ -93,15 +93,21 @@ class Scratch:
         self.count += 1
         path = f"{self.root}/{self.count}"
         df.write.parquet(path)
+        if self.count == 1:  # what nobody closes goes when the driver ends
+            target, fs = self._file(self.root)
+            fs.deleteOnExit(target)
         return path
 
     def read(self, path: str) -> DataFrame:
         return self.spark.read.parquet(path)
 
+    def _file(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target, target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def drop(self, path: str) -> None:
-        jvm = self.spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        target, fs = self._file(path)
+        fs.delete(target, True)
 
     def close(self) -> None:
         self.drop(self.root)
