@@ -51,6 +51,8 @@ SHARD_BYTES = 2 << 20
 SPLIT = 24
 #: Rows from which a kind may count as hot, and how many hot kinds there can be.
 HOT_USES, MAX_HOT = 1000, 10_000
+#: Blocks whose windows are counted at a time.
+COUNTED_AT_ONCE = 500
 #: The Bloom filter: 512-bit blocks, at most 2^18 of them (16 MB) are sent out.
 MAX_BLOCKS = 1 << 18
 BITS_PER_KEY = 16
@@ -341,14 +343,16 @@ def _counted_windows(kinds: DataFrame, width: int, scratch: Scratch) -> DataFram
     """The intervals of windows met more than once among block kinds and their uses."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_128_digest
         for batch in batches:
-            out = []
-            for k1, k2, first, snippet, uses in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "first", "snippet", "uses"))):
-                for i in range(len(snippet) - width + 1):
-                    d = xxhash.xxh3_128_digest(snippet[i : i + width])
-                    out.append((k1, k2, first + i, uses, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)))
-            cols = list(zip(*out)) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["k1", "k2", "at", "n", "d1", "d2"])
+            for at in range(0, batch.num_rows, COUNTED_AT_ONCE):
+                part = batch.slice(at, COUNTED_AT_ONCE)
+                texts = part.column("snippet").to_pylist()
+                starts = np.array([len(t) - width + 1 for t in texts])
+                both = np.frombuffer(b"".join([digest(t[i : i + width]) for t in texts for i in range(len(t) - width + 1)]), np.int64).reshape(-1, 2)
+                inside = np.arange(len(both)) - np.repeat(np.cumsum(starts) - starts, starts)
+                k1, k2, first, uses = (np.repeat(part.column(c).to_numpy(), starts) for c in ("k1", "k2", "first", "uses"))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (k1, k2, first + inside, uses, both[:, 0], both[:, 1])], ["k1", "k2", "at", "n", "d1", "d2"])
 
     fields = "k1 long, k2 long, at long, n long, d1 long, d2 long"
     found = scratch.stage(kinds.select("k1", "k2", "first", "snippet", "uses").mapInArrow(windows, fields))
