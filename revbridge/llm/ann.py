@@ -66,7 +66,8 @@ class QueryBlock:
     """Queries rounded to bit planes, with what an estimate needs."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, turn: np.ndarray):
-        self.ids, self.vectors = ids, vectors
+        self.ids = ids
+        self.vectors, self.norms = scaled(vectors)
         turned = unit(vectors) @ turn
         dim = turned.shape[1]
         self.dim = dim
@@ -83,30 +84,34 @@ class QueryBlock:
 
     def estimate(self, words: np.ndarray, correction: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(queries, codes) estimates of the cosine and bounds of their errors."""
-        inner = np.zeros((len(self.ids), len(words)), np.int64)
+        bits = np.zeros((len(self.ids), len(words)), np.int64)
         for b in range(QUERY_BITS):
             for w in range(words.shape[1]):
-                inner += np.bitwise_count(self.planes[b, :, w, None] & words[None, :, w]).astype(np.int64) << b
+                bits += np.bitwise_count(self.planes[b, :, w, None] & words[None, :, w]).astype(np.int64) << b
         ones = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
         # the code's components are (2 bit - 1) / sqrt(dim), the query's low + step * level
-        positive = self.low[:, None] * ones[None, :] + self.step[:, None] * inner
+        positive = self.low[:, None] * ones[None, :] + self.step[:, None] * bits
         code_dot = (2 * positive - self.total[:, None]) / np.sqrt(self.dim)
         spread = EPSILON * np.sqrt(np.maximum(0, 1 - correction**2) / max(1, self.dim - 1))
         return code_dot / correction, (spread[None, :] + self.slack[:, None]) / correction
 
 
-def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosine of a[i] and b[i] in double precision, summed component by component.  Each vector
-    is first scaled by a power of two, which changes no digit but lets no square overflow or vanish."""
-    a, b = (np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]) for v in (a, b))
-    ab = np.zeros(len(a))
-    aa, bb = ab.copy(), ab.copy()
+def scaled(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors times a power of two each, which changes no digit but lets no square overflow or
+    vanish, and their norms, summed component by component."""
+    out = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+    squares = np.zeros(len(out))
+    for d in range(out.shape[1]):
+        squares += out[:, d] * out[:, d]
+    return out, np.sqrt(squares)
+
+
+def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of a[i] and b[i] in double precision, summed component by component."""
+    out = np.zeros(len(a))
     for d in range(a.shape[1]):
-        x, y = a[:, d], b[:, d]
-        ab += x * y
-        aa += x * x
-        bb += y * y
-    return ab / (np.sqrt(aa) * np.sqrt(bb))
+        out += a[:, d] * b[:, d]
+    return out
 
 
 class Nearest:
@@ -128,7 +133,8 @@ class Nearest:
             floor = np.maximum(floor, np.partition(lower, -self.k, axis=1)[:, -self.k])
         q, c = np.nonzero((upper >= floor[:, None]) & ~own)
         self.reranked += len(q)
-        exact = cosines(self.block.vectors[q], vectors[c])
+        vectors, norms = scaled(vectors)  # once a row, not once a pair
+        exact = inner(self.block.vectors[q], vectors[c]) / (self.block.norms[q] * norms[c])
         better = exact >= self.scores[q, -1]
         q, exact, found = q[better], exact[better], ids[c[better]]
         rows = np.concatenate([np.repeat(np.arange(len(self.block.ids)), self.k), q])
