@@ -5,10 +5,8 @@ Months: January / February 2026.  Each test builds only the rows it needs.
 import datetime as dt
 from dataclasses import replace
 from decimal import Decimal
-from functools import reduce
 
 import pytest
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revbridge.operators import assemble
@@ -36,7 +34,7 @@ def cycle(eid, start, amount, rec=None, etype="ITEM", sched=None, rtype="ACCRUAL
 
 def component(plan, comp):
     members = next((m for m in FAMILIES.values() if comp in m), [comp])
-    rows = reduce(DataFrame.unionByName, [plan.rows(c) for c in members])
+    rows = plan.families(members)
     agg = assemble.all_components(assemble.aggregate_components(rows, plan.policy.labels), plan.policy.labels)
     rows = agg.filter(F.col("component") == comp).select("month_num", "items_count", "cx_count", "taxable_revenue").collect()
     return {r.month_num: (r.items_count, r.cx_count, float(r.taxable_revenue)) for r in rows}
