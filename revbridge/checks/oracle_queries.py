@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from revbridge.checks.oracle_sql import base, cents, churn, ist_day, labels, report, shown
+from revbridge.checks.oracle_sql import FROM_CHURN_TABLE, base, cents, churn, ist_day, labels, report, shown
 
 ENTITY = "accountable_entity_id:i=eid accountable_entity_type=kind"
 CYC = f"{ENTITY} cycle_start_date:s=s cycle_end_date:s=e"
@@ -84,6 +84,16 @@ GAP_ROWS = """WITH stand AS (
 )"""
 GAP_COLUMNS = "month_num:i grain entity_type entity_id:i customer cause component items_count:i=items cx_count:i=cx taxable_revenue:d=rev"
 
+HISTORY = "SELECT " + shown(
+    "entity_id:i=eid entity_type=kind user_id:i order_id:i item_activation_date:s=act_day item_name=name cycle_start_date:s=s cycle_end_date:s=e "
+    "recognised_at:s=rec_at recognised_at_ist:s=rec synthetic_recognised_at_ist:s=syn used_tto_date_for_pattern=moved recognition_type=rtype "
+    "cycle_taxable_amount:d=amount has_return_in_window=returned_in return_item_id:i=ret_id return_item_state=ret_state return_created_at_ist:s=ret_day "
+    "has_rtp_in_window=bought_in rent_to_purchase_item_id:i=buy_id rtp_created_at_ist:s=buy_day churn_classification=churn_flag "
+    "churn_transaction_type=ttype mtp_classification=class mtp_classification_synthetic=class matched_month_window=m_label primary_cycle_type=label "
+    "last_cycle_end_date:s=last_e item_recognition_pattern=pattern churn_pattern_type=churn_pattern is_item_last_cycle=from_end=1 "
+    "cycle_position_from_end:i=from_end"
+) + ", '2002-01-01' AS extracted_at FROM history"
+
 ORACLE = components() | {
     "B01_entity_directory": base(f"SELECT {shown('id:i entity_type=kind user_id:i')} FROM owner"),
     "B02_ledger_base": base("SELECT " + shown(
@@ -243,15 +253,7 @@ FROM target t LEFT JOIN cycle c ON (c.eid, c.kind, c.start_day) = (t.eid, t.kind
   EXISTS (FROM route r WHERE (r.eid, r.kind, r.via) = (c.eid, c.kind, 'PARENT') AND {ist_day('r.created_at')} BETWEEN c.s AND c.e) AS returned_with_parent,
   EXISTS (FROM route r WHERE (r.eid, r.kind) = (c.eid, c.kind) AND {ist_day('r.created_at')} BETWEEN c.s AND c.e) AS has_return_in_window
 FROM plain_cycle c LEFT JOIN best b ON (b.eid, b.kind, b.s, b.e) = (c.eid, c.kind, c.s, c.e))"""),
-    "L10_cycle_history": labels("SELECT " + shown(
-        "entity_id:i=eid entity_type=kind user_id:i order_id:i item_activation_date:s=act_day item_name=name cycle_start_date:s=s cycle_end_date:s=e "
-        "recognised_at:s=rec_at recognised_at_ist:s=rec synthetic_recognised_at_ist:s=syn used_tto_date_for_pattern=moved recognition_type=rtype "
-        "cycle_taxable_amount:d=amount has_return_in_window=returned_in return_item_id:i=ret_id return_item_state=ret_state return_created_at_ist:s=ret_day "
-        "has_rtp_in_window=bought_in rent_to_purchase_item_id:i=buy_id rtp_created_at_ist:s=buy_day churn_classification=churn_flag "
-        "churn_transaction_type=ttype mtp_classification=class mtp_classification_synthetic=class matched_month_window=m_label primary_cycle_type=label "
-        "last_cycle_end_date:s=last_e item_recognition_pattern=pattern churn_pattern_type=churn_pattern is_item_last_cycle=from_end=1 "
-        "cycle_position_from_end:i=from_end"
-    ) + ", '2002-01-01' AS extracted_at FROM history"),
+    "L10_cycle_history": labels(HISTORY),
 }
 
 
@@ -264,6 +266,16 @@ ORACLE["P01_fiscal_periods"] = base("""FROM (WITH week AS (  -- 4, 4 and 5 weeks
   UNION ALL SELECT num, 'CMTP', o.* FROM owned o JOIN fiscal ON adjusted_day >= lo AND adjusted_day < hi WHERE start_day >= hi
 ) SELECT CAST(num AS BIGINT) AS period, tag, count(DISTINCT (eid, kind)) AS items_count, count(DISTINCT user_id) AS cx_count, CAST(sum(amount) AS DOUBLE) AS taxable_revenue
 FROM placed GROUP BY ALL)""")
+ORACLE["S03_swap_one_per_action"] = report("""FROM (WITH one AS (
+  SELECT eid, kind, action, CASE action WHEN 'SWAP_OUT' THEN max(day) ELSE min(day) END AS day FROM swap GROUP BY eid, kind, action
+), pair AS (  -- every cycle on the right side of any of the entity's swaps, ranked by start
+  SELECT s.eid, s.kind, s.action, c.amount, row_number() OVER (PARTITION BY s.eid, s.kind, s.action
+    ORDER BY CASE s.action WHEN 'SWAP_OUT' THEN c.start_day END DESC, CASE s.action WHEN 'SWAP_IN' THEN c.start_day END, c.amount DESC) AS k
+  FROM swap s JOIN cycle c ON (c.eid, c.kind) = (s.eid, s.kind) AND CASE s.action WHEN 'SWAP_OUT' THEN c.start_day <= s.day ELSE c.start_day >= s.day END
+) SELECT CAST(o.eid AS BIGINT) AS entity_id, o.kind AS entity_type, o.action, CAST(o.day AS VARCHAR) AS fulfillment_date, CAST(p.amount AS DOUBLE) AS taxable_amount
+FROM one o LEFT JOIN pair p ON (p.eid, p.kind, p.action, p.k) = (o.eid, o.kind, o.action, 1))""")
+ORACLE["L12_trailing_year_history"] = labels(HISTORY, month="month AS (" + ROLLING.replace("2001-01-01", "1996-12-01") + ")")
+ORACLE["L13_history_from_churn_table"] = labels(HISTORY.replace("label AS primary_cycle_type", "label_terminal AS primary_cycle_type"), rules=FROM_CHURN_TABLE)
 ORACLE["V01_sql_report"] = ORACLE["A05_revenue_bridge"]
 ORACLE["V02_sql_component"] = report(f"SELECT {shown('month_num:i component entity_type entity_id:i customer amount:d')} FROM fact WHERE component = 'R14'")
 ORACLE["V03_sql_transitions"] = f"SELECT * FROM ({ORACLE['D05_plan_transition_detail']}) WHERE accountable_entity_type = 'ITEM'"

@@ -37,6 +37,8 @@ def classify_cycles(cycles: DataFrame, months: DataFrame, policy: Policy) -> Dat
         s11_ok = rec.isNull() | (rec >= F.trunc(start, "month"))
     elif policy.s11_recognised_rule == "month_start":
         s11_ok = rec.isNull() | (rec >= s11_month)
+    elif policy.s11_recognised_rule == "other_month":
+        s11_ok = rec.isNull() | (F.trunc(rec, "month") != F.trunc(start, "month"))
     else:
         raise ValueError(policy.s11_recognised_rule)
     s12_month = F.add_months(F.trunc(rec, "month"), 1)

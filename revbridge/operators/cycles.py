@@ -172,12 +172,20 @@ def entity_churn_flags(tagged: DataFrame, L: Ledger) -> DataFrame:
     return i.unionByName(a)
 
 
-def churn_enrichment(df: DataFrame, flags: DataFrame) -> DataFrame:
-    """Churn flag of the entity, for cycles holding a return or buy-out."""
+def published_churn_flags(churn_table: DataFrame) -> DataFrame:
+    """Entity-grain churn flags of a published churn table, whose rows are entity x cycle."""
+    return churn_table.filter(F.col("churn_flag") != "ACTIVE").select(
+        F.col("entity_id").alias("c_entity_id"), F.col("entity_type").alias("c_entity_type"), "user_ids", "transaction_type", "churn_flag",
+    ).distinct()
+
+
+def churn_enrichment(df: DataFrame, flags: DataFrame, returns_only: bool = False) -> DataFrame:
+    """Churn flag of the entity, for cycles holding a return or buy-out (or a return only)."""
+    ended = df.has_return_in_window if returns_only else df.has_return_in_window | df.has_rtp_in_window
     cond = (
         (df.accountable_entity_id == flags.c_entity_id)
         & (df.accountable_entity_type == flags.c_entity_type)
-        & (df.has_return_in_window | df.has_rtp_in_window)
+        & ended
     )
     return df.join(flags, cond, "left").select(
         *df.columns,
@@ -345,8 +353,8 @@ def lifecycle_pattern(df: DataFrame) -> DataFrame:
     ).withColumn("is_item_last_cycle", F.col("cycle_position_from_end") == 1)
 
 
-def labelling_pipeline(L: Ledger, policy: Policy, months: DataFrame, tagged: DataFrame, entity_id=None,
-                       terminal: bool = False, stage=lambda df: df) -> dict[str, DataFrame]:
+def labelling_pipeline(L: Ledger, policy: Policy, months: DataFrame, tagged: DataFrame | None, entity_id=None,
+                       terminal: bool = False, stage=lambda df: df, churn_table: DataFrame | None = None) -> dict[str, DataFrame]:
     """L01-L04 over every cycle (lazy), and L05-L10 over the analysis months.
 
     The months are cut out early, for most entities in the scan (`month_context`):
@@ -354,16 +362,20 @@ def labelling_pipeline(L: Ledger, policy: Policy, months: DataFrame, tagged: Dat
     that match a month.  (Joins commute here: each adds its own columns by
     entity, and the class does not depend on returns or churn.)  Whether later
     cycles exist is all that the labels ask of `future_cycles_count`.
+
+    With `churn_table` the flags come from a published churn table, and only cycles that
+    hold a return get one; `tagged` is not read.
     """
+    returns_only = churn_table is not None
     cyc = labelling_cycles(L, policy, entity_id)
-    flags = entity_churn_flags(tagged, L)
+    flags = published_churn_flags(churn_table) if returns_only else entity_churn_flags(tagged, L)
     l01 = return_in_cycle(cyc, L)
     l02 = buyout_in_cycle(l01, L)
-    l03 = churn_enrichment(l02, flags)
+    l03 = churn_enrichment(l02, flags, returns_only)
     l04 = lifecycle_context(l03)
     context = month_context(L, policy, entity_id)
     candidates = stage(cycle_month_class(context, months))
-    l05 = churn_enrichment(return_in_cycle(candidates, L), flags)
+    l05 = churn_enrichment(return_in_cycle(candidates, L), flags, returns_only)
     l06 = stage(earliest_match(l05))
     l07 = cycle_label_terminal(l06) if terminal else cycle_label(l06)
     ctx = entity_context(L)

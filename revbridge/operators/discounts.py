@@ -83,7 +83,8 @@ def recent_cycle_discounts(L: Ledger, policy: Policy, entity_cycles: DataFrame)
     """`cycle_discounts` of the cycles that the months' discount components count or
     compare with: all that start in `policy.discount_window`, and of their entities
     the cycles of the latest earlier start (for upfront and for other discounts).
-    LAG over these rows finds the same previous row as over all history.
+    LAG over these rows finds the same previous row as over all history (with a
+    look-back: as over the cycles that it reaches).
 
     Both scans are bounded by the cycle's start.  Discounts are summed per cycle
     before anything is joined: only narrow rows are dealt by entity, and schedules
@@ -91,6 +92,8 @@ def recent_cycle_discounts(L: Ledger, policy: Policy, entity_cycles: DataFrame)
     low, high = policy.discount_window
     start = F.col("rr_start_date")
     rows = lambda cycles: cycle_discounts(discount_types(discount_lines(cycles), L))
+    if policy.discount_lookback is not None:
+        entity_cycles = entity_cycles.filter(start >= F.lit(policy.discount_lookback))
     recent = rows(entity_cycles.filter((start >= F.lit(low)) & (start < F.lit(high))))
     earlier = rows(entity_cycles.filter(start.isNull() | (start < F.lit(low))))
     entity = Window.partitionBy(*ENTITY_KEYS)

@@ -56,6 +56,16 @@ def swap_events(L: Ledger, policy: Policy | None = None) -> DataFrame:
     ).distinct()
 
 
+def one_swap_per_action(events: DataFrame) -> DataFrame:
+    """Of an entity's swaps the last one out and the first one in.
+
+    Ranking the cycles before all swaps out of an entity by start (or after all swaps in)
+    finds the cycle of that one swap, so a grouped aggregate replaces the rank over swap x cycle pairs."""
+    day = F.col("fulfillment_date")
+    one = F.when(F.col("action") == "SWAP_OUT", F.max(day)).otherwise(F.min(day))
+    return events.groupBy(*KEYS, "action").agg(one.alias("fulfillment_date"))
+
+
 def swap_matches(events: DataFrame, entity_cycles: DataFrame) -> DataFrame:
     """As-of match of each swap event to a cycle amount.
 

@@ -169,6 +169,8 @@ class BridgePlan:
 
     @cached_property
     def swap_matches(self) -> DataFrame:
+        if self.policy.swap_rank == "entity":  # a swap of another month may be the one that counts
+            return swaps.swap_matches(swaps.one_swap_per_action(swaps.swap_events(self.L)), self.split["entity"])
         return swaps.swap_matches(swaps.swap_events(self.L, self.policy), self.split["entity"])
 
     @cached_property

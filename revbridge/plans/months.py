@@ -32,6 +32,12 @@ def month_driver(spark: SparkSession, starts) -> DataFrame:
     return _shape(spark.createDataFrame(rows, "month_num int, anchor date"))
 
 
+def trailing_months(as_of: dt.date, n: int = 12) -> tuple[dt.date, ...]:
+    """Starts of the `n` months ending with the month of `as_of` (the months of B08, for a Policy)."""
+    last = as_of.year * 12 + as_of.month - 1
+    return tuple(dt.date(m // 12, m % 12 + 1, 1) for m in range(last - n + 1, last + 1))
+
+
 def rolling_month_driver(spark: SparkSession, as_of: dt.date, n: int = 12) -> DataFrame:
     """The `n` months ending with the month of `as_of`, oldest first.
 

@@ -20,7 +20,7 @@ from revbridge.operators import assemble, base, churn, cycles, discount_shapes,
 from revbridge.operators.base import ENTITY_KEYS
 from revbridge.plans import views
 from revbridge.plans.bridge import BridgePlan
-from revbridge.plans.months import rolling_month_driver
+from revbridge.plans.months import rolling_month_driver, trailing_months
 from revbridge.policy import FAMILIES, Policy
 from revbridge.sources.churn_store import ChurnStore
 from revbridge.sources.tpch_binding import close_ledgers, fixture_policy, ledger_for, table_times
@@ -221,13 +221,17 @@ def q_r0n(s, d):
     return _events(movements.month_churn_events(p.L, p.churn["tagged"], p.mtp, p.months, aware))
 
 
-def q_c10(s, d):
-    p = plan_for(s, d)
+def _published(s, p):
+    """The plan's churn table, published once and read back."""
     store = ChurnStore(f"{p.folder.path}/churn-table")
     if not store.versions(s):
         store.publish(p.churn_table)
-    published = store.read(s, refreshed_at=p.policy.as_of)
-    return _events(movements.churn_events(published, p.mtp, p.months, p.policy))
+    return store.read(s, refreshed_at=p.policy.as_of)
+
+
+def q_c10(s, d):
+    p = plan_for(s, d)
+    return _events(movements.churn_events(_published(s, p), p.mtp, p.months, p.policy))
 
 
 def q_r28(s, d):
@@ -346,6 +350,11 @@ def q_s02(s, d):
     return swaps.swap_peers(swaps.swap_events(p.L), p.split["entity"])
 
 
+def q_s03(s, d):
+    p = plan_for(s, d)
+    return swaps.swap_matches(swaps.one_swap_per_action(swaps.swap_events(p.L)), p.split["entity"])
+
+
 _LABELS: dict = {}
 
 
@@ -418,6 +427,23 @@ def q_l11(s, d):
     )
 
 
+#: Last day of the twelve months that L12 labels.
+TRAILING_YEAR_END = dt.date(1997, 12, 31)
+
+
+def q_l12(s, d):
+    p = plan_for(s, d)
+    policy = replace(p.policy, months=trailing_months(TRAILING_YEAR_END))
+    pipe = cycles.labelling_pipeline(p.L, policy, rolling_month_driver(s, TRAILING_YEAR_END), p.churn["tagged"], stage=p.stage)
+    return cycles.cycle_history(pipe["L09"], policy)
+
+
+def q_l13(s, d):
+    p = plan_for(s, d)
+    pipe = cycles.labelling_pipeline(p.L, p.policy, p.months, None, terminal=True, stage=p.stage, churn_table=_published(s, p))
+    return cycles.cycle_history(pipe["L09"], p.policy)
+
+
 RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "B01_entity_directory": q_b01,
     "B02_ledger_base": q_b02,
@@ -493,6 +519,7 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "D07_discount_faults": q_d07,
     "S01_swap_register": q_s01,
     "S02_swap_peers": q_s02,
+    "S03_swap_one_per_action": q_s03,
     "L01_return_in_cycle": q_l01,
     "L02_buyout_in_cycle": q_l02,
     "L03_churn_enrichment": q_l03,
@@ -505,6 +532,8 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "L09_lifecycle_pattern": q_l09,
     "L10_cycle_history": q_l10,
     "L11_return_through_parent": q_l11,
+    "L12_trailing_year_history": q_l12,
+    "L13_history_from_churn_table": q_l13,
     "P01_fiscal_periods": q_p01,
     "V01_sql_report": _asked("revenue_bridge", "report"),
     "V02_sql_component": _asked("bridge_rows", "component", component="R14"),

@@ -25,7 +25,8 @@ class Policy:
     tenure_days_per_month: Decimal = Decimal("30.45")
     churn_days_per_month: Decimal = Decimal("30.40")
     # S1.1 recognised condition: "cycle_start" (recognised NULL or >= cycle
-    # start), "prev_start" (>= previous month start), "month_start"
+    # start), "prev_start" (>= previous month start), "month_start", or
+    # "other_month" (not in the month in which the cycle starts)
     s11_recognised_rule: str = "cycle_start"
     # current-month MTP tests the buy-out adjusted date ("adjusted") or "raw"
     current_mtp_date: str = "adjusted"
@@ -36,11 +37,17 @@ class Policy:
     discount_population: str = "non_upfront"
     # settlement cycles feed the upfront-discount sum of plan transition
     include_settlement: bool = True
+    # months before the first one beyond which no earlier cycle is compared with
+    # (R16, R20-R23, D05); None looks back over all history
+    discount_lookback_months: int | None = None
     # plan transition R16 compares against the previous *upfront* cycle
     # (reference rule) or, when dense, against the previous cycle of any kind
     plan_transition_dense: bool = False
     # add the VAS bridge into adjusted opening (off in the main bridge)
     vas_in_opening: bool = False
+    # revenue of every swap ("event"), or of one an entity and action ("entity"):
+    # its last swap out, its first swap in
+    swap_rank: str = "event"
     # bucket churn events by "payment" (transaction) date or "pickup" date
     churn_bucket: str = "payment"
     # churn events of entities with a current-month MTP are left out by
@@ -74,6 +81,14 @@ class Policy:
         m = self.first_start.year * 12 + self.first_start.month - 1 - max(1, self.discount_change_months)
         return dt.date(m // 12, m % 12 + 1, 1), self.last_next
 
+    @property
+    def discount_lookback(self) -> dt.date | None:
+        """Start of the first month that the look-back still reaches."""
+        if self.discount_lookback_months is None:
+            return None
+        m = self.first_start.year * 12 + self.first_start.month - 1 - self.discount_lookback_months
+        return dt.date(m // 12, m % 12 + 1, 1)
+
     @property
     def first_start(self) -> dt.date:
         return min(self.months).replace(day=1)

@@ -3,14 +3,16 @@
 Months: January / February 2026.  Each test builds only the rows it needs.
 """
 import datetime as dt
+from collections import Counter
 from dataclasses import replace
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from revbridge.operators import assemble
+from revbridge.operators import assemble, cycles
 from revbridge.plans.bridge import BridgePlan
+from revbridge.plans.months import rolling_month_driver, trailing_months
 from revbridge.policy import FAMILIES, Policy
 from revbridge.sources.ledger import Ledger
 
@@ -351,3 +353,68 @@ def test_prefixed_service_types_and_labels(spark):
     assert component(plan_of(spark, policy, **rows), "R27") == {1: (1, 1, 1000.0)}
     agg = assemble.aggregate_components(plan_of(spark, policy, **rows).rows("R24"), policy.labels)
     assert [r.label for r in agg.collect()] == ["Care of the brand"]
+
+
+# ---- run variants ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("months,change", [(None, {2: (1, 1, -150.0)}), (5, {2: (1, 1, -150.0)}), (4, {})])
+def test_discount_lookback(spark, months, change):
+    # the cycle before starts in August, five months before the first month
+    p = plan_of(
+        spark, replace(POLICY, discount_lookback_months=months),
+        items=[item(1, 7)],
+        recognitions=[cycle(1, "2025-08-01", 1000, disc='[{"amount":200.0,"catalogReferenceId":"2"}]'),
+                      cycle(1, "2026-01-01", 1000, disc='[{"amount":350.0,"catalogReferenceId":"2"}]')],
+        discounts=[(2, "LOYALTY")],
+    )
+    assert component(p, "R21") == change
+
+
+def test_opening_recognised_in_another_month(spark):
+    # of four December cycles the one recognised in December is no opening of January; one is never recognised
+    never = list(cycle(4, "2025-12-10", 40))
+    never[8] = None
+    rows = [cycle(1, "2025-12-05", 1, rec="2025-12-20 08:00:00"), cycle(2, "2025-12-05", 20, rec="2025-11-20 08:00:00"),
+            cycle(3, "2025-12-05", 30, rec="2026-01-02 08:00:00"), tuple(never)]
+    p = plan_of(spark, replace(POLICY, s11_recognised_rule="other_month"), items=[item(i, 6 + i) for i in (1, 2, 3, 4)], recognitions=rows)
+    assert component(p, "R01")[1] == (3, 3, 90.0)
+
+
+@pytest.mark.parametrize("rank,out,into", [
+    ("event", {1: (-1, 0, -100.0), 2: (-1, 0, -300.0)}, {1: (1, 0, 300.0), 2: (1, 0, 500.0)}),
+    ("entity", {2: (-1, 0, -300.0)}, {1: (1, 0, 300.0)}),
+])
+def test_one_swap_per_entity_and_action(spark, rank, out, into):
+    # swapped out and in twice; the last way out and the first way in count
+    p = plan_of(
+        spark, replace(POLICY, swap_rank=rank),
+        items=[item(1, 7), item(2, 7)],
+        recognitions=[cycle(i, day, amount) for i in (1, 2) for day, amount in (("2026-01-01", 100), ("2026-02-01", 300), ("2026-03-01", 500))],
+        swap_items=[(1, *swap(1, "SWAP_OUT", "2026-01-12 05:00:00")[1:]), (2, *swap(1, "SWAP_OUT", "2026-02-12 05:00:00")[1:]),
+                    (3, *swap(2, "SWAP_IN", "2026-01-12 05:00:00")[1:]), (4, *swap(2, "SWAP_IN", "2026-02-12 05:00:00")[1:])],
+    )
+    assert {m: v for m, v in component(p, "R12").items() if v[0]} == out
+    assert {m: v for m, v in component(p, "R13").items() if v[0]} == into
+
+
+def test_labels_of_a_trailing_year_and_of_a_published_churn_table(spark):
+    # one item kept all year, one returned in June, cycles recognised when they are over
+    after = lambda s: str(dt.date.fromisoformat(s) + dt.timedelta(days=30)) + " 08:00:00"
+    starts = [f"2025-{m:02d}-05" for m in range(1, 13)]
+    p = plan_of(
+        spark,
+        items=[item(1, 7, act="2024-12-01 10:00:00"), item(2, 8, act="2024-12-01 10:00:00", pickup="2025-06-20 06:00:00")],
+        recognitions=[cycle(1, s, 100, rec=after(s)) for s in starts] + [cycle(2, s, 50, rec=after(s)) for s in starts[:6]],
+        return_items=[returned(2, 8, "2025-06-15")],
+    )
+    year = trailing_months(dt.date(2025, 12, 31))
+    assert (len(year), year[0], year[-1]) == (12, dt.date(2025, 1, 1), dt.date(2025, 12, 1))
+    policy = replace(POLICY, months=year)
+    months = rolling_month_driver(spark, dt.date(2025, 12, 31))
+    inline = cycles.labelling_pipeline(p.L, policy, months, p.churn["tagged"], terminal=True, stage=p.stage)
+    table = cycles.labelling_pipeline(p.L, policy, months, None, terminal=True, stage=p.stage, churn_table=p.churn_table)
+    rows = {k: sorted((r.entity_id, r.cycle_start_date, r.matched_month_window, r.primary_cycle_type) for r in cycles.cycle_history(f["L09"], policy).collect())
+            for k, f in (("inline", inline), ("table", table))}
+    assert rows["inline"] == rows["table"]
+    assert Counter((e, label) for e, _, _, label in rows["table"]) == {(1, "NORMAL_CYCLE"): 11, (2, "NORMAL_CYCLE"): 5, (2, "CHURN_FULL"): 1}
