@@ -34,7 +34,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = packing.pack(docs.select("doc_id", "text"), PACK_LEN, PACK_BUCKETS, PACK_BUDGET, by_text=True)
+    rows = packing.pack(docs.select("doc_id", "text"), PACK_LEN, PACK_BUCKETS, PACK_BUDGET)
     rows = packing.piece_text(rows, PACK_LEN)
     return rows.select("doc_id", "piece", "n_tokens", "bucket_len", "batch", "padding", "text")
 
