@@ -71,7 +71,7 @@ ADDED = ("size", "source_size", "target", "reps", "taken")
 
 
 def mix(docs: DataFrame, weighted: DataFrame, max_epochs: int = 3, budget: int | None = None, seed: str = "mix",
-        source: str = "source", size: Column | None = None, tie: Column | None = None, bits: int = 12) -> DataFrame:
+        source: str = "source", size: Column | None = None, bits: int = 12) -> DataFrame:
     """Add `size`, `source_size`, `target`, `reps` and `taken` to every document.
 
     docs      any frame with `doc_id`, `text` and the source column; other columns
@@ -82,17 +82,18 @@ def mix(docs: DataFrame, weighted: DataFrame, max_epochs: int = 3, budget: int |
     A document is repeated floor(target / source size) times, and once more if it
     is chosen: the chosen are the first in a seeded order, as many as bring the
     source's words nearest to its target, so the error is at most half the size of
-    one document.  The order is MD5 of seed, doc_id and size, then `tie`.  Null or
+    one document.  The order is MD5 of seed, doc_id, size and the text's own MD5, so rows
+    that share a doc_id (or have none) are spread by their texts.  Null or
     empty text has size 0 and takes nothing; a null source is a source of its own;
     repeated rows count one by one; equal rows may swap places in the order, which
     leaves the result the same.  No row is dropped; an empty frame gives no rows.
     """
-    rows = _mixed(docs, weighted, max_epochs, budget, seed, source, size, tie, bits)
+    rows = _mixed(docs, weighted, max_epochs, budget, seed, source, size, bits)
     return rows.select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in ADDED], *ADDED)
 
 
 def _mixed(docs: DataFrame, weighted: DataFrame, max_epochs: int, budget: int | None, seed: str, source: str, size: Column | None,
-           tie: Column | None, bits: int) -> DataFrame:
+           bits: int) -> DataFrame:
     """All columns of docs as `row`, and the added ones."""
     words = n_words(F.col("text")) if size is None else size
     if budget is None:
@@ -101,9 +102,9 @@ def _mixed(docs: DataFrame, weighted: DataFrame, max_epochs: int, budget: int |
         F.col("source_key").alias("key"), "source_size", "target",
         F.floor(F.try_divide(F.col("target"), F.col("source_size"))).alias("whole"),
     ).withColumn("need", F.col("target") - F.col("whole") * F.col("source_size"))
-    rows = as_row(docs, key=group_key(F.col(source)), size=words, tie=F.lit(0) if tie is None else tie)
-    rows = rows.withColumn("u", uniform60(F.lit(seed), F.col("row.doc_id"), F.col("size")))
-    rows = prefix_sums(rows, "key", "u", "size", "before", [F.col("row.doc_id"), F.col("size"), F.col("tie")], bits)
+    rows = as_row(docs, key=group_key(F.col(source)), size=words, digest=F.md5("text"))
+    rows = rows.withColumn("u", uniform60(F.lit(seed), F.col("row.doc_id"), F.col("size"), F.col("digest")))
+    rows = prefix_sums(rows, "key", "u", "size", "before", [F.col("row.doc_id"), F.col("size"), F.col("digest")], bits)
     extra = (F.col("need") > 0) & (2 * F.col("before") + F.col("size") <= 2 * F.col("need"))
     reps = F.coalesce(F.col("whole"), F.lit(0)) + F.when(extra, 1).otherwise(0)
     rows = rows.join(targets, "key").withColumn("reps", reps.cast("long"))
@@ -115,13 +116,13 @@ def _cyclic(docs: DataFrame, cycle: tuple[int, ...]) -> DataFrame:
     return scratch.stage(cyclic_weights(source_sizes(docs), cycle, scratch))
 
 
-def mix_sources(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, tie: Column | None = None) -> DataFrame:
+def mix_sources(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
     """`mix` with weights repeating over the sources in order and a budget of all words."""
-    return mix(docs, _cyclic(docs, cycle), max_epochs, tie=tie)
+    return mix(docs, _cyclic(docs, cycle), max_epochs)
 
 
 def mixed_corpus(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
     """The documents as `mix_sources` takes them, with their own columns: each as often
     as `reps` says (those with 0 leave)."""
-    rows = _mixed(docs, _cyclic(docs, cycle), max_epochs, None, "mix", "source", None, F.xxhash64("text"), 12).filter("reps > 0")
+    rows = _mixed(docs, _cyclic(docs, cycle), max_epochs, None, "mix", "source", None, 12).filter("reps > 0")
     return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("reps").cast("int")))).select("row.*")

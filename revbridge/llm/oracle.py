@@ -152,7 +152,7 @@ def url_sql() -> str:
 def mixing_sql() -> str:
     cycle = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(MIX_CYCLE))
     return f"""
-    WITH sized AS (SELECT doc_id, source, {_words('text')} AS size FROM documents
+    WITH sized AS (SELECT doc_id, source, {_words('text')} AS size, md5(text) AS digest FROM documents
     ), sources AS (
       SELECT source, sum(size)::BIGINT AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(MIX_CYCLE)} {cycle} END AS weight
       FROM sized GROUP BY source
@@ -167,9 +167,9 @@ def mixing_sql() -> str:
       SELECT source, source_size, CASE WHEN at_cap THEN cap::DOUBLE ELSE left_over::DOUBLE * weight::DOUBLE / weights::DOUBLE END AS target FROM clamped, level
     ), needs AS (SELECT *, floor(target / nullif(source_size, 0)) AS whole, target - floor(target / nullif(source_size, 0)) * source_size AS need FROM targets
     ), ordered AS (
-      SELECT *, {_hash60("concat_ws(':', 'mix', coalesce(doc_id::VARCHAR, '~'), size::VARCHAR)")} AS u FROM sized
+      SELECT *, {_hash60("concat_ws(':', 'mix', coalesce(doc_id::VARCHAR, '~'), size::VARCHAR, coalesce(digest, '~'))")} AS u FROM sized
     ), summed AS (
-      SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY u, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM ordered
+      SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY u, doc_id, size, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM ordered
     )
     SELECT doc_id, size, source_size, target,
            ((coalesce(whole, 0) + CASE WHEN need > 0 AND 2 * before + size <= 2 * need THEN 1 ELSE 0 END) * size)::BIGINT AS taken
@@ -189,10 +189,10 @@ def packing_sql(n_buckets: int = PACK_BUCKETS) -> str:
         )""")
     every = " UNION ALL ".join(f"SELECT {k} AS k, cuts, cost FROM dp{k} WHERE pos = (SELECT max(pos) FROM hist)" for k in range(1, n_buckets + 1))
     return f"""
-    WITH sized AS (SELECT doc_id, {_words('text')} AS n FROM documents
+    WITH sized AS (SELECT doc_id, {_words('text')} AS n, md5(text) AS digest FROM documents
     ), pieces AS (
-      SELECT doc_id, piece, least({PACK_LEN}, n - piece * {PACK_LEN}) AS n_tokens
-      FROM (SELECT doc_id, n, unnest(range(0, greatest(0, (n - 1) // {PACK_LEN}) + 1)) AS piece FROM sized)
+      SELECT doc_id, digest, piece, least({PACK_LEN}, n - piece * {PACK_LEN}) AS n_tokens
+      FROM (SELECT doc_id, digest, n, unnest(range(0, greatest(0, (n - 1) // {PACK_LEN}) + 1)) AS piece FROM sized)
     ), hist AS MATERIALIZED (
       SELECT n_tokens AS len, row_number() OVER (ORDER BY n_tokens) AS pos, sum(count(*)) OVER (ORDER BY n_tokens)::BIGINT AS c,
              sum(count(*) * n_tokens) OVER (ORDER BY n_tokens)::BIGINT AS s
@@ -204,7 +204,7 @@ def packing_sql(n_buckets: int = PACK_BUCKETS) -> str:
     placed AS (SELECT p.*, (SELECT min(bucket_len) FROM cut WHERE bucket_len >= p.n_tokens) AS bucket_len FROM pieces p),
     counted AS (
       SELECT *, row_number() OVER (PARTITION BY bucket_len ORDER BY
-        {_hash60("concat_ws(':', 'pack', coalesce(doc_id::VARCHAR, '~'), piece::VARCHAR)")}, doc_id, piece, n_tokens) - 1 AS place FROM placed
+        {_hash60("concat_ws(':', 'pack', coalesce(doc_id::VARCHAR, '~'), piece::VARCHAR, coalesce(digest, '~'))")}, doc_id, piece, digest) - 1 AS place FROM placed
     )
     SELECT doc_id, piece, n_tokens, bucket_len, place // greatest(1, {PACK_BUDGET} // greatest(1, bucket_len)) AS batch, bucket_len - n_tokens AS padding
     FROM counted

@@ -58,25 +58,25 @@ ADDED = ("piece", "n_pieces", "n_tokens", "bucket_len", "batch", "padding")
 
 def pieces(docs: DataFrame, max_len: int, tokens: Column | None = None) -> DataFrame:
     """One row per piece of at most `max_len` tokens: the document's columns as `row`,
-    `piece` from 0, `n_tokens`, `n_pieces` of its document.  A document without
-    tokens is one piece of length 0."""
+    `piece` from 0, `n_tokens`, `n_pieces` and `digest` (the text's MD5) of its document.  A
+    document without tokens is one piece of length 0."""
     n = n_words(F.col("text")) if tokens is None else F.coalesce(tokens, F.lit(0)).cast("long")
-    rows = as_row(docs, *ADDED, n=n)
+    rows = as_row(docs, *ADDED, n=n, digest=F.md5("text"))
     last = F.greatest(F.lit(0), F.floor((F.col("n") - 1) / F.lit(max_len))).cast("int")
-    out = rows.select("row", "n", (last + 1).alias("n_pieces"), F.explode(F.sequence(F.lit(0), last)).alias("piece"))
+    out = rows.select("row", "n", "digest", (last + 1).alias("n_pieces"), F.explode(F.sequence(F.lit(0), last)).alias("piece"))
     length = F.least(F.lit(max_len), F.col("n") - F.col("piece") * F.lit(max_len))
     return out.withColumn("n_tokens", length.cast("long")).drop("n")
 
 
 def pack(docs: DataFrame, max_len: int = 4096, n_buckets: int = 12, budget: int = 65536, seed: str = "pack",
-         tokens: Column | None = None, by_text: bool = False, bits: int = 12) -> DataFrame:
+         tokens: Column | None = None, bits: int = 12) -> DataFrame:
     """Pack every document of `docs` (`doc_id`, `text`; other columns pass through).
 
     Returns a row per piece with `piece`, `n_pieces`, `n_tokens`, `bucket_len` (its bucket's
     boundary), `batch` (long, from 0 in each bucket) and `padding`.  A batch holds
     floor(budget / bucket_len) pieces, one at least; only the last batch of a bucket
-    may hold fewer.  The order in a bucket is seeded by doc_id and piece, then (with
-    `by_text`, where the text goes along) by the text's hash.  Token
+    may hold fewer.  The order in a bucket is seeded by doc_id, piece and the text's MD5, so
+    rows that share a doc_id (or have none) are spread by their texts.  Token
     counts are white-space words unless `tokens` gives a column.  Null or empty
     text is one piece of length 0; null doc_ids and repeated rows are pieces like
     any other; columns named as the added ones are replaced; no rows give none.
@@ -87,9 +87,8 @@ def pack(docs: DataFrame, max_len: int = 4096, n_buckets: int = 12, budget: int
     bucket = F.lit(-1).cast("long")
     for b in reversed(bounds):
         bucket = F.when(F.col("n_tokens") <= b, F.lit(b).cast("long")).otherwise(bucket)
-    rows = rows.withColumns({"bucket_len": bucket, "one": F.lit(1).cast("long"), "u": uniform60(F.lit(seed), F.col("row.doc_id"), F.col("piece"))})
-    order = [F.col("row.doc_id"), F.col("piece"), F.col("n_tokens")] + ([F.xxhash64("row.text")] if by_text else [])
-    rows = prefix_sums(rows, "bucket_len", "u", "one", "place", order, bits)
+    rows = rows.withColumns({"bucket_len": bucket, "one": F.lit(1).cast("long"), "u": uniform60(F.lit(seed), F.col("row.doc_id"), F.col("piece"), F.col("digest"))})
+    rows = prefix_sums(rows, "bucket_len", "u", "one", "place", [F.col("row.doc_id"), F.col("piece"), F.col("digest")], bits)
     per_batch = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.lit(1), F.col("bucket_len"))))
     return rows.withColumns({
         "batch": F.floor(F.col("place") / per_batch).cast("long"),

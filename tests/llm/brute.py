@@ -169,7 +169,11 @@ def hash60(*parts):
     return int(hashlib.md5(":".join("~" if p is None else str(p) for p in parts).encode()).hexdigest()[:15], 16)
 
 
-def mixing(rows, cycle=(1, 2, 3), epochs=3, seed="mix", tie=lambda t: 0):
+def digest(text):
+    return None if text is None else hashlib.md5(text.encode()).hexdigest()
+
+
+def mixing(rows, cycle=(1, 2, 3), epochs=3, seed="mix"):
     """rows: (doc_id, text, source) -> [(size, source_size, target, reps)]."""
     size = [len(words(t)) for _, t, _ in rows]
     total = Counter()
@@ -189,7 +193,7 @@ def mixing(rows, cycle=(1, 2, 3), epochs=3, seed="mix", tie=lambda t: 0):
     reps = [0] * len(rows)
     for s in order:
         mine = [i for i, r in enumerate(rows) if r[2] == s]
-        mine.sort(key=lambda i: (hash60(seed, rows[i][0], size[i]), rows[i][0] is not None, rows[i][0] or 0, size[i], tie(rows[i][1])))
+        mine.sort(key=lambda i: (hash60(seed, rows[i][0], size[i], digest(rows[i][1])), rows[i][0] is not None, rows[i][0] or 0, size[i]))
         whole = math.floor(target[s] / total[s]) if total[s] else 0
         need, before = target[s] - whole * total[s], 0
         for i in mine:

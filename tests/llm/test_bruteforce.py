@@ -248,14 +248,14 @@ def plain_pipeline(docs):
         n = max(1, math.ceil(len(w) / PACK_LEN))
         cuts = [m.start() for m in re.finditer(brute.SPACE, t or "")][PACK_LEN::PACK_LEN]  # where a piece's first word stands
         parts = [t] if n == 1 else [t[a:b] for a, b in zip([0, *cuts], [*cuts, None])]
-        pieces += [(d, p, min(PACK_LEN, len(w) - p * PACK_LEN), parts[p]) for p in range(n)]
+        pieces += [(d, p, min(PACK_LEN, len(w) - p * PACK_LEN), parts[p], brute.digest(t)) for p in range(n)]
     bounds = packing.optimal_boundaries(Counter(p[2] for p in pieces), PACK_BUCKETS)
     bucket = [next(b for b in bounds if b >= p[2]) for p in pieces]
     out = Counter()
     for b in bounds:
-        mine = sorted((i for i in range(len(pieces)) if bucket[i] == b), key=lambda i: (brute.hash60("pack", *pieces[i][:2]), pieces[i][:3]))
+        mine = sorted((i for i in range(len(pieces)) if bucket[i] == b), key=lambda i: (brute.hash60("pack", *pieces[i][:2], pieces[i][4]), pieces[i][:3]))
         for place, i in enumerate(mine):
-            d, p, n, t = pieces[i]
+            d, p, n, t, _ = pieces[i]
             out[d, p, n, b, place // max(1, PACK_BUDGET // max(1, b)), b - n, t] += 1
     return out
 

@@ -206,6 +206,25 @@ def test_mixing_meets_targets(spark):
     assert Counter((r.doc_id, r.taken) for r in got) == Counter((r.doc_id, r.taken) for r in again)
 
 
+def test_one_doc_id_is_spread(spark, monkeypatch):
+    """2,000 rows of one length and no doc_id: no part of the running sums holds many of them."""
+    rows = [(None, f"w{i} x y", "s") for i in range(2000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    parts = []
+
+    def watched(df, group, u, *rest):
+        parts.append(df.groupBy(group, F.shiftrightunsigned(u, 54)).count().agg(F.max("count")).first()[0])
+        return prefix_sums(df, group, u, *rest)
+
+    for module in (mixing, packing):
+        monkeypatch.setattr(module, "prefix_sums", watched)
+    got = Counter((r["size"], r.source_size, r.target, r.reps) for r in mixing.mix_sources(frame, (1, 2)).collect())
+    assert got == Counter(brute.mixing(rows, (1, 2)))
+    places = Counter((r.bucket_len, r.batch) for r in packing.pack(frame, 100, 3, 30).collect())
+    assert places == {(3, b): 10 for b in range(200)}
+    assert max(parts) < 2000 / 64 * 3  # 64 parts of about 31 rows
+
+
 def test_pieces_are_the_text_again(spark):
     texts = ["  lead\n\n\tcode {\n    x = 1;\r\n}\n" * 40 + "end  ", "short  text", " \n ", "", "a b c d e f g h", "É\u00a0ü  " * 30]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
