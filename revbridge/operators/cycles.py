@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revbridge.functions import ist_date, is_paid, money
+from revbridge.functions.frames import Frames
 from revbridge.operators.base import ENTITY_KEYS
 from revbridge.operators.movements import within
 from revbridge.policy import EXCLUDED_RR_STATES, Policy
@@ -355,7 +356,7 @@ def lifecycle_pattern(df: DataFrame) -> DataFrame:
 
 def labelling_pipeline(L: Ledger, policy: Policy, months: DataFrame, tagged: DataFrame | None, entity_id=None,
                        terminal: bool = False, stage=lambda df: df, churn_table: DataFrame | None = None) -> dict[str, DataFrame]:
-    """L01-L04 over every cycle (lazy), and L05-L10 over the analysis months.
+    """L01-L04 over every cycle, and L05-L10 over the analysis months, each built when asked for.
 
     The months are cut out early, for most entities in the scan (`month_context`):
     buy-out context and month class need only the cycles and their buy-outs, so returns and churn flags join the few cycles
@@ -367,22 +368,22 @@ def labelling_pipeline(L: Ledger, policy: Policy, months: DataFrame, tagged: Dat
     hold a return get one; `tagged` is not read.
     """
     returns_only = churn_table is not None
-    cyc = labelling_cycles(L, policy, entity_id)
     flags = published_churn_flags(churn_table) if returns_only else entity_churn_flags(tagged, L)
-    l01 = return_in_cycle(cyc, L)
-    l02 = buyout_in_cycle(l01, L)
-    l03 = churn_enrichment(l02, flags, returns_only)
-    l04 = lifecycle_context(l03)
-    context = month_context(L, policy, entity_id)
-    candidates = stage(cycle_month_class(context, months))
-    l05 = churn_enrichment(return_in_cycle(candidates, L), flags, returns_only)
-    l06 = stage(earliest_match(l05))
-    l07 = cycle_label_terminal(l06) if terminal else cycle_label(l06)
-    ctx = entity_context(L)
-    l08 = l07.join(ctx, ENTITY_KEYS, "left")
-    l09 = lifecycle_pattern(l08)
-    return {"L01": l01, "L02": l02, "L03": l03, "L04": l04, "L05": l05, "L06": l06, "L07": l07,
-            "L07T": cycle_label_terminal(l06), "L08": ctx, "L09": l09, "L10": l09}
+    candidates = lambda: stage(cycle_month_class(month_context(L, policy, entity_id), months))
+    f = Frames({
+        "L01": lambda: return_in_cycle(labelling_cycles(L, policy, entity_id), L),
+        "L02": lambda: buyout_in_cycle(f["L01"], L),
+        "L03": lambda: churn_enrichment(f["L02"], flags, returns_only),
+        "L04": lambda: lifecycle_context(f["L03"]),
+        "L05": lambda: churn_enrichment(return_in_cycle(candidates(), L), flags, returns_only),
+        "L06": lambda: stage(earliest_match(f["L05"])),
+        "L07": lambda: (cycle_label_terminal if terminal else cycle_label)(f["L06"]),
+        "L07T": lambda: cycle_label_terminal(f["L06"]),
+        "L08": lambda: entity_context(L),
+        "L09": lambda: lifecycle_pattern(f["L07"].join(f["L08"], ENTITY_KEYS, "left")),
+        "L10": lambda: f["L09"],
+    })
+    return f
 
 
 HISTORY_COLUMNS = [
