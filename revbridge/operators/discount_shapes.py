@@ -24,29 +24,39 @@ def discount_faults(entity_cycles: DataFrame) -> DataFrame:
     object; per line: no object, no amount, amount is no number, amount below zero, no
     catalog reference, other members."""
     text = F.trim(F.col("discounts").cast("string"))
-    rows = entity_cycles.select(*CYCLE[:-1], text.alias("text")).filter(F.col("text") != "").withColumn("v", F.try_parse_json("text"))
-    kind = F.schema_of_variant("v")
-    is_list, is_object = kind.startswith("ARRAY"), kind.startswith("OBJECT")
-    rows = rows.withColumns({
-        "whole": F.when(F.col("v").isNull(), "not JSON").when(is_object, "object instead of a list").when(~is_list & (kind != "VOID"), "neither list nor object"),
-        "lines": F.when(is_list, F.try_variant_get("v", "$", "array<variant>")).when(is_object, F.array("v")),
-    })
     place = [*CYCLE[:-1]]
-    whole = rows.filter(F.col("whole").isNotNull()).select(*place, F.lit(None).cast("int").alias("line"), F.col("whole").alias("reason"), F.col("text").alias("fragment"))
-    lines = rows.select(*place, F.posexplode("lines").alias("line", "x"))
-    get = lambda path: F.try_variant_get("x", path, "variant")
-    amount, kinds = F.schema_of_variant(get("$.amount")), ("BIGINT", "DOUBLE", "FLOAT")
-    number = amount.isin(*kinds) | amount.startswith("DECIMAL")
-    reference = F.schema_of_variant(get("$.catalogReferenceId"))
+    rows = entity_cycles.select(*place, text.alias("text")).filter(F.col("text") != "")
+    # generators keep what is parsed as a column: each text and each line is read once,
+    # and rows without a fault go before anything is put together for them
+    rows = rows.select(*place, "text", F.explode(F.array(F.try_parse_json("text"))).alias("v"))
+    is_object = F.try_variant_get("v", "$", "map<string,variant>").isNotNull()
+    lines = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.when(is_object, F.array("v")))
+    lines = rows.select(*place, "text", "v", F.posexplode_outer(lines).alias("line", "x"))
+    lines = lines.select("*", F.explode(F.array(F.try_variant_get("x", "$", "map<string,variant>"))).alias("m"))
+    line, m = F.col("line"), F.col("m")
+    kind = F.schema_of_variant("v")  # an empty list and a JSON null have no line and no fault
+    whole = (
+        F.when(F.col("v").isNull(), "not JSON").when(line.isNull() & ~kind.rlike("^(ARRAY|VOID)"), "neither list nor object")
+        .when((line == 0) & is_object, "object instead of a list")
+    )
+    kind_of = lambda name: F.schema_of_variant(m[name])
+    absent = lambda name: kind_of(name).isNull() | (kind_of(name) == "VOID")
+    number = F.coalesce(kind_of("amount").rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.lit(False))
+    negative = F.coalesce(F.try_variant_get(m["amount"], "$", "double") < 0, F.lit(False))
     known = F.array(*[F.lit(c) for c in ("amount", "catalogReferenceId", "code")])
-    members = F.map_keys(F.try_variant_get("x", "$", "map<string,variant>"))
-    lines = lines.withColumn("object", F.schema_of_variant("x").startswith("OBJECT")).withColumn("faults", F.when(~F.col("object"), F.array(F.lit("no object"))).otherwise(F.array_compact(F.array(
-        F.when(amount.isNull() | (amount == "VOID"), "no amount").when(~number, "amount is no number").when(F.try_variant_get("x", "$.amount", "double") < 0, "amount below zero"),
-        F.when(reference.isNull() | (reference == "VOID"), "no catalog reference"),
-        F.when(F.size(F.array_except(members, known)) > 0, "other members"),
-    ))))
-    each = lines.select(*place, "line", F.explode("faults").alias("reason"), F.to_json("x").alias("fragment"))
-    return whole.unionByName(each)
+    others = F.size(F.array_except(F.map_keys("m"), known)) > 0
+    no_object = line.isNotNull() & m.isNull()
+    odd = m.isNotNull() & (~number | negative | absent("catalogReferenceId") | others)
+    fault = lambda reason, line, fragment: F.when(reason.isNotNull(), F.struct(line.alias("line"), reason.alias("reason"), fragment.alias("fragment")))
+    of_line = lambda reason: fault(reason, line, F.to_json("x"))
+    faults = F.array_compact(F.array(
+        fault(whole, F.lit(None).cast("int"), F.col("text")),
+        of_line(F.when(no_object, "no object")),
+        of_line(F.when(m.isNotNull(), F.when(absent("amount"), "no amount").when(~number, "amount is no number").when(negative, "amount below zero"))),
+        of_line(F.when(m.isNotNull() & absent("catalogReferenceId"), "no catalog reference")),
+        of_line(F.when(m.isNotNull() & others, "other members")),
+    ))
+    return lines.filter(whole.isNotNull() | no_object | odd).select(*place, F.explode(faults).alias("f")).select(*place, "f.*")
 
 
 def fault_summary(faults: DataFrame) -> DataFrame:
