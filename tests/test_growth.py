@@ -126,3 +126,53 @@ def test_discount_groups_are_dealt_out_before_lines_are_taken_apart(spark, tmp_p
     assert "HashAggregate" not in steps[steps.index("Generate"):]
     got = sorted((r.n_cycles, float(r.json_total), float(r.exploded_total), r.matches) for r in check.collect())
     assert got == [(1, 0.0, 0.0, True), (1, 0.0, 0.0, True), (3, 10.5, 10.5, True)]
+
+
+def test_churn_of_the_months_takes_their_users_only(spark):
+    from tests.test_churn_bruteforce import rand_ledger
+
+    day = dt.timedelta(days=1)
+    for seed in range(1):
+        L = rand_ledger(spark, seed)
+        whole = churn.churn_pipeline(L, POLICY, lambda df: df.checkpoint())
+        paid = sorted({r.payment_date.date() for r in whole["tagged"].filter("payment_date IS NOT NULL").collect()})
+        policy = Policy(months=(paid[len(paid) // 2].replace(day=1),), as_of=POLICY.as_of)
+        ids = {r.item_ids for r in whole["tagged"].collect() if r.payment_date and policy.first_start <= r.payment_date.date() <= policy.last_next - day}
+        stage = Stage()
+        got = churn.tagged_of_months(L, policy, churn.item_transactions(L, policy).checkpoint(), lambda df: stage(df.checkpoint()))
+        assert ids and sorted(map(str, got.collect())) == sorted(str(r) for r in whole["tagged"].select(got.columns).collect() if r.item_ids in ids)
+
+
+def test_items_of_other_users_stay_out_of_the_sweeps(spark):
+    item = lambda i, user: (i, user, i, "ACTIVE", "RENTAL", at("2025-01-01"), None, i, "x", None)
+    back = lambda i, trans, day: (i, i, trans, "COMPLETED", at(day), at(day))
+    # 1 and 3 share a return of the months; 2 is of the same user as 1, 4 of the same as 3; 5 and 6 are returned at other times
+    L = Ledger.from_rows(
+        spark, items=[item(1, 10), item(2, 10), item(3, 20), item(4, 20), item(5, 30), item(6, 30)],
+        return_items=[back(1, 7, "2026-01-05"), back(3, 7, "2025-12-01"), back(5, 8, "2025-11-01"), back(6, 9, "2026-04-01")],
+    )
+    stage = Stage()
+    got = churn.tagged_of_months(L, POLICY, churn.item_transactions(L, POLICY).checkpoint(), lambda df: stage(df.checkpoint()))
+    assert {r.item_ids for r in got.collect()} == {1}
+    taken = [f for f in stage.frames if "later_items_count" not in f.columns and "item_ids" in f.columns]
+    assert len(taken) == 1 and {r.item_ids for r in taken[0].collect()} == {1, 2, 3, 4}
+
+
+def test_latest_cycles_are_read_in_one_scan(spark, tmp_path):
+    rows = [cycle(1, "2025-12-05", 30), cycle(1, "2026-01-05", 60), cycle(1, "2026-01-05", 90)]
+    plan = on_disk(spark, tmp_path, recognitions=rows)
+    columns = ["item_ids", "composite_item_id", *churn.KEEP]
+    churned = spark.createDataFrame([(i, None, *[None] * len(churn.KEEP)) for i in (1, 2)], ", ".join(f"{c} {'long' if 'id' in c else 'string'}" for c in columns))
+    found = churn.latest_cycles(plan.L, POLICY, churned)
+    assert sorted((r.entity_id, r.taxable_amount and int(r.taxable_amount)) for r in found.collect()) == [(1, 60), (1, 90), (2, None)]
+    stage = Stage()
+    churn.latest_cycles(plan.L, POLICY, churned, stage)
+    assert len(stage.frames) == 2 and len(scans(stage.frames[1], "taxable_amount")) == 1
+
+
+def test_opening_leaves_out_cycles_that_no_month_can_tag(spark, tmp_path):
+    bought = dict(rtp_items=[(1, 3, 1, "PAID", None)], rtp_orders=[(1, "CONFIRMED", at("2026-02-10"))])
+    rows = [cycle(1, "2026-01-05"), cycle(2, "2027-05-05"), cycle(3, "2027-05-05"), cycle(None, "2027-05-05")]
+    plan = on_disk(spark, tmp_path, recognitions=rows, **bought)
+    assert {(r.accountable_entity_id, str(r.start_date)) for r in plan.opening_cycles.collect()} == {(1, "2026-01-05"), (3, "2027-05-05")}
+    assert {(r.month_num, r.tag, r.accountable_entity_id) for r in plan.classified.collect()} == {(2, "S1.1", 1), (2, "CMTP", 3)}
